@@ -104,3 +104,112 @@ SELECT type_local, year, count(*) AS n_sales,
   round(quantile_cont(prix_m2, 0.5), 4) AS median_prix_m2
 FROM features GROUP BY type_local, year
 """
+
+
+# ---------------------------------------------------------------------------
+# Spatial
+# ---------------------------------------------------------------------------
+R_MERC = repr(MERCATOR_RADIUS)
+FIXTURE_RADIUS = 20000.0
+FIXTURE_MIN_DENSITY = 2000.0
+
+RELEVANT = f"""(public_transport IN {_in(TRANSPORT_VALUES)} OR amenity IN {_in(EDUCATION_VALUES + HEALTH_VALUES + FOOD_VALUES + SHOPPING_AMENITY_VALUES + ENTERTAINMENT_VALUES + CULTURAL_VALUES)}
+  OR shop IS NOT NULL OR leisure IN {_in(PARK_LEISURE_VALUES)})"""
+
+COUNT_COLUMNS = f"""
+  count(CASE WHEN p.public_transport IN {_in(TRANSPORT_VALUES)} THEN 1 END) AS transport_pois,
+  count(CASE WHEN p.amenity IN {_in(EDUCATION_VALUES)} THEN 1 END) AS education_pois,
+  count(CASE WHEN p.amenity IN {_in(HEALTH_VALUES)} THEN 1 END) AS health_pois,
+  count(CASE WHEN p.amenity IN {_in(FOOD_VALUES)} THEN 1 END) AS food_pois,
+  count(CASE WHEN p.amenity IN {_in(SHOPPING_AMENITY_VALUES)} OR p.shop IS NOT NULL THEN 1 END) AS shopping_pois,
+  count(CASE WHEN p.leisure IN {_in(PARK_LEISURE_VALUES)} THEN 1 END) AS park_pois,
+  count(CASE WHEN p.amenity IN {_in(ENTERTAINMENT_VALUES)} THEN 1 END) AS entertainment_pois,
+  count(CASE WHEN p.amenity IN {_in(CULTURAL_VALUES)} THEN 1 END) AS cultural_pois"""
+
+
+def _merc(lon: str, lat: str, x: str, y: str) -> str:
+    return (f"{R_MERC} * radians({lon}) AS {x}, "
+            f"{R_MERC} * ln(tan(pi() / 4 + radians({lat}) / 2.0)) AS {y}")
+
+
+def radius_counts_sql(radius: float = FIXTURE_RADIUS) -> str:
+    return duckdb_with("grid", "poi") + f""",
+gp AS (SELECT lat, lon, densite, {_merc('lon', 'lat', 'cx', 'cy')} FROM grid),
+pp AS (SELECT *, {_merc('lon', 'lat', 'px', 'py')} FROM poi WHERE {RELEVANT})
+SELECT c.lat, c.lon, c.densite, {COUNT_COLUMNS}
+FROM gp c LEFT JOIN pp p
+  ON (p.px - c.cx) * (p.px - c.cx) + (p.py - c.cy) * (p.py - c.cy) <= {radius * radius!r}
+GROUP BY c.lat, c.lon, c.densite
+"""
+
+
+def radius_counts_named_sql(radius: float = FIXTURE_RADIUS) -> str:
+    return duckdb_with("grid", "poi") + f""",
+gp AS (SELECT grid_id, lat, lon, densite, {_merc('lon', 'lat', 'cx', 'cy')} FROM grid),
+pp AS (SELECT *, {_merc('lon', 'lat', 'px', 'py')} FROM poi WHERE {RELEVANT} AND name IS NOT NULL)
+SELECT c.grid_id, c.lat, c.lon, c.densite, {COUNT_COLUMNS}
+FROM gp c LEFT JOIN pp p
+  ON (p.px - c.cx) * (p.px - c.cx) + (p.py - c.cy) * (p.py - c.cy) <= {radius * radius!r}
+GROUP BY c.grid_id, c.lat, c.lon, c.densite
+"""
+
+
+def radius_gated_sql(radius: float = FIXTURE_RADIUS, min_density: float = FIXTURE_MIN_DENSITY) -> str:
+    return duckdb_with("grid", "poi") + f""",
+gp AS (SELECT lat, lon, densite, {_merc('lon', 'lat', 'cx', 'cy')} FROM grid),
+pp AS (SELECT *, {_merc('lon', 'lat', 'px', 'py')} FROM poi WHERE {RELEVANT})
+SELECT c.lat, c.lon, c.densite, {COUNT_COLUMNS}
+FROM gp c LEFT JOIN pp p
+  ON c.densite >= {min_density!r}
+ AND (p.px - c.cx) * (p.px - c.cx) + (p.py - c.cy) * (p.py - c.cy) <= {radius * radius!r}
+GROUP BY c.lat, c.lon, c.densite
+"""
+
+
+EXCLUSIVE_CASE = f"""CASE WHEN amenity IN {_in(EXCLUSIVE_SCHOOLS)} THEN 'schools'
+  WHEN amenity IN {_in(EXCLUSIVE_HEALTHCARE)} THEN 'healthcare'
+  WHEN amenity IN {_in(EXCLUSIVE_RESTAURANTS)} THEN 'restaurants'
+  WHEN amenity IN {_in(EXCLUSIVE_SHOPS)} THEN 'shops'
+  WHEN leisure = 'park' THEN 'parks'
+  WHEN amenity IN {_in(EXCLUSIVE_ENTERTAINMENT)} THEN 'entertainment'
+  WHEN amenity IN {_in(EXCLUSIVE_CULTURAL)} OR tourism = 'museum' THEN 'cultural_places'
+  ELSE 'amenities' END"""
+
+
+def exclusive_counts_sql(radius: float = FIXTURE_RADIUS, min_density: float = FIXTURE_MIN_DENSITY) -> str:
+    hav = ("12742000.0 * asin(sqrt(least(1.0, pow(sin((radians(p.lat) - radians(c.lat)) / 2), 2)"
+           " + cos(radians(c.lat)) * cos(radians(p.lat))"
+           " * pow(sin((radians(p.lon) - radians(c.lon)) / 2), 2))))")
+    cats = ["amenities", "transports", "shops", "schools", "parks", "restaurants",
+            "healthcare", "entertainment", "cultural_places"]
+    return duckdb_with("grid", "poi") + f""",
+pp AS (SELECT lon, lat, {EXCLUSIVE_CASE} AS cat FROM poi WHERE amenity IS NOT NULL),
+m AS (SELECT c.grid_id, p.cat FROM grid c JOIN pp p
+      ON c.densite >= {min_density!r} AND {hav} <= {radius!r})
+SELECT g.grid_id, g.lat, g.lon, g.densite,
+  {", ".join(f"count(*) FILTER (WHERE m.cat = '{c}') AS {c}" for c in cats)}
+FROM grid g LEFT JOIN m ON g.grid_id = m.grid_id
+GROUP BY g.grid_id, g.lat, g.lon, g.densite
+"""
+
+
+def knn_sql(k: int = 4) -> str:
+    cols = ", ".join(f"g.{m}" for m in GRID_MEASURES)
+    wsum = ", ".join(f"sum(w * {m}) / sum(w) AS {m}_weighted" for m in GRID_MEASURES)
+    outs = ", ".join(f"round(nb.{m}_weighted, 6) AS {m}_weighted" for m in GRID_MEASURES)
+    return features_sql().replace("WITH dvf AS", "WITH grid AS (" + _grid_body() + "),\ndvf AS", 1) + f""",
+pts AS (SELECT DISTINCT longitude, latitude FROM features),
+cand AS (SELECT p.longitude, p.latitude, g.grid_id, {cols},
+           (p.longitude - g.lon) * (p.longitude - g.lon) + (p.latitude - g.lat) * (p.latitude - g.lat) AS d2
+         FROM pts p CROSS JOIN grid g),
+top AS (SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY longitude, latitude ORDER BY d2, grid_id) <= {k}),
+wt AS (SELECT *, 1.0 / CASE WHEN d2 = 0 THEN 1e-10 ELSE sqrt(d2) END AS w FROM top),
+nb AS (SELECT longitude, latitude, {wsum} FROM wt GROUP BY longitude, latitude)
+SELECT f.id_mutation, f.valeur_fonciere, {outs}
+FROM features f JOIN nb ON f.longitude = nb.longitude AND f.latitude = nb.latitude
+"""
+
+
+def _grid_body() -> str:
+    from parcelle.sources.fixtures import GRID_SQL
+    return GRID_SQL.format(customer="customer")

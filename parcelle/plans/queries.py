@@ -71,3 +71,62 @@ ORACLES: dict[str, str] = {
     "price_features": O.PRICE_FEATURES,
     "price_by_type_year": O.PRICE_BY_TYPE_YEAR,
 }
+
+
+# ---------------------------------------------------------------------------
+# Spatial
+# ---------------------------------------------------------------------------
+from parcelle.operators.spatial import (  # noqa: E402
+    knn_idw, radius_exclusive_counts, radius_poi_counts, radius_poi_counts_per_row,
+)
+from parcelle.schemas import GRID_MEASURES  # noqa: E402
+
+FIXTURE_RADIUS = O.FIXTURE_RADIUS
+FIXTURE_MIN_DENSITY = O.FIXTURE_MIN_DENSITY
+
+
+def q_radius_poi_counts(spark, sf_dir):
+    """Grid × POI radius join, 8 multi-label counts per (lat, lon, densite)."""
+    return radius_poi_counts(fx.grid(spark, sf_dir), fx.poi(spark, sf_dir), FIXTURE_RADIUS)
+
+
+def q_radius_named_per_row(spark, sf_dir):
+    """Per grid row, named POIs only (the per-point query variant)."""
+    return radius_poi_counts_per_row(fx.grid(spark, sf_dir), fx.poi(spark, sf_dir),
+                                     FIXTURE_RADIUS, named_only=True)
+
+
+def q_radius_density_gated(spark, sf_dir):
+    """Only cells at or above the density threshold are enriched."""
+    return radius_poi_counts(fx.grid(spark, sf_dir), fx.poi(spark, sf_dir), FIXTURE_RADIUS,
+                             min_density=FIXTURE_MIN_DENSITY)
+
+
+def q_radius_exclusive(spark, sf_dir):
+    """Great-circle radius, amenity-tagged POIs, first-match categories."""
+    return radius_exclusive_counts(fx.grid(spark, sf_dir), fx.poi(spark, sf_dir), FIXTURE_RADIUS,
+                                   min_density=FIXTURE_MIN_DENSITY)
+
+
+def q_knn_weighted(spark, sf_dir):
+    """Each priced sale with inverse-distance means of its 4 nearest grid rows."""
+    f = _features(spark, sf_dir).select("id_mutation", "valeur_fonciere", "longitude", "latitude")
+    out = knn_idw(f, fx.grid(spark, sf_dir), k=4)
+    return out.select("id_mutation", "valeur_fonciere",
+                      *rnd(*[f"{m}_weighted" for m in GRID_MEASURES]))
+
+
+QUERIES.update({
+    "radius_poi_counts": q_radius_poi_counts,
+    "radius_named_per_row": q_radius_named_per_row,
+    "radius_density_gated": q_radius_density_gated,
+    "radius_exclusive": q_radius_exclusive,
+    "knn_weighted": q_knn_weighted,
+})
+ORACLES.update({
+    "radius_poi_counts": O.radius_counts_sql(),
+    "radius_named_per_row": O.radius_counts_named_sql(),
+    "radius_density_gated": O.radius_gated_sql(),
+    "radius_exclusive": O.exclusive_counts_sql(),
+    "knn_weighted": O.knn_sql(4),
+})
