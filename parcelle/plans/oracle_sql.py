@@ -213,3 +213,133 @@ FROM features f JOIN nb ON f.longitude = nb.longitude AND f.latitude = nb.latitu
 def _grid_body() -> str:
     from parcelle.sources.fixtures import GRID_SQL
     return GRID_SQL.format(customer="customer")
+
+
+# ---------------------------------------------------------------------------
+# Regions, splits, encoders, evaluation, links, resume
+# ---------------------------------------------------------------------------
+def hu(expr: str, seed: str = "") -> str:
+    key = f"'{seed}|' || ({expr})" if seed else f"({expr})"
+    return f"(('0x' || substr(md5({key}), 1, 8))::bigint / 4294967296.0)"
+
+
+REGION_VALUES = ", ".join(f"('{r.replace(chr(39), chr(39) * 2)}', '{d}')"
+                          for r, deps in REGIONS.items() for d in deps)
+
+REGION_SALES = features_sql() + f""",
+dim(region, departement) AS (VALUES {REGION_VALUES}),
+deps AS (SELECT DISTINCT id_mutation, departement FROM dvf)
+SELECT r.region, f.year, count(*) AS n_sales, round(avg(f.prix_m2), 4) AS mean_prix_m2
+FROM features f JOIN deps d ON f.id_mutation = d.id_mutation JOIN dim r ON d.departement = r.departement
+GROUP BY r.region, f.year
+"""
+
+SPLIT_U = hu("id_mutation")
+HASH_SPLIT = features_sql() + f"""
+SELECT id_mutation, valeur_fonciere, CASE WHEN {SPLIT_U} < 0.8 THEN 'train' ELSE 'test' END AS split
+FROM features
+"""
+
+KFOLD = features_sql() + f"""
+SELECT id_mutation, valeur_fonciere, CAST(floor({hu('id_mutation', 'fold')} * 3) AS INTEGER) AS fold
+FROM features WHERE {SPLIT_U} < 0.8
+"""
+
+EXACT_BATCHES = features_sql() + f"""
+SELECT id_mutation, valeur_fonciere,
+  CAST(floor((row_number() OVER (ORDER BY {hu('id_mutation', 'batch')}, id_mutation, valeur_fonciere) - 1) / 1000) AS INTEGER) AS batch_id
+FROM features
+"""
+
+SAMPLE_ROWS = features_sql() + f"""
+SELECT id_mutation, valeur_fonciere, prix_m2 FROM features
+ORDER BY {hu('id_mutation', 'pick')}, id_mutation, valeur_fonciere LIMIT 250
+"""
+
+CATEGORY_LIST = features_sql() + """
+SELECT DISTINCT type_local FROM features WHERE type_local IS NOT NULL
+"""
+
+from parcelle.schemas import NUMERIC_PHYSICAL  # noqa: E402
+
+_UNPIVOT = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM src" for c in NUMERIC_PHYSICAL)
+
+COLUMN_MODES = features_sql() + f""",
+src AS (SELECT * FROM features WHERE {SPLIT_U} < 0.8),
+lf AS ({_UNPIVOT}),
+cnt AS (SELECT feature, value, count(*) AS n FROM lf WHERE value IS NOT NULL GROUP BY feature, value)
+SELECT feature, arg_max(value, (n, -value)) AS mode FROM cnt GROUP BY feature
+"""
+
+QUARTILES = features_sql() + f""",
+src AS (SELECT * FROM features),
+lf AS ({_UNPIVOT}),
+q AS (SELECT feature, quantile_cont(value, [0.25, 0.5, 0.75]) AS qs FROM lf WHERE value IS NOT NULL GROUP BY feature)
+SELECT feature, p, round(qs[i], 6) AS value
+FROM q, (VALUES (1, 0.25::DOUBLE), (2, 0.5::DOUBLE), (3, 0.75::DOUBLE)) t(i, p)
+"""
+
+
+def _scaled(c: str) -> str:
+    return (f"round((CAST({c} AS DOUBLE) - s.{c}_med) / CASE WHEN s.{c}_iqr = 0 THEN 1.0 "
+            f"ELSE s.{c}_iqr END, 6) AS {c}")
+
+
+ROBUST_SCALED = features_sql() + f""",
+tr AS (SELECT * FROM features WHERE {SPLIT_U} < 0.8),
+te AS (SELECT * FROM features WHERE {SPLIT_U} >= 0.8),
+s AS (SELECT {", ".join(f"quantile_cont({c}, 0.5) AS {c}_med, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_iqr" for c in NUMERIC_PHYSICAL)} FROM tr)
+SELECT te.id_mutation, te.valeur_fonciere, {", ".join(_scaled(c) for c in NUMERIC_PHYSICAL)}
+FROM te, s
+"""
+
+ONEHOT_TYPE = features_sql() + """,
+cats AS (SELECT list(DISTINCT type_local ORDER BY type_local) FILTER (WHERE type_local IS NOT NULL) AS l FROM features)
+SELECT f.id_mutation, f.valeur_fonciere,
+  array_to_string(list_transform(cats.l, lambda e: CASE WHEN e = f.type_local THEN '1' ELSE '0' END), ',') AS onehot
+FROM features f, cats
+"""
+
+BASELINE_PRED = features_sql() + f""",
+lab AS (SELECT *, CASE WHEN {SPLIT_U} < 0.8 THEN 'train' ELSE 'test' END AS split FROM features),
+gm AS (SELECT type_local, avg(prix_m2) AS gm FROM lab WHERE split = 'train' GROUP BY type_local),
+om AS (SELECT avg(prix_m2) AS om FROM lab WHERE split = 'train'),
+pred AS (SELECT lab.split, lab.prix_m2 AS y, coalesce(gm.gm, om.om) AS prediction
+         FROM lab LEFT JOIN gm ON lab.type_local = gm.type_local, om)"""
+
+BASELINE_METRICS = BASELINE_PRED + """,
+ybar AS (SELECT split, avg(y) AS yb FROM pred GROUP BY split)
+SELECT p.split, count(*) AS n, round(avg((y - prediction) * (y - prediction)), 2) AS mse,
+  round(1.0 - sum((y - prediction) * (y - prediction)) / sum((y - yb) * (y - yb)), 8) AS r2
+FROM pred p JOIN ybar USING (split) GROUP BY p.split
+"""
+
+BINNED_CURVE = BASELINE_PRED + """,
+t AS (SELECT * FROM pred WHERE split = 'test'),
+st AS (SELECT min(y) AS lo, CAST(ceil((max(y) - min(y)) / 100.0) AS BIGINT) AS nb FROM t),
+per AS (SELECT CAST(floor((y - st.lo) / 100.0) AS BIGINT) AS bin, count(*) AS n, avg(prediction) AS mp
+        FROM t, st GROUP BY 1),
+bins AS (SELECT range AS bin FROM st, range(st.nb))
+SELECT b.bin, st.lo + b.bin * 100.0 + 50.0 AS bin_center, coalesce(per.n, 0) AS n,
+  round(per.mp, 6) AS mean_prediction
+FROM bins b CROSS JOIN st LEFT JOIN per ON b.bin = per.bin
+"""
+
+LINK_PATTERN = r'(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+LISTING_LINKS = f"""
+WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{LINK_PATTERN}', 0)) AS a FROM pages),
+b AS (SELECT page_id, url, regexp_extract(a, '{LINK_PATTERN}', 1) AS href,
+        regexp_replace(regexp_extract(a, '{LINK_PATTERN}', 2), '<[^>]*>', '', 'g') AS link_text FROM a)
+SELECT page_id, href, link_text,
+  CASE WHEN regexp_full_match(trim(link_text, '/'), '[0-9]+') THEN trim(link_text, '/') END AS year,
+  CASE WHEN ends_with(href, '.gz') THEN url || href END AS file_url
+FROM b
+"""
+
+STAGE_COUNTS = features_sql() + """
+SELECT 'lines' AS stage, count(*) AS n_rows FROM dvf
+UNION ALL SELECT 'cleaned', count(*) FROM cleaned
+UNION ALL SELECT 'mutations', count(*) FROM rolled
+UNION ALL SELECT 'priced', count(*) FROM features
+"""

@@ -130,3 +130,150 @@ ORACLES.update({
     "radius_exclusive": O.exclusive_counts_sql(),
     "knn_weighted": O.knn_sql(4),
 })
+
+
+# ---------------------------------------------------------------------------
+# Regions, splits, encoders, evaluation, links, resume
+# ---------------------------------------------------------------------------
+from parcelle.functions.columns import hash_uniform  # noqa: E402
+from parcelle.models.baseline import GroupMeanRegressor  # noqa: E402
+from parcelle.operators import encode as enc  # noqa: E402
+from parcelle.operators import splits as sp  # noqa: E402
+from parcelle.operators.evaluate import binned_curve, regression_metrics  # noqa: E402
+from parcelle.operators.regions import with_region  # noqa: E402
+from parcelle.schemas import NUMERIC_PHYSICAL  # noqa: E402
+from parcelle.sources.links import extract_links  # noqa: E402
+
+KEY = ("id_mutation",)
+TIE = ("id_mutation", "valeur_fonciere")
+
+
+def _split_features(spark, sf_dir):
+    return sp.hash_split(_features(spark, sf_dir), KEY, 0.8)
+
+
+def q_region_sales(spark, sf_dir):
+    """Department → region lookup (broadcast dimension) before the roll-up,
+    which is then scoped by region as in the per-region jobs."""
+    c = with_region(_cleaned(spark, sf_dir))
+    f = create_features(c, *JOB_PRICE_BAND, partition_cols=("region",))
+    return f.groupBy("region", "year").agg(F.count(F.lit(1)).alias("n_sales"),
+                                           F.round(F.avg("prix_m2"), 4).alias("mean_prix_m2"))
+
+
+def q_hash_split(spark, sf_dir):
+    return _split_features(spark, sf_dir).select("id_mutation", "valeur_fonciere", "split")
+
+
+def q_kfold_assign(spark, sf_dir):
+    tr = _split_features(spark, sf_dir).filter(F.col("split") == "train")
+    return sp.kfold(tr, KEY, 3).select("id_mutation", "valeur_fonciere", "fold")
+
+
+def q_exact_batches(spark, sf_dir):
+    f = _features(spark, sf_dir).withColumn("_u", hash_uniform("id_mutation", seed="batch"))
+    return (sp.exact_batches(f, ["_u", "id_mutation", "valeur_fonciere"], 1000)
+            .select("id_mutation", "valeur_fonciere", "batch_id"))
+
+
+def q_sample_rows(spark, sf_dir):
+    return sp.sample_k(_features(spark, sf_dir), KEY, 250, seed="pick",
+                       tie_cols=("valeur_fonciere",)).select("id_mutation", "valeur_fonciere", "prix_m2")
+
+
+def q_category_list(spark, sf_dir):
+    return enc.category_list(_features(spark, sf_dir), "type_local")
+
+
+def q_column_modes(spark, sf_dir):
+    tr = _split_features(spark, sf_dir).filter(F.col("split") == "train")
+    return enc.column_modes(tr, NUMERIC_PHYSICAL)
+
+
+def q_quartiles(spark, sf_dir):
+    q = enc.exact_quantiles(_features(spark, sf_dir), NUMERIC_PHYSICAL)
+    return q.select("feature", "p", F.round("value", 6).alias("value"))
+
+
+def q_robust_scaled(spark, sf_dir):
+    s = _split_features(spark, sf_dir)
+    model = enc.RobustScaler(NUMERIC_PHYSICAL).fit(s.filter(F.col("split") == "train"))
+    te = model.transform(s.filter(F.col("split") == "test"))
+    return te.select("id_mutation", "valeur_fonciere", *rnd(*NUMERIC_PHYSICAL))
+
+
+def q_onehot_type(spark, sf_dir):
+    f = _features(spark, sf_dir)
+    m = enc.OneHot("type_local").fit(f)
+    out = m.transform(f)
+    return out.select("id_mutation", "valeur_fonciere",
+                      F.concat_ws(",", *[F.col(c).cast("int").cast("string") for c in m.columns()])
+                      .alias("onehot"))
+
+
+def _baseline_predictions(spark, sf_dir):
+    s = _split_features(spark, sf_dir)
+    model = GroupMeanRegressor(["type_local"], "prix_m2").fit(s.filter(F.col("split") == "train"))
+    return model.transform(s).select("split", F.col("prix_m2").alias("y"), "prediction")
+
+
+def q_baseline_metrics(spark, sf_dir):
+    m = regression_metrics(_baseline_predictions(spark, sf_dir), by=["split"])
+    return m.select("split", "n", F.round("mse", 2).alias("mse"), F.round("r2", 8).alias("r2"))
+
+
+def q_binned_curve(spark, sf_dir):
+    t = _baseline_predictions(spark, sf_dir).filter(F.col("split") == "test")
+    b = binned_curve(t, "y", "prediction", dx=100.0)
+    return b.select("bin", "bin_center", "n", F.round("mean_prediction", 6).alias("mean_prediction"))
+
+
+def q_listing_links(spark, sf_dir):
+    return extract_links(fx.table(spark, sf_dir, "pages"), suffix=".gz")
+
+
+def q_stage_counts(spark, sf_dir):
+    d = fx.dvf(spark, sf_dir)
+    c = clean(d, **JOB_CLEANER)
+    r = rollup_mutations(c)
+    f = create_features(c, *JOB_PRICE_BAND)
+    parts = [(n, x) for n, x in (("lines", d), ("cleaned", c), ("mutations", r), ("priced", f))]
+    out = None
+    for name, x in parts:
+        one = x.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("stage"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+QUERIES.update({
+    "region_sales": q_region_sales,
+    "hash_split": q_hash_split,
+    "kfold_assign": q_kfold_assign,
+    "exact_batches": q_exact_batches,
+    "sample_rows": q_sample_rows,
+    "category_list": q_category_list,
+    "column_modes": q_column_modes,
+    "quartiles": q_quartiles,
+    "robust_scaled": q_robust_scaled,
+    "onehot_type": q_onehot_type,
+    "baseline_metrics": q_baseline_metrics,
+    "binned_curve": q_binned_curve,
+    "listing_links": q_listing_links,
+    "stage_counts": q_stage_counts,
+})
+ORACLES.update({
+    "region_sales": O.REGION_SALES,
+    "hash_split": O.HASH_SPLIT,
+    "kfold_assign": O.KFOLD,
+    "exact_batches": O.EXACT_BATCHES,
+    "sample_rows": O.SAMPLE_ROWS,
+    "category_list": O.CATEGORY_LIST,
+    "column_modes": O.COLUMN_MODES,
+    "quartiles": O.QUARTILES,
+    "robust_scaled": O.ROBUST_SCALED,
+    "onehot_type": O.ONEHOT_TYPE,
+    "baseline_metrics": O.BASELINE_METRICS,
+    "binned_curve": O.BINNED_CURVE,
+    "listing_links": O.LISTING_LINKS,
+    "stage_counts": O.STAGE_COUNTS,
+})
