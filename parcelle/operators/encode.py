@@ -61,10 +61,16 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     4. keep only the rows holding the ranks floor(p·(n−1)) and ceil(p·(n−1)),
        interpolate.
     """
-    spark = df.sparkSession
+    return exact_quantiles_long(_long_form(df, cols), probs)
+
+
+def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """:func:`exact_quantiles` over a long (feature, value) table — any
+    string ``feature`` works as the group (e.g. a region|year key)."""
+    spark = long_df.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dist = (_long_form(df, cols).dropna().groupBy("feature", "value")
-            .agg(F.count(F.lit(1)).alias("n")))
+    dist = (long_df.select("feature", F.col("value").cast("double").alias("value")).dropna()
+            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
     ranged = (dist.repartitionByRange(n_parts, "feature", "value")
               .withColumn("_pid", F.spark_partition_id()))
     w = (Window.partitionBy("_pid", "feature").orderBy("value")

@@ -277,3 +277,36 @@ ORACLES.update({
     "listing_links": O.LISTING_LINKS,
     "stage_counts": O.STAGE_COUNTS,
 })
+
+
+# ---------------------------------------------------------------------------
+# Anomaly filter and the end-to-end preprocessing job (model-dependent:
+# checked by properties in tests/, rows-only here)
+# ---------------------------------------------------------------------------
+from parcelle.operators.anomaly import IsolationForest  # noqa: E402
+from parcelle.plans.preprocess import fixture_lines, preprocess  # noqa: E402
+from parcelle.schemas import ANOMALY_COLUMNS  # noqa: E402
+
+SEQ_COLS = ("seq1", "seq2", "seq3")
+
+
+def q_anomaly_scores(spark, sf_dir):
+    """Isolation-forest score of every priced sale, one forest per region × year."""
+    c = with_region(fixture_lines(_cleaned(spark, sf_dir)))
+    f = create_features(c, *JOB_PRICE_BAND, partition_cols=("region", "file_year")).checkpoint()
+    k = knn_idw(f, fx.grid(spark, sf_dir)).checkpoint()
+    m = IsolationForest(ANOMALY_COLUMNS + ["prix_m2"], ("region", "file_year"),
+                        ("id_mutation", "valeur_fonciere")).fit(k)
+    return m.score(k).select("region", "file_year", "id_mutation", "valeur_fonciere", "score_samples")
+
+
+def q_preprocess_pipeline(spark, sf_dir):
+    """Whole preprocessing job on the fixture (price-per-m² target)."""
+    lines = fixture_lines(fx.dvf(spark, sf_dir))
+    return preprocess(lines, fx.grid(spark, sf_dir), target="prix_m2", order_cols=SEQ_COLS)
+
+
+QUERIES.update({
+    "anomaly_scores": q_anomaly_scores,
+    "preprocess_pipeline": q_preprocess_pipeline,
+})
