@@ -30,11 +30,15 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def transaction_paths(base: str, years=(), departements=()) -> list[str]:
+def transaction_paths(base: str, years=(), departements=()) -> str:
+    """One glob over the chosen years × departments (empty list = all);
+    combinations without a file simply match nothing."""
     base = base.rstrip("/")
-    ys = [str(y) for y in years] or ["*"]
-    ds = [f"{d}.csv.gz" if len(str(d)) >= 2 else f"{int(d):02d}.csv.gz" for d in departements] or ["*.csv.gz"]
-    return [f"{base}/{y}/{d}" for y in ys for d in ds]
+    ys = [str(y) for y in years]
+    ds = [str(d) if len(str(d)) >= 2 else f"{int(d):02d}" for d in departements]
+    y = "{" + ",".join(ys) + "}" if ys else "*"
+    d = "{" + ",".join(ds) + "}" if ds else "*"
+    return f"{base}/{y}/{d}.csv.gz"
 
 
 def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
@@ -46,10 +50,19 @@ def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
     loader.  ``row_seq`` = (file, position) gives the file order that the
     roll-up's "first" needs.
     """
+    from pyspark.errors import AnalysisException
+    from parcelle.schemas import TRANSACTION_SCHEMA
     paths = transaction_paths(base, years, departements)
-    raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-           .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-           .csv(paths))
+    try:
+        raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
+               .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+               .csv(paths))
+    except AnalysisException:  # no file at all: an empty table, as the original loader
+        empty = spark.createDataFrame([], TRANSACTION_SCHEMA)
+        return empty.withColumns({"year": F.lit(None).cast("int"),
+                                  "departement": F.lit(None).cast("string"),
+                                  "row_seq": F.lit(None).cast("long"),
+                                  "file_path": F.lit(None).cast("string")})
     raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     raw = raw.withColumns({
         "year": F.regexp_extract("file_path", r"/([0-9]{4})/[^/]+$", 1).cast("int"),
