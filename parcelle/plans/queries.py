@@ -310,3 +310,145 @@ QUERIES.update({
     "anomaly_scores": q_anomaly_scores,
     "preprocess_pipeline": q_preprocess_pipeline,
 })
+
+
+# ---------------------------------------------------------------------------
+# Models (fitted: rows-only checks here, properties in tests/)
+# ---------------------------------------------------------------------------
+from parcelle.models import combined as cm  # noqa: E402
+from parcelle.models.regressors import GAM, BoostedTrees, ElasticNet  # noqa: E402
+from parcelle.plans import train as tr  # noqa: E402
+
+_MEMO: dict = {}
+
+
+def _memo(spark, key, build):
+    """Reuse a checkpointed intermediate within one session (several queries
+    share the preprocessed table and the fitted job models)."""
+    k = (id(spark), *key)
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
+
+
+def _preprocessed(spark, sf_dir, target="prix_m2"):
+    def build():
+        lines = fixture_lines(fx.dvf(spark, sf_dir))
+        return preprocess(lines, fx.grid(spark, sf_dir), target=target, order_cols=SEQ_COLS).checkpoint()
+    return _memo(spark, ("pre", sf_dir, target), build)
+
+
+def _encoded(spark, sf_dir):
+    return _memo(spark, ("enc", sf_dir), lambda: tr.split_encode(_preprocessed(spark, sf_dir), "prix_m2"))
+
+
+def _phys():
+    p = tr.PHYSICAL_PARAMS
+    return ElasticNet(p["alpha"], p["l1_ratio"], p["max_iter"], 1e-6, p["fit_intercept"])
+
+
+def _ctx():
+    return BoostedTrees(tr.CONTEXTUAL_PARAMS, drop_unsupported=True)
+
+
+def _test_predictions(spark, sf_dir, model, features_col):
+    _, data = _encoded(spark, sf_dir)
+    te = data.filter(F.col("split") == "test")
+    return (cm._predict(model, te, features_col, "prediction")
+            .select("id_mutation", F.col("label").alias("y"), "prediction"))
+
+
+def q_elastic_net_predictions(spark, sf_dir):
+    """Physical block, elastic net (α .5, ρ .5): test-split predictions."""
+    _, data = _encoded(spark, sf_dir)
+    m = cm._fit(_phys, data.filter(F.col("split") == "train"), "x_phys", "label")
+    return _test_predictions(spark, sf_dir, m, "x_phys")
+
+
+def q_gbt_predictions(spark, sf_dir):
+    """Contextual block, boosted trees (200 × depth 8): test-split predictions."""
+    _, data = _encoded(spark, sf_dir)
+    m = cm._fit(_ctx, data.filter(F.col("split") == "train"), "x_ctx", "label")
+    return _test_predictions(spark, sf_dir, m, "x_ctx")
+
+
+def q_gam_predictions(spark, sf_dir):
+    """Combined GAM variant: one P-spline GAM per block (λ .5 / .3), weighted 0.5."""
+    _, data = _encoded(spark, sf_dir)
+    model = cm.Combined(lambda: GAM(lam=0.5), lambda: GAM(lam=0.3)).fit(
+        data.filter(F.col("split") == "train"))
+    return (model.transform(data.filter(F.col("split") == "test"))
+            .select("id_mutation", F.col("label").alias("y"), "prediction"))
+
+
+def q_combined_weighted(spark, sf_dir):
+    """Weighted combination 0.5·physical + 0.5·contextual: test predictions."""
+    _, data = _encoded(spark, sf_dir)
+    model = cm.Combined(_phys, _ctx).fit(data.filter(F.col("split") == "train"))
+    return (model.transform(data.filter(F.col("split") == "test"))
+            .select("id_mutation", F.col("label").alias("y"), "p_phys", "p_ctx", "prediction"))
+
+
+def _stacked(spark, sf_dir):
+    def build():
+        _, data = _encoded(spark, sf_dir)
+        model = cm.Combined(_phys, _ctx, lambda: ElasticNet(1.0, 0.5, 1000, 1e-6, False),
+                            stacking=True).fit(data.filter(F.col("split") == "train"))
+        pred = (model.transform(data)
+                .select("split", "id_mutation", F.col("label").alias("y"), "prediction").checkpoint())
+        return model, pred
+    return _memo(spark, ("stacked", sf_dir), build)
+
+
+def q_stacked_metrics(spark, sf_dir):
+    """Stacked combined model (job 2): MSE and R² per split."""
+    _, pred = _stacked(spark, sf_dir)
+    return regression_metrics(pred, by=["split"])
+
+
+def q_stacked_calibration(spark, sf_dir):
+    """Mean prediction per 100-wide bin of the true price per m² (test split)."""
+    _, pred = _stacked(spark, sf_dir)
+    return binned_curve(pred.filter(F.col("split") == "test"), dx=100.0)
+
+
+def q_shap_group_impact(spark, sf_dir):
+    """Shapley shares of the physical and contextual blocks (250-row sample)."""
+    model, _ = _stacked(spark, sf_dir)
+    enc, data = _encoded(spark, sf_dir)
+    test = data.filter(F.col("split") == "test")
+    n_phys, _ = enc.widths()
+    sample = sp.sample_k(test, ["id_mutation"], 250, seed="shap").withColumn("_sid", F.col("id_mutation"))
+    bg = [list(r["x_all"]) for r in sp.sample_k(test, ["id_mutation"], 16, seed="bg").collect()]
+    phi = cm.shapley_values(model, sample, bg, n_phys, n_permutations=4)
+    per = phi.withColumn("group", F.when(F.col("feature") < n_phys, "physical").otherwise("contextual"))
+    from parcelle.operators.evaluate import group_share
+    return group_share(per.withColumnRenamed("_sid", "row"), feature="feature", phi="phi",
+                       groups=None).select("group", "impact", "share_pct")
+
+
+def q_weight_sweep(spark, sf_dir):
+    """3-fold out-of-fold MSE of every combination weight (no refit per weight)."""
+    _, data = _encoded(spark, sf_dir)
+    oof = cm.oof_base_predictions(data.filter(F.col("split") == "train"), _phys, _ctx, 3)
+    return cm.weight_sweep(oof, [0.1, 0.3, 0.5, 0.7, 0.9])
+
+
+def q_batch_boost_metrics(spark, sf_dir):
+    """Job 1: price model, trees added per 100,000-row batch (10 rounds each)."""
+    pre = _preprocessed(spark, sf_dir, "valeur_fonciere")
+    _, pred, metrics, _ = tr.train_batch_boost_job(pre)
+    return metrics
+
+
+QUERIES.update({
+    "elastic_net_predictions": q_elastic_net_predictions,
+    "gbt_predictions": q_gbt_predictions,
+    "gam_predictions": q_gam_predictions,
+    "combined_weighted": q_combined_weighted,
+    "stacked_metrics": q_stacked_metrics,
+    "stacked_calibration": q_stacked_calibration,
+    "shap_group_impact": q_shap_group_impact,
+    "weight_sweep": q_weight_sweep,
+    "batch_boost_metrics": q_batch_boost_metrics,
+})
