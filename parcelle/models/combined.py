@@ -8,8 +8,8 @@ Feature blocks stay columns of the same row (``x_phys``, ``x_ctx``, and
 
 from __future__ import annotations
 
-import itertools
 from dataclasses import dataclass, field
+import json
 from functools import reduce
 
 import numpy as np
@@ -91,6 +91,15 @@ def _fit(est_factory, df, features_col, label_col):
     return est.fit(df)
 
 
+def fit_parallel(jobs, label_col: str, parallelism: int = 8) -> list:
+    """Fit independent (factory, df, features_col) jobs from driver threads, as
+    ``CrossValidator(parallelism=n)`` does: each fit is a sequence of small
+    Spark jobs, so running several at once keeps the executors busy."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max(1, min(parallelism, len(jobs)))) as ex:
+        return list(ex.map(lambda j: _fit(j[0], j[1], j[2], label_col), jobs))
+
+
 @dataclass
 class Combined:
     """``stacking=False``: prediction = w·phys + (1−w)·ctx, each base model on
@@ -107,6 +116,7 @@ class Combined:
     n_folds: int = 5
     label_col: str = "label"
     key_cols: tuple = ("id_mutation",)
+    parallelism: int = 8
 
     def fit(self, df: DataFrame) -> CombinedModel:
         if not self.stacking:
@@ -116,18 +126,21 @@ class Combined:
         pcol, ccol = ("x_all", "x_all") if self.routing == "all" else ("x_phys", "x_ctx")
         folded = df.withColumn("_fold", F.floor(hash_uniform(*self.key_cols, seed="stack")
                                                 * F.lit(self.n_folds)).cast("int")).checkpoint()
-        oof = []
+        jobs = []
         for k in range(self.n_folds):
             tr = folded.filter(F.col("_fold") != k)
+            jobs += [(self.phys_factory, tr, pcol), (self.ctx_factory, tr, ccol)]
+        jobs += [(self.phys_factory, folded, pcol), (self.ctx_factory, folded, ccol)]
+        fitted = fit_parallel(jobs, self.label_col, self.parallelism)
+        oof = []
+        for k in range(self.n_folds):
             te = folded.filter(F.col("_fold") == k)
-            pm = _fit(self.phys_factory, tr, pcol, self.label_col)
-            cm = _fit(self.ctx_factory, tr, ccol, self.label_col)
+            pm, cm = fitted[2 * k], fitted[2 * k + 1]
             oof.append(_predict(cm, _predict(pm, te, pcol, "p_phys"), ccol, "p_ctx"))
         stacked = reduce(DataFrame.unionByName, oof).checkpoint()
         meta = VectorAssembler(inputCols=["p_phys", "p_ctx", "x_all"], outputCol="x_meta").transform(stacked)
         final = _fit(self.final_factory, meta, "x_meta", self.label_col)
-        pm = _fit(self.phys_factory, folded, pcol, self.label_col)
-        cm = _fit(self.ctx_factory, folded, ccol, self.label_col)
+        pm, cm = fitted[-2], fitted[-1]
         return CombinedModel(pm, cm, self.weight, final, True, pcol, ccol)
 
 
@@ -150,11 +163,15 @@ def oof_base_predictions(df: DataFrame, phys_factory, ctx_factory, n_folds: int
                          label_col: str = "label", key_cols=("id_mutation",)) -> DataFrame:
     folded = df.withColumn("_fold", F.floor(hash_uniform(*key_cols, seed="cv")
                                             * F.lit(n_folds)).cast("int")).checkpoint()
+    jobs = []
+    for k in range(n_folds):
+        tr = folded.filter(F.col("_fold") != k)
+        jobs += [(phys_factory, tr, "x_phys"), (ctx_factory, tr, "x_ctx")]
+    fitted = fit_parallel(jobs, label_col)
     parts = []
     for k in range(n_folds):
-        tr, te = folded.filter(F.col("_fold") != k), folded.filter(F.col("_fold") == k)
-        pm = _fit(phys_factory, tr, "x_phys", label_col)
-        cm = _fit(ctx_factory, tr, "x_ctx", label_col)
+        te = folded.filter(F.col("_fold") == k)
+        pm, cm = fitted[2 * k], fitted[2 * k + 1]
         parts.append(_predict(cm, _predict(pm, te, "x_phys", "p_phys"), "x_ctx", "p_ctx"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -175,30 +192,35 @@ def shapley_values(model: CombinedModel, sample: DataFrame, background: list, n_
     d = len(background[0])
     rng = np.random.default_rng(seed)
     perms = [rng.permutation(d).tolist() for _ in range(n_permutations)]
+    # One entry per (permutation, step j): the coalition mask (the
+    # first j features of the permutation come from x) and the feature step j
+    # adds.  Steps and background go in as one JSON literal each, folded to a
+    # constant once by Catalyst.
+    steps = []
+    for pi, perm in enumerate(perms):
+        for j in range(d + 1):
+            steps.append({"pi": pi, "j": j, "feature": perm[j - 1] if j else -1,
+                          "mask": [f in set(perm[:j]) for f in range(d)]})
+    steps_lit = F.from_json(F.lit(json.dumps(steps)),
+                            "array<struct<pi:int,j:int,feature:int,mask:array<boolean>>>")
+    bg_lit = F.from_json(F.lit(json.dumps([[float(v) for v in b] for b in background])),
+                         "array<array<double>>")
     x = vector_to_array(F.col("x_all"))
-    base = sample.select(F.col(id_col), x.alias("_x"))
-    perm_arr = F.array(*[F.array(*[F.lit(i) for i in p]) for p in perms])
-    bg_arr = F.array(*[F.array(*[F.lit(float(v)) for v in b]) for b in background])
-    steps = F.sequence(F.lit(0), F.lit(d))
-    pts = (base.select(id_col, "_x", F.posexplode(perm_arr).alias("_pi", "_perm"))
-           .select("*", F.posexplode(bg_arr).alias("_bi", "_bg"))
-           .select("*", F.explode(steps).alias("_j")))
-    # coalition = the first _j features of the permutation come from x
-    def pick(f):
-        in_s = (F.col("_j") > 0) & (
-            F.array_position(F.slice(F.col("_perm"), 1, F.greatest(F.col("_j"), F.lit(1))), f) > 0)
-        return F.when(in_s, F.col("_x")[f]).otherwise(F.col("_bg")[f])
-    mixed = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), pick)
-    pts = pts.withColumn("_v", mixed)
+    pts = (sample.select(F.col(id_col), x.alias("_x"), F.posexplode(bg_lit).alias("_bi", "_bg"))
+           .select("*", F.explode(steps_lit).alias("_s")))
+    mask = F.col("_s.mask")
+    vals = [F.when(mask[f], F.col("_x")[f])
+            .otherwise(F.col("_bg")[f]) for f in range(d)]
+    pts = pts.select(id_col, "_bi", F.col("_s.pi").alias("_pi"), F.col("_s.j").alias("_j"),
+                     F.col("_s.feature").alias("feature"), F.array(*vals).alias("_v"))
     pts = pts.withColumn("x_all", array_to_vector("_v")).withColumn(
         "x_phys", array_to_vector(F.slice("_v", 1, n_phys))).withColumn(
         "x_ctx", array_to_vector(F.slice("_v", n_phys + 1, d - n_phys)))
-    scored = model.transform(pts.drop("_v", "_x", "_bg"))
+    scored = model.transform(pts.drop("_v"))
     from pyspark.sql import Window
     w = Window.partitionBy(id_col, "_pi", "_bi").orderBy("_j")
     contrib = (scored.withColumn("_delta", F.col("prediction") - F.lag("prediction").over(w))
-               .filter(F.col("_j") > 0)
-               .withColumn("feature", F.element_at(F.col("_perm"), F.col("_j"))))
+               .filter(F.col("_j") > 0))
     return contrib.groupBy(id_col, "feature").agg(F.avg("_delta").alias("phi"))
 
 

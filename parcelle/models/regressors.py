@@ -94,12 +94,15 @@ class BoostedTrees:
     label_col: str = "label"
     prediction_col: str = "prediction"
     seed: int = 42
+    # Node-id caching pays off for deep trees on large inputs; on small ones
+    # it only adds a pass per level.
+    cache_node_ids: bool = False
 
     def fit(self, df: DataFrame):
         p, self.unsupported = gbt_params(self.params, self.drop_unsupported)
         gbt = GBTRegressor(featuresCol=self.features_col, labelCol=self.label_col,
                            predictionCol=self.prediction_col, lossType="squared", seed=self.seed,
-                           cacheNodeIds=True, checkpointInterval=10, **p)
+                           cacheNodeIds=self.cache_node_ids, checkpointInterval=10, **p)
         return gbt.fit(df)
 
 

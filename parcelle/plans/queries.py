@@ -365,11 +365,16 @@ def q_elastic_net_predictions(spark, sf_dir):
     return _test_predictions(spark, sf_dir, m, "x_phys")
 
 
+def _ctx_model(spark, sf_dir):
+    def build():
+        _, data = _encoded(spark, sf_dir)
+        return cm._fit(_ctx, data.filter(F.col("split") == "train"), "x_ctx", "label")
+    return _memo(spark, ("ctx", sf_dir), build)
+
+
 def q_gbt_predictions(spark, sf_dir):
     """Contextual block, boosted trees (200 × depth 8): test-split predictions."""
-    _, data = _encoded(spark, sf_dir)
-    m = cm._fit(_ctx, data.filter(F.col("split") == "train"), "x_ctx", "label")
-    return _test_predictions(spark, sf_dir, m, "x_ctx")
+    return _test_predictions(spark, sf_dir, _ctx_model(spark, sf_dir), "x_ctx")
 
 
 def q_gam_predictions(spark, sf_dir):
@@ -384,7 +389,8 @@ def q_gam_predictions(spark, sf_dir):
 def q_combined_weighted(spark, sf_dir):
     """Weighted combination 0.5·physical + 0.5·contextual: test predictions."""
     _, data = _encoded(spark, sf_dir)
-    model = cm.Combined(_phys, _ctx).fit(data.filter(F.col("split") == "train"))
+    phys = cm._fit(_phys, data.filter(F.col("split") == "train"), "x_phys", "label")
+    model = cm.CombinedModel(phys, _ctx_model(spark, sf_dir), 0.5)
     return (model.transform(data.filter(F.col("split") == "test"))
             .select("id_mutation", F.col("label").alias("y"), "p_phys", "p_ctx", "prediction"))
 
