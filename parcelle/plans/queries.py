@@ -458,3 +458,52 @@ QUERIES.update({
     "weight_sweep": q_weight_sweep,
     "batch_boost_metrics": q_batch_boost_metrics,
 })
+
+
+# ---------------------------------------------------------------------------
+# Resume (anti-join) and incremental landing (Structured Streaming)
+# ---------------------------------------------------------------------------
+from parcelle.operators.resume import resume  # noqa: E402
+from parcelle.session import scratch_path  # noqa: E402
+from parcelle.streaming.landing import ingest_available, raw_csv_schema  # noqa: E402
+
+
+def q_radius_resume(spark, sf_dir):
+    """Resume the grid enrichment from a saved partial result (the western
+    cells, written to the shared checkpoint folder): only the missing keys are
+    computed, and the union equals a full run."""
+    grid, poi = fx.grid(spark, sf_dir), fx.poi(spark, sf_dir)
+    path = scratch_path(spark, "radius-partial")
+    radius_poi_counts(grid.filter(F.col("lon") < 2.5), poi, FIXTURE_RADIUS).write.parquet(path)
+    done = spark.read.parquet(path)
+    keys = ["lat", "lon", "densite"]
+    return resume(grid.select("grid_id", *keys), done, keys,
+                  lambda rest: radius_poi_counts(rest, poi, FIXTURE_RADIUS))
+
+
+def q_landing_ingest(spark, sf_dir):
+    """Land the sale lines as gzip CSV files per year and department, ingest
+    them with a file stream (availableNow), run it again (nothing new), and
+    return the ingested table."""
+    lines = fx.dvf(spark, sf_dir).withColumn("y", F.year("date_mutation"))
+    cols = [n for n, _ in TRANSACTION_COLUMNS]
+    land = scratch_path(spark, "landing")
+    (lines.select(*[F.col(c).cast("string") for c in cols], "y", "departement")
+     .write.option("header", True).option("compression", "gzip")
+     .partitionBy("y", "departement").csv(land))
+    table, ckpt = scratch_path(spark, "landed"), scratch_path(spark, "landing-ckpt")
+    pat = dict(year_pattern=r"/y=([0-9]{4})/", dep_pattern=r"/departement=([^/]+)/")
+    ingest_available(spark, land, table, ckpt, raw_csv_schema(), **pat)
+    ingest_available(spark, land, table, ckpt, raw_csv_schema(), **pat)
+    return spark.read.parquet(table)
+
+
+from parcelle.schemas import TRANSACTION_COLUMNS  # noqa: E402
+
+QUERIES.update({
+    "radius_resume": q_radius_resume,
+    "landing_ingest": q_landing_ingest,
+})
+ORACLES.update({
+    "radius_resume": O.radius_counts_sql(),
+})

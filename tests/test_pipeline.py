@@ -63,3 +63,35 @@ def test_partitioned_sink_idempotent(spark):
     write_partitioned(df, path)
     write_partitioned(df.filter("region = 'A'"), path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_landing_ingests_each_file_once(spark):
+    from parcelle.streaming.landing import ingest_available
+    from parcelle.sources import fixtures as fx
+    from parcelle.schemas import TRANSACTION_COLUMNS
+    base = tempfile.mkdtemp(prefix="parcelle-land-")
+    land, table, ckpt = f"{base}/land", f"{base}/table", f"{base}/ckpt"
+    dvf = fx.dvf(spark, SF_SMALL).withColumn("y", F.year("date_mutation"))
+    cols = [n for n, _ in TRANSACTION_COLUMNS]
+
+    def land_year(y):
+        pdf = dvf.filter(F.col("y") == y).filter(F.col("departement") == "01").select(*cols).toPandas()
+        os.makedirs(f"{land}/{y}", exist_ok=True)
+        pdf.to_csv(f"{land}/{y}/01.csv.gz", index=False, compression="gzip")
+        return len(pdf)
+
+    n1 = land_year(1995)
+    assert ingest_available(spark, land, table, ckpt) == n1
+    assert ingest_available(spark, land, table, ckpt) == 0
+    n2 = land_year(1996)
+    assert ingest_available(spark, land, table, ckpt) == n2
+    got = spark.read.parquet(table)
+    assert got.count() == n1 + n2
+    assert {r.year for r in got.select("year").distinct().collect()} == {1995, 1996}
+
+
+def test_resume_equals_full_run(spark):
+    from parcelle.operators.resume import remaining
+    todo = spark.createDataFrame([(1, None), (2, 2.0), (3, 3.0)], "k int, v double")
+    done = spark.createDataFrame([(1, None), (3, 3.0)], "k int, v double")
+    assert [r.k for r in remaining(todo, done, ["k", "v"]).collect()] == [2]
