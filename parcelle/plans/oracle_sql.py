@@ -343,3 +343,41 @@ UNION ALL SELECT 'cleaned', count(*) FROM cleaned
 UNION ALL SELECT 'mutations', count(*) FROM rolled
 UNION ALL SELECT 'priced', count(*) FROM features
 """
+
+
+MODE_IMPUTED = features_sql() + """,
+nm AS (SELECT arg_max(v, (n, -v)) AS m FROM (SELECT nombre_pieces_principales AS v, count(*) AS n FROM cleaned
+       WHERE nombre_pieces_principales IS NOT NULL GROUP BY 1)),
+tm AS (SELECT arg_min(v, (-n, v)) AS m FROM (SELECT type_local AS v, count(*) AS n FROM cleaned
+       WHERE type_local IS NOT NULL GROUP BY 1))
+SELECT id_mutation, seq1, seq2, seq3, coalesce(nombre_pieces_principales, nm.m) AS nombre_pieces_principales,
+  coalesce(type_local, tm.m) AS type_local
+FROM cleaned, nm, tm
+"""
+
+HASH_SAMPLE = duckdb_with("dvf") + f"""
+SELECT id_mutation, seq1, seq2, seq3 FROM dvf
+WHERE {hu("id_mutation || '|' || CAST(seq1 AS VARCHAR) || '|' || CAST(seq2 AS VARCHAR) || '|' || CAST(seq3 AS VARCHAR)", 'sample')} < 0.1
+"""
+
+TRUTH_PREDICTION = BASELINE_PRED + """
+SELECT split, y, round(prediction, 6) AS prediction FROM pred WHERE split = 'test'
+"""
+
+PREDICTION_BOUNDS = BASELINE_PRED + """
+SELECT split, min(y) AS min_y, max(y) AS max_y, round(min(prediction), 6) AS min_prediction,
+  round(max(prediction), 6) AS max_prediction FROM pred GROUP BY split
+"""
+
+WEIGHT_SWEEP_BASELINE = features_sql() + f""",
+lab AS (SELECT *, CASE WHEN {SPLIT_U} < 0.8 THEN 'train' ELSE 'test' END AS split FROM features),
+gp AS (SELECT type_local, avg(prix_m2) AS p FROM lab WHERE split = 'train' GROUP BY type_local),
+gc AS (SELECT year, avg(prix_m2) AS p FROM lab WHERE split = 'train' GROUP BY year),
+om AS (SELECT avg(prix_m2) AS om FROM lab WHERE split = 'train'),
+pr AS (SELECT lab.prix_m2 AS label, coalesce(gp.p, om.om) AS p_phys, coalesce(gc.p, om.om) AS p_ctx
+       FROM lab LEFT JOIN gp ON lab.type_local = gp.type_local LEFT JOIN gc ON lab.year = gc.year, om
+       WHERE lab.split = 'test'),
+w(weight) AS (VALUES (0.1::DOUBLE), (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE), (0.9::DOUBLE))
+SELECT w.weight, round(avg(pow(label - (w.weight * p_phys + (1 - w.weight) * p_ctx), 2)), 2) AS mse
+FROM pr, w GROUP BY w.weight
+"""

@@ -507,3 +507,66 @@ QUERIES.update({
 ORACLES.update({
     "radius_resume": O.radius_counts_sql(),
 })
+
+
+# ---------------------------------------------------------------------------
+# Imputer, row sample, evaluation pairs/bounds, weight sweep on exact bases
+# ---------------------------------------------------------------------------
+from parcelle.operators.evaluate import bounds  # noqa: E402
+
+
+def q_mode_imputed(spark, sf_dir):
+    """Mode imputer (numeric and string) fitted and applied on cleaned lines."""
+    c = _cleaned(spark, sf_dir)
+    m = enc.ModeImputer(["nombre_pieces_principales", "type_local"]).fit(c)
+    return m.transform(c).select("id_mutation", "seq1", "seq2", "seq3",
+                                 "nombre_pieces_principales", "type_local")
+
+
+def q_hash_sample(spark, sf_dir):
+    """Deterministic 10 % row sample of the sale lines."""
+    d = fx.dvf(spark, sf_dir)
+    return sp.hash_sample(d, ["id_mutation", "seq1", "seq2", "seq3"], 0.1, seed="sample") \
+        .select("id_mutation", "seq1", "seq2", "seq3")
+
+
+def q_truth_prediction(spark, sf_dir):
+    """Truth / prediction pairs of the test split (scatter data)."""
+    p = _baseline_predictions(spark, sf_dir).filter(F.col("split") == "test")
+    return p.select("split", "y", F.round("prediction", 6).alias("prediction"))
+
+
+def q_prediction_bounds(spark, sf_dir):
+    b = bounds(_baseline_predictions(spark, sf_dir), ["y", "prediction"], by=["split"])
+    return b.select("split", "min_y", "max_y", F.round("min_prediction", 6).alias("min_prediction"),
+                    F.round("max_prediction", 6).alias("max_prediction"))
+
+
+def q_weight_sweep_baseline(spark, sf_dir):
+    """Weight axis of the search on two exact base predictors (mean by type,
+    mean by year): every weight scored in one aggregate."""
+    s = _split_features(spark, sf_dir)
+    train = s.filter(F.col("split") == "train")
+    p = GroupMeanRegressor(["type_local"], "prix_m2").fit(train)
+    c = GroupMeanRegressor(["year"], "prix_m2").fit(train)
+    test = s.filter(F.col("split") == "test")
+    both = c.transform(p.transform(test).withColumnRenamed("prediction", "p_phys")) \
+        .withColumnRenamed("prediction", "p_ctx").withColumnRenamed("prix_m2", "label")
+    sw = cm.weight_sweep(both, [0.1, 0.3, 0.5, 0.7, 0.9])
+    return sw.select("weight", F.round("mse", 2).alias("mse"))
+
+
+QUERIES.update({
+    "mode_imputed": q_mode_imputed,
+    "hash_sample": q_hash_sample,
+    "truth_prediction": q_truth_prediction,
+    "prediction_bounds": q_prediction_bounds,
+    "weight_sweep_baseline": q_weight_sweep_baseline,
+})
+ORACLES.update({
+    "mode_imputed": O.MODE_IMPUTED,
+    "hash_sample": O.HASH_SAMPLE,
+    "truth_prediction": O.TRUTH_PREDICTION,
+    "prediction_bounds": O.PREDICTION_BOUNDS,
+    "weight_sweep_baseline": O.WEIGHT_SWEEP_BASELINE,
+})
