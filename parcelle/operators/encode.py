@@ -229,3 +229,15 @@ class BlockEncoder:
         nf = ni.transform(df) if ni else df
         sc = RobustScaler(self.numeric).fit(nf) if self.numeric else None
         return BlockEncoderModel(ci, ohs, ni, sc, self.output)
+
+
+def grouped_quantiles(df: DataFrame, keys, value: str, probs=(0.5,)) -> DataFrame:
+    """(keys…, p, value): exact linear quantiles of ``value`` per group by the
+    distributed rank search — a hot group is spread over range partitions
+    instead of one task's buffer (which ``percentile`` would build)."""
+    keys = list(keys)
+    schema = df.select(*keys).schema
+    key = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    q = exact_quantiles_long(df.select(key.alias("feature"), F.col(value).alias("value")), probs)
+    parsed = F.from_json(F.col("feature"), schema)
+    return q.select(*[parsed[k].alias(k) for k in keys], "p", "value")

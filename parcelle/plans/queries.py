@@ -51,11 +51,16 @@ def q_price_features(spark, sf_dir):
 
 def q_price_by_type_year(spark, sf_dir):
     """Flagship: sales count, mean and exact median price per m² by type and year."""
-    f = _features(spark, sf_dir)
-    return (f.groupBy("type_local", "year")
-            .agg(F.count(F.lit(1)).alias("n_sales"),
-                 F.round(F.avg("prix_m2"), 4).alias("mean_prix_m2"),
-                 F.round(F.percentile("prix_m2", 0.5), 4).alias("median_prix_m2")))
+    from parcelle.operators.encode import grouped_quantiles
+    f = _features(spark, sf_dir).select("type_local", "year", "prix_m2").checkpoint()
+    stats = (f.groupBy("type_local", "year")
+             .agg(F.count(F.lit(1)).alias("n_sales"),
+                  F.round(F.avg("prix_m2"), 4).alias("mean_prix_m2")))
+    med = grouped_quantiles(f, ["type_local", "year"], "prix_m2", [0.5]).select(
+        "type_local", "year", F.round("value", 4).alias("median_prix_m2"))
+    return stats.join(med, [stats.type_local.eqNullSafe(med.type_local),
+                            stats.year.eqNullSafe(med.year)]).select(
+        stats.type_local, stats.year, "n_sales", "mean_prix_m2", "median_prix_m2")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

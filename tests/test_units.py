@@ -5,6 +5,7 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelle.operators.cleaning import clean
 from parcelle.operators.encode import OneHot, RobustScaler, column_modes, exact_quantiles
@@ -25,7 +26,7 @@ def lines(spark, rows):
         d = dict(base)
         d.update(r)
         out.append(tuple(d[c] for c in COLS) + (i,))
-    schema = TRANSACTION_SCHEMA.add("seq1", "long")
+    schema = T.StructType(TRANSACTION_SCHEMA.fields + [T.StructField("seq1", T.LongType())])
     return spark.createDataFrame(out, schema)
 
 
