@@ -252,10 +252,16 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
         top = cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
         top = top.withColumn("_w", F.lit(1.0) / F.when(F.col("_d2") == 0, F.lit(zero_distance))
                              .otherwise(F.sqrt("_d2")))
-        agg = top.groupBy("_qx", "_qy", "cx", "cy").agg(
-            F.count("_gid").alias("_nk"), F.max("_d2").alias("_kth"),
-            *[(F.sum(F.col("_w") * F.col(m)) / F.sum("_w")).alias(f"{m}_weighted")
-              for m in measures])
+        # Per-point sums as window aggregates over the same partitioning as the
+        # top-k window (no further exchange), then one row per point.
+        wp = Window.partitionBy("_qx", "_qy")
+        agg = (top.select("_qx", "_qy", "_rn",
+                          F.count("_gid").over(wp).alias("_nk"), F.max("_d2").over(wp).alias("_kth"),
+                          *[(F.sum(F.col("_w") * F.col(m)).over(wp) / F.sum("_w").over(wp))
+                            .alias(f"{m}_weighted") for m in measures])
+               .filter(F.col("_rn") == 1).drop("_rn"))
+        agg = (agg.withColumn("cx", F.floor(F.col("_qx") / delta))
+               .withColumn("cy", F.floor(F.col("_qy") / delta)))
         margin = F.least(F.col("_qx") - (F.col("cx") - 1) * delta,
                          (F.col("cx") + 2) * delta - F.col("_qx"),
                          F.col("_qy") - (F.col("cy") - 1) * delta,

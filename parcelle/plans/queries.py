@@ -115,7 +115,9 @@ def q_radius_exclusive(spark, sf_dir):
 
 def q_knn_weighted(spark, sf_dir):
     """Each priced sale with inverse-distance means of its 4 nearest grid rows."""
-    f = _features(spark, sf_dir).select("id_mutation", "valeur_fonciere", "longitude", "latitude")
+    # checkpointed: the kNN reads the sales twice (distinct points, join back)
+    f = (_features(spark, sf_dir).select("id_mutation", "valeur_fonciere", "longitude", "latitude")
+         .checkpoint())
     out = knn_idw(f, fx.grid(spark, sf_dir), k=4)
     return out.select("id_mutation", "valeur_fonciere",
                       *rnd(*[f"{m}_weighted" for m in GRID_MEASURES]))

@@ -80,3 +80,38 @@ def test_radius_join_is_not_nested_loop(spark):
     df.count()
     plan = _plan(df)
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def _executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_relational_operators_stay_jvm_side(spark):
+    """Roll-up, cleaning and the radius join run without Python workers, and
+    the cleaner's simple conjuncts reach the parquet scan."""
+    from conftest import SF_SMALL
+    from parcelle.operators.cleaning import clean
+    from parcelle.operators.features import create_features
+    from parcelle.sources import fixtures as fx
+    f = create_features(clean(fx.dvf(spark, SF_SMALL), nombre_lots_max=5), 3000.0, 18000.0)
+    plan = _executed(f)
+    assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+    scan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_partkey)" in scan or "IsNotNull" in scan
+    r = radius_poi_counts(fx.grid(spark, SF_SMALL), fx.poi(spark, SF_SMALL), 20000.0)
+    assert "Python" not in _executed(r)
+
+
+def test_results_independent_of_shuffle_partitions(spark):
+    from conftest import SF_SMALL
+    from parcelle.plans.queries import q_knn_weighted, q_mutation_rollup
+    a = sorted(q_mutation_rollup(spark, SF_SMALL).collect())
+    ka = sorted(q_knn_weighted(spark, SF_SMALL).collect())
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        b = sorted(q_mutation_rollup(spark, SF_SMALL).collect())
+        kb = sorted(q_knn_weighted(spark, SF_SMALL).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert a == b and ka == kb
