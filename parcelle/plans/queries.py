@@ -577,3 +577,34 @@ ORACLES.update({
     "prediction_bounds": O.PREDICTION_BOUNDS,
     "weight_sweep_baseline": O.WEIGHT_SWEEP_BASELINE,
 })
+
+
+# ---------------------------------------------------------------------------
+# Grid and raster CSV scans (the grid is written by Spark, then re-read)
+# ---------------------------------------------------------------------------
+from parcelle.sources.grid import read_grid, read_raster  # noqa: E402
+from parcelle.sources.sinks import write_csv  # noqa: E402
+
+
+def q_grid_csv_scan(spark, sf_dir):
+    """Enriched-grid CSV written with a header and re-read with the fixed grid
+    schema (no inference pass)."""
+    path = scratch_path(spark, "grid-csv")
+    write_csv(fx.grid(spark, sf_dir).drop("grid_id"), path)
+    return read_grid(spark, path)
+
+
+def q_raster_scan(spark, sf_dir):
+    """Population raster X, Y, Z read and renamed to lon, lat, densite."""
+    path = scratch_path(spark, "raster-csv")
+    g = fx.grid(spark, sf_dir)
+    write_csv(g.select(F.col("lon").alias("X"), F.col("lat").alias("Y"), F.col("densite").alias("Z")), path)
+    return read_raster(spark, path)
+
+
+QUERIES.update({"grid_csv_scan": q_grid_csv_scan, "raster_scan": q_raster_scan})
+ORACLES.update({
+    "grid_csv_scan": O.duckdb_with("grid") + "SELECT lon, lat, densite, transport_pois, education_pois, "
+    "health_pois, food_pois, shopping_pois, park_pois, entertainment_pois, cultural_pois FROM grid",
+    "raster_scan": O.duckdb_with("grid") + "SELECT lon, lat, densite FROM grid",
+})
