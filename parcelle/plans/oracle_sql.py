@@ -381,3 +381,38 @@ w(weight) AS (VALUES (0.1::DOUBLE), (0.3::DOUBLE), (0.5::DOUBLE), (0.7::DOUBLE),
 SELECT w.weight, round(avg(pow(label - (w.weight * p_phys + (1 - w.weight) * p_ctx), 2)), 2) AS mse
 FROM pr, w GROUP BY w.weight
 """
+
+
+# ---------------------------------------------------------------------------
+# Transaction CSV scan, partitioned sink + re-scan, metrics per region
+# ---------------------------------------------------------------------------
+def _typed_line(name: str, dtype: str) -> str:
+    return f"CAST({name} AS {dtype}) AS {name}" if dtype in ("FLOAT", "DOUBLE") else name
+
+
+TRANSACTIONS_SCAN = duckdb_with("dvf") + """
+SELECT {cols}, CAST(year(date_mutation) AS INTEGER) AS year, departement FROM dvf
+"""
+
+REGION_FEATURES = features_sql() + f""",
+dim(region, departement) AS (VALUES {REGION_VALUES}),
+deps AS (SELECT DISTINCT id_mutation, departement FROM dvf),
+rf AS (SELECT r.region, f.* FROM features f JOIN deps d ON f.id_mutation = d.id_mutation
+       JOIN dim r ON d.departement = r.departement)"""
+
+PREPROCESSED_RESCAN = REGION_FEATURES + """
+SELECT {cols} FROM rf WHERE {not_null}
+"""
+
+REGION_METRICS = REGION_FEATURES + f""",
+lab AS (SELECT *, CASE WHEN {SPLIT_U} < 0.8 THEN 'train' ELSE 'test' END AS split FROM rf),
+gm AS (SELECT region, type_local, avg(prix_m2) AS gm FROM lab WHERE split = 'train'
+       GROUP BY region, type_local),
+om AS (SELECT avg(prix_m2) AS om FROM lab WHERE split = 'train'),
+pred AS (SELECT lab.region, lab.split, lab.prix_m2 AS y, coalesce(gm.gm, om.om) AS prediction
+         FROM lab LEFT JOIN gm ON lab.region = gm.region AND lab.type_local = gm.type_local, om),
+ybar AS (SELECT region, split, avg(y) AS yb FROM pred GROUP BY region, split)
+SELECT p.region, p.split, count(*) AS n, round(avg((y - prediction) * (y - prediction)), 2) AS mse,
+  round(1.0 - sum((y - prediction) * (y - prediction)) / sum((y - yb) * (y - yb)), 8) AS r2
+FROM pred p JOIN ybar USING (region, split) GROUP BY p.region, p.split
+"""

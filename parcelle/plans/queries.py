@@ -505,7 +505,7 @@ def q_landing_ingest(spark, sf_dir):
     return spark.read.parquet(table)
 
 
-from parcelle.schemas import TRANSACTION_COLUMNS  # noqa: E402
+from parcelle.schemas import PREPROCESSED_FLOAT_COLUMNS, TRANSACTION_COLUMNS  # noqa: E402
 
 QUERIES.update({
     "radius_resume": q_radius_resume,
@@ -608,3 +608,91 @@ ORACLES.update({
     "health_pois, food_pois, shopping_pois, park_pois, entertainment_pois, cultural_pois FROM grid",
     "raster_scan": O.duckdb_with("grid") + "SELECT lon, lat, densite FROM grid",
 })
+
+
+# ---------------------------------------------------------------------------
+# Transaction CSV scan (S-1..S-5), partitioned sink + re-scan (S-11, S-12),
+# metrics per region and split (V-3)
+# ---------------------------------------------------------------------------
+from parcelle.sources.sinks import read_preprocessed, write_partitioned  # noqa: E402
+from parcelle.sources.transactions import read_transactions, write_transactions_csv  # noqa: E402
+
+# Source column order differs from ours and carries columns we do not use:
+# the scan must pick columns by header name, never by position.
+_LANDED_ORDER = ["valeur_fonciere", "id_mutation", "seq1", "latitude", "longitude",
+                 *[n for n, _ in TRANSACTION_COLUMNS
+                   if n not in ("valeur_fonciere", "id_mutation", "latitude", "longitude")],
+                 "seq2", "seq3"]
+
+
+def q_transactions_scan(spark, sf_dir):
+    """Sale lines landed as gzip CSV per (year, departement), then scanned
+    back over every year × department: full-width header read, ``try_cast``
+    to the source types, year and department taken from the file path."""
+    path = scratch_path(spark, "transactions-csv")
+    lines = fx.dvf(spark, sf_dir).withColumn("year", F.year("date_mutation"))
+    write_transactions_csv(lines.select(*_LANDED_ORDER, "year", "departement"), path)
+    t = read_transactions(spark, path, layout="partitioned")
+    return t.select(*[n for n, _ in TRANSACTION_COLUMNS], "year", "departement")
+
+
+_STORED = ["id_mutation", "type_local", *FEATURE_DOUBLES[1:], "total_surface_carrez", "prix_m2"]
+
+
+def _region_features(spark, sf_dir):
+    c = with_region(_cleaned(spark, sf_dir))
+    return create_features(c, *JOB_PRICE_BAND, partition_cols=("region",))
+
+
+def q_preprocessed_rescan(spark, sf_dir):
+    """Priced sales written partitioned by (region, year) with dynamic
+    overwrite, one region re-written (replaces only its partitions), then
+    re-scanned with the stored types and rows with a null dropped."""
+    f = _region_features(spark, sf_dir).select("region", "year", *_STORED)
+    path = scratch_path(spark, "preprocessed")
+    write_partitioned(f, path, ("region", "year"))
+    first = f.agg(F.min("region")).first()[0]
+    if first is not None:
+        write_partitioned(f.filter(F.col("region") == first), path, ("region", "year"))
+    return read_preprocessed(spark, path).select("region", "year", *_STORED)
+
+
+def q_region_metrics(spark, sf_dir):
+    """One metrics row per region and split: a per-region model (mean price
+    per m² by region and type) scored on its train and test rows."""
+    s = sp.hash_split(_region_features(spark, sf_dir), KEY, 0.8)
+    model = GroupMeanRegressor(["region", "type_local"], "prix_m2").fit(
+        s.filter(F.col("split") == "train"))
+    p = model.transform(s).select("region", "split", F.col("prix_m2").alias("y"), "prediction")
+    m = regression_metrics(p, by=["region", "split"])
+    return m.select("region", "split", "n", F.round("mse", 2).alias("mse"),
+                    F.round("r2", 8).alias("r2"))
+
+
+def _scan_cols() -> str:
+    sql_type = {"string": None, "date": None, "float": "FLOAT", "double": "DOUBLE"}
+    return ", ".join(O._typed_line(n, sql_type[t.simpleString()]) for n, t in TRANSACTION_COLUMNS)
+
+
+def _stored_cols() -> str:
+    out = []
+    for c in ["region", "year", *_STORED]:
+        if c in PREPROCESSED_FLOAT_COLUMNS:
+            out.append(f"CAST({c} AS FLOAT) AS {c}")
+        else:
+            out.append(c)
+    return ", ".join(out)
+
+
+QUERIES.update({
+    "transactions_scan": q_transactions_scan,
+    "preprocessed_rescan": q_preprocessed_rescan,
+    "region_metrics": q_region_metrics,
+})
+ORACLES.update({
+    "transactions_scan": O.TRANSACTIONS_SCAN.format(cols=_scan_cols()),
+    "preprocessed_rescan": O.PREPROCESSED_RESCAN.format(
+        cols=_stored_cols(),
+        not_null=" AND ".join(f"{c} IS NOT NULL" for c in ["region", "year", *_STORED])),
+    "region_metrics": O.REGION_METRICS,
+})

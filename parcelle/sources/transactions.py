@@ -30,7 +30,17 @@ def _typed(df: DataFrame) -> DataFrame:
     return df.select(*cols, *extra)
 
 
-def transaction_paths(base: str, years=(), departements=()) -> str:
+# Where year and department sit in a file path, per layout: the yearly
+# download's ``<year>/<dep>.csv.gz`` files, or the directories Spark's
+# partitioned writer makes (``year=<year>/departement=<dep>/part-*``).
+LAYOUTS = {
+    "files": ("{base}/{y}/{d}.csv.gz", r"/([0-9]{4})/[^/]+$", r"/([^/]+)\.csv(\.gz)?$"),
+    "partitioned": ("{base}/year={y}/departement={d}/*.csv.gz", r"/year=([0-9]{4})/",
+                    r"/departement=([^/]+)/"),
+}
+
+
+def transaction_paths(base: str, years=(), departements=(), layout: str = "files") -> str:
     """One glob over the chosen years × departments (empty list = all);
     combinations without a file simply match nothing."""
     base = base.rstrip("/")
@@ -38,11 +48,12 @@ def transaction_paths(base: str, years=(), departements=()) -> str:
     ds = [str(d) if len(str(d)) >= 2 else f"{int(d):02d}" for d in departements]
     y = "{" + ",".join(ys) + "}" if ys else "*"
     d = "{" + ",".join(ds) + "}" if ds else "*"
-    return f"{base}/{y}/{d}.csv.gz"
+    return LAYOUTS[layout][0].format(base=base, y=y, d=d)
 
 
 def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
-                      fraction: float | None = None, seed: int = 42) -> DataFrame:
+                      fraction: float | None = None, seed: int = 42,
+                      layout: str = "files") -> DataFrame:
     """Scan the yearly/departmental CSV files (empty list = all).
 
     Missing or unreadable files are skipped (``ignoreMissingFiles`` /
@@ -52,7 +63,8 @@ def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
     """
     from pyspark.errors import AnalysisException
     from parcelle.schemas import TRANSACTION_SCHEMA
-    paths = transaction_paths(base, years, departements)
+    paths = transaction_paths(base, years, departements, layout)
+    _, year_re, dep_re = LAYOUTS[layout]
     try:
         raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
                .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
@@ -65,8 +77,8 @@ def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
                                   "file_path": F.lit(None).cast("string")})
     raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     raw = raw.withColumns({
-        "year": F.regexp_extract("file_path", r"/([0-9]{4})/[^/]+$", 1).cast("int"),
-        "departement": department_code(F.regexp_extract("file_path", r"/([^/]+)\.csv(\.gz)?$", 1)),
+        "year": F.regexp_extract("file_path", year_re, 1).cast("int"),
+        "departement": department_code(F.regexp_extract("file_path", dep_re, 1)),
         # a gz file is one split, so the id grows along the file order
         "row_seq": F.monotonically_increasing_id(),
     })
@@ -78,11 +90,26 @@ def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
 
 
 def write_transactions_parquet(df: DataFrame, path: str) -> None:
-    """One-off rewrite to parquet partitioned by (year, departement)."""
-    (df.repartition("year", "departement").write.mode("overwrite")
+    """One-off rewrite to parquet partitioned by (year, departement).
+
+    A gz source file is one task holding one (year, departement), so the
+    write needs no shuffle: every task writes into its own directory, and a
+    department holding a third of the rows is spread over all its files'
+    tasks.  ``maxRecordsPerFile`` bounds the output file size."""
+    (df.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
      .partitionBy("year", "departement").parquet(path))
 
 
+def write_transactions_csv(df: DataFrame, path: str) -> None:
+    """Land sale lines as gzip CSV with a header, one directory per
+    (year, departement) — the ``partitioned`` layout of ``read_transactions``.
+    The rebalance hint lets AQE split a hot department over several tasks
+    and merge small ones, instead of one task per key."""
+    (df.hint("rebalance", "year", "departement").write.mode("overwrite")
+     .option("header", True).option("compression", "gzip")
+     .partitionBy("year", "departement").csv(path))
+
+
 def read_transactions_parquet(spark: SparkSession, path: str, years=(), departements=()) -> DataFrame:
     df = spark.read.parquet(path)
     if years:
