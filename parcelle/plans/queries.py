@@ -472,7 +472,7 @@ QUERIES.update({
 # ---------------------------------------------------------------------------
 from parcelle.operators.resume import resume  # noqa: E402
 from parcelle.session import scratch_path  # noqa: E402
-from parcelle.streaming.landing import ingest_available, raw_csv_schema  # noqa: E402
+from parcelle.streaming.landing import ingest_available, raw_csv_schema, read_landed  # noqa: E402
 
 
 def q_radius_resume(spark, sf_dir):
@@ -502,7 +502,7 @@ def q_landing_ingest(spark, sf_dir):
     pat = dict(year_pattern=r"/y=([0-9]{4})/", dep_pattern=r"/departement=([^/]+)/")
     ingest_available(spark, land, table, ckpt, raw_csv_schema(), **pat)
     ingest_available(spark, land, table, ckpt, raw_csv_schema(), **pat)
-    return spark.read.parquet(table)
+    return read_landed(spark, table).select(*cols, "year", "departement")
 
 
 from parcelle.schemas import PREPROCESSED_FLOAT_COLUMNS, TRANSACTION_COLUMNS  # noqa: E402
@@ -615,7 +615,9 @@ ORACLES.update({
 # metrics per region and split (V-3)
 # ---------------------------------------------------------------------------
 from parcelle.sources.sinks import read_preprocessed, write_partitioned  # noqa: E402
-from parcelle.sources.transactions import read_transactions, write_transactions_csv  # noqa: E402
+from parcelle.sources.transactions import (  # noqa: E402
+    read_transactions, read_transactions_parquet, write_transactions_csv, write_transactions_parquet,
+)
 
 # Source column order differs from ours and carries columns we do not use:
 # the scan must pick columns by header name, never by position.
@@ -636,6 +638,15 @@ def q_transactions_scan(spark, sf_dir):
     return t.select(*[n for n, _ in TRANSACTION_COLUMNS], "year", "departement")
 
 
+def q_transactions_parquet(spark, sf_dir):
+    """The scanned CSV lines rewritten once to parquet partitioned by
+    (year, departement), then read back with the stored schema."""
+    path = scratch_path(spark, "transactions-parquet")
+    write_transactions_parquet(q_transactions_scan(spark, sf_dir), path)
+    return read_transactions_parquet(spark, path).select(
+        *[n for n, _ in TRANSACTION_COLUMNS], "year", "departement")
+
+
 _STORED = ["id_mutation", "type_local", *FEATURE_DOUBLES[1:], "total_surface_carrez", "prix_m2"]
 
 
@@ -686,11 +697,14 @@ def _stored_cols() -> str:
 
 QUERIES.update({
     "transactions_scan": q_transactions_scan,
+    "transactions_parquet": q_transactions_parquet,
     "preprocessed_rescan": q_preprocessed_rescan,
     "region_metrics": q_region_metrics,
 })
 ORACLES.update({
     "transactions_scan": O.TRANSACTIONS_SCAN.format(cols=_scan_cols()),
+    "transactions_parquet": O.TRANSACTIONS_SCAN.format(cols=_scan_cols()),
+    "landing_ingest": O.TRANSACTIONS_SCAN.format(cols=_scan_cols()),
     "preprocessed_rescan": O.PREPROCESSED_RESCAN.format(
         cols=_stored_cols(),
         not_null=" AND ".join(f"{c} IS NOT NULL" for c in ["region", "year", *_STORED])),

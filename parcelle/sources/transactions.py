@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelle.operators.regions import department_code
 from parcelle.schemas import TRANSACTION_COLUMNS
@@ -110,10 +111,22 @@ def write_transactions_csv(df: DataFrame, path: str) -> None:
      .partitionBy("year", "departement").csv(path))
 
 
+def stored_schema():
+    """Schema of the rewritten table: source types, then the partition
+    columns.  Given on read, it keeps ``departement`` a string ("01", "2A"):
+    partition discovery would otherwise infer "01" as the integer 1."""
+    from parcelle.schemas import TRANSACTION_SCHEMA
+    return (T.StructType(list(TRANSACTION_SCHEMA.fields))
+            .add("year", T.IntegerType()).add("departement", T.StringType()))
+
+
 def read_transactions_parquet(spark: SparkSession, path: str, years=(), departements=()) -> DataFrame:
-    df = spark.read.parquet(path)
+    """Scan the (year, departement)-partitioned parquet table; the filters are
+    on partition columns, so only the chosen directories are listed and read."""
+    df = spark.read.schema(stored_schema()).parquet(path)
     if years:
         df = df.filter(F.col("year").isin([int(y) for y in years]))
     if departements:
-        df = df.filter(F.col("departement").isin([str(d) for d in departements]))
+        ds = [str(d) if len(str(d)) >= 2 else f"{int(d):02d}" for d in departements]
+        df = df.filter(F.col("departement").isin(ds))
     return df

@@ -34,7 +34,10 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: T.StructType |
                    dep_pattern: str = DEP_PATTERN) -> DataFrame:
     """Streaming DataFrame over ``<landing_dir>/<year>/<dep>.csv.gz`` files
     (other layouts: give the path patterns for year and department)."""
+    # enforceSchema=false: each file's header is checked against the schema's
+    # names, so a file with another column order fails instead of shifting.
     r = (spark.readStream.schema(schema or raw_csv_schema()).option("header", True)
+         .option("enforceSchema", False)
          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv.gz"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -55,3 +58,13 @@ def ingest_available(spark: SparkSession, landing_dir: str, table_path: str, che
          .partitionBy("year", "departement").trigger(availableNow=True).start())
     q.awaitTermination()
     return sum(p.get("numInputRows", 0) for p in q.recentProgress)
+
+
+def read_landed(spark: SparkSession, table_path: str) -> DataFrame:
+    """The ingested table with its stored types (``departement`` stays a
+    string: partition discovery would read "01" as the integer 1)."""
+    schema = T.StructType([T.StructField(n, t) for n, t in TRANSACTION_COLUMNS]
+                          + [T.StructField("file_path", T.StringType()),
+                             T.StructField("year", T.IntegerType()),
+                             T.StructField("departement", T.StringType())])
+    return spark.read.schema(schema).parquet(table_path)

@@ -90,6 +90,35 @@ def test_landing_ingests_each_file_once(spark):
     assert {r.year for r in got.select("year").distinct().collect()} == {1995, 1996}
 
 
+def test_landing_rejects_shifted_header(spark):
+    from parcelle.streaming.landing import ingest_available
+    base = tempfile.mkdtemp(prefix="parcelle-land-bad-")
+    os.makedirs(f"{base}/land/1995")
+    import pandas as pd
+    # same columns, another order: applied by position they would shift silently
+    from parcelle.schemas import TRANSACTION_COLUMNS
+    names = [n for n, _ in TRANSACTION_COLUMNS][::-1]
+    pd.DataFrame([["x"] * len(names)], columns=names).to_csv(
+        f"{base}/land/1995/01.csv.gz", index=False, compression="gzip")
+    with pytest.raises(Exception):
+        ingest_available(spark, f"{base}/land", f"{base}/table", f"{base}/ckpt")
+
+
+def test_parquet_rewrite_keeps_department_codes(spark):
+    from parcelle.sources.transactions import read_transactions_parquet, write_transactions_parquet
+    from parcelle.schemas import TRANSACTION_COLUMNS
+    path = tempfile.mkdtemp(prefix="parcelle-pq-") + "/t"
+    cols = ", ".join(f"cast(null as {t.simpleString()}) as {n}" for n, t in TRANSACTION_COLUMNS[1:])
+    df = spark.sql(f"select id as id_mutation, {cols}, 1995 + cast(id % 2 as int) as year, "
+                   "case when id < 3 then '01' else '2A' end as departement from range(6)") \
+        .withColumn("id_mutation", F.col("id_mutation").cast("string"))
+    write_transactions_parquet(df, path)
+    t = read_transactions_parquet(spark, path, years=[1995], departements=[1, "2A"])
+    assert dict(t.dtypes)["departement"] == "string"
+    got = sorted((r.id_mutation, r.departement) for r in t.collect())
+    assert got == [("0", "01"), ("2", "01"), ("4", "2A")]
+
+
 def test_resume_equals_full_run(spark):
     from parcelle.operators.resume import remaining
     todo = spark.createDataFrame([(1, None), (2, 2.0), (3, 3.0)], "k int, v double")
