@@ -231,7 +231,7 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
                     F.col(gyc).cast("double").alias("_gy"), *measures)
 
     pending = q
-    done = []
+    done, n_done = [], 0
     for level in range(max_levels):
         delta = delta0 * (2.0 ** level)
         cells = maybe_broadcast(
@@ -272,13 +272,17 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
                   & (F.col("cy") + 1 >= math.floor(st["y1"] / delta)))
         ok = (F.col("_nk") == k) & ((F.col("_kth") < margin * margin) | covers)
         agg = agg.withColumn("_ok", ok).drop("cx", "cy", "_nk", "_kth").checkpoint()
+        tally = {r["_ok"]: r["n"] for r in agg.groupBy("_ok").agg(F.count(F.lit(1)).alias("n")).collect()}
+        n_done += tally.get(True, 0)
         done.append(agg.filter("_ok").drop("_ok"))
         pending = agg.filter(~F.col("_ok")).select("_qx", "_qy")
-        if pending.isEmpty():
+        if not tally.get(False, 0):
             break
     else:
         raise RuntimeError("kNN rounds did not settle")
-    res = reduce(DataFrame.unionByName, done)
+    # One row per distinct point: broadcast when it fits (the sales are then
+    # not shuffled for the join back), a shuffle join otherwise.
+    res = maybe_broadcast(reduce(DataFrame.unionByName, done), rows=n_done)
     return (points.join(res, (F.col(px).cast("double") == res["_qx"])
                         & (F.col(py).cast("double") == res["_qy"]), "left")
             .drop("_qx", "_qy"))
