@@ -195,6 +195,13 @@ def radius_exclusive_counts(grid: DataFrame, poi: DataFrame, radius: float = 500
 # ---------------------------------------------------------------------------
 # Exact k-nearest neighbours with inverse-distance weights
 # ---------------------------------------------------------------------------
+def _point_key(x, y) -> Column:
+    """Exact text key of a point (null when a coordinate is null)."""
+    x = F.col(x) if isinstance(x, str) else x
+    y = F.col(y) if isinstance(y, str) else y
+    return F.concat((x + F.lit(0.0)).cast("string"), F.lit("|"), (y + F.lit(0.0)).cast("string"))
+
+
 def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASURES,
             point_cols=("longitude", "latitude"), grid_cols=("lon", "lat"),
             grid_id: str = "grid_id", zero_distance: float = 1e-10,
@@ -224,9 +231,15 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
     span_y = max(st["y1"] - st["y0"], 1e-9)
     delta0 = math.sqrt(k * span_x * span_y / n)
 
+    # Points are keyed by the exact text of their coordinates (a double's
+    # string form reads back to the same double; +0.0 folds -0.0 into 0.0).
+    # A string key keeps one hash partitioning from the distinct through the
+    # top-k window: double keys are float-normalised by the window and would
+    # force a second exchange.
     q = (points.select(F.col(px).cast("double").alias("_qx"), F.col(py).cast("double").alias("_qy"))
          .filter(F.col("_qx").isNotNull() & F.col("_qy").isNotNull())
-         .distinct())
+         .select(_point_key("_qx", "_qy").alias("_pk"), "_qx", "_qy")
+         .dropDuplicates(["_pk"]))
     g = grid.select(F.col(grid_id).alias("_gid"), F.col(gxc).cast("double").alias("_gx"),
                     F.col(gyc).cast("double").alias("_gy"), *measures)
 
@@ -248,14 +261,14 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
         # Left join: a point whose 3×3 block is empty still reaches ``agg``
         # (with fewer than k neighbours) and goes round again.
         cand = qc.join(cells, ["kx", "ky"], "left").withColumn("_d2", dx * dx + dy * dy)
-        w = Window.partitionBy("_qx", "_qy").orderBy(F.asc_nulls_last("_d2"), "_gid")
+        w = Window.partitionBy("_pk").orderBy(F.asc_nulls_last("_d2"), "_gid")
         top = cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
         top = top.withColumn("_w", F.lit(1.0) / F.when(F.col("_d2") == 0, F.lit(zero_distance))
                              .otherwise(F.sqrt("_d2")))
         # Per-point sums as window aggregates over the same partitioning as the
         # top-k window (no further exchange), then one row per point.
-        wp = Window.partitionBy("_qx", "_qy")
-        agg = (top.select("_qx", "_qy", "_rn",
+        wp = Window.partitionBy("_pk")
+        agg = (top.select("_pk", "_qx", "_qy", "_rn",
                           F.count("_gid").over(wp).alias("_nk"), F.max("_d2").over(wp).alias("_kth"),
                           *[(F.sum(F.col("_w") * F.col(m)).over(wp) / F.sum("_w").over(wp))
                             .alias(f"{m}_weighted") for m in measures])
@@ -275,7 +288,7 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
         tally = {r["_ok"]: r["n"] for r in agg.groupBy("_ok").agg(F.count(F.lit(1)).alias("n")).collect()}
         n_done += tally.get(True, 0)
         done.append(agg.filter("_ok").drop("_ok"))
-        pending = agg.filter(~F.col("_ok")).select("_qx", "_qy")
+        pending = agg.filter(~F.col("_ok")).select("_pk", "_qx", "_qy")
         if not tally.get(False, 0):
             break
     else:
@@ -283,6 +296,6 @@ def knn_idw(points: DataFrame, grid: DataFrame, k: int = 4, measures=GRID_MEASUR
     # One row per distinct point: broadcast when it fits (the sales are then
     # not shuffled for the join back), a shuffle join otherwise.
     res = maybe_broadcast(reduce(DataFrame.unionByName, done), rows=n_done)
-    return (points.join(res, (F.col(px).cast("double") == res["_qx"])
-                        & (F.col(py).cast("double") == res["_qy"]), "left")
-            .drop("_qx", "_qy"))
+    res = res.drop("_qx", "_qy")
+    keyed = points.withColumn("_pk", _point_key(F.col(px).cast("double"), F.col(py).cast("double")))
+    return keyed.join(res, "_pk", "left").drop("_pk")

@@ -115,3 +115,37 @@ def test_results_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b and ka == kb
+
+
+def test_knn_round_reuses_distinct_partitioning(spark, monkeypatch):
+    """The first kNN round shuffles once (the distinct points): the top-k
+    window and the per-point sums reuse that partitioning."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    plans, orig = [], Classic.checkpoint
+
+    def spy(self, eager=True):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return orig(self, eager)
+
+    rng = np.random.default_rng(3)
+    pts = spark.createDataFrame([(float(x), float(y)) for x, y in rng.uniform(0, 1, (300, 2))],
+                                "longitude double, latitude double")
+    grid = spark.createDataFrame([(i, float(x), float(y), float(i)) for i, (x, y)
+                                  in enumerate(rng.uniform(0, 1, (200, 2)))],
+                                 "grid_id long, lon double, lat double, densite double")
+    monkeypatch.setattr(Classic, "checkpoint", spy)
+    knn_idw(pts, grid, k=4, measures=["densite"])
+    first = plans[0]
+    shuffles = first.count("Exchange hashpartitioning") + first.count("Exchange rangepartitioning")
+    assert shuffles == 1, first
+
+
+def test_knn_point_keys_exact(spark):
+    """Coordinates that print long, and -0.0 vs 0.0, join back exactly once."""
+    xs = [0.1 + 0.2, 1e-300, 123456789.12345679, -0.0, 0.0, 2.5]
+    pts = spark.createDataFrame([(i, x, 0.5) for i, x in enumerate(xs)], "id long, longitude double, latitude double")
+    grid = spark.createDataFrame([(i, float(i) / 4, 0.5, float(i)) for i in range(8)],
+                                 "grid_id long, lon double, lat double, densite double")
+    got = {r.id: r.densite_weighted for r in knn_idw(pts, grid, k=1, measures=["densite"]).collect()}
+    assert sorted(got) == list(range(len(xs)))
+    assert got[3] == got[4] == 0.0 and got[0] == pytest.approx(1.0) and got[5] == pytest.approx(7.0)
