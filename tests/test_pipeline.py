@@ -124,3 +124,33 @@ def test_resume_equals_full_run(spark):
     todo = spark.createDataFrame([(1, None), (2, 2.0), (3, 3.0)], "k int, v double")
     done = spark.createDataFrame([(1, None), (3, 3.0)], "k int, v double")
     assert [r.k for r in remaining(todo, done, ["k", "v"]).collect()] == [2]
+
+
+def test_grown_trees_are_valid_isolation_trees():
+    """Route each tree's own sample: both children of a split are non-empty,
+    the split feature varies in the node, the threshold lies in [min, max),
+    and a leaf's value is depth + c(rows reaching it)."""
+    from parcelle.operators.anomaly import c_factor, grow_forest
+    rng = np.random.default_rng(7)
+    X = np.vstack([rng.normal(size=(64, 3)), np.ones((64, 3))])      # tree 1: all constant
+    X[:, 2] = np.round(X[:, 2])                                       # ties in one feature
+    tree_of_row = np.repeat([0, 1], 64)
+    forest = grow_forest(X, tree_of_row, np.random.default_rng(1), max_depth=6)
+    assert set(forest) == {0, 1}
+    for t, (feat, thr, left, right, value) in forest.items():
+        rows = X[tree_of_row == t]
+        stack = [(0, np.arange(len(rows)), 0)]
+        seen = 0
+        while stack:
+            nd, idx, depth = stack.pop()
+            seen += 1
+            if feat[nd] < 0:
+                assert value[nd] == pytest.approx(depth + float(c_factor(len(idx))))
+                continue
+            col = rows[idx, feat[nd]]
+            assert col.min() <= thr[nd] < col.max()
+            go = col <= thr[nd]
+            assert go.any() and (~go).any() and depth < 6
+            stack += [(left[nd], idx[go], depth + 1), (right[nd], idx[~go], depth + 1)]
+        assert seen == len(feat)
+    assert len(forest[1][0]) == 1          # a constant sample is a single leaf
