@@ -90,6 +90,27 @@ def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
     return out
 
 
+def missing_transaction_files(spark: SparkSession, base: str, years, departements,
+                              layout: str = "files") -> list[tuple[int, str]]:
+    """(year, departement) pairs that were asked for but have no file — the
+    ones the scan skips.  Read from the file listing only (no data pass)."""
+    import re
+    from pyspark.errors import AnalysisException
+    ds = [str(d) if len(str(d)) >= 2 else f"{int(d):02d}" for d in departements]
+    _, year_re, dep_re = LAYOUTS[layout]
+    try:
+        files = spark.read.format("binaryFile").load(
+            transaction_paths(base, years, ds, layout)).inputFiles()
+    except AnalysisException:
+        files = []
+    found = set()
+    for f in files:
+        y, d = re.search(year_re, f), re.search(dep_re, f)
+        if y and d:
+            found.add((int(y.group(1)), d.group(1)))
+    return [(int(y), d) for y in years for d in ds if (int(y), d) not in found]
+
+
 def write_transactions_parquet(df: DataFrame, path: str) -> None:
     """One-off rewrite to parquet partitioned by (year, departement).
 

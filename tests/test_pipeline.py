@@ -54,6 +54,9 @@ def test_csv_scan_round_trip(spark):
     got = t.groupBy("year", "departement").count().collect()
     assert {(r.year, r.departement) for r in got} == {(1995, "01"), (1996, "02")}
     assert dict(t.dtypes)["surface_reelle_bati"] == "float"
+    from parcelle.sources.transactions import missing_transaction_files
+    missing = missing_transaction_files(spark, base, [1995, 1996, 1999], ["01", 2])
+    assert missing == [(1995, "02"), (1996, "01"), (1999, "01"), (1999, "02")]
 
 
 def test_partitioned_sink_idempotent(spark):
