@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelle.functions.columns import haversine, mercator_x, mercator_y, unit_xyz
+from parcelle.functions.columns import MERCATOR_RADIUS, haversine, mercator_x, mercator_y, unit_xyz
 from parcelle.operators.sizing import maybe_broadcast
 from parcelle.schemas import (
     CULTURAL_VALUES, EDUCATION_VALUES, ENTERTAINMENT_VALUES, EXCLUSIVE_CULTURAL,
@@ -152,6 +152,32 @@ def radius_poi_counts_per_row(grid: DataFrame, poi: DataFrame, radius: float = 5
         *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names])
 
 
+def poi_counts_around(poi: DataFrame, lon: float, lat: float, radius: float = 500.0,
+                      named_only: bool = False) -> DataFrame:
+    """POIs of each category within ``radius`` Mercator metres of one point:
+    a global aggregate, so exactly one row even when nothing is in range.
+
+    The Mercator square around the point is turned back into a degree box
+    (widened by 1e-9°) and applied first — on a parquet POI table it is pushed
+    into the scan; the exact distance test follows."""
+    r = float(radius)
+    dlon = math.degrees(r / MERCATOR_RADIUS) + 1e-9
+    y0 = MERCATOR_RADIUS * math.log(math.tan(math.pi / 4 + math.radians(lat) / 2))
+
+    def lat_of(y):
+        return math.degrees(2 * math.atan(math.exp(y / MERCATOR_RADIUS)) - math.pi / 2)
+
+    p = poi.filter(F.col("lon").between(lon - dlon, lon + dlon)
+                   & F.col("lat").between(lat_of(y0 - r) - 1e-9, lat_of(y0 + r) + 1e-9))
+    if named_only:
+        p = p.filter(F.col("name").isNotNull())
+    dx = mercator_x("lon") - mercator_x(F.lit(float(lon)))
+    dy = mercator_y("lat") - mercator_y(F.lit(float(lat)))
+    within = dx * dx + dy * dy <= F.lit(r * r)
+    return p.agg(*[F.count_if(within & F.coalesce(f, F.lit(False))).alias(n)
+                   for n, f in category_flags().items()])
+
+
 # ---------------------------------------------------------------------------
 # Great-circle radius join (exclusive categories, amenity-tagged POIs)
 # ---------------------------------------------------------------------------

@@ -416,3 +416,31 @@ SELECT p.region, p.split, count(*) AS n, round(avg((y - prediction) * (y - predi
   round(1.0 - sum((y - prediction) * (y - prediction)) / sum((y - yb) * (y - yb)), 8) AS r2
 FROM pred p JOIN ybar USING (region, split) GROUP BY p.region, p.split
 """
+
+
+def poi_around_sql(lon: float, lat: float, radius: float) -> str:
+    return duckdb_with("poi") + f""",
+c AS (SELECT {_merc(repr(float(lon)), repr(float(lat)), 'cx', 'cy')}),
+pp AS (SELECT *, {_merc('lon', 'lat', 'px', 'py')} FROM poi WHERE {RELEVANT})
+SELECT {COUNT_COLUMNS}
+FROM pp p, c WHERE (p.px - c.cx) * (p.px - c.cx) + (p.py - c.cy) * (p.py - c.cy) <= {radius * radius!r}
+"""
+
+
+SHAP_SHARE_BASELINE = REGION_FEATURES + f""",
+lab AS (SELECT *, CASE WHEN {SPLIT_U} < 0.8 THEN 'train' ELSE 'test' END AS split FROM rf),
+gp AS (SELECT type_local, avg(prix_m2) AS p FROM lab WHERE split = 'train' GROUP BY type_local),
+gc AS (SELECT year, avg(prix_m2) AS p FROM lab WHERE split = 'train' GROUP BY year),
+om AS (SELECT avg(prix_m2) AS om FROM lab WHERE split = 'train'),
+phi AS (
+  SELECT lab.region, 'physical' AS grp, 0.5 * (coalesce(gp.p, om.om) - om.om) AS phi
+  FROM lab LEFT JOIN gp ON lab.type_local = gp.type_local, om WHERE lab.split = 'test'
+  UNION ALL
+  SELECT lab.region, 'contextual' AS grp, 0.5 * (coalesce(gc.p, om.om) - om.om) AS phi
+  FROM lab LEFT JOIN gc ON lab.year = gc.year, om WHERE lab.split = 'test'),
+per AS (SELECT region, grp, avg(abs(phi)) AS impact FROM phi GROUP BY region, grp)
+SELECT region, grp AS "group", round(impact, 6) AS impact,
+  round(CASE WHEN sum(impact) OVER (PARTITION BY region) <> 0
+        THEN 100.0 * impact / sum(impact) OVER (PARTITION BY region) END, 6) AS share_pct
+FROM per
+"""

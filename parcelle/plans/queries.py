@@ -710,3 +710,52 @@ ORACLES.update({
         not_null=" AND ".join(f"{c} IS NOT NULL" for c in ["region", "year", *_STORED])),
     "region_metrics": O.REGION_METRICS,
 })
+
+
+# ---------------------------------------------------------------------------
+# Global conditional count around one point (A-7); attribution shares per
+# region on exact Shapley values of an additive model (A-16, V-4)
+# ---------------------------------------------------------------------------
+from parcelle.operators.evaluate import group_share  # noqa: E402
+from parcelle.operators.spatial import poi_counts_around  # noqa: E402
+
+AROUND_POINT = (2.5, 47.0, 50000.0)      # query parameters: lon, lat, radius (Mercator m)
+
+
+def q_poi_counts_around(spark, sf_dir):
+    """POI counts by category within 50 km of one point (one row always)."""
+    lon, lat, r = AROUND_POINT
+    return poi_counts_around(fx.poi(spark, sf_dir), lon, lat, r)
+
+
+def q_shap_share_baseline(spark, sf_dir):
+    """Per region, the share of mean |φ| carried by the physical (type) and
+    contextual (year) parts of 0.5·type mean + 0.5·year mean.  The model is
+    additive, so with the training rows as background the Shapley values are
+    exact: φ = 0.5·(part prediction − its training mean), and the training
+    mean of a group-mean prediction is the overall training mean."""
+    s = sp.hash_split(_region_features(spark, sf_dir), KEY, 0.8)
+    train = s.filter(F.col("split") == "train")
+    p = GroupMeanRegressor(["type_local"], "prix_m2").fit(train)
+    c = GroupMeanRegressor(["year"], "prix_m2").fit(train)
+    test = s.filter(F.col("split") == "test")
+    both = c.transform(p.transform(test).withColumnRenamed("prediction", "p_phys")) \
+        .withColumnRenamed("prediction", "p_ctx")
+    base = F.lit(p.overall)
+    parts = F.array(
+        F.struct(F.lit("physical").alias("feature"), (F.lit(0.5) * (F.col("p_phys") - base)).alias("phi")),
+        F.struct(F.lit("contextual").alias("feature"), (F.lit(0.5) * (F.col("p_ctx") - base)).alias("phi")))
+    attr = both.select("region", F.explode(parts).alias("_a")).select("region", "_a.feature", "_a.phi")
+    out = group_share(attr, groups={"physical": "physical", "contextual": "contextual"}, by=["region"])
+    return out.select("region", "group", F.round("impact", 6).alias("impact"),
+                      F.round("share_pct", 6).alias("share_pct"))
+
+
+QUERIES.update({
+    "poi_counts_around": q_poi_counts_around,
+    "shap_share_baseline": q_shap_share_baseline,
+})
+ORACLES.update({
+    "poi_counts_around": O.poi_around_sql(*AROUND_POINT),
+    "shap_share_baseline": O.SHAP_SHARE_BASELINE,
+})

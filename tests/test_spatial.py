@@ -149,3 +149,17 @@ def test_knn_point_keys_exact(spark):
     got = {r.id: r.densite_weighted for r in knn_idw(pts, grid, k=1, measures=["densite"]).collect()}
     assert sorted(got) == list(range(len(xs)))
     assert got[3] == got[4] == 0.0 and got[0] == pytest.approx(1.0) and got[5] == pytest.approx(7.0)
+
+
+def test_counts_around_point_one_row_even_when_empty(spark):
+    from parcelle.operators.spatial import poi_counts_around
+    poi = spark.createDataFrame(
+        [(2.5, 47.0, "school", None, None, None, None, "a"),
+         (2.5001, 47.0, None, "bakery", None, None, None, None)],
+        "lon double, lat double, amenity string, shop string, leisure string, "
+        "public_transport string, tourism string, name string")
+    near = poi_counts_around(poi, 2.5, 47.0, 500.0).collect()
+    assert len(near) == 1 and near[0].education_pois == 1 and near[0].shopping_pois == 1
+    far = poi_counts_around(poi, -20.0, 10.0, 500.0).collect()
+    assert len(far) == 1 and all(v == 0 for v in far[0])
+    assert poi_counts_around(poi, 2.5, 47.0, 500.0, named_only=True).first().shopping_pois == 0
