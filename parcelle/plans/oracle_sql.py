@@ -444,3 +444,34 @@ SELECT region, grp AS "group", round(impact, 6) AS impact,
         THEN 100.0 * impact / sum(impact) OVER (PARTITION BY region) END, 6) AS share_pct
 FROM per
 """
+
+
+def encoded_blocks_sql(numeric_phys, numeric_ctx) -> str:
+    """Two-block encoding of the test split in long form.  The numeric
+    columns of the priced table have no nulls (sums are null-safe, the
+    cleaner bounds ``nombre_lots``), so the mode imputer is the identity
+    here and is left out of the SQL."""
+    stats = ", ".join(f"quantile_cont({c}, 0.5) AS {c}_med, "
+                      f"quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS {c}_iqr"
+                      for c in [*numeric_phys, *numeric_ctx])
+
+    def scaled(c):
+        return f"(CAST(te.{c} AS DOUBLE) - s.{c}_med) / CASE WHEN s.{c}_iqr = 0 THEN 1.0 ELSE s.{c}_iqr END"
+    parts = ["""SELECT te.id_mutation, te.valeur_fonciere, 'physical' AS block, c.pos,
+    CASE WHEN te.type_local = c.cat THEN 1.0 ELSE 0.0 END AS value FROM te, cats c"""]
+    parts += [f"SELECT te.id_mutation, te.valeur_fonciere, 'physical', CAST(nc.n + {j} AS INTEGER), {scaled(c)} "
+              f"FROM te, s, nc" for j, c in enumerate(numeric_phys)]
+    parts += [f"SELECT te.id_mutation, te.valeur_fonciere, 'contextual', {j}, {scaled(c)} FROM te, s"
+              for j, c in enumerate(numeric_ctx)]
+    union = "\n  UNION ALL ".join(parts)
+    return features_sql() + f""",
+tr AS (SELECT * FROM features WHERE {SPLIT_U} < 0.8),
+te AS (SELECT * FROM features WHERE {SPLIT_U} >= 0.8),
+cats AS (SELECT cat, CAST(row_number() OVER (ORDER BY cat) - 1 AS INTEGER) AS pos
+         FROM (SELECT DISTINCT type_local AS cat FROM tr WHERE type_local IS NOT NULL)),
+nc AS (SELECT CAST(count(*) AS INTEGER) AS n FROM cats),
+s AS (SELECT {stats} FROM tr),
+long AS (
+  {union})
+SELECT id_mutation, valeur_fonciere, block, pos, round(value, 6) AS value FROM long
+"""

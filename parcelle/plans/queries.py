@@ -759,3 +759,42 @@ ORACLES.update({
     "poi_counts_around": O.poi_around_sql(*AROUND_POINT),
     "shap_share_baseline": O.SHAP_SHARE_BASELINE,
 })
+
+
+# ---------------------------------------------------------------------------
+# Two-block column transformer (E-4, E-5), blocks as columns of one row
+# (J-7), the combined vector sliced back into its blocks (M-10)
+# ---------------------------------------------------------------------------
+from pyspark.ml.feature import VectorAssembler  # noqa: E402
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from parcelle.schemas import CATEGORICAL_PHYSICAL  # noqa: E402
+
+BLOCK_CONTEXT = ["longitude", "latitude"]
+
+
+def q_encoded_blocks(spark, sf_dir):
+    """Physical block (imputer → one-hot type, imputer → robust scaler) and
+    contextual block (imputer → robust scaler on the coordinates), fitted on
+    the train split, applied to the test split, assembled side by side into
+    one vector and sliced back: one row per (sale, block, position)."""
+    # the encoders make several passes (modes, categories, quartiles) over
+    # the train rows: cut the lineage once instead of re-running the roll-up
+    s = _split_features(spark, sf_dir).checkpoint()
+    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+    phys = enc.BlockEncoder(CATEGORICAL_PHYSICAL, NUMERIC_PHYSICAL, None, "x_phys").fit(train)
+    ctx = enc.BlockEncoder((), BLOCK_CONTEXT, None, "x_ctx").fit(train)
+    both = VectorAssembler(inputCols=["x_phys", "x_ctx"], outputCol="x_all").transform(
+        ctx.transform(phys.transform(test)))
+    n_phys = len(phys.feature_names())
+    return (both.select("id_mutation", "valeur_fonciere",
+                        F.posexplode(vector_to_array("x_all")).alias("pos", "col"))
+            .select("id_mutation", "valeur_fonciere",
+                    F.when(F.col("pos") < n_phys, "physical").otherwise("contextual").alias("block"),
+                    F.when(F.col("pos") < n_phys, F.col("pos"))
+                    .otherwise(F.col("pos") - n_phys).cast("int").alias("pos"),
+                    F.round("col", 6).alias("value")))
+
+
+QUERIES["encoded_blocks"] = q_encoded_blocks
+ORACLES["encoded_blocks"] = O.encoded_blocks_sql(NUMERIC_PHYSICAL, BLOCK_CONTEXT)
