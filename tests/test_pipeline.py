@@ -157,3 +157,24 @@ def test_grown_trees_are_valid_isolation_trees():
             stack += [(left[nd], idx[go], depth + 1), (right[nd], idx[~go], depth + 1)]
         assert seen == len(feat)
     assert len(forest[1][0]) == 1          # a constant sample is a single leaf
+
+
+def test_forest_fit_moves_rows_once(spark, monkeypatch):
+    """Group sizes are broadcast to the rows, so the sample reaches the growth
+    stage with a single exchange (the spread over tasks)."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    from parcelle.operators.anomaly import IsolationForest
+    plans, orig = [], Classic.checkpoint
+
+    def spy(self, eager=True):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return orig(self, eager)
+
+    rng = np.random.default_rng(5)
+    rows = [(f"g{i % 3}", f"k{i}", float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 1, (900, 2)))]
+    df = spark.createDataFrame(rows, "grp string, id_mutation string, a double, b double")
+    monkeypatch.setattr(Classic, "checkpoint", spy)
+    IsolationForest(["a", "b"], ("grp",), ("id_mutation",), n_trees=10).fit(df)
+    grow = plans[-1]
+    assert "FlatMapGroupsInPandas" in grow and "BroadcastHashJoin" in grow, grow
+    assert grow.count("Exchange hashpartitioning") == 1, grow
