@@ -67,10 +67,16 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
 def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """:func:`exact_quantiles` over a long (feature, value) table — any
     string ``feature`` works as the group (e.g. a region|year key)."""
-    spark = long_df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dist = (long_df.select("feature", F.col("value").cast("double").alias("value")).dropna()
             .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
+    return exact_quantiles_counts(dist, probs)
+
+
+def exact_quantiles_counts(dist: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """:func:`exact_quantiles` from a pre-counted (feature, value, n) table
+    with one row per distinct non-null (feature, value)."""
+    spark = dist.sparkSession
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (dist.repartitionByRange(n_parts, "feature", "value")
               .withColumn("_pid", F.spark_partition_id()))
     w = (Window.partitionBy("_pid", "feature").orderBy("value")
@@ -222,22 +228,48 @@ class BlockEncoder:
         self.categories, self.output = categories or {}, output
 
     def fit(self, df: DataFrame) -> BlockEncoderModel:
-        ci = ModeImputer(self.categorical).fit(df) if self.categorical else None
-        filled = ci.transform(df) if ci else df
-        ohs = [OneHot(c, self.categories.get(c)).fit(filled) for c in self.categorical]
-        ni = ModeImputer(self.numeric).fit(df) if self.numeric else None
-        nf = ni.transform(df) if ni else df
-        sc = RobustScaler(self.numeric).fit(nf) if self.numeric else None
-        return BlockEncoderModel(ci, ohs, ni, sc, self.output)
-
-
-def grouped_quantiles(df: DataFrame, keys, value: str, probs=(0.5,)) -> DataFrame:
-    """(keys…, p, value): exact linear quantiles of ``value`` per group by the
-    distributed rank search — a hot group is spread over range partitions
-    instead of one task's buffer (which ``percentile`` would build)."""
-    keys = list(keys)
-    schema = df.select(*keys).schema
-    key = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    q = exact_quantiles_long(df.select(key.alias("feature"), F.col(value).alias("value")), probs)
-    parsed = F.from_json(F.col("feature"), schema)
-    return q.select(*[parsed[k].alias(k) for k in keys], "p", "value")
+        """One aggregate per categorical column and one for all numeric
+        columns; every fitted statistic comes from those count tables.
+
+        * categorical: (value, n) — bounded by the category count — gives the
+          mode (ties → smallest) and, after filling, the category list;
+        * numeric: (feature, value, n) with the nulls as value null gives the
+          mode, and moving each null count onto its mode gives the counts of
+          the imputed data, whose exact quartiles feed the scaler — the same
+          statistics as imputer-then-scaler, without a second pass."""
+        ci = ohs = None
+        if self.categorical:
+            modes, ohs = {}, []
+            for c in self.categorical:
+                counts = [(r[0], r[1]) for r in
+                          df.groupBy(c).agg(F.count(F.lit(1)).alias("n")).collect()]
+                known = [(v, n) for v, n in counts if v is not None]
+                modes[c] = min(known, key=lambda vn: (-vn[1], vn[0]))[0] if known else None
+                cats = self.categories.get(c)
+                if cats is None:
+                    cats = sorted(v for v, _ in known)
+                ohs.append(OneHotModel(c, list(cats)))
+            ci = ModeImputerModel(modes)
+        ni = sc = None
+        if self.numeric:
+            counts = (_long_form(df, self.numeric).groupBy("feature", "value")
+                      .agg(F.count(F.lit(1)).alias("n")).checkpoint())
+            known = counts.filter(F.col("value").isNotNull())
+            mode_rows = (known.groupBy("feature")
+                         .agg(F.max_by("value", F.struct(F.col("n"), -F.col("value"))).alias("mode"))
+                         .collect())
+            modes = {r["feature"]: r["mode"] for r in mode_rows}
+            ni = ModeImputerModel(modes)
+            nulls = [(r["feature"], float(modes[r["feature"]]), r["n"]) for r in
+                     counts.filter(F.col("value").isNull()).collect()
+                     if modes.get(r["feature"]) is not None]
+            filled = known
+            if nulls:
+                moved = df.sparkSession.createDataFrame(nulls, "feature string, value double, n long")
+                filled = (known.unionByName(moved).groupBy("feature", "value")
+                          .agg(F.sum("n").alias("n")))
+            q = {(r["feature"], r["p"]): r["value"] for r in exact_quantiles_counts(filled).collect()}
+            med = {c: q.get((c, 0.5), 0.0) for c in self.numeric}
+            iqr = {c: q.get((c, 0.75), 0.0) - q.get((c, 0.25), 0.0) for c in self.numeric}
+            sc = RobustScalerModel(med, iqr)
+        return BlockEncoderModel(ci, ohs or [], ni, sc, self.output)

@@ -121,3 +121,20 @@ def test_empty_bin_is_null(spark):
     df = spark.createDataFrame([(0.0, 1.0), (12.0, 3.0)], "y double, prediction double")
     b = {r.bin: r for r in binned_curve(df, dx=5.0).collect()}
     assert b[1].mean_prediction is None and b[1].n == 0
+
+
+def test_block_encoder_fused_fit_equals_step_by_step(spark):
+    """One count table per block gives the same modes, categories, medians and
+    IQRs as imputer → one-hot → imputer → scaler fitted step by step."""
+    from parcelle.operators.encode import BlockEncoder, ModeImputer, OneHot, RobustScaler
+    rows = [("b", 1.0, None), ("a", 2.0, 5.0), (None, None, 5.0), ("b", 2.0, 7.0),
+            ("c", 9.0, None), ("b", 4.0, 1.0), (None, 2.0, None), ("a", None, 3.0)]
+    df = spark.createDataFrame(rows, "t string, x double, y double")
+    m = BlockEncoder(["t"], ["x", "y"], None, "v").fit(df)
+    ci = ModeImputer(["t"]).fit(df)
+    oh = OneHot("t").fit(ci.transform(df))
+    ni = ModeImputer(["x", "y"]).fit(df)
+    sc = RobustScaler(["x", "y"]).fit(ni.transform(df))
+    assert m.cat_imputer.modes == ci.modes and m.onehots[0].categories == oh.categories
+    assert m.num_imputer.modes == ni.modes
+    assert m.scaler.median == sc.median and m.scaler.iqr == sc.iqr
