@@ -93,3 +93,33 @@ def test_combined_weighted_and_save_load(spark):
     sweep = {r.weight: r.mse for r in weight_sweep(oof, [0.0, 1.0]).collect()}
     assert sweep[0.0] == pytest.approx(
         oof.select(F.avg(F.pow(F.col("label") - F.col("p_ctx"), 2))).first()[0])
+
+
+def test_shapley_values_are_additive(spark):
+    """Σφ(x) = f(x) − mean over the background of f(b): every permutation's
+    marginal contributions telescope, so the sampled values are additive."""
+    from pyspark.ml.regression import LinearRegression
+    from parcelle.models.combined import shapley_values
+    rng = np.random.default_rng(4)
+    X = rng.normal(size=(60, 4))
+    y = X @ np.array([1.0, -2.0, 0.5, 3.0]) + 0.3 * X[:, 0] * X[:, 3]
+    schema = T.StructType([T.StructField("_sid", T.LongType()), T.StructField("x_all", VectorUDT()),
+                           T.StructField("x_phys", VectorUDT()), T.StructField("x_ctx", VectorUDT()),
+                           T.StructField("label", T.DoubleType())])
+    df = spark.createDataFrame([(i, Vectors.dense(x.tolist()), Vectors.dense(x[:2].tolist()),
+                                 Vectors.dense(x[2:].tolist()), float(t)) for i, (x, t) in enumerate(zip(X, y))],
+                               schema)
+    phys = LinearRegression(featuresCol="x_phys", labelCol="label").fit(df)
+    ctx = LinearRegression(featuresCol="x_ctx", labelCol="label").fit(df)
+    model = CombinedModel(phys, ctx, 0.3)
+    bg = X[:5].tolist()
+    phi = shapley_values(model, df.filter("_sid >= 50"), bg, 2, n_permutations=3)
+    sums = {r["_sid"]: r["s"] for r in phi.groupBy("_sid").agg(F.sum("phi").alias("s")).collect()}
+
+    def f(rows):
+        return np.array([0.3 * (phys.intercept + r[:2] @ phys.coefficients.toArray())
+                         + 0.7 * (ctx.intercept + r[2:] @ ctx.coefficients.toArray()) for r in rows])
+
+    base = f(np.array(bg)).mean()
+    for i in range(50, 60):
+        assert sums[i] == pytest.approx(f(X[i:i + 1])[0] - base, abs=1e-6)

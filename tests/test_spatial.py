@@ -38,6 +38,11 @@ def test_knn_equals_brute_force(spark, seed, clustered):
     assert set(got) == set(want)
     for key in want:
         assert math.isclose(got[key], want[key], rel_tol=1e-9, abs_tol=1e-9)
+    # an inverse-distance mean lies between its k neighbours' min and max
+    for (x, y), v in got.items():
+        near = sorted(((gx_ - x) ** 2 + (gy_ - y) ** 2, gid, m) for gid, gx_, gy_, m in grid)[:4]
+        vals = [m for _, _, m in near]
+        assert min(vals) - 1e-9 <= v <= max(vals) + 1e-9
 
 
 def test_knn_k1_and_too_few(spark):
