@@ -24,13 +24,41 @@ DEFAULT_CONF = {
 }
 
 
+MiB = 1024 * 1024
+
+
+def sized_conf(input_bytes: int, target_partition_bytes: int = 256 * MiB,
+               min_partitions: int = 200, max_partitions: int = 32768) -> dict:
+    """Partition sizing for an input of ``input_bytes`` (compressed on disk).
+
+    Scan splits and shuffle partitions both aim at ``target_partition_bytes``
+    so one task's share fits in executor memory without spilling; the shuffle
+    starts at one partition per target size of input (at least
+    ``min_partitions``) and AQE merges the small ones and splits skewed ones
+    at run time.  The count is capped at ``max_partitions``: map tasks ×
+    reduce partitions shuffle blocks grow quadratically, and a stage's
+    shuffle is usually far smaller than the raw input after pruning and
+    partial aggregation (at 100 TB the cap applies: 32,768 partitions)."""
+    n = min(max_partitions, max(min_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def get_spark(master: str | None = None, app: str = "parcelle",
               shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, input_bytes: int | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if input_bytes:
+        conf.update(sized_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
