@@ -138,3 +138,12 @@ def test_block_encoder_fused_fit_equals_step_by_step(spark):
     assert m.cat_imputer.modes == ci.modes and m.onehots[0].categories == oh.categories
     assert m.num_imputer.modes == ni.modes
     assert m.scaler.median == sc.median and m.scaler.iqr == sc.iqr
+
+
+def test_sized_conf_bounds():
+    from parcelle.session import sized_conf
+    small, mid, huge = sized_conf(10 ** 6), sized_conf(2 * 1024 ** 4), sized_conf(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert mid["spark.sql.shuffle.partitions"] == str(2 * 1024 ** 4 // (256 * 1024 ** 2))
+    assert huge["spark.sql.shuffle.partitions"] == "32768"
+    assert huge["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
