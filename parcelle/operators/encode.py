@@ -20,6 +20,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelle.operators.sizing import maybe_broadcast
+
 
 # ---------------------------------------------------------------------------
 # Statistics
@@ -64,12 +66,68 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     return exact_quantiles_long(_long_form(df, cols), probs)
 
 
-def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
+                         accuracy: int = 100_000) -> DataFrame:
     """:func:`exact_quantiles` over a long (feature, value) table — any
-    string ``feature`` works as the group (e.g. a region|year key)."""
-    dist = (long_df.select("feature", F.col("value").cast("double").alias("value")).dropna()
-            .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n")))
-    return exact_quantiles_counts(dist, probs)
+    string ``feature`` works as the group (e.g. a region|year key).
+
+    No full sort: a ``percentile_approx`` sketch (map-side partial
+    aggregates, rank error ≤ n/accuracy) brackets each target rank with a
+    value band, one aggregate pass counts the rows below each band and keeps
+    only the band's distinct values, and the exact ranks are read from that
+    small table.  A target whose band misses its ranks (the sketch bound
+    should prevent it) is recomputed by the full rank search."""
+    spark = long_df.sparkSession
+    vals = long_df.select("feature", F.col("value").cast("double").alias("value")).dropna()
+    probs = [float(p) for p in probs]
+    eps = 2.0 / accuracy
+    qs = sorted({min(1.0, max(0.0, x)) for p in probs for x in (p - eps, p + eps)})
+    sk = vals.groupBy("feature").agg(F.count(F.lit(1)).alias("n"),
+                                     F.percentile_approx("value", qs, accuracy).alias("a")).collect()
+    targets = []
+    for r in sk:
+        at = dict(zip(qs, r["a"]))
+        n = r["n"]
+        for p in probs:
+            pos = p * (n - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            targets.append((r["feature"], p, lo, hi, pos - lo,
+                            at[min(1.0, max(0.0, p - eps))], at[min(1.0, max(0.0, p + eps))]))
+    schema = "feature string, p double, lo long, hi long, frac double, a double, b double"
+    tg = spark.createDataFrame(targets, schema)
+    if not targets:
+        return spark.createDataFrame([], "feature string, p double, value double")
+    # one row for everything below the band, one above, one per band value
+    j = vals.join(maybe_broadcast(tg, rows=len(targets)), "feature")
+    side = (F.when(F.col("value") < F.col("a"), F.lit(-1))
+            .when(F.col("value") > F.col("b"), F.lit(1)).otherwise(F.lit(0)))
+    counted = (j.groupBy("feature", "p", side.alias("_side"),
+                         F.when(side == 0, F.col("value")).alias("_v"))
+               .agg(F.count(F.lit(1)).alias("n")).checkpoint())
+    below = counted.filter(F.col("_side") == -1).select("feature", "p", F.col("n").alias("_below"))
+    w = (Window.partitionBy("feature", "p").orderBy("_v")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    band = (counted.filter(F.col("_side") == 0)
+            .join(below, ["feature", "p"], "left")
+            .withColumn("_end", F.coalesce("_below", F.lit(0)) + F.sum("n").over(w))
+            .withColumn("_start", F.col("_end") - F.col("n"))
+            .join(F.broadcast(tg.select("feature", "p", "lo", "hi", "frac")), ["feature", "p"]))
+    has_lo = (F.col("lo") >= F.col("_start")) & (F.col("lo") < F.col("_end"))
+    has_hi = (F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end"))
+    picked = (band.groupBy("feature", "p", "frac")
+              .agg(F.max(F.when(has_lo, F.col("_v"))).alias("v_lo"),
+                   F.max(F.when(has_hi, F.col("_v"))).alias("v_hi"))
+              .select("feature", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
+                      .alias("value"))
+              .checkpoint())
+    found = {(r["feature"], r["p"]) for r in picked.filter(F.col("value").isNotNull()).collect()}
+    missed = sorted({t[0] for t in targets if (t[0], t[1]) not in found})
+    if not missed:
+        return picked
+    rest = (vals.filter(F.col("feature").isin(missed)).groupBy("feature", "value")
+            .agg(F.count(F.lit(1)).alias("n")))
+    return (picked.filter(~F.col("feature").isin(missed))
+            .unionByName(exact_quantiles_counts(rest, probs)))
 
 
 def exact_quantiles_counts(dist: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
@@ -273,3 +331,15 @@ class BlockEncoder:
             iqr = {c: q.get((c, 0.75), 0.0) - q.get((c, 0.25), 0.0) for c in self.numeric}
             sc = RobustScalerModel(med, iqr)
         return BlockEncoderModel(ci, ohs or [], ni, sc, self.output)
+
+
+def grouped_quantiles(df: DataFrame, keys, value: str, probs=(0.5,)) -> DataFrame:
+    """(keys…, p, value): exact linear quantiles of ``value`` per group by the
+    distributed rank search — a hot group is spread over many tasks instead of
+    one task's buffer (which ``percentile`` would build)."""
+    keys = list(keys)
+    schema = df.select(*keys).schema
+    key = F.to_json(F.struct(*[F.col(k) for k in keys]))
+    q = exact_quantiles_long(df.select(key.alias("feature"), F.col(value).alias("value")), probs)
+    parsed = F.from_json(F.col("feature"), schema)
+    return q.select(*[parsed[k].alias(k) for k in keys], "p", "value")

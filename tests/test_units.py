@@ -147,3 +147,32 @@ def test_sized_conf_bounds():
     assert mid["spark.sql.shuffle.partitions"] == str(2 * 1024 ** 4 // (256 * 1024 ** 2))
     assert huge["spark.sql.shuffle.partitions"] == "32768"
     assert huge["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
+
+
+@pytest.mark.parametrize("accuracy", [1, 50, 100_000])
+def test_banded_quantiles_equal_numpy(spark, accuracy):
+    import numpy as np
+    from parcelle.operators.encode import exact_quantiles_long
+    rng = np.random.default_rng(11)
+    data = {"g1": rng.integers(0, 20, 500).astype(float),      # many ties
+            "g2": rng.normal(size=301), "g3": np.array([4.0]), "g4": np.array([2.0, 1.0])}
+    rows = [(k, float(v)) for k, vs in data.items() for v in vs] + [("g1", None)]
+    df = spark.createDataFrame(rows, "feature string, value double")
+    got = {(r.feature, r.p): r.value for r in exact_quantiles_long(df, (0.1, 0.25, 0.5, 0.75), accuracy).collect()}
+    for k, vs in data.items():
+        for p in (0.1, 0.25, 0.5, 0.75):
+            assert got[(k, p)] == pytest.approx(float(np.quantile(vs, p)), abs=1e-12)
+
+
+def test_banded_quantiles_fall_back_when_band_misses(spark, monkeypatch):
+    import numpy as np
+    from parcelle.operators import encode
+    real = encode.F.percentile_approx
+    # a sketch that brackets nothing useful: every bound is the maximum
+    monkeypatch.setattr(encode.F, "percentile_approx",
+                        lambda c, qs, acc: encode.F.array(*[encode.F.max(c)] * len(qs)))
+    vs = np.arange(100.0)
+    df = spark.createDataFrame([("x", float(v)) for v in vs], "feature string, value double")
+    got = {r.p: r.value for r in encode.exact_quantiles_long(df, (0.25, 0.5)).collect()}
+    monkeypatch.setattr(encode.F, "percentile_approx", real)
+    assert got == {0.25: np.quantile(vs, 0.25), 0.5: np.quantile(vs, 0.5)}
