@@ -67,7 +67,7 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
 
 
 def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
-                         accuracy: int = 100_000) -> DataFrame:
+                         accuracy: int = 10_000) -> DataFrame:
     """:func:`exact_quantiles` over a long (feature, value) table — any
     string ``feature`` works as the group (e.g. a region|year key).
 
@@ -76,7 +76,9 @@ def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
     value band, one aggregate pass counts the rows below each band and keeps
     only the band's distinct values, and the exact ranks are read from that
     small table.  A target whose band misses its ranks (the sketch bound
-    should prevent it) is recomputed by the full rank search."""
+    should prevent it) is recomputed by the full rank search.  ``accuracy``
+    trades sketch memory (about 1/accuracy·log n entries per group and task)
+    against band width (about 4n/accuracy rows per target)."""
     spark = long_df.sparkSession
     vals = long_df.select("feature", F.col("value").cast("double").alias("value")).dropna()
     probs = [float(p) for p in probs]
