@@ -120,16 +120,18 @@ def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
               .agg(F.max(F.when(has_lo, F.col("_v"))).alias("v_lo"),
                    F.max(F.when(has_hi, F.col("_v"))).alias("v_hi"))
               .select("feature", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
-                      .alias("value"))
-              .checkpoint())
-    found = {(r["feature"], r["p"]) for r in picked.filter(F.col("value").isNotNull()).collect()}
+                      .alias("value")))
+    # one row per (feature, p): a bounded statistics table, read once
+    rows = [(r["feature"], r["p"], r["value"]) for r in picked.collect() if r["value"] is not None]
+    found = {(f, p) for f, p, _ in rows}
     missed = sorted({t[0] for t in targets if (t[0], t[1]) not in found})
+    out_schema = "feature string, p double, value double"
+    kept = spark.createDataFrame([r for r in rows if r[0] not in missed], out_schema)
     if not missed:
-        return picked
+        return kept
     rest = (vals.filter(F.col("feature").isin(missed)).groupBy("feature", "value")
             .agg(F.count(F.lit(1)).alias("n")))
-    return (picked.filter(~F.col("feature").isin(missed))
-            .unionByName(exact_quantiles_counts(rest, probs)))
+    return kept.unionByName(exact_quantiles_counts(rest, probs))
 
 
 def exact_quantiles_counts(dist: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
