@@ -51,18 +51,8 @@ def string_mode(df: DataFrame, col: str) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """(feature, p, value) — linear-interpolated quantiles, exactly as NumPy's
-    default rule, for every column at once.
-
-    1. unpivot and pre-aggregate to distinct (column, value, n): a hot value is
-       one row, so the next shuffle cannot skew;
-    2. range-partition + sort the distinct pairs and take running counts inside
-       each partition (a window over the partition id — bounded by partition
-       size);
-    3. per-(partition, column) totals → prefix offsets on the driver (one small
-       row per partition and column);
-    4. keep only the rows holding the ranks floor(p·(n−1)) and ceil(p·(n−1)),
-       interpolate.
-    """
+    default rule, for every column at once: the table is unpivoted to
+    (column, value) and handed to :func:`exact_quantiles_long`."""
     return exact_quantiles_long(_long_form(df, cols), probs)
 
 
@@ -95,10 +85,10 @@ def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
             lo, hi = math.floor(pos), math.ceil(pos)
             targets.append((r["feature"], p, lo, hi, pos - lo,
                             at[min(1.0, max(0.0, p - eps))], at[min(1.0, max(0.0, p + eps))]))
-    schema = "feature string, p double, lo long, hi long, frac double, a double, b double"
-    tg = spark.createDataFrame(targets, schema)
     if not targets:
         return spark.createDataFrame([], "feature string, p double, value double")
+    schema = "feature string, p double, lo long, hi long, frac double, a double, b double"
+    tg = spark.createDataFrame(targets, schema)
     # one row for everything below the band, one above, one per band value
     j = vals.join(maybe_broadcast(tg, rows=len(targets)), "feature")
     side = (F.when(F.col("value") < F.col("a"), F.lit(-1))
@@ -113,7 +103,8 @@ def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
             .join(below, ["feature", "p"], "left")
             .withColumn("_end", F.coalesce("_below", F.lit(0)) + F.sum("n").over(w))
             .withColumn("_start", F.col("_end") - F.col("n"))
-            .join(F.broadcast(tg.select("feature", "p", "lo", "hi", "frac")), ["feature", "p"]))
+            .join(maybe_broadcast(tg.select("feature", "p", "lo", "hi", "frac"), rows=len(targets)),
+                  ["feature", "p"]))
     has_lo = (F.col("lo") >= F.col("_start")) & (F.col("lo") < F.col("_end"))
     has_hi = (F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end"))
     picked = (band.groupBy("feature", "p", "frac")
@@ -135,8 +126,15 @@ def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
 
 
 def exact_quantiles_counts(dist: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
-    """:func:`exact_quantiles` from a pre-counted (feature, value, n) table
-    with one row per distinct non-null (feature, value)."""
+    """Exact quantiles from a pre-counted (feature, value, n) table with one
+    row per distinct non-null (feature, value) — the full rank search:
+
+    1. range-partition + sort the distinct pairs (a hot value is one row, so
+       this cannot skew) and take running counts inside each partition;
+    2. per-(partition, feature) totals → prefix offsets on the driver (one
+       small row per partition and feature);
+    3. keep only the rows holding the ranks floor(p·(n−1)) and ceil(p·(n−1)),
+       interpolate."""
     spark = dist.sparkSession
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (dist.repartitionByRange(n_parts, "feature", "value")
