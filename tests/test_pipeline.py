@@ -178,3 +178,15 @@ def test_forest_fit_moves_rows_once(spark, monkeypatch):
     grow = plans[-1]
     assert "FlatMapGroupsInPandas" in grow and "BroadcastHashJoin" in grow, grow
     assert grow.count("Exchange hashpartitioning") == 1, grow
+
+
+def test_missing_files_in_partitioned_layout(spark):
+    from parcelle.sources.transactions import missing_transaction_files, write_transactions_csv
+    from parcelle.schemas import TRANSACTION_COLUMNS
+    base = tempfile.mkdtemp(prefix="parcelle-miss-") + "/t"
+    cols = ", ".join(f"cast(null as {t.simpleString()}) as {n}" for n, t in TRANSACTION_COLUMNS[1:])
+    df = spark.sql(f"select cast(id as string) as id_mutation, {cols}, 2020 as year, "
+                   "'2A' as departement from range(3)")
+    write_transactions_csv(df, base)
+    assert missing_transaction_files(spark, base, [2020, 2021], ["2A", 5], layout="partitioned") == \
+        [(2020, "05"), (2021, "2A"), (2021, "05")]
