@@ -17,6 +17,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelle.functions.columns import MERCATOR_RADIUS, haversine, mercator_x, mercator_y, unit_xyz
 from parcelle.operators.sizing import maybe_broadcast
@@ -123,20 +124,34 @@ def radius_poi_counts(grid: DataFrame, poi: DataFrame, radius: float = 500.0,
     ``densite >= min_density`` are enriched; the others keep zeros.
     """
     keys = list(keys)
-    g = grid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_mult"))
+    # Grid keys are grouped under one exact text key (null-safe, -0.0 folded
+    # into 0.0, as GROUP BY compares them).  Unlike float keys, which are
+    # normalised anew at each operator, the text key lets the join back of
+    # the counts reuse both aggregates' partitioning: no further exchange.
+    g = grid.groupBy(_text_key(grid, keys).alias("_gk")).agg(
+        F.count(F.lit(1)).alias("_mult"), *[F.first(k).alias(k) for k in keys])
     todo = g if min_density is None else g.filter(F.col("densite") >= F.lit(min_density))
-    cells = todo.select(*keys, "_mult", mercator_x("lon").alias("cx_m"),
+    cells = todo.select("_gk", "_mult", mercator_x("lon").alias("cx_m"),
                         mercator_y("lat").alias("cy_m"))
     pts, names = _poi_points(poi, named_only)
     pairs = _planar_pairs(cells, pts, radius)
-    counts = (pairs.groupBy(*keys)
-              .agg(*[F.sum(F.col(n) * F.col("_mult")).alias(n) for n in names])
-              .select(*[F.col(k).alias(f"_k_{k}") for k in keys], *names))
-    cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    return g.join(counts, cond, "left").select(
+    counts = (pairs.groupBy("_gk")
+              .agg(*[F.sum(F.col(n) * F.col("_mult")).alias(n) for n in names]))
+    return g.join(counts, "_gk", "left").select(
         *keys, *[F.coalesce(F.col(n), F.lit(0)).cast("long").alias(n) for n in names])
 
 
+def _text_key(df: DataFrame, cols) -> Column:
+    """Exact, null-safe text form of a numeric key tuple."""
+    parts = []
+    for c in cols:
+        x = F.col(c)
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            x = x + F.lit(0.0).cast(df.schema[c].dataType)
+        parts.append(F.coalesce(x.cast("string"), F.lit("null")))
+    return F.concat_ws("|", *parts)
+
+
 def radius_poi_counts_per_row(grid: DataFrame, poi: DataFrame, radius: float = 500.0,
                               id_col: str = "grid_id", named_only: bool = True) -> DataFrame:
     """One output row per grid row (kept row-aligned by ``id_col``), counting

@@ -168,3 +168,17 @@ def test_counts_around_point_one_row_even_when_empty(spark):
     far = poi_counts_around(poi, -20.0, 10.0, 500.0).collect()
     assert len(far) == 1 and all(v == 0 for v in far[0])
     assert poi_counts_around(poi, 2.5, 47.0, 500.0, named_only=True).first().shopping_pois == 0
+
+
+def test_radius_join_back_reuses_aggregate_partitioning(spark):
+    """Shuffles: the grid-key aggregate (once per use: cells, join back), the
+    POI points and the per-key counts.  Joining the zero-count keys back onto
+    the grid adds none: both sides are already partitioned by the text key."""
+    from parcelle.sources import fixtures as fx
+    from conftest import SF_SMALL
+    df = radius_poi_counts(fx.grid(spark, SF_SMALL), fx.poi(spark, SF_SMALL), 20000.0)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4, plan
+    join = plan[plan.index("SortMergeJoin"):]
+    first_two = [ln.strip() for ln in join.splitlines()[1:4]]
+    assert not any(ln.startswith(("+- Exchange", ":- Exchange")) for ln in first_two), plan
