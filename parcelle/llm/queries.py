@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelle.llm import importance, pfair, simhash, surrogates, templates
+from parcelle.llm import importance, licenses, linecrf, pfair, simhash, surrogates, templates, urlmodel, warc
 from parcelle.llm.tables import table
 
 
+def op1_urlmodel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of all page urls."""
+    return urlmodel.judge(table(spark, sf_dir, "pages"))
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, deduplicated by revisits, read back and resolved."""
+    return warc.crawl_to_archive(table(spark, sf_dir, "pages"))[0]
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-duplicate components of all documents (4-word shingles, 4 bits)."""
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -30,12 +40,31 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_replaced")
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and matching license templates of all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_linecrf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base quality counts and CRF content share of all documents."""
+    return linecrf.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance weight and Gumbel top-k decision of all documents."""
     rows = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return rows.select("doc_id", "n_features", "log_weight", "tempered", "gumbel_score", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_templates, op5_pfair, op6_surrogates, op10_importance)}
+QUERIES = {f.__name__: f for f in (op1_urlmodel, op2_warc, op3_simhash, op4_templates, op5_pfair, op6_surrogates, op8_licenses, op9_linecrf, op10_importance)}
 
-ORACLES: dict[str, str] = {}
+#: DuckDB text. Operator 2's whole result is a group by payload; the others keep their models' results out of SQL's reach.
+ORACLES: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+             d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha256(h) AS payload_digest FROM p),
+             f AS (SELECT payload_digest, min(page_id) AS o FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT page_id, payload_bytes, d.payload_digest, CASE WHEN o IS NULL OR o = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN o <> page_id THEN o END AS refers_to
+        FROM d LEFT JOIN f ON d.payload_digest = f.payload_digest""",
+}
