@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelle.llm import importance, licenses, linecrf, pfair, simhash, surrogates, templates, urlmodel, warc
+from parcelle.llm import importance, katz, licenses, linecrf, pfair, simhash, surrogates, templates, urlmodel, warc
 from parcelle.llm.tables import table
 
 
@@ -40,6 +40,11 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), count_col="n_replaced")
 
 
+def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Katz backoff score and base score of all documents."""
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and matching license templates of all documents."""
     return licenses.scan(table(spark, sf_dir, "documents"))
@@ -56,7 +61,8 @@ def op10_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_features", "log_weight", "tempered", "gumbel_score", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_urlmodel, op2_warc, op3_simhash, op4_templates, op5_pfair, op6_surrogates, op8_licenses, op9_linecrf, op10_importance)}
+QUERIES = {f.__name__: f for f in (op1_urlmodel, op2_warc, op3_simhash, op4_templates, op5_pfair, op6_surrogates, op7_katz, op8_licenses,
+                                    op9_linecrf, op10_importance)}
 
 #: DuckDB text. Operator 2's whole result is a group by payload; the others keep their models' results out of SQL's reach.
 ORACLES: dict[str, str] = {

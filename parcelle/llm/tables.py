@@ -15,13 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage is cut, a lost executor
     costs nothing already written, and the next join knows the table's real size."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
