@@ -30,13 +30,12 @@ empty table gives an empty result; other columns are not looked at.
 
 from __future__ import annotations
 
-import gc
 import pickle
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelle.llm.tables import saved
@@ -44,7 +43,7 @@ from parcelle.llm.words import mix64, slices
 
 K, EPS = 5, 1e-3
 SLICE_BYTES = 16 << 20
-MIN_BUCKETS, BUCKET_TOKENS = 64, 3_000_000
+MIN_BUCKETS, BUCKET_TOKENS, ROUNDS = 128, 2_000_000, 2
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
 
@@ -63,12 +62,6 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return pickle.loads(ZstdDecompressor().decompress(bytes(blob)))
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of steps that are done."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def discounted(counts_of_counts: np.ndarray) -> np.ndarray:
     """r* for r = 0 .. K (0 for r = 0) from n_1 .. n_(K+1); absolute discounting where Good-Turing gives no valid value."""
     n = np.concatenate([[0], counts_of_counts]).astype(float)
@@ -141,8 +134,8 @@ class Model:
         return np.log10((c + 0.5) / (self.n + 0.5 * (self.v + 1)))
 
 
-def _places(src: DataFrame, model) -> DataFrame:
-    """bucket, slice, blob: packed places; bucket -1: the slice's texts."""
+def _places(src: DataFrame, model, turn: int, rounds: int) -> DataFrame:
+    """bucket, slice, blob: packed places of every ``rounds``-th bucket; bucket -1: the slice's texts (first round)."""
     def run(batches):
         from pyspark import TaskContext
         m = model.value
@@ -154,11 +147,14 @@ def _places(src: DataFrame, model) -> DataFrame:
                 own = train[t.first:t.first + t.n]
                 ids = b.column(0).slice(t.first, t.n)
                 out = [(-1, pack(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64),
-                                 (~own).astype(np.int64), np.bincount(doc, minlength=t.n)))]
+                                 (~own).astype(np.int64), np.bincount(doc, minlength=t.n)))] if turn == 0 else []
                 bucket = m.bucket(word, before)
+                mark = doc * 2 + own[doc]
+                if rounds > 1:
+                    use = bucket % rounds == turn
+                    word, before, mark, bucket = word[use], before[use], mark[use], bucket[use]
                 order = np.argsort((bucket.astype(np.uint64) << np.uint64(64 - m.bits)) | (mix64(word ^ mix64(before)) >> np.uint64(m.bits)))
                 cuts = np.searchsorted(bucket[order], np.arange((1 << m.bits) + 1))
-                mark = doc * 2 + own[doc]
                 for i, (x, y) in enumerate(zip(cuts, cuts[1:])):
                     if x < y:
                         pick = order[x:y]
@@ -184,13 +180,17 @@ def _count_bucket(model):
             words.append(w[wi])
             befores.append(h[hi])
             texts.append((np.int64(i) << np.int64(32)) | (mark >> 1).astype(np.int64))
-            trains.append((mark & 1).astype(np.int64))
-        word, before, text, train = map(np.concatenate, (words, befores, texts, trains))
+            trains.append((mark & 1).astype(np.int32))
+        word, before = np.concatenate(words), np.concatenate(befores)
+        del words, befores
         g = mix64(word ^ mix64(before))
-        order = np.argsort(g, kind="stable")
-        word, before, text, train, g = word[order], before[order], text[order], train[order], g[order]
+        order = np.argsort(g)
+        word, before, g = word[order], before[order], g[order]
+        text, train = np.concatenate(texts)[order], np.concatenate(trains)[order]
+        del texts, trains, order
         first = np.flatnonzero(np.concatenate([[True], g[1:] != g[:-1]]))
-        kind = np.cumsum(np.concatenate([[0], g[1:] != g[:-1]]))
+        kind = np.cumsum(np.concatenate([[0], g[1:] != g[:-1]]), dtype=np.int32)
+        del g
         r = np.add.reduceat(train, first)  # training count of each bigram
         w2, w1 = word[first], before[first]
         own, back = np.unique(w2, return_inverse=True)
@@ -316,8 +316,12 @@ def _finish(model, low, start_count: int):
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_buckets: int = MIN_BUCKETS, bucket_tokens: int = BUCKET_TOKENS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every row."""
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_buckets: int = MIN_BUCKETS, bucket_tokens: int = BUCKET_TOKENS,
+          rounds: int = ROUNDS) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10) of every row.
+
+    The buckets are filled in ``rounds`` passes over the texts, so that one pass's share of the packed places
+    lies in shuffle files at a time."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     src = _sources(docs, id_col, text_col)
@@ -337,12 +341,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_b
     end = words.filter(F.col("w") == int(END)).first()
     starts = int(end["c"]) if end else 0
 
-    places = _places(src, model)
-    # Heads (bucket -1) are dealt out by slice.
-    parts = saved(places.withColumn("_g", F.when(F.col("bucket") < 0, -1 - F.col("slice")).otherwise(F.col("bucket"))).groupBy("_g")
-                  .applyInPandas(_count_bucket(model), "kind string, key long, blob binary"), "katz-parts", "kind")
-    del places
-    release(spark)
+    parts = None
+    for turn in range(rounds):
+        # Heads (bucket -1) are dealt out by slice.
+        places = _places(src, model, turn, rounds).withColumn("_g", F.when(F.col("bucket") < 0, -1 - F.col("slice")).otherwise(F.col("bucket")))
+        part = saved(places.groupBy("_g").applyInPandas(_count_bucket(model), "kind string, key long, blob binary"), "katz-parts", "kind")
+        parts = part if parts is None else parts.unionByName(part)
     coc = np.zeros(K + 1, np.int64)
     for r in parts.filter("kind = 'coc'").toLocalIterator():  # one short row per bucket
         coc += unpack(r["blob"])[0].astype(np.int64)

@@ -9,6 +9,7 @@ from parcelle.session import checkpoint_dir, scratch_path
 
 #: Of one written or broadcast side whose size is counted first.
 BROADCAST_BYTES = 16 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +18,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def saved(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage is cut, a lost executor
-    costs nothing already written, and the next join knows the table's real size."""
+    costs nothing already written, and the next join knows the table's real size.  The shuffle
+    files of the write are dropped with it: nothing reads them again."""
     spark = df.sparkSession
     checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
