@@ -100,14 +100,27 @@ def _tokens(t):
     return before, word, doc
 
 
+def _pieces(column):
+    """(first text, texts, histories, words, text index) of runs of about SLICE_BYTES, hashed in smaller slices."""
+    held, size, first, n = [], 0, 0, 0
+    for t in slices(column):
+        before, word, doc = _tokens(t)
+        held.append((before, word, doc + n))
+        size, n = size + len(t.data), n + t.n
+        if size >= SLICE_BYTES:
+            yield first, n, *map(np.concatenate, zip(*held))
+            held, size, first, n = [], 0, first + n, 0
+    if held:
+        yield first, n, *map(np.concatenate, zip(*held))
+
+
 def word_counts(src: DataFrame) -> DataFrame:
     """w, c: training count of every word and of the end mark."""
     def run(batches):
         for b in batches:
             train = ~b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for t in slices(b.column(2), SLICE_BYTES):
-                _, word, doc = _tokens(t)
-                u, c = np.unique(word[train[t.first:t.first + t.n][doc]], return_counts=True)
+            for first, n, _, word, doc in _pieces(b.column(2)):
+                u, c = np.unique(word[train[first:first + n][doc]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c)], names=["w", "c"])
 
     return src.mapInArrow(run, "w long, c long").groupBy("w").agg(F.sum("c").alias("c"))
@@ -142,12 +155,11 @@ def _places(src: DataFrame, model, turn: int, rounds: int) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for b in batches:
             train = ~b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for t in slices(b.column(2), SLICE_BYTES):
-                before, word, doc = _tokens(t)
-                own = train[t.first:t.first + t.n]
-                ids = b.column(0).slice(t.first, t.n)
+            for first, n, before, word, doc in _pieces(b.column(2)):
+                own = train[first:first + n]
+                ids = b.column(0).slice(first, n)
                 out = [(-1, pack(ids.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64), ids.is_null().to_numpy(zero_copy_only=False).astype(np.int64),
-                                 (~own).astype(np.int64), np.bincount(doc, minlength=t.n)))] if turn == 0 else []
+                                 (~own).astype(np.int64), np.bincount(doc, minlength=n)))] if turn == 0 else []
                 bucket = m.bucket(word, before)
                 mark = doc * 2 + own[doc]
                 if rounds > 1:
