@@ -42,7 +42,7 @@ from parcelle.llm.tables import saved
 from parcelle.llm.words import mix64, slices
 
 K, EPS = 5, 1e-3
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 10 << 20
 MIN_BUCKETS, BUCKET_TOKENS, ROUNDS = 128, 2_000_000, 2
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 
