@@ -81,8 +81,8 @@ def pattern(slots: dict) -> list[tuple]:
     return out
 
 
-def numbered(docs: DataFrame, source: str, id_col: str, seed: int) -> DataFrame:
-    """The rows as _row, with _source (text, null as a source of its own) and _n, the row's number from 0 in its source."""
+def numbered(docs: DataFrame, source: str, id_col: str, seed: int) -> tuple[DataFrame, dict]:
+    """Rows by source (one entry per source), and the rows as _row, with _source (text, null as a source of its own) and _n, the row's number from 0 in its source."""
     src = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
     rows = docs.select(src.alias("_source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                        F.xxhash64(F.lit(seed), F.col(id_col), F.col(source)).alias("_k"), F.monotonically_increasing_id().alias("_tie"))
@@ -91,10 +91,11 @@ def numbered(docs: DataFrame, source: str, id_col: str, seed: int) -> DataFrame:
     # Numbered inside each partition, then written: counts and numbers refer to the same partitions.
     w = Window.partitionBy("_pid", "_source").orderBy("_k", "_tie")
     part = saved(ordered.withColumn("_i", F.row_number().over(w) - 1).drop("_k", "_tie"), "ordered")
-    counts = part.groupBy("_source", "_pid").agg(F.count(F.lit(1)).alias("c"))  # partitions + sources rows
+    counts = saved(part.groupBy("_source", "_pid").agg(F.count(F.lit(1)).alias("c")), "counts")  # fewer than partitions + sources rows, as the order is by source
+    sizes = {r["_source"]: r["n"] for r in counts.groupBy("_source").agg(F.sum("c").alias("n")).collect()}
     before = F.sum("c").over(Window.partitionBy("_source").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_source", "_pid", F.coalesce(before, F.lit(0)).alias("_off"))
-    return part.join(offsets, ["_source", "_pid"]).select("_row", "_source", (F.col("_off") + F.col("_i")).alias("_n"))
+    return part.join(F.broadcast(offsets), ["_source", "_pid"]).select("_row", "_source", (F.col("_off") + F.col("_i")).alias("_n")), sizes
 
 
 def natural_targets(sizes: dict, power: float = 0.5) -> dict:
@@ -109,8 +110,7 @@ def mix(docs: DataFrame, targets: dict | None = None, source: str = "source", id
     ``mix_slot`` then ``mix_place`` (place in the block) order the mix.  ``targets``: weight by source
     name (None: sizes to ``power``)."""
     spark = docs.sparkSession
-    rows = numbered(docs, source, id_col, seed)
-    sizes = {r["_source"]: r["n"] for r in rows.groupBy("_source").agg((F.max("_n") + 1).alias("n")).collect()}  # one row per source
+    rows, sizes = numbered(docs, source, id_col, seed)
     cols = [F.col("_row").getField(c).alias(c) for c in docs.columns]
     if targets is None:
         named = natural_targets(sizes, power)
