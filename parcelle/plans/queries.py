@@ -332,7 +332,7 @@ _MEMO: dict = {}
 def _memo(spark, key, build):
     """Reuse a checkpointed intermediate within one session (several queries
     share the preprocessed table and the fitted job models)."""
-    k = (id(spark), *key)
+    k = (spark.sparkContext.applicationId, *key)
     if k not in _MEMO:
         _MEMO[k] = build()
     return _MEMO[k]
@@ -351,7 +351,7 @@ def _encoded(spark, sf_dir):
 
 def _phys():
     p = tr.PHYSICAL_PARAMS
-    return ElasticNet(p["alpha"], p["l1_ratio"], p["max_iter"], 1e-6, p["fit_intercept"])
+    return ElasticNet(p["alpha"], p["l1_ratio"], p["max_iter"], p["tol"], p["fit_intercept"])
 
 
 def _ctx():

@@ -1,11 +1,13 @@
 """Transaction files: ``<base>/<year>/<departement>.csv.gz`` and the parquet
 layout we rewrite them to.
 
-CSV is read at full width with header names (a user schema would be applied
-by position and silently shift columns on a wider file), then the 15 used
-columns are projected and typed with ``try_cast``: a bad cell becomes null,
-the row stays.  Year and department come from the file path.  gz files are
-not splittable, so the scan is repartitioned before heavy work; the
+Spark applies the header of one file to all files of a CSV read by position, so
+files are first grouped by their own header (one distributed pass, which also
+inflates every file and so finds truncated ones) and each group is read by
+itself at full width; then the 15 used columns are projected by name and typed
+with ``try_cast``: a bad cell becomes null, the row stays.  A file that cannot
+be read to its end is left out whole and reported by ``bad_transaction_files``.
+Year and department come from the file path.  gz files are not splittable; the
 recommended layout is a one-off rewrite to parquet partitioned by
 (year, departement), where filters prune directories natively.
 """
@@ -52,31 +54,75 @@ def transaction_paths(base: str, years=(), departements=(), layout: str = "files
     return LAYOUTS[layout][0].format(base=base, y=y, d=d)
 
 
+def _inspect(batches):
+    """path, header, error of every file: the whole file is inflated, a megabyte at a time."""
+    import zlib
+
+    import pyarrow as pa
+    for b in batches:
+        out = []
+        for path, content in zip(b.column(0).to_pylist(), b.column(1)):
+            data, head, error = memoryview(content.as_buffer()), bytearray(), None
+            try:
+                if not path.endswith(".gz"):
+                    head += bytes(data[:1 << 20])
+                while path.endswith(".gz") and len(data):
+                    z = zlib.decompressobj(31)
+                    while not z.eof and len(data):
+                        got = z.decompress(data, 1 << 20)
+                        data = memoryview(z.unconsumed_tail)
+                        if b"\n" not in head:
+                            head += got
+                    if not z.eof:
+                        raise EOFError("the file ends before its gzip stream does")
+                    data = memoryview(z.unused_data)
+            except (zlib.error, EOFError) as e:
+                error = str(e)
+            out.append((path, bytes(head.split(b"\n", 1)[0]).decode("utf-8", "replace").strip("\r\ufeff"), error))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.string()) for i in range(3)], names=["path", "header", "error"])
+
+
+def inspect_transaction_files(spark: SparkSession, base: str, years=(), departements=(), layout: str = "files") -> DataFrame:
+    """(path, header, error) of every file found; error is null for a file that reads to its end."""
+    from pyspark.errors import AnalysisException
+    try:
+        files = spark.read.format("binaryFile").load(transaction_paths(base, years, departements, layout))
+    except AnalysisException:  # no file at all
+        return spark.createDataFrame([], "path string, header string, error string")
+    return files.select("path", "content").mapInArrow(_inspect, "path string, header string, error string")
+
+
+def bad_transaction_files(spark: SparkSession, base: str, years=(), departements=(), layout: str = "files") -> DataFrame:
+    """(path, error) of the files that the scan leaves out."""
+    return inspect_transaction_files(spark, base, years, departements, layout).filter("error IS NOT NULL").select("path", "error")
+
+
 def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
                       fraction: float | None = None, seed: int = 42,
                       layout: str = "files") -> DataFrame:
     """Scan the yearly/departmental CSV files (empty list = all).
 
-    Missing or unreadable files are skipped (``ignoreMissingFiles`` /
-    ``ignoreCorruptFiles``), like the per-file ``try/except`` of the original
-    loader.  ``row_seq`` = (file, position) gives the file order that the
-    roll-up's "first" needs.
+    Missing files are skipped, files that cannot be read to their end are left
+    out whole, like the per-file ``try/except`` of the original loader.
+    (``file_path``, ``row_seq``) gives the file order that the roll-up's
+    "first" needs.
     """
-    from pyspark.errors import AnalysisException
     from parcelle.schemas import TRANSACTION_SCHEMA
-    paths = transaction_paths(base, years, departements, layout)
     _, year_re, dep_re = LAYOUTS[layout]
-    try:
-        raw = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-               .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-               .csv(paths))
-    except AnalysisException:  # no file at all: an empty table, as the original loader
+    groups: dict[str, list[str]] = {}
+    for r in inspect_transaction_files(spark, base, years, departements, layout).filter("error IS NULL").toLocalIterator():  # a row per file
+        groups.setdefault(r["header"], []).append(r["path"])
+    raw = None
+    for paths in groups.values():  # as many reads as there are different headers
+        part = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
+        part = _typed(part.withColumn("file_path", F.col("_metadata.file_path")))
+        raw = part if raw is None else raw.unionByName(part)
+    if raw is None:  # no file at all: an empty table, as the original loader
         empty = spark.createDataFrame([], TRANSACTION_SCHEMA)
         return empty.withColumns({"year": F.lit(None).cast("int"),
                                   "departement": F.lit(None).cast("string"),
                                   "row_seq": F.lit(None).cast("long"),
                                   "file_path": F.lit(None).cast("string")})
-    raw = raw.withColumn("file_path", F.col("_metadata.file_path"))
     raw = raw.withColumns({
         "year": F.regexp_extract("file_path", year_re, 1).cast("int"),
         "departement": department_code(F.regexp_extract("file_path", dep_re, 1)),
@@ -85,8 +131,9 @@ def read_transactions(spark: SparkSession, base: str, years=(), departements=(),
     })
     out = _typed(raw)
     if fraction is not None:
-        from parcelle.operators.splits import hash_sample
-        out = hash_sample(out, ["file_path", "row_seq"], fraction, seed=str(seed))
+        # by content: another partitioning picks the same rows
+        own = F.xxhash64(F.lit(seed), *[name for name, _ in TRANSACTION_COLUMNS], "year", "departement")
+        out = out.filter(F.shiftrightunsigned(own, 11).cast("double") < F.lit(fraction * float(2 ** 53)))
     return out
 
 
