@@ -28,18 +28,17 @@ MiB = 1024 * 1024
 
 
 def sized_conf(input_bytes: int, target_partition_bytes: int = 256 * MiB,
-               min_partitions: int = 200, max_partitions: int = 32768) -> dict:
+               min_partitions: int = 200, max_partitions: int | None = None) -> dict:
     """Partition sizing for an input of ``input_bytes`` (compressed on disk).
 
     Scan splits and shuffle partitions both aim at ``target_partition_bytes``
     so one task's share fits in executor memory without spilling; the shuffle
     starts at one partition per target size of input (at least
     ``min_partitions``) and AQE merges the small ones and splits skewed ones
-    at run time.  The count is capped at ``max_partitions``: map tasks ×
-    reduce partitions shuffle blocks grow quadratically, and a stage's
-    shuffle is usually far smaller than the raw input after pruning and
-    partial aggregation (at 100 TB the cap applies: 32,768 partitions)."""
-    n = min(max_partitions, max(min_partitions, -(-int(input_bytes) // target_partition_bytes)))
+    at run time.  A caller may cap the count (map tasks × reduce partitions
+    shuffle blocks grow quadratically); by default it follows the input."""
+    n = max(min_partitions, -(-int(input_bytes) // target_partition_bytes))
+    n = min(n, max_partitions or n)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(n),

@@ -142,10 +142,11 @@ def test_block_encoder_fused_fit_equals_step_by_step(spark):
 
 def test_sized_conf_bounds():
     from parcelle.session import sized_conf
-    small, mid, huge = sized_conf(10 ** 6), sized_conf(2 * 1024 ** 4), sized_conf(100 * 1024 ** 4)
+    small, mid, huge = sized_conf(10 ** 6), sized_conf(2 * 1024 ** 4), sized_conf(100 * 1024 ** 4, max_partitions=32768)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert mid["spark.sql.shuffle.partitions"] == str(2 * 1024 ** 4 // (256 * 1024 ** 2))
     assert huge["spark.sql.shuffle.partitions"] == "32768"
+    assert sized_conf(100 * 1024 ** 4)["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // (256 * 1024 ** 2))
     assert huge["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 ** 2)
 
 
