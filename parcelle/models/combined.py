@@ -15,7 +15,7 @@ from functools import reduce
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions.columns import hash_uniform
@@ -177,51 +177,93 @@ def oof_base_predictions(df: DataFrame, phys_factory, ctx_factory, n_folds: int
 
 
 # ---------------------------------------------------------------------------
-# Shapley group impact (permutation sampling, one model.transform)
+# Shapley values: closed form for linear parts, permutation sampling for others
 # ---------------------------------------------------------------------------
-def shapley_values(model: CombinedModel, sample: DataFrame, background: list, n_phys: int,
+def additive_parts(model, n_phys: int, d: int):
+    """prediction = constant + w·x_all + Σ aᵢ·partᵢ: the linear models' summed
+    coefficients w, and the other parts as (aᵢ, model, features column).  A
+    model that does not split is one part with no features column of its own."""
+    w = np.zeros(d)
+    if not isinstance(model, CombinedModel) or (model.stacking and not hasattr(model.final, "coefficients")):
+        return w, [(1.0, model, None)]
+    if model.stacking:
+        c = model.final.coefficients.toArray()
+        shares, w = c[:2], c[2:].copy()
+    else:
+        shares = (model.weight, 1 - model.weight)
+    spans = {"x_all": slice(0, d), "x_phys": slice(0, n_phys), "x_ctx": slice(n_phys, d)}
+    others = []
+    for a, part, col in zip(shares, (model.phys_model, model.ctx_model), (model.phys_col, model.ctx_col)):
+        if hasattr(part, "coefficients"):
+            w[spans[col]] += a * part.coefficients.toArray()
+        elif a:
+            others.append((float(a), part, col))
+    return w, others
+
+
+def linear_shapley(w, rows: DataFrame, means, id_cols) -> DataFrame:
+    """(id, feature index, φ) of w·x: φ = w·(x − mean of the background), exact, one pass, no shuffle."""
+    bound = F.array(*[F.struct(F.lit(float(a)).alias("w"), F.lit(float(m)).alias("m")) for a, m in zip(w, means)])
+    phi = F.zip_with(vector_to_array(F.col("x_all")), bound, lambda v, c: c["w"] * (v - c["m"]))
+    return rows.select(*id_cols, F.posexplode(phi).alias("feature", "phi"))
+
+
+def shapley_values(model, sample: DataFrame, background: list, n_phys: int,
                    n_permutations: int = 8, seed: int = 42, id_col: str = "_sid") -> DataFrame:
-    """(row id, feature index, φ) by permutation sampling (Štrumbelj &
-    Kononenko, 2014).
-
-    ``sample`` rows (bounded by the caller: a top-k sample) each carry the
-    permutations and the ``background`` rows (a bounded list) as literal
-    arrays; one explode builds every coalition point, one ``transform`` scores
-    them all, a window lag turns predictions into marginal contributions.
-    """
+    """(row id, feature index, φ) against the ``background`` rows.
+
+    Linear parts have a closed form.  The rest is permutation sampling
+    (Štrumbelj & Kononenko, 2014): each ``sample`` row (bounded by the caller:
+    a top-k sample) meets the permutations and the background (a bounded list)
+    as literal arrays.  Sampled rows sit in one partition after a top-k, so the
+    (row, background) pairs are spread before the steps multiply them; the
+    lag window runs on that same partitioning."""
     d = len(background[0])
+    w, others = additive_parts(model, n_phys, d)
+    linear = linear_shapley(w, sample, np.mean(np.asarray(background, dtype=float), axis=0), [id_col])
+    if not others:
+        return linear
     rng = np.random.default_rng(seed)
     perms = [rng.permutation(d).tolist() for _ in range(n_permutations)]
-    # One entry per (permutation, step j): the coalition mask (the
-    # first j features of the permutation come from x) and the feature step j
-    # adds.  Steps and background go in as one JSON literal each, folded to a
-    # constant once by Catalyst.
+    # One entry per (permutation, step j): the first j features of the permutation come from x,
+    # and step j adds ``feature``.  Steps and background go in as one JSON literal each.
     steps = []
     for pi, perm in enumerate(perms):
         for j in range(d + 1):
+            given = set(perm[:j])
             steps.append({"pi": pi, "j": j, "feature": perm[j - 1] if j else -1,
-                          "mask": [f in set(perm[:j]) for f in range(d)]})
+                          "mask": [f in given for f in range(d)]})
     steps_lit = F.from_json(F.lit(json.dumps(steps)),
                             "array<struct<pi:int,j:int,feature:int,mask:array<boolean>>>")
     bg_lit = F.from_json(F.lit(json.dumps([[float(v) for v in b] for b in background])),
                          "array<array<double>>")
-    x = vector_to_array(F.col("x_all"))
-    pts = (sample.select(F.col(id_col), x.alias("_x"), F.posexplode(bg_lit).alias("_bi", "_bg"))
+    spread = max(sample.sparkSession.sparkContext.defaultParallelism,
+                 int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pts = (sample.select(F.col(id_col), vector_to_array(F.col("x_all")).alias("_x"), F.posexplode(bg_lit).alias("_bi", "_bg"))
+           .repartition(spread, id_col, "_bi")
            .select("*", F.explode(steps_lit).alias("_s")))
-    mask = F.col("_s.mask")
-    vals = [F.when(mask[f], F.col("_x")[f])
-            .otherwise(F.col("_bg")[f]) for f in range(d)]
+    mixed = F.zip_with(F.zip_with("_x", "_bg", lambda x, b: F.struct(x.alias("x"), b.alias("b"))), F.col("_s.mask"),
+                       lambda v, m: F.when(m, v["x"]).otherwise(v["b"]))
     pts = pts.select(id_col, "_bi", F.col("_s.pi").alias("_pi"), F.col("_s.j").alias("_j"),
-                     F.col("_s.feature").alias("feature"), F.array(*vals).alias("_v"))
-    pts = pts.withColumn("x_all", array_to_vector("_v")).withColumn(
-        "x_phys", array_to_vector(F.slice("_v", 1, n_phys))).withColumn(
-        "x_ctx", array_to_vector(F.slice("_v", n_phys + 1, d - n_phys)))
-    scored = model.transform(pts.drop("_v"))
-    from pyspark.sql import Window
-    w = Window.partitionBy(id_col, "_pi", "_bi").orderBy("_j")
-    contrib = (scored.withColumn("_delta", F.col("prediction") - F.lag("prediction").over(w))
-               .filter(F.col("_j") > 0))
-    return contrib.groupBy(id_col, "feature").agg(F.avg("_delta").alias("phi"))
+                     F.col("_s.feature").alias("feature"), mixed.alias("_v"))
+    scored = pts.select("*", array_to_vector("_v").alias("x_all"), array_to_vector(F.slice("_v", 1, n_phys)).alias("x_phys"),
+                        array_to_vector(F.slice("_v", n_phys + 1, d - n_phys)).alias("x_ctx")).drop("_v")
+    total = F.lit(0.0)
+    for i, (a, part, col) in enumerate(others):
+        scored = part.transform(scored).withColumnRenamed("prediction", f"_q{i}") if col is None else _predict(part, scored, col, f"_q{i}")
+        total = total + F.lit(a) * F.col(f"_q{i}")
+    window = Window.partitionBy(id_col, "_pi", "_bi").orderBy("_j")
+    scored = scored.select(id_col, "_pi", "_bi", "_j", "feature", total.alias("_p"))
+    contrib = (scored.withColumn("_delta", F.col("_p") - F.lag("_p").over(window))
+               .filter(F.col("_j") > 0).groupBy(id_col, "feature").agg(F.avg("_delta").alias("phi")))
+    return linear.unionByName(contrib).groupBy(id_col, "feature").agg(F.sum("phi").alias("phi"))
+
+
+def stacked_shapley(model: CombinedModel, *args, **kwargs) -> DataFrame:
+    """``shapley_values`` of a stacked model; the block impact is defined for stacking only."""
+    if not model.stacking:
+        raise ValueError("block impact needs a stacked model")
+    return shapley_values(model, *args, **kwargs)
 
 
 def group_impact(phi: DataFrame, n_phys: int) -> dict:

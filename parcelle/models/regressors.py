@@ -9,15 +9,19 @@ contract, so they compose with the combined model and the searches.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkContext, TaskContext
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression)
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelle.session import scratch_path
+
 
 # ---------------------------------------------------------------------------
 # Elastic net
@@ -110,25 +114,41 @@ class BoostedTrees:
 # Batch-wise continued boosting
 # ---------------------------------------------------------------------------
 class BatchBoostModel:
-    def __init__(self, base: float, trees: list, learning_rate: float, features_col: str,
+    """base + learning rate · Σ trees; ``ensemble`` is one MLlib model that scores all trees in one step."""
+
+    def __init__(self, base: float, ensemble: GBTRegressionModel | None, features_col: str,
                  prediction_col: str = "prediction"):
-        self.base, self.trees, self.lr = base, trees, learning_rate
+        self.base, self.ensemble = base, ensemble
         self.features_col, self.prediction_col = features_col, prediction_col
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = df.withColumn(self.prediction_col, F.lit(self.base))
-        for i, tree in enumerate(self.trees):
-            tree = tree.copy({tree.predictionCol: f"_t{i}"})
-            out = tree.transform(out).withColumn(
-                self.prediction_col, F.col(self.prediction_col) + F.lit(self.lr) * F.col(f"_t{i}")).drop(f"_t{i}")
-        return out
+        if self.ensemble is None:
+            return df.withColumn(self.prediction_col, F.lit(self.base))
+        m = self.ensemble.copy().setFeaturesCol(self.features_col).setPredictionCol(self.prediction_col)
+        return m.transform(df).withColumn(self.prediction_col, F.lit(self.base) + F.col(self.prediction_col))
+
+
+def tree_ensemble(trees: list, weight: float) -> GBTRegressionModel:
+    """One model predicting weight · Σ of the fitted regression ``trees``."""
+    gateway = SparkContext._active_spark_context._gateway
+    ml = gateway.jvm.org.apache.spark.ml.regression
+    nodes = gateway.new_array(ml.DecisionTreeRegressionModel, len(trees))
+    weights = gateway.new_array(gateway.jvm.double, len(trees))
+    for i, t in enumerate(trees):
+        nodes[i], weights[i] = t._java_obj, float(weight)
+    return GBTRegressionModel(ml.GBTRegressionModel(f"GBTRegressor_{uuid4().hex[:12]}", nodes, weights))
 
 
 class BatchBoost:
     """Each batch of the training rows adds ``rounds`` trees fitted to the
     current residuals of that batch (the original continues one booster batch
-    by batch).  The running prediction of every training row is updated after
-    each tree and the table checkpointed, so the lineage never grows."""
+    by batch).
+
+    The training rows are written once, partitioned by batch.  A batch is read
+    alone, scored once by the trees so far, and only its own running
+    prediction is checkpointed per tree, so all the work is rounds × table, not
+    batches × rounds × table.  Subsampling hashes the row's content and does
+    not depend on the partitioning."""
 
     def __init__(self, rounds: int = 10, learning_rate: float = 0.5, max_depth: int = 10,
                  subsample: float = 0.8, min_child_weight: int = 10,
@@ -139,26 +159,30 @@ class BatchBoost:
         self.features_col, self.label_col, self.batch_col, self.seed = features_col, label_col, batch_col, seed
 
     def fit(self, df: DataFrame) -> BatchBoostModel:
-        base = df.agg(F.avg(self.label_col)).first()[0]
-        cur = df.select(self.features_col, self.label_col, self.batch_col).withColumn(
-            "_f", F.lit(base)).checkpoint()
-        batches = [r[0] for r in cur.select(self.batch_col).distinct().orderBy(self.batch_col).collect()]
+        spark = df.sparkSession
+        rows = df.select(self.features_col, self.label_col, self.batch_col)
+        path = scratch_path(spark, "batch-boost")
+        rows.hint("rebalance", self.batch_col).write.partitionBy(self.batch_col).parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        base = stored.agg(F.avg(self.label_col)).first()[0]
+        batches = [r[0] for r in stored.select(self.batch_col).distinct().orderBy(self.batch_col).collect()]
         trees = []
         for b in batches:
-            for r in range(self.rounds):
-                part = cur.filter(F.col(self.batch_col) == b).withColumn(
-                    "_res", F.col(self.label_col) - F.col("_f"))
+            sofar = BatchBoostModel(base, tree_ensemble(trees, self.lr) if trees else None, self.features_col, "_f")
+            cur = sofar.transform(stored.filter(F.col(self.batch_col).eqNullSafe(F.lit(b)))).select(
+                self.features_col, self.label_col, "_f").checkpoint()
+            for _ in range(self.rounds):
+                part = cur.withColumn("_res", F.col(self.label_col) - F.col("_f"))
                 if self.subsample < 1.0:
-                    part = part.sample(fraction=self.subsample, seed=self.seed + len(trees))
-                dt = DecisionTreeRegressor(featuresCol=self.features_col, labelCol="_res",
-                                           predictionCol="_tp", maxDepth=self.max_depth,
-                                           minInstancesPerNode=self.min_child, seed=self.seed)
-                tree = dt.fit(part)
+                    key = F.xxhash64(F.lit(self.seed + len(trees)), vector_to_array(self.features_col), self.label_col)
+                    part = part.filter(F.pmod(key, F.lit(10**6)) < self.subsample * 10**6)
+                tree = DecisionTreeRegressor(featuresCol=self.features_col, labelCol="_res",
+                                             predictionCol="_tp", maxDepth=self.max_depth,
+                                             minInstancesPerNode=self.min_child, seed=self.seed).fit(part)
                 trees.append(tree)
                 cur = (tree.transform(cur).withColumn("_f", F.col("_f") + F.lit(self.lr) * F.col("_tp"))
                        .drop("_tp").checkpoint())
-        return BatchBoostModel(base, [t.copy({t.predictionCol: "_tp"}) for t in trees], self.lr,
-                               self.features_col)
+        return BatchBoostModel(base, tree_ensemble(trees, self.lr) if trees else None, self.features_col)
 
 
 # ---------------------------------------------------------------------------
@@ -181,6 +205,10 @@ def bspline_basis(x: np.ndarray, lo: float, hi: float, n_splines: int = 20, orde
     return B
 
 
+#: Partial sums added by one task of the Gram matrix reduction.
+FAN_IN = 16
+
+
 class GAMModel:
     def __init__(self, beta, ranges, n_splines, order, features_col, prediction_col="prediction"):
         self.beta, self.ranges, self.n_splines, self.order = beta, ranges, n_splines, order
@@ -209,8 +237,8 @@ class GAMModel:
 class GAM:
     """Sum of one penalised spline per feature plus an intercept.
 
-    XᵀX and Xᵀy of the spline design are summed over partitions
-    (``mapInPandas`` partials + one ``sum``); the (1 + d·n_splines)-square
+    XᵀX and Xᵀy of the spline design are summed per partition in one pass and
+    added up a tree of ``FAN_IN`` partials a task; the (1 + d·n_splines)-square
     penalised system is solved on the driver."""
 
     def __init__(self, lam: float = 0.5, n_splines: int = 20, order: int = 3,
@@ -222,9 +250,8 @@ class GAM:
         arr = df.select(vector_to_array(F.col(self.features_col)).alias("_x"),
                         F.col(self.label_col).cast("double").alias("_y"))
         d = len(arr.first()["_x"])
-        mins = arr.select([F.min(F.col("_x")[j]) for j in range(d)]).first()
-        maxs = arr.select([F.max(F.col("_x")[j]) for j in range(d)]).first()
-        ranges = [(float(mins[j]), float(maxs[j])) for j in range(d)]
+        ends = arr.select(*[f(F.col("_x")[j]) for f in (F.min, F.max) for j in range(d)]).first()
+        ranges = [(float(ends[j]), float(ends[d + j])) for j in range(d)]
         proto = GAMModel(None, ranges, self.n_splines, self.order, self.features_col)
         p = 1 + d * self.n_splines
 
@@ -235,19 +262,21 @@ class GAM:
                     X = proto.design(np.vstack(pdf["_x"].to_numpy()))
                     G += X.T @ X
                     b += X.T @ pdf["_y"].to_numpy()
-            yield pd.DataFrame({"g": [G.ravel().tolist()], "b": [b.tolist()]})
-
-        parts = arr.mapInPandas(partial, "g array<double>, b array<double>")
-        # element-wise sum of the per-partition partials (partial aggregation by index)
-        g_sum = parts.select(F.posexplode("g").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
-        b_sum = parts.select(F.posexplode("b").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
-        G = np.zeros(p * p)
-        for r in g_sum.collect():
-            G[r["i"]] = r["v"]
-        bvec = np.zeros(p)
-        for r in b_sum.collect():
-            bvec[r["i"]] = r["v"]
-        G = G.reshape(p, p)
+            yield pd.DataFrame({"k": [TaskContext.get().partitionId()], "g": [np.append(G[upper], b).tobytes()]})
+
+        def add(key, pdf):
+            return pd.DataFrame({"k": [key[0]], "g": [sum(np.frombuffer(g) for g in pdf["g"]).tobytes()]})
+
+        # Partial sums (upper triangle of XᵀX, then Xᵀy) meet FAN_IN at a time: no task or the driver holds more.
+        upper, schema = np.triu_indices(p), "k long, g binary"
+        parts, left = arr.mapInPandas(partial, schema), arr.rdd.getNumPartitions()
+        while left > 1:
+            parts = parts.select(F.floor(F.col("k") / FAN_IN).alias("k"), "g").groupBy("k").applyInPandas(add, schema)
+            left = -(-left // FAN_IN)
+        total = np.frombuffer(parts.first()["g"])
+        G, bvec = np.zeros((p, p)), total[-p:]
+        G[upper] = total[:-p]
+        G = G + np.triu(G, 1).T
         D = np.diff(np.eye(self.n_splines), n=2, axis=0)
         P = np.zeros((p, p))
         for j in range(d):

@@ -475,3 +475,36 @@ long AS (
   {union})
 SELECT id_mutation, valeur_fonciere, block, pos, round(value, 6) AS value FROM long
 """
+
+
+# Models with a closed answer: a = rooms, b = land, y = price per m².
+MODEL_ROWS = features_sql() + """, m AS (
+  SELECT id_mutation, valeur_fonciere, year, CAST(prix_m2 AS DOUBLE) AS y,
+    CAST(nombre_pieces_principales AS DOUBLE) AS a, CAST(surface_terrain AS DOUBLE) AS b FROM features
+)"""
+
+WEIGHTED_GROUP_MEANS = MODEL_ROWS + """, g AS (
+  SELECT *, avg(y) OVER (PARTITION BY a >= 3) AS p, avg(y) OVER (PARTITION BY b > 0) AS c FROM m
+)
+SELECT id_mutation, valeur_fonciere, round(p, 4) AS p_phys, round(c, 4) AS p_ctx,
+  round(0.3 * p + 0.7 * c, 4) AS prediction FROM g"""
+
+BATCH_BOOST_MEANS = MODEL_ROWS + """, last AS (
+  SELECT a >= 3 AS many, avg(y) AS p FROM m WHERE year = (SELECT max(year) FROM m) GROUP BY 1
+)
+SELECT id_mutation, valeur_fonciere, round(p, 4) AS prediction FROM m JOIN last ON (a >= 3) = many"""
+
+GAM_LINE = MODEL_ROWS + """
+SELECT id_mutation, valeur_fonciere, round(2 * a + 3, 3) AS prediction FROM m"""
+
+ELASTIC_NET_LINE = MODEL_ROWS + """, s AS (
+  SELECT count(*) AS n, covar_pop(y, a) AS c, var_pop(a) AS v, avg(a) AS ma, avg(y) AS my FROM m
+), w AS (SELECT *, sign(c) * greatest(abs(c) - 0.25, 0) / (v + 0.25) AS slope FROM s)
+SELECT n, round(slope, 3) AS slope, round(my - slope * ma, 2) AS intercept FROM w"""
+
+LINEAR_SHAPLEY = MODEL_ROWS + """, s AS (
+  SELECT regr_slope(y, a) AS sa, regr_slope(y, b) AS sb, avg(a) AS ma, avg(b) AS mb FROM m
+)
+SELECT id_mutation, valeur_fonciere, 0 AS feature, round(0.3 * sa * (a - ma), 3) AS phi FROM m, s
+UNION ALL
+SELECT id_mutation, valeur_fonciere, 1 AS feature, round(0.7 * sb * (b - mb), 3) AS phi FROM m, s"""

@@ -433,7 +433,7 @@ def q_shap_group_impact(spark, sf_dir):
     n_phys, _ = enc.widths()
     sample = sp.sample_k(test, ["id_mutation"], 250, seed="shap").withColumn("_sid", F.col("id_mutation"))
     bg = [list(r["x_all"]) for r in sp.sample_k(test, ["id_mutation"], 16, seed="bg").collect()]
-    phi = cm.shapley_values(model, sample, bg, n_phys, n_permutations=4)
+    phi = cm.stacked_shapley(model, sample, bg, n_phys, n_permutations=4)
     per = phi.withColumn("group", F.when(F.col("feature") < n_phys, "physical").otherwise("contextual"))
     from parcelle.operators.evaluate import group_share
     return group_share(per.withColumnRenamed("_sid", "row"), feature="feature", phi="phi",
@@ -799,3 +799,81 @@ def q_encoded_blocks(spark, sf_dir):
 
 QUERIES["encoded_blocks"] = q_encoded_blocks
 ORACLES["encoded_blocks"] = O.encoded_blocks_sql(NUMERIC_PHYSICAL, BLOCK_CONTEXT)
+
+
+# ---------------------------------------------------------------------------
+# Fitted models with an answer SQL can state (M-1..M-6, M-11), on all priced sales
+# ---------------------------------------------------------------------------
+from parcelle.models.regressors import BatchBoost  # noqa: E402
+
+ROOMS, LAND = "double(nombre_pieces_principales)", "double(surface_terrain)"
+MANY_ROOMS, HAS_LAND = f"double({ROOMS} >= 3)", f"double({LAND} > 0)"
+
+
+def _vectors(spark, sf_dir, phys, ctx, label="double(prix_m2)"):
+    f = _features(spark, sf_dir).select("id_mutation", "valeur_fonciere", "year", F.expr(label).alias("label"),
+                                        F.expr(phys).alias("a"), F.expr(ctx).alias("b"))
+    for cols, out in ((["a"], "x_phys"), (["b"], "x_ctx"), (["a", "b"], "x_all")):
+        f = VectorAssembler(inputCols=cols, outputCol=out).transform(f)
+    return f.checkpoint()
+
+
+def _stump():
+    return BoostedTrees({"n_estimators": 1, "learning_rate": 1.0, "max_depth": 1})
+
+
+def q_weighted_group_means(spark, sf_dir):
+    """One-split trees on a 0/1 column predict group means; 0.3·physical + 0.7·contextual (M-2, M-3, M-6)."""
+    rows = _vectors(spark, sf_dir, MANY_ROOMS, HAS_LAND)
+    out = cm.Combined(_stump, _stump, weight=0.3).fit(rows).transform(rows)
+    return out.select("id_mutation", "valeur_fonciere", *rnd("p_phys", "p_ctx", "prediction", d=4))
+
+
+def q_batch_boost_means(spark, sf_dir):
+    """One full-rate split per yearly batch: the last year's group means remain (M-4)."""
+    rows = _vectors(spark, sf_dir, MANY_ROOMS, HAS_LAND)
+    model = BatchBoost(1, 1.0, 1, 1.0, 1, features_col="x_phys", batch_col="year").fit(rows)
+    return model.transform(rows).select("id_mutation", "valeur_fonciere", *rnd("prediction", d=4))
+
+
+def q_gam_line(spark, sf_dir):
+    """A linear target has no second differences to penalise, so the splines return it (M-5)."""
+    rows = _vectors(spark, sf_dir, ROOMS, LAND, f"2 * {ROOMS} + 3")
+    model = GAM(lam=0.5, features_col="x_phys").fit(rows)
+    return model.transform(rows).select("id_mutation", "valeur_fonciere", *rnd("prediction", d=3))
+
+
+def q_elastic_net_line(spark, sf_dir):
+    """One feature: the soft-thresholded covariance over the ridged variance (M-1)."""
+    rows = _vectors(spark, sf_dir, ROOMS, LAND)
+    m = ElasticNet(0.5, 0.5, 1000, 1e-10, True, features_col="x_phys").fit(rows)
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.round(F.lit(float(m.coefficients[0])), 3).alias("slope"), F.round(F.lit(float(m.intercept)), 2).alias("intercept"))
+
+
+def q_linear_shapley(spark, sf_dir):
+    """Closed-form Shapley values of two weighted straight lines against all sales (M-11)."""
+    rows = _vectors(spark, sf_dir, ROOMS, LAND)
+
+    def line():
+        return ElasticNet(0.0, 0.0)
+    model = cm.Combined(line, line, weight=0.3).fit(rows)
+    w, _ = cm.additive_parts(model, 1, 2)
+    return (cm.linear_shapley(w, rows, rows.agg(F.avg("a"), F.avg("b")).first(), ["id_mutation", "valeur_fonciere"])
+            .select("id_mutation", "valeur_fonciere", "feature", *rnd("phi", d=3)))
+
+
+QUERIES.update({
+    "weighted_group_means": q_weighted_group_means,
+    "batch_boost_means": q_batch_boost_means,
+    "gam_line": q_gam_line,
+    "elastic_net_line": q_elastic_net_line,
+    "linear_shapley": q_linear_shapley,
+})
+ORACLES.update({
+    "weighted_group_means": O.WEIGHTED_GROUP_MEANS,
+    "batch_boost_means": O.BATCH_BOOST_MEANS,
+    "gam_line": O.GAM_LINE,
+    "elastic_net_line": O.ELASTIC_NET_LINE,
+    "linear_shapley": O.LINEAR_SHAPLEY,
+})

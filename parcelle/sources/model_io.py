@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import SparkSession
 
 from parcelle.models.combined import CombinedModel
-from parcelle.models.regressors import GAMModel
+from parcelle.models.regressors import BatchBoostModel, GAMModel
 
 _MLLIB = {"LinearRegressionModel": LinearRegressionModel, "GBTRegressionModel": GBTRegressionModel}
 
@@ -29,12 +29,20 @@ def _save_part(spark: SparkSession, model, path: str) -> dict:
                 "order": model.order, "features_col": model.features_col}
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").parquet(path)
         return {"kind": "GAMModel"}
+    if isinstance(model, BatchBoostModel):
+        if model.ensemble is not None:
+            model.ensemble.write().overwrite().save(path)
+        return {"kind": "BatchBoostModel", "base": model.base, "trees": model.ensemble is not None,
+                "features_col": model.features_col, "prediction_col": model.prediction_col}
     raise TypeError(f"cannot save {kind}")
 
 
 def _load_part(spark: SparkSession, info: dict, path: str):
     if info["kind"] in _MLLIB:
         return _MLLIB[info["kind"]].load(path)
+    if info["kind"] == "BatchBoostModel":
+        trees = GBTRegressionModel.load(path) if info["trees"] else None
+        return BatchBoostModel(info["base"], trees, info["features_col"], info["prediction_col"])
     meta = json.loads(spark.read.parquet(path).first()["meta"])
     return GAMModel(np.array(meta["beta"]), [tuple(r) for r in meta["ranges"]], meta["n_splines"],
                     meta["order"], meta["features_col"])

@@ -2,6 +2,7 @@
 
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from parcelle.operators.anomaly import anomaly_filter
@@ -48,3 +49,51 @@ def test_metrics_read_the_predictions_once(spark):
     assert all(abs(x.mse - 9) < 1e-9 and abs(x.r2 - (1 - 9 / 833.0)) < 1e-6 for x in r) and len(r) == 2
     plan = regression_metrics(df, by=["split"])._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def _numbers(spark, n=80, parts=8):
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(0, n, 1, parts).select(F.col("id").alias("_sid"), (F.col("id") % 7).cast("double").alias("a"),
+                                            (F.col("id") % 5).cast("double").alias("b"))
+    df = df.withColumn("label", 2 * F.col("a") + F.col("a") * F.col("b"))
+    for cols, out in ((["a"], "x_phys"), (["b"], "x_ctx"), (["a", "b"], "x_all")):
+        df = VectorAssembler(inputCols=cols, outputCol=out).transform(df)
+    return df
+
+
+def test_shapley_of_linear_and_tree_parts_adds_up(spark):
+    from parcelle.models.combined import Combined, additive_parts, shapley_values, stacked_shapley
+    from parcelle.models.regressors import BoostedTrees, ElasticNet
+    df = _numbers(spark)
+    model = Combined(lambda: ElasticNet(0.0, 0.0), lambda: BoostedTrees({"n_estimators": 3, "max_depth": 2}), weight=0.4).fit(df)
+    w, others = additive_parts(model, 1, 2)
+    assert w[1] == 0 and w[0] != 0 and len(others) == 1
+    bg = [[float(i % 7), float(i % 5)] for i in range(6)]
+    sample = df.filter("_sid >= 70")
+    got = {r["_sid"]: r["s"] for r in shapley_values(model, sample, bg, 1, 2).groupBy("_sid").agg(F.sum("phi").alias("s")).collect()}
+    mean = model.transform(df.filter("_sid < 6")).agg(F.avg("prediction")).first()[0]
+    want = {r["_sid"]: r["prediction"] - mean for r in model.transform(sample).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    with pytest.raises(ValueError):
+        stacked_shapley(model, sample, bg, 1)
+
+
+def test_batch_boost_is_saved_and_scores_all_trees_in_one_step(spark, tmp_path):
+    from parcelle.models.combined import CombinedModel
+    from parcelle.models.regressors import BatchBoost
+    from parcelle.sources.model_io import load_combined, save_combined
+    df = _numbers(spark).withColumn("batch_id", (F.col("_sid") % 2).cast("int"))
+    m = BatchBoost(2, 0.5, 2, 0.8, 1, features_col="x_all").fit(df)
+    assert m.ensemble.getNumTrees == 4
+    save_combined(spark, CombinedModel(m, m, 0.5, None, False, "x_all", "x_all"), str(tmp_path / "m"))
+    again = load_combined(spark, str(tmp_path / "m"))
+    a = {r["_sid"]: r["prediction"] for r in m.transform(df).collect()}
+    b = {r["_sid"]: r["prediction"] for r in again.transform(df).collect()}
+    assert a == pytest.approx(b)
+
+
+def test_gam_sums_many_partitions(spark):
+    from parcelle.models.regressors import GAM
+    df = _numbers(spark, 300, 40).withColumn("label", 3 * F.col("a") - 1)
+    m = GAM(features_col="x_phys").fit(df)
+    assert m.transform(df).agg(F.max(F.abs(F.col("prediction") - F.col("label")))).first()[0] < 1e-4
