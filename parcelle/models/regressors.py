@@ -30,7 +30,7 @@ from parcelle.session import scratch_path
 class ElasticNet:
     """min 1/(2n)‖y − Xw − b‖² + α·ρ‖w‖₁ + α(1−ρ)/2‖w‖².
 
-    MLlib scales the label by its standard deviation σ before applying the
+    MLlib scales the label by its population standard deviation σ before applying the
     penalty, so α and ρ are re-parameterised: regParam = αρ + α(1−ρ)σ and
     elasticNetParam = αρ / regParam (no feature standardisation).
     """
@@ -44,7 +44,7 @@ class ElasticNet:
     prediction_col: str = "prediction"
 
     def fit(self, df: DataFrame):
-        sigma = df.agg(F.stddev_samp(self.label_col)).first()[0] or 0.0
+        sigma = df.agg(F.stddev_pop(self.label_col)).first()[0] or 0.0
         if sigma == 0:
             sigma = abs(df.agg(F.avg(self.label_col)).first()[0] or 1.0)
         reg = self.alpha * self.l1_ratio + self.alpha * (1 - self.l1_ratio) * sigma
