@@ -47,8 +47,8 @@ _TITLE = "|".join(TITLES.values())
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: The patterns of the entity types.
 PATTERNS = [
-    r"""(?<=(?:token|secret|passwd|password|api_key|api-key|apikey)\s{0,2}[=:]\s{0,2}["']?)(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{16,}""",
-    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})+",
+    r"""(?<=[=:\s"'])(?=[A-Za-z0-9+/_\-]{16})(?<=(?:token|secret|passwd|password|api_key|api-key|apikey)\s{0,2}[=:]\s{0,2}["']?)(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{16,}""",
+    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})+",
     r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     r"(?<![\w+])\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}(?!\w)",
     r"(?<![\w(])\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}(?!\w)",
@@ -57,19 +57,17 @@ PATTERNS = [
     rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?",
 ]
-ENTITY = "|".join(f"(?:{p})" for p in PATTERNS)
+#: No entity starts behind a letter: one look spares the nine patterns most places of a text.
+ENTITY = "(?<![A-Za-z])(?:" + "|".join(f"(?:{p})" for p in PATTERNS) + ")"
+#: What every entity has: a digit, an @ or a title before a capital.
+HINT = rf"[0-9@]|(?<![A-Za-z])(?:{_TITLE})\.? \p{{Lu}}"
 FILLED = ["phone", "card", "ssn", "iban"]
 TRIES = 64
 
 
 def entities(text: Column) -> Column:
-    """All matches in order; empty for a null text.
-
-    Every entity has a digit, an @ or a title: cheap tests that spare most texts the long pattern."""
-    hint = text.rlike("[0-9@]")
-    for title in _TITLE.split("|"):
-        hint = hint | text.contains(title + " ") | text.contains(title + ". ")
-    return F.when(hint, F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    """All matches in order; empty for a null text.  A cheap test spares most texts the long pattern."""
+    return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
 
 def kind_of(v: Column) -> Column:
