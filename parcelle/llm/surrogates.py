@@ -189,8 +189,12 @@ def formatted() -> Column:
 
 def surrogate_table(docs: DataFrame, text_col: str = "text", secret: str = "parcelle") -> DataFrame:
     """value, kind, replacement for every distinct entity of ``docs``."""
-    values = docs.select(F.explode(F.array_distinct(entities(F.col(text_col)))).alias("value")).distinct()
-    parts = saved(parts_of(values), "parts")
+    return replacements(docs.select(F.explode_outer(F.array_distinct(entities(F.col(text_col)))).alias("value")), secret)
+
+
+def replacements(found: DataFrame, secret: str) -> DataFrame:
+    """value, kind, replacement for every distinct entity in the column value."""
+    parts = saved(parts_of(found.filter("value is not null").select("value").distinct()), "parts")
     title = F.regexp_extract("value", rf"^(?:{_TITLE})\.? ", 0)
     rows = parts.join(resolve(parts, secret), ["part", "canon"]).withColumn("r", formatted())
     whole = F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("n", "r"))), lambda x: x["r"]))  # a name has two parts at most
@@ -199,16 +203,18 @@ def surrogate_table(docs: DataFrame, text_col: str = "text", secret: str = "parc
 
 def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", secret: str = "parcelle", count_col: str | None = None) -> DataFrame:
     """``docs`` with every entity replaced; ``count_col``: adds the number of entities replaced (of this name)."""
-    table = saved(surrogate_table(docs, text_col, secret).select("value", "replacement"), "surrogates")
     rows = packed(docs, id_col, text_col)
     text = F.col("_row").getField(text_col)
-    hit = rows.withColumn("_e", entities(text)).filter(F.size("_e") > 0)
-    pairs = hit.select("_id", "_h", F.explode(F.array_distinct("_e")).alias("value")).distinct().join(table, "value")
+    # The entities are searched once and written; explode_outer, as explode would have the search repeated in a filter below it.
+    found = saved(rows.select("_id", "_h", F.explode_outer(F.array_distinct(entities(text))).alias("value")).filter("value is not null"), "found")
+    table = saved(replacements(found, secret).select("value", "replacement"), "surrogates")
+    pairs = found.distinct().join(table, "value")
     maps = pairs.groupBy("_id", "_h").agg(F.map_from_entries(F.collect_list(F.struct("value", "replacement"))).alias("_m"))  # the entities of one text
+    has = F.coalesce(text.rlike(HINT) & text.rlike(ENTITY), F.lit(False))
+    every = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
     pieces = F.split(text, ENTITY, -1)
-    new = F.concat_ws("", F.zip_with(pieces, F.concat(F.transform("_e", lambda e: F.element_at("_m", e)), F.array(F.lit(""))), lambda p, s: F.concat(p, s)))
-    done = hit.join(maps, ["_id", "_h"]).select("_row", new.alias("_new"), F.size("_e").alias("_n"))
-    same = rows.withColumn("_n", F.size(entities(text))).filter("_n = 0").select("_row", text.alias("_new"), "_n")
-    out = done.unionByName(same)
+    new = F.concat_ws("", F.zip_with(pieces, F.concat(F.transform(every, lambda e: F.element_at("_m", e)), F.array(F.lit(""))), lambda p, s: F.concat(p, s)))
+    done = rows.filter(has).join(maps, ["_id", "_h"]).select("_row", new.alias("_new"), F.size(every).alias("_n"))
+    out = done.unionByName(rows.filter(~has).select("_row", text.alias("_new"), F.lit(0).alias("_n")))
     cols = [(F.col("_new") if c == text_col else F.col("_row").getField(c)).alias(c) for c in docs.columns]
     return out.select(*cols, *([F.col("_n").cast("long").alias(count_col)] if count_col else []))
