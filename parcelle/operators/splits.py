@@ -20,12 +20,6 @@ def hash_split(df: DataFrame, key_cols, train_fraction: float = 0.8, seed: str =
     return df.withColumn(col, F.when(u < F.lit(train_fraction), "train").otherwise("test"))
 
 
-def train_test(df: DataFrame, key_cols, train_fraction: float = 0.8, seed: str = ""):
-    labelled = hash_split(df, key_cols, train_fraction, seed, "_split")
-    return (labelled.filter(F.col("_split") == "train").drop("_split"),
-            labelled.filter(F.col("_split") == "test").drop("_split"))
-
-
 def kfold(df: DataFrame, key_cols, k: int = 3, seed: str = "fold", col: str = "fold") -> DataFrame:
     """Fold id in [0, k) from a seeded hash of the key."""
     return df.withColumn(col, F.floor(hash_uniform(*key_cols, seed=seed) * F.lit(k)).cast("int"))

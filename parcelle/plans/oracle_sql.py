@@ -17,6 +17,7 @@ from parcelle.schemas import (
     EXCLUSIVE_SHOPS, EXCLUSIVE_ENTERTAINMENT, EXCLUSIVE_CULTURAL, REGIONS,
 )
 from parcelle.sources.fixtures import duckdb_with
+from parcelle.sources.links import ANCHOR_PATTERN
 
 
 def _in(values) -> str:
@@ -326,11 +327,10 @@ SELECT b.bin, st.lo + b.bin * 100.0 + 50.0 AS bin_center, coalesce(per.n, 0) AS
 FROM bins b CROSS JOIN st LEFT JOIN per ON b.bin = per.bin
 """
 
-LINK_PATTERN = r'(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 LISTING_LINKS = f"""
-WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{LINK_PATTERN}', 0)) AS a FROM pages),
-b AS (SELECT page_id, url, regexp_extract(a, '{LINK_PATTERN}', 1) AS href,
-        regexp_replace(regexp_extract(a, '{LINK_PATTERN}', 2), '<[^>]*>', '', 'g') AS link_text FROM a)
+WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{ANCHOR_PATTERN}', 0)) AS a FROM pages),
+b AS (SELECT page_id, url, regexp_extract(a, '{ANCHOR_PATTERN}', 1) AS href,
+        regexp_replace(regexp_extract(a, '{ANCHOR_PATTERN}', 2), '<[^>]*>', '', 'g') AS link_text FROM a)
 SELECT page_id, href, link_text,
   CASE WHEN regexp_full_match(trim(link_text, '/'), '[0-9]+') THEN trim(link_text, '/') END AS year,
   CASE WHEN ends_with(href, '.gz') THEN url || href END AS file_url

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Raw transaction schema (15 columns projected at scan)
+# FIXED VALUES — raw transaction schema (15 columns projected at scan)
 # ---------------------------------------------------------------------------
 TRANSACTION_COLUMNS = [
     ("id_mutation", T.StringType()),
@@ -34,7 +34,7 @@ LOT_COLUMNS = [f"lot{i}_surface_carrez" for i in range(1, 6)]
 SURFACE_COLUMNS = ["surface_reelle_bati", "surface_terrain"] + LOT_COLUMNS
 
 # ---------------------------------------------------------------------------
-# Grid (population cell + POI counts) measures, weighted by the kNN join
+# FIXED VALUES — grid (population cell + POI counts) measures, weighted by the kNN join
 # ---------------------------------------------------------------------------
 POI_COUNT_COLUMNS = [
     "transport_pois", "education_pois", "health_pois", "food_pois",
@@ -42,7 +42,7 @@ POI_COUNT_COLUMNS = [
 ]
 GRID_MEASURES = ["densite"] + POI_COUNT_COLUMNS
 
-# Preprocessed table: feature columns and their stored types
+# FIXED VALUES — preprocessed table: feature columns and their stored types
 PREPROCESSED_FLOAT_COLUMNS = [
     "surface_reelle_bati", "sin_month", "cos_month", "nombre_lots",
     "total_surface_carrez", *LOT_COLUMNS, "nombre_pieces_principales",

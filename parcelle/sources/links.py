@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# FIXED VALUES — anchor pattern (href in double quotes) and tag stripper
+# An anchor (href in double quotes) and any tag
 ANCHOR_PATTERN = r'(?is)<a\b[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 TAG_PATTERN = r"<[^>]*>"
 
