@@ -2,8 +2,9 @@
 
 Words (runs of letters and digits) become typed placeholders: a number (all digits, or a digit
 first), a unit (a listed unit straight after a number) or a name (a capitalised word); any other
-word stays as a lower-cased literal.  Windows of ``window`` placeholders and literals are hashed
-and joined between benchmark items and documents.  Windows that meet on one diagonal (document
+word stays as a case-folded literal (Unicode).  Windows of ``window`` placeholders and literals are hashed
+and joined between benchmark items and documents; beside them, windows of the case-folded words themselves,
+so that a word-for-word copy in another letter case, whose words are typed otherwise, is met too.  Windows that meet on one diagonal (document
 place - item place) belong together; a diagonal counts if it holds ``run`` windows (all of them for
 a shorter item) and its slots are consistent: over the diagonal every benchmark number, unit and name
 answers to one value in the document and the other way round.  So a question whose numbers and
@@ -40,12 +41,21 @@ UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg ton ton
 NUMBER, UNIT, NAME, LITERAL = 0, 1, 2, 3
 
 
+def folded(t: Texts) -> Texts:
+    """``t`` case-folded; folding never makes or joins words, as every byte above ASCII is part of a word."""
+    if not len(t.data) or t.data.max() < 0x80:
+        return t
+    raw = [t.data[a:b].tobytes() for a, b in zip(t.off[:-1].tolist(), t.off[1:].tolist())]
+    raw = [x if x.isascii() else x.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape") for x in raw]
+    return Texts(t.first, t.n, np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
+
+
 def canonical(t: Texts):
-    """Words of ``t``, their types and the hash of each word's placeholder or literal."""
+    """Words of ``t`` (case-folded), their types, the hash of each word's placeholder or literal and of the word itself."""
     w = t.words(LETTERS, lower=False)
     if not len(w.starts):
-        return w, np.empty(0, np.int8), np.empty(0, np.uint64)
-    low = t.words(LETTERS, lower=True)
+        return w, np.empty(0, np.int8), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    low = folded(t).words(LETTERS)
     h = low.hashes()
     first = w.data[w.starts]
     second = np.where(w.ends - w.starts > 1, w.data[np.minimum(w.starts + 1, len(w.data) - 1)], 0)
@@ -61,31 +71,34 @@ def canonical(t: Texts):
     unit = behind & np.isin(h, np.array([hash_word(u) for u in UNITS], np.uint64))
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL))).astype(np.int8)
     slot = mix64(np.arange(1, 4, dtype=np.uint64))
-    return w, kind, np.where(kind == LITERAL, h, slot[np.minimum(kind, 2)])
+    return low, kind, np.where(kind == LITERAL, h, slot[np.minimum(kind, 2)]), h
 
 
-def windows(kind: np.ndarray, h: np.ndarray, w, k: int, exactly: bool):
-    """Hash and first word of each usable window of ``k`` words; ``exactly``: only of texts of k words."""
+def windows(kind: np.ndarray, h: np.ndarray, plain: np.ndarray, w, k: int, exactly: bool):
+    """Hash, first word and whether of plain words, of each usable typed window of ``k`` words and, where it has a slot,
+    of the same words unreplaced (without one both are the same); ``exactly``: only of texts of k words."""
     m = len(h) - k + 1
     if m <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
     lens = np.diff(w.at)[w.doc[:m]]
     at = np.flatnonzero((w.doc[:m] == w.doc[k - 1:]) & (lens == k if exactly else lens >= k))
-    r, out, literal = multipliers(k), np.zeros(len(at), np.uint64), np.zeros(len(at), np.int32)
+    r, typed, words, literal = multipliers(k), np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64), np.zeros(len(at), np.int32)
     for j in range(k):
-        out += h[at + j] * r[j]
+        typed += h[at + j] * r[j]
+        words += plain[at + j] * r[j]
         literal += kind[at + j] == LITERAL
-    use = 2 * literal >= k
-    return mix64(out[use] + np.uint64(k)), at[use]
+    use, other = 2 * literal >= k, literal < k
+    out = np.concatenate([typed[use], words[other]])
+    return mix64(out + np.uint64(k)), np.concatenate([at[use], at[other]]), np.repeat([False, True], [use.sum(), other.sum()])
 
 
 def _slots(w, kind, a: int, k: int) -> list[str]:
     """type:value of each slot of the window at word ``a``, with its place in the window."""
-    return [f"{j}:{kind[a + j]}:{w.text(a + j).lower()}" for j in range(k) if kind[a + j] != LITERAL]
+    return [f"{j}:{kind[a + j]}:{w.text(a + j)}" for j in range(k) if kind[a + j] != LITERAL]
 
 
 def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -> DataFrame:
-    """A row per usable window (of documents: that passes ``keep``): key columns, row, hash, place, windows of the text, slots.
+    """A row per usable window (of documents: that passes ``keep``): key columns, row, hash, place, windows of the text, slots, plain (of unreplaced words).
 
     ``lengths``: the window lengths below ``window`` that are looked for at every place of a text; None: a
     text below ``window`` words makes one window of its own length."""
@@ -97,22 +110,26 @@ def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -
         row = TaskContext.get().partitionId() << 40
         for b in batches:
             for t in slices(b.column(n_keys)):
-                w, kind, h = canonical(t)
+                w, kind, h, words = canonical(t)
                 lens = np.diff(w.at)
                 sizes = sorted({window, *(lens[(lens > 0) & (lens < window)].tolist() if lengths is None else lengths)})
                 for k in sizes:
-                    g, at = windows(kind, h, w, k, lengths is None and k < window)
+                    g, at, plain = windows(kind, h, words, w, k, lengths is None and k < window)
                     if bits is not None:
                         x = (g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                         ok = (bits[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool)
-                        g, at = g[ok], at[ok]
+                        g, at, plain = g[ok], at[ok], plain[ok]
                     if len(g):
                         d = w.doc[at]
                         part = b.slice(t.first, t.n).take(pa.array(d))
-                        total = np.bincount(d, minlength=t.n)[d] if bits is None else np.zeros(len(d), np.int64)
+                        total = np.zeros(len(d), np.int64)
+                        if bits is None:
+                            typed = np.bincount(d[~plain], minlength=t.n)
+                            total = np.where(typed > 0, typed, np.bincount(d, minlength=t.n))[d]
                         yield pa.RecordBatch.from_arrays(
                             [*part.columns[:n_keys], pa.array(row + t.first + d), pa.array(g.view(np.int64)), pa.array(at - w.at[d]),
-                             pa.array(total.astype(np.int64)), pa.array([_slots(w, kind, a, k) for a in at.tolist()], pa.list_(pa.string()))], names=names)
+                             pa.array(total.astype(np.int64)), pa.array([_slots(w, kind, a, k) for a in at.tolist()], pa.list_(pa.string())),
+                             pa.array(plain)], names=names)
             row += b.num_rows
 
     return df.mapInArrow(run, schema)
@@ -123,7 +140,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """_id, _h (row key), doc_id, item_id, matched windows, item windows: a row per contaminated document row and item."""
     spark = docs.sparkSession
     items = saved(_hits(benchmark.select(F.col(item_col).cast("long"), F.col(item_text)), 1, window, None, None,
-                        "item_id long, item_row long, h long, item_at long, item_windows long, item_slots array<string>"), "items")
+                        "item_id long, item_row long, h long, item_at long, item_windows long, item_slots array<string>, item_plain boolean"), "items")
     # Byte and bit of each hash in the bitmap, one row per byte set: at most 2**21 short rows, and a 2 MB table.
     place = F.shiftrightunsigned("h", 64 - FILTER_BITS)
     byte = (items.groupBy(F.shiftright(place, 3).alias("b")).agg(F.bit_or(F.expr(f"shiftleft(1, cast({2**3 - 1} & shiftrightunsigned(h, {64 - FILTER_BITS}) AS int))")).alias("m"))).toPandas()
@@ -131,10 +148,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bits[byte["b"].to_numpy(np.int64)] = byte["m"].to_numpy(np.int64)
     shorter = [r["k"] for r in benchmark.select(F.col(item_text).alias("t")).mapInArrow(_lengths(window), "k long").distinct().collect()]  # below window
     found = _hits(docs.select(*row_key(id_col, text_col), F.col(id_col).cast("long"), F.col(text_col).alias("_t")), 3, window,
-                  spark.sparkContext.broadcast(bits), shorter, "_id long, _h long, doc_id long, row long, h long, at long, total long, slots array<string>")
+                  spark.sparkContext.broadcast(bits), shorter, "_id long, _h long, doc_id long, row long, h long, at long, total long, slots array<string>, plain boolean")
     small = items.count() * 200 < BROADCAST_BYTES
     hits = found.join(F.broadcast(items) if small else items, "h").withColumn("diagonal", F.col("at") - F.col("item_at"))
-    pair = F.transform(F.arrays_zip("item_slots", "slots"), lambda x: F.struct(
+    # Words that met unreplaced have their own value, whatever type their letter case gave them.
+    pair = F.transform(F.arrays_zip("item_slots", F.when(F.col("item_plain") | F.col("plain"), F.col("item_slots")).otherwise(F.col("slots")).alias("slots")), lambda x: F.struct(
         F.regexp_replace(x["item_slots"], "^[0-9]+:", "").alias("a"), F.regexp_replace(x["slots"], "^[0-9]+:", "").alias("b")))
     lines = (hits.groupBy("_id", "_h", "doc_id", "row", "item_id", "item_row", "diagonal")
              .agg(F.countDistinct("item_at").alias("n"), F.max("item_windows").alias("item_windows"),

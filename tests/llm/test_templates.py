@@ -63,3 +63,20 @@ def test_hostile_rows(spark):
     left = templates.decontaminate(df, bench)
     assert left.columns == df.columns and sorted(str(r.doc_id) for r in left.collect()) == ["1", "None", "None"]
     assert templates.contaminated(df.limit(0), bench).count() == 0 and templates.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_copies_in_another_letter_case(spark):
+    wide = "Élodie aus Ñuble kauft 12 Äpfel in der Straße und gibt Ömer davon 5 Stück weil Ülkü heute keine Äpfel mehr im Haus hat."
+    docs = [(10 * i + j, f"Prose before it. {t} prose behind it.") for i, item in enumerate((ITEM, wide), 1)
+            for j, t in enumerate((item.upper(), item.lower(), item.title().replace("'", ""), item.swapcase()))]
+    assert run(spark, docs, [(1, ITEM), (2, wide)]) == [(10 * i + j, i) for i in (1, 2) for j in range(4)]
+
+
+def test_every_whole_item_of_the_documents_is_found_in_any_letter_case(spark):
+    from conftest import SF_MID
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    bench = spark.read.parquet(f"{SF_MID}/benchmark.parquet")
+    items = [(r.item_id, r.text.casefold()) for r in bench.collect()]
+    plain = {(r.doc_id, i) for r in docs.collect() for i, t in items if t in (r.text or "").casefold()}
+    upper = docs.withColumn("text", F.upper("text"))
+    assert plain and all(plain <= {(r.doc_id, r.item_id) for r in templates.contaminated(d, bench).collect()} for d in (docs, upper))
