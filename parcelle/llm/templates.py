@@ -4,11 +4,12 @@ Words (runs of letters and digits) become typed placeholders: a number (all digi
 first), a unit (a listed unit straight after a number) or a name (a capitalised word); any other
 word stays as a case-folded literal (Unicode).  Windows of ``window`` placeholders and literals are hashed
 and joined between benchmark items and documents; beside them, windows of the case-folded words themselves,
-so that a word-for-word copy in another letter case, whose words are typed otherwise, is met too.  Windows that meet on one diagonal (document
-place - item place) belong together; a diagonal counts if it holds ``run`` windows (all of them for
-a shorter item) and its slots are consistent: over the diagonal every benchmark number, unit and name
-answers to one value in the document and the other way round.  So a question whose numbers and
-names were exchanged throughout is caught, chance agreement of placeholders is not.
+so that a word-for-word copy in another letter case, whose words are typed otherwise, is met too.  Windows that meet on one diagonal
+(document place - item place) belong together; a diagonal counts if it holds ``run`` windows (all of them for
+a shorter item; or all typed windows of an item that has fewer, if they stretch as far) and its slots are
+consistent: over the diagonal every benchmark number, unit and name answers to one value in the document;
+two values of the item may be given the same one.  So a question whose numbers and names were exchanged
+throughout is caught, chance agreement of placeholders is not.
 
 Most document windows never leave the scan: a bitmap of the benchmark's window hashes (2**24
 bits, 2 MB whatever the benchmark's size) lets only possible hits through, and the shuffle join
@@ -17,13 +18,15 @@ the benchmark's windows are broadcast if their counted size allows, else the joi
 shuffle join that adaptive execution splits; the diagonals are grouped by document, so no group grows.
 
 Defined results: null and empty texts have no windows; items and documents shorter than the
-window meet as one window of their own length; a window with fewer than half literals is not
-used; null ids and repeated rows are kept apart by place of the row; repeated items are
+window meet as one window of their own length; a typed window with fewer than half literals is not
+used, only its words as they are; null ids and repeated rows are kept apart by place of the row; repeated items are
 reported under each item id; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,6 +53,23 @@ def folded(t: Texts) -> Texts:
     return Texts(t.first, t.n, np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])]))
 
 
+@cache
+def _capitals() -> np.ndarray:
+    """Upper- and title-case letters of all scripts, by code point."""
+    return np.fromiter(((c := chr(i)).isupper() or c.istitle() for i in range(0x110000)), bool, 0x110000)
+
+
+def _points(data: np.ndarray, at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code point at each byte offset ``at`` (0 from ``ends`` on) and its number of bytes."""
+    byte = lambda j: np.where(at + j < ends, data[np.minimum(at + j, len(data) - 1)], 0).astype(np.int64)
+    b = byte(0)
+    n = 1 + (b >= 0xC0) + (b >= 0xE0) + (b >= 0xF0)
+    out = np.where(n == 1, b, b & (0x7F >> n))
+    for j in range(1, 4):
+        out = np.where(j < n, out << 6 | byte(j) & 0x3F, out)
+    return np.where(out < 0x110000, out, 0), n
+
+
 def canonical(t: Texts):
     """Words of ``t`` (case-folded), their types, the hash of each word's placeholder or literal and of the word itself."""
     w = t.words(LETTERS, lower=False)
@@ -57,16 +77,11 @@ def canonical(t: Texts):
         return w, np.empty(0, np.int8), np.empty(0, np.uint64), np.empty(0, np.uint64)
     low = folded(t).words(LETTERS)
     h = low.hashes()
-    first = w.data[w.starts]
-    second = np.where(w.ends - w.starts > 1, w.data[np.minimum(w.starts + 1, len(w.data) - 1)], 0)
+    first, n = _points(w.data, w.starts, w.ends)
+    second, _ = _points(w.data, w.starts + n, w.ends)
     number = (first >= 0x30) & (first <= 0x39)
-    upper = (first >= 0x41) & (first <= 0x5A)
-    # A Latin-1 capital in UTF-8; its next letter lies one byte further.
-    wide = (first == 0xC3) & (second >= 0x80) & (second <= 0x9E)
-    after = np.where(w.ends - w.starts > 2, w.data[np.minimum(w.starts + 2, len(w.data) - 1)], 0)
-    after = np.where(wide, after, second)
-    shouted = ((after >= 0x41) & (after <= 0x5A)) | (wide & (after == 0xC3))
-    name = (upper | wide) & ~shouted
+    capital = _capitals()
+    name = capital[first] & ~capital[second]
     behind = np.concatenate([[False], number[:-1] & (w.doc[1:] == w.doc[:-1])])
     unit = behind & np.isin(h, np.array([hash_word(u) for u in UNITS], np.uint64))
     kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, LITERAL))).astype(np.int8)
@@ -98,7 +113,7 @@ def _slots(w, kind, a: int, k: int) -> list[str]:
 
 
 def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -> DataFrame:
-    """A row per usable window (of documents: that passes ``keep``): key columns, row, hash, place, windows of the text, slots, plain (of unreplaced words).
+    """A row per usable window (of documents: that passes ``keep``): key columns, row, hash, place, windows of the text, its usable typed ones, slots, plain (of unreplaced words).
 
     ``lengths``: the window lengths below ``window`` that are looked for at every place of a text; None: a
     text below ``window`` words makes one window of its own length."""
@@ -122,13 +137,10 @@ def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -
                     if len(g):
                         d = w.doc[at]
                         part = b.slice(t.first, t.n).take(pa.array(d))
-                        total = np.zeros(len(d), np.int64)
-                        if bits is None:
-                            typed = np.bincount(d[~plain], minlength=t.n)
-                            total = np.where(typed > 0, typed, np.bincount(d, minlength=t.n))[d]
+                        typed = np.bincount(d[~plain], minlength=t.n)[d] if bits is None else np.zeros(len(d), np.int64)
                         yield pa.RecordBatch.from_arrays(
                             [*part.columns[:n_keys], pa.array(row + t.first + d), pa.array(g.view(np.int64)), pa.array(at - w.at[d]),
-                             pa.array(total.astype(np.int64)), pa.array([_slots(w, kind, a, k) for a in at.tolist()], pa.list_(pa.string())),
+                             pa.array((lens[d] - k + 1).astype(np.int64)), pa.array(typed.astype(np.int64)), pa.array([_slots(w, kind, a, k) for a in at.tolist()], pa.list_(pa.string())),
                              pa.array(plain)], names=names)
             row += b.num_rows
 
@@ -140,7 +152,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """_id, _h (row key), doc_id, item_id, matched windows, item windows: a row per contaminated document row and item."""
     spark = docs.sparkSession
     items = saved(_hits(benchmark.select(F.col(item_col).cast("long"), F.col(item_text)), 1, window, None, None,
-                        "item_id long, item_row long, h long, item_at long, item_windows long, item_slots array<string>, item_plain boolean"), "items")
+                        "item_id long, item_row long, h long, item_at long, item_windows long, item_typed long, item_slots array<string>, item_plain boolean"), "items")
     # Byte and bit of each hash in the bitmap, one row per byte set: at most 2**21 short rows, and a 2 MB table.
     place = F.shiftrightunsigned("h", 64 - FILTER_BITS)
     byte = (items.groupBy(F.shiftright(place, 3).alias("b")).agg(F.bit_or(F.expr(f"shiftleft(1, cast({2**3 - 1} & shiftrightunsigned(h, {64 - FILTER_BITS}) AS int))")).alias("m"))).toPandas()
@@ -148,17 +160,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     bits[byte["b"].to_numpy(np.int64)] = byte["m"].to_numpy(np.int64)
     shorter = [r["k"] for r in benchmark.select(F.col(item_text).alias("t")).mapInArrow(_lengths(window), "k long").distinct().collect()]  # below window
     found = _hits(docs.select(*row_key(id_col, text_col), F.col(id_col).cast("long"), F.col(text_col).alias("_t")), 3, window,
-                  spark.sparkContext.broadcast(bits), shorter, "_id long, _h long, doc_id long, row long, h long, at long, total long, slots array<string>, plain boolean")
+                  spark.sparkContext.broadcast(bits), shorter, "_id long, _h long, doc_id long, row long, h long, at long, total long, typed long, slots array<string>, plain boolean")
     small = items.count() * 200 < BROADCAST_BYTES
     hits = found.join(F.broadcast(items) if small else items, "h").withColumn("diagonal", F.col("at") - F.col("item_at"))
     # Words that met unreplaced have their own value, whatever type their letter case gave them.
     pair = F.transform(F.arrays_zip("item_slots", F.when(F.col("item_plain") | F.col("plain"), F.col("item_slots")).otherwise(F.col("slots")).alias("slots")), lambda x: F.struct(
         F.regexp_replace(x["item_slots"], "^[0-9]+:", "").alias("a"), F.regexp_replace(x["slots"], "^[0-9]+:", "").alias("b")))
     lines = (hits.groupBy("_id", "_h", "doc_id", "row", "item_id", "item_row", "diagonal")
-             .agg(F.countDistinct("item_at").alias("n"), F.max("item_windows").alias("item_windows"),
+             .agg(F.countDistinct("item_at").alias("n"), F.max("item_windows").alias("item_windows"), F.max("item_typed").alias("item_typed"),
+                  F.countDistinct(F.when(~F.col("item_plain"), F.col("item_at"))).alias("n_typed"), (F.max("item_at") - F.min("item_at") + 1).alias("span"),
                   F.array_distinct(F.flatten(F.collect_set(pair))).alias("pairs")))
-    good = (F.col("n") >= F.least(F.lit(run), "item_windows")) & (F.size("pairs") == F.size(F.array_distinct("pairs.a"))) & (
-        F.size("pairs") == F.size(F.array_distinct("pairs.b")))
+    # Few typed windows are enough if they are all the item has and stretch as far as ``run`` side by side.
+    enough = (F.col("n") >= F.least(F.lit(run), "item_windows")) | ((F.col("n_typed") == F.col("item_typed")) & (F.col("item_typed") > 0) & (F.col("span") >= run))
+    good = enough & (F.size("pairs") == F.size(F.array_distinct("pairs.a")))
     return (lines.filter(good).groupBy("_id", "_h", "doc_id", "row", "item_id").agg(F.max("n").alias("matched"), F.max("item_windows").alias("item_windows"))
             .drop("row"))
 

@@ -80,3 +80,24 @@ def test_every_whole_item_of_the_documents_is_found_in_any_letter_case(spark):
     plain = {(r.doc_id, i) for r in docs.collect() for i, t in items if t in (r.text or "").casefold()}
     upper = docs.withColumn("text", F.upper("text"))
     assert plain and all(plain <= {(r.doc_id, r.item_id) for r in templates.contaminated(d, bench).collect()} for d in (docs, upper))
+
+
+def test_items_of_capitals_and_figures_are_met_word_for_word(spark):
+    title = "The Quick Brown Fox Jumps Over The Lazy Dog While Seven Old Owls Watch From Their Tall Tree"
+    figures = "3 14 15 92 65 35 89 79 32 38 46 26 43 38 32 79 50 28 84 19"
+    docs = [(1, f"Before it {title} behind it"), (2, f"before {figures} behind"), (3, f"Before {' '.join(title.split()[:9])} behind"),
+            (4, "One Two Three Four Five Six Seven Eight Nine Ten Eleven Twelve Men Came In Here At Noon On Foot"), (5, " ".join(reversed(figures.split())))]
+    assert run(spark, docs, [(1, title), (2, figures)]) == [(1, 1), (2, 2)]
+
+
+def test_two_values_may_become_one_and_one_may_not_become_two(spark):
+    merged = swap(ITEM, {"12": "5", "Bob": "Alice"})
+    assert run(spark, [(1, merged), (2, ITEM.replace("gives 5", "gives 8"))], [(1, ITEM)]) == [(1, 1)]
+
+
+def test_names_of_other_scripts_are_slots(spark):
+    item = "вчера Анна дала пять яблок подруге и потом Борис съел их все дома пока Анна спала до самого утра"
+    docs = [(1, swap(item, {"Анна": "Ольга", "Борис": "Глеб"})), (2, item.replace("пока Анна", "пока Вера")), (3, item)]
+    greek = "χθες ο Νίκος έδωσε πέντε μήλα στην αδελφή του και μετά η Ελένη τα έφαγε όλα στο σπίτι το βράδυ"
+    docs += [(4, swap(greek, {"Νίκος": "Πέτρος", "Ελένη": "Μαρία"})), (5, swap("wczoraj " + greek, {"Νίκος": "Łukasz", "Ελένη": "Šárka"}))]
+    assert run(spark, docs, [(1, item), (2, greek)]) == [(1, 1), (3, 1), (4, 2), (5, 2)]
