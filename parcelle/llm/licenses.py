@@ -1,7 +1,8 @@
 """License scans (operator 8): exact set-similarity join of license templates and text blocks.
 
 Base: the places where a phrase's words stand consecutively.  Method: a text's blocks are its
-lines, cut further after sentence ends; a block matches a template if it holds at least
+paragraphs (``wrapped``: a notice may run over several lines; a line without words, a bare comment mark too, ends
+one) or its lines, cut further after sentence ends; a block matches a template if it holds at least
 ``threshold`` of the template's distinct words (containment).  Tokens are ordered by their frequency over all
 blocks, rarest first.  Of a template with n tokens that needs o = ceil(threshold * n) of them, any matching
 block holds one of the n - o + 1 rarest (prefix filter); it has at least o template tokens at
@@ -48,8 +49,8 @@ TEMPLATES = [
 THRESHOLD = 0.85
 
 
-def blocks(t: Texts, w) -> np.ndarray:
-    """Block number of every word: a new one for each text, line and sentence."""
+def blocks(t: Texts, w, wrapped: bool = False) -> np.ndarray:
+    """Block number of every word: a new one for each text, line (``wrapped``: paragraph) and sentence."""
     data = t.data
     m = len(data)
     if not m or not len(w.starts):
@@ -58,9 +59,8 @@ def blocks(t: Texts, w) -> np.ndarray:
     stop = (data == 0x2E) | (data == 0x21) | (data == 0x3F)
     space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
     stop[:-1] &= space[1:]
-    cut = np.cumsum(line | stop)
-    own = cut[w.starts]
-    new = np.concatenate([[True], (own[1:] != own[:-1]) | (w.doc[1:] != w.doc[:-1])])
+    lines, ends = np.cumsum(line)[w.starts], np.cumsum(stop)[w.starts]
+    new = np.concatenate([[True], (np.diff(lines) > int(wrapped)) | (np.diff(ends) > 0) | (w.doc[1:] != w.doc[:-1])])
     return np.cumsum(new) - 1
 
 
@@ -131,7 +131,7 @@ class Index:
         return tuple(map(np.concatenate, zip(*out))) if out else none
 
 
-def token_counts(docs: DataFrame, text_col: str, index: Index) -> np.ndarray:
+def token_counts(docs: DataFrame, text_col: str, index: Index, wrapped: bool = False) -> np.ndarray:
     """Blocks that hold each template token, over all of ``docs``."""
     def count(batches):
         n = np.zeros(len(index.tokens), np.int64)
@@ -140,7 +140,7 @@ def token_counts(docs: DataFrame, text_col: str, index: Index) -> np.ndarray:
                 w = t.words(LETTERS)
                 ids = index.ids(w.hashes())
                 use = ids >= 0
-                key = np.unique(blocks(t, w)[use] * len(index.tokens) + ids[use])
+                key = np.unique(blocks(t, w, wrapped)[use] * len(index.tokens) + ids[use])
                 n += np.bincount(key % len(index.tokens), minlength=len(index.tokens))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(n))), pa.array(n)], names=["token", "n"])
 
@@ -151,10 +151,11 @@ def token_counts(docs: DataFrame, text_col: str, index: Index) -> np.ndarray:
     return counts
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: dict = PHRASES, templates=TEMPLATES, threshold: float = THRESHOLD,
+         wrapped: bool = False) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (highest containment that reached the threshold, else 0)."""
     index = Index(templates, threshold)
-    index.ranked(token_counts(docs, text_col, index))
+    index.ranked(token_counts(docs, text_col, index, wrapped))
     base = [([hash_word(x) for x in p.split()], label) for p, label in phrases.items()]
 
     def run(batches):
@@ -179,7 +180,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrase
                     np.maximum.at(last, d, at - w.at[d])
                     for i in np.unique(d).tolist():
                         found.setdefault(i, set()).add(label)
-                own = blocks(t, w)
+                own = blocks(t, w, wrapped)
                 ids = index.ids(h)
                 use = ids >= 0
                 bl, tm, share = index.match(own[use], ids[use])

@@ -46,8 +46,8 @@ def op7_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License phrases and matching license templates of all documents."""
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    """License phrases and matching license templates of all documents, notices wrapped over lines included."""
+    return licenses.scan(table(spark, sf_dir, "documents"), wrapped=True)
 
 
 def op9_linecrf(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,3 +64,31 @@ def test_equals_brute_force_on_documents(spark):
 
 def test_empty_table(spark):
     assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+NOTICES = {
+    "gpl-notice": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+                  "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "lgpl-notice": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as "
+                   "published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "bsd-notice": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "mit-notice": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"),',
+    "isc-notice": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that",
+    "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed",
+}
+
+
+def test_wrapped_and_commented_notices(spark, tmp_path):
+    from textwrap import wrap
+
+    from parcelle.llm import queries
+    texts = [(label, f"code here{end}{end}" + end.join(mark + x for x in wrap(t, width)) + f"{end}{mark.rstrip()}{end}more code")
+             for label, t in NOTICES.items() for width in (40, 70) for mark in ("", "# ", " * ", "// ") for end in ("\n", "\r\n")]
+    # Half a notice on either side of a blank line, or of a bare comment mark, is none.
+    words = NOTICES["bsd-notice"].split()
+    texts += [("", " ".join(words[:10]) + gap + " ".join(words[10:])) for gap in ("\n\n", "\n * \n * ", "\r\n \r\n")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in queries.op8_licenses(spark, str(tmp_path)).collect()}
+    for i, (label, _) in enumerate(texts):
+        assert label in out[i].labels.split(",") and (out[i].score >= licenses.THRESHOLD) == bool(label), (label, texts[i], out[i])
