@@ -1,7 +1,9 @@
 """PII surrogates (operator 6), DataFrame functions only.
 
 Entities: e-mail and IPv4 addresses, phone, card, social-security and IBAN numbers, secrets
-after their name, and persons behind a title.  Each distinct value gets a keyed surrogate of its
+after their name (in any letter case, up to the closing quote or white space), and persons behind a title, to the
+end of their name (initials, inner capitals, hyphens, apostrophes, particles, any number of words), and the
+bare words of such a name anywhere in the same text.  Each distinct value gets a keyed surrogate of its
 own type: letters stay letters of their script and case, digits digits, punctuation and spacing
 stay; an e-mail keeps its top-level domain, a card its first digit and a valid check digit, an
 IBAN its country and valid check digits, an address octets below 255; a given name becomes one of the
@@ -23,6 +25,8 @@ any other row; an empty table gives an empty result; other columns are unchanged
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +48,23 @@ ENDINGS = {"latin": "berg feld ley mann ner son ton wick", "cyrillic": "ин о
 LETTERS = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзиклмнопрстуфхцчшэюя", "greek": "αβγδεζηθικλμνξοπρτυφχψω"}
 
 _TITLE = "|".join(TITLES.values())
+_SECRET = r"(?i:token|secret|passwd|password|api_key|api-key|apikey)"
+#: A name of a secret and what stands between it and the value.
+_BEFORE = _SECRET + r"""["']?[ \t]{0,4}[=:][ \t]{0,4}"""
+PARTICLES = "von van der den dem de del della di da du la le bin ibn al el zu zum zur ter ten dos das do af av".split()
+#: A word of a name; the s of a genitive is none of it.
+_WORD = r"(?:[dl]['’])?(?:\p{Lu}\.)*\p{Lu}\p{M}*(?:['’]\p{Lu})?[\p{L}\p{M}]+(?:-\p{Lu}[\p{L}\p{M}]*|['’](?![sS](?!\p{L}))\p{L}[\p{L}\p{M}]*)*+"
+_INITIALS = r"(?:\p{Lu}\.(?:-?\p{Lu}\.)* )*"
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*"
+_NAME = rf"{_INITIALS}{_PARTICLES}{_WORD}(?: {_INITIALS}{_PARTICLES}{_WORD})*+"
+_PHONE = r"\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}"
+_MAIL = r"[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: The patterns of the entity types.
 PATTERNS = [
-    r"""(?<=[=:\s"'])(?=[A-Za-z0-9+/_\-]{16})(?<=(?:token|secret|passwd|password|api_key|api-key|apikey)\s{0,2}[=:]\s{0,2}["']?)(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{16,}""",
+    rf"""(?<=[=:][ \t]{{0,4}}["'])(?:(?<={_BEFORE}")(?=[^"\r\n]*[\p{{L}}\p{{N}}])(?:[^"\r\n]+(?=")|[^\s"]+)|(?<={_BEFORE}')(?=[^'\r\n]*[\p{{L}}\p{{N}}])(?:[^'\r\n]+(?=')|[^\s']+))""",
+    rf"""(?<=[=:][ \t]{{0,4}})(?<={_BEFORE})(?=[^\s"']*[\p{{L}}\p{{N}}])[^\s"']*[^\s"',;.)\]}}>]""",
+    rf"""(?<=[=:\s"'])(?=[A-Za-z0-9+/_\-]{{16}})(?<={_SECRET}\s{{0,2}}[=:]\s{{0,2}}["']?)(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{{16,}}""",
     r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})+",
     r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     r"(?<![\w+])\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}(?!\w)",
@@ -55,12 +72,14 @@ PATTERNS = [
     r"(?<![\w.])(?:\d{4}[ \-]){3}\d{4}(?!\w)|(?<![\w.])\d{13,19}(?!\w)",
     r"(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-])",
     rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
-    rf"(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}}\p{{Ll}}{{1,30}}(?: \p{{Lu}}\p{{Ll}}{{1,30}})?",
+    rf"(?<!\p{{L}})(?:{_TITLE})\.? {_NAME}",
 ]
 #: No entity starts behind a letter: one look spares the nine patterns most places of a text.
 ENTITY = "(?<![A-Za-z])(?:" + "|".join(f"(?:{p})" for p in PATTERNS) + ")"
-#: What every entity has: a digit, an @ or a title before a capital.
-HINT = rf"[0-9@]|(?<![A-Za-z])(?:{_TITLE})\.? \p{{Lu}}"
+#: What every entity has: a digit, an @, the name of a secret or a title.
+HINT = rf"""[0-9@]|{_SECRET}["']?[ \t]{{0,4}}[=:]|(?<![A-Za-z])(?:{_TITLE})\.? """
+#: A word that may be the bare mention of a name.
+BARE = rf"(?<![\p{{L}}\p{{M}}]){_WORD}(?![\p{{L}}\p{{M}}])"
 FILLED = ["phone", "card", "ssn", "iban"]
 TRIES = 64
 
@@ -71,24 +90,27 @@ def entities(text: Column) -> Column:
 
 
 def kind_of(v: Column) -> Column:
-    return (F.when(v.contains("@"), "email").when(v.rlike(rf"^(?:{_TITLE})\.? "), "name").when(v.rlike(r"^\d{1,3}(\.\d{1,3}){3}$"), "ip")
-            .when(v.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(v.startswith("+") | v.rlike(r"^\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}$"), "phone")
-            .when(v.rlike(r"^[\d \-]+$"), "card").when(v.rlike(r"^[A-Z]{2}\d{2}[A-Z0-9 ]{11,}$"), "iban").otherwise("secret"))
+    return (F.when(v.rlike(rf"^{_MAIL}$"), "email").when(v.rlike(rf"^(?:{_TITLE})\.? {_NAME}$"), "name").when(v.rlike(rf"^{_OCTET}(\.{_OCTET}){{3}}$"), "ip")
+            .when(v.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn").when(v.rlike(rf"^{_PHONE}$") | v.rlike(r"^\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}$"), "phone")
+            .when(v.rlike(r"^(?:(?:\d{4}[ \-]){3}\d{4}|\d{13,19})$"), "card").when(v.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$"), "iban").otherwise("secret"))
 
 
 def parts_of(values: DataFrame) -> DataFrame:
-    """value, kind, n (place of the part), part kind, canonical part."""
+    """value, kind, n (place of the part), part kind, canonical part, the part as written."""
     v = F.col("value")
     kind = kind_of(v)
     words = F.split(F.regexp_replace(v, rf"^(?:{_TITLE})\.? ", ""), " ")
     gender = F.when(v.rlike(rf"^(?:{TITLES['m']})\.? "), "given_m").when(v.rlike(rf"^(?:{TITLES['f']})\.? "), "given_f").otherwise("given_n")
-    known = F.when(words[0].isin(GIVEN["latin"]["m"].split() + GIVEN["cyrillic"]["m"].split()), "given_m").when(
-        words[0].isin(GIVEN["latin"]["f"].split() + GIVEN["cyrillic"]["f"].split()), "given_f").otherwise(gender)
-    part = lambda k, c: F.struct(k.alias("part"), c.alias("canon"))
-    names = F.when(F.size(words) > 1, F.array(part(known, words[0]), part(F.lit("surname"), words[1]))).otherwise(F.array(part(F.lit("surname"), words[0])))
+    men, women = (GIVEN["latin"][g].split() + GIVEN["cyrillic"][g].split() for g in "mf")
+    # A word in capitals is the same name as in its usual case.
+    usual = lambda w: F.when((w == F.upper(w)) & ~w.rlike(r"[^\p{L}\p{M}]"), F.initcap(F.lower(w))).otherwise(w)
+    part = lambda k, c, w: F.struct(k.alias("part"), c.alias("canon"), w.alias("word"))
+    names = F.transform(words, lambda w, i: part(
+        F.when(w.rlike(r"^(?:\p{Lu}\.-?)+$"), "initials").when(w.isin(PARTICLES), "particle").when(i == F.size(words) - 1, "surname")
+        .when(usual(w).isin(men), "given_m").when(usual(w).isin(women), "given_f").otherwise(gender), usual(w), w))
     plain = F.when(kind == "email", F.lower(v)).when(kind.isin(FILLED), F.upper(F.regexp_replace(v, "[^0-9A-Za-z]", ""))).otherwise(v)
-    return (values.select("value", kind.alias("kind"), F.posexplode(F.when(kind == "name", names).otherwise(F.array(part(kind, plain)))).alias("n", "_p"))
-            .select("value", "kind", "n", "_p.part", "_p.canon"))
+    return (values.select("value", kind.alias("kind"), F.posexplode(F.when(kind == "name", names).otherwise(F.array(part(kind, plain, v)))).alias("n", "_p"))
+            .select("value", "kind", "n", "_p.part", "_p.canon", "_p.word"))
 
 
 def _draw(secret: str, *more: Column) -> Column:
@@ -120,7 +142,9 @@ def _masked(secret: str) -> Column:
         for letters in LETTERS.values():
             low = F.substr(F.lit(letters), (F.pmod(n, F.lit(len(letters))) + 1).cast("int"), F.lit(1))
             out = out.when(F.lit(letters).contains(c), low).when(F.lit(letters.upper()).contains(c), F.upper(low))
-        return out.otherwise(c)
+        # Letters and digits outside these alphabets must not stay in a secret.
+        other = F.substr(F.lit(LETTERS["latin"]), (F.pmod(n, F.lit(26)) + 1).cast("int"), F.lit(1))
+        return out.when((part == "secret") & c.rlike(r"[\p{L}\p{N}]"), other).otherwise(c)
 
     return F.concat_ws("", F.transform(F.split(canon, ""), one))
 
@@ -176,15 +200,25 @@ def resolve(parts: DataFrame, secret: str) -> DataFrame:
     raise RuntimeError("a type has more values than its format has surrogates")
 
 
+def other_letters(secret: str, initials: Column) -> Column:
+    """Initials in other letters of their script: one to one, so that distinct initials stay distinct."""
+    for letters in LETTERS.values():
+        order = list(letters.upper())
+        random.Random(f"{secret}|{letters}").shuffle(order)
+        initials = F.translate(initials, "".join(order), "".join(order[1:] + order[:1]))  # no letter stays
+    return initials
+
+
 def formatted() -> Column:
-    """The surrogate of a part in the format of the value it stands for (columns value, kind, surrogate)."""
+    """The surrogate of a part in the format of the value it stands for (columns value, kind, word, surrogate)."""
     v, s = F.col("value"), F.col("surrogate")
     zero = F.struct(F.lit("").alias("o"), F.lit(1).alias("j"))
     fill = F.aggregate(F.split(v, ""), zero, lambda a, c: F.when(c.rlike("^[0-9A-Za-z]$"), F.struct(
         F.concat(a["o"], F.when(c.rlike("^[a-z]$"), F.lower(F.substr(s, a["j"], F.lit(1)))).otherwise(F.substr(s, a["j"], F.lit(1)))).alias("o"), (a["j"] + 1).alias("j")))
         .otherwise(F.struct(F.concat(a["o"], c).alias("o"), a["j"].alias("j"))), lambda a: a["o"])
     cased = F.concat_ws("", F.zip_with(F.split(v, ""), F.split(s, ""), lambda c, x: F.when(c.rlike("^[A-Z]$"), F.upper(x)).otherwise(x)))
-    return F.when(F.col("kind").isin(FILLED), fill).when((F.col("kind") == "email") & (F.length(v) == F.length(s)), cased).otherwise(s)
+    loud = (F.col("kind") == "name") & (F.col("word") != F.col("canon"))
+    return F.when(F.col("kind").isin(FILLED), fill).when((F.col("kind") == "email") & (F.length(v) == F.length(s)), cased).when(loud, F.upper(s)).otherwise(s)
 
 
 def surrogate_table(docs: DataFrame, text_col: str = "text", secret: str = "parcelle") -> DataFrame:
@@ -193,12 +227,17 @@ def surrogate_table(docs: DataFrame, text_col: str = "text", secret: str = "parc
 
 
 def replacements(found: DataFrame, secret: str) -> DataFrame:
-    """value, kind, replacement for every distinct entity in the column value."""
+    """value, kind, replacement and bare (the single words of a name, with their surrogates) for every distinct entity in the column value."""
     parts = saved(parts_of(found.filter("value is not null").select("value").distinct()), "parts")
+    kept = parts.part.isin("initials", "particle")
     title = F.regexp_extract("value", rf"^(?:{_TITLE})\.? ", 0)
-    rows = parts.join(resolve(parts, secret), ["part", "canon"]).withColumn("r", formatted())
-    whole = F.concat_ws(" ", F.transform(F.array_sort(F.collect_list(F.struct("n", "r"))), lambda x: x["r"]))  # a name has two parts at most
-    return rows.groupBy("value", "kind").agg(whole.alias("r")).select("value", "kind", F.concat(F.when(F.col("kind") == "name", title).otherwise(""), F.col("r")).alias("replacement"))
+    rows = parts.filter(~kept).join(resolve(parts.filter(~kept), secret), ["part", "canon"]).withColumn("r", formatted())
+    rows = rows.drop("surrogate").unionByName(parts.filter(kept).withColumn("r", F.when(F.col("part") == "initials", other_letters(secret, F.col("word"))).otherwise(F.col("word"))))
+    sorted_parts = F.array_sort(F.collect_list(F.struct("n", "r")))  # the parts of one value
+    single = F.collect_list(F.when((F.col("kind") == "name") & ~F.col("part").isin("initials", "particle"), F.struct("part", F.col("canon").alias("word"), F.col("r").alias("new"))))
+    whole = F.concat_ws(" ", F.transform(sorted_parts, lambda x: x["r"]))
+    return (rows.groupBy("value", "kind").agg(whole.alias("r"), single.alias("bare"))
+            .select("value", "kind", F.concat(F.when(F.col("kind") == "name", title).otherwise(""), F.col("r")).alias("replacement"), "bare"))
 
 
 def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", secret: str = "parcelle", count_col: str | None = None) -> DataFrame:
@@ -207,14 +246,25 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.col("_row").getField(text_col)
     # The entities are searched once and written; explode_outer, as explode would have the search repeated in a filter below it.
     found = saved(rows.select("_id", "_h", F.explode_outer(F.array_distinct(entities(text))).alias("value")).filter("value is not null"), "found")
-    table = saved(replacements(found, secret).select("value", "replacement"), "surrogates")
+    table = saved(replacements(found, secret).select("value", "replacement", "bare"), "surrogates")
     pairs = found.distinct().join(table, "value")
     maps = pairs.groupBy("_id", "_h").agg(F.map_from_entries(F.collect_list(F.struct("value", "replacement"))).alias("_m"))  # the entities of one text
+    # One surrogate a word: as a surname, if it is one in this text.
+    mentions = (pairs.select("_id", "_h", F.explode("bare").alias("b")).groupBy("_id", "_h", "b.word").agg(F.max_by("b.new", "b.part").alias("new"))
+                .groupBy("_id", "_h").agg(F.map_from_entries(F.collect_list(F.struct("word", F.initcap("new").alias("new")))).alias("_b")))
+    maps = maps.join(mentions, ["_id", "_h"], "left")
     has = F.coalesce(text.rlike(HINT) & text.rlike(ENTITY), F.lit(False))
     every = F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0))
     pieces = F.split(text, ENTITY, -1)
-    new = F.concat_ws("", F.zip_with(pieces, F.concat(F.transform(every, lambda e: F.element_at("_m", e)), F.array(F.lit(""))), lambda p, s: F.concat(p, s)))
-    done = rows.filter(has).join(maps, ["_id", "_h"]).select("_row", new.alias("_new"), F.size(every).alias("_n"))
+    words = lambda p: F.regexp_extract_all(p, F.lit(BARE), F.lit(0))
+    usual = lambda w: F.coalesce(F.element_at("_b", w), F.when(w == F.upper(w), F.upper(F.element_at("_b", F.initcap(F.lower(w))))))
+    told = F.transform(pieces, lambda p: F.concat_ws("", F.zip_with(F.split(p, BARE, -1), F.concat(
+        F.transform(words(p), lambda w: F.coalesce(usual(w), w)), F.array(F.lit(""))), lambda q, w: F.concat(q, w))))
+    named = F.col("_b").isNotNull()
+    n_bare = F.when(named, F.aggregate(pieces, F.lit(0), lambda a, p: a + F.size(F.filter(words(p), lambda w: usual(w).isNotNull())))).otherwise(F.lit(0))
+    new = F.concat_ws("", F.zip_with(F.when(named, told).otherwise(pieces), F.concat(F.transform(every, lambda e: F.element_at("_m", e)), F.array(F.lit(""))),
+                                     lambda p, s: F.concat(p, s)))
+    done = rows.filter(has).join(maps, ["_id", "_h"]).select("_row", new.alias("_new"), (F.size(every) + n_bare).alias("_n"))
     out = done.unionByName(rows.filter(~has).select("_row", text.alias("_new"), F.lit(0).alias("_n")))
     cols = [(F.col("_new") if c == text_col else F.col("_row").getField(c)).alias(c) for c in docs.columns]
     return out.select(*cols, *([F.col("_n").cast("long").alias(count_col)] if count_col else []))

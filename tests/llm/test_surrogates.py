@@ -80,3 +80,40 @@ def test_no_planted_value_survives_and_the_rest_is_kept(spark):
         if not found:
             assert out[r.doc_id] == r.text
     assert seen > 20
+
+
+SECRETS = ["hunter", "s3cret", "Pa$$w0rd!", "correct horse battery", "eyJhbGci.eyJzdWIi.SflKxwRJ", "1234", "ae93e105146691ae697923a219be4df655c4f1c7", "p@ss", "ключ"]
+
+
+def test_secrets_in_any_case_and_of_any_form(spark):
+    names = ["TOKEN", "Password", "api_key", "Api-Key", "APIKEY", "secret"]
+    texts = [f"start {n}{gap}{q}{v}{q} end." for v in SECRETS for n in names for gap in (" = ", ": ", "=") for q in ('"', "'", "") if q or " " not in v]
+    texts += [f'{{"token": "{v}", "n": 1}}' for v in SECRETS]
+    got = rewritten(spark, texts)
+    for i, t in enumerate(texts):
+        v = next(v for v in SECRETS if v in t)
+        new, n = got[i]
+        assert n == 1 and not any(x in new for x in re.findall(r"\w{4,}", v)) and v not in new, (t, new)
+        a, b = t.split(v)
+        assert new.startswith(a) and new.endswith(b), (t, new)
+    clean = ["a token of love, the secret is out", "secret: ", 'password = ""', "token: ****", "tokens 5 = five"]
+    assert [rewritten(spark, clean)[i] for i in range(len(clean))] == [(t, 0) for t in clean]
+
+
+def test_names_to_their_end_and_bare_mentions(spark):
+    cases = ["Mr McDonald", "Dr Anna Müller-Schmidt", "Dr John Paul Smith", "Mr O'Brien", "Mr. J. R. Smith", "Mrs. Jean-Marie d'Arc Leclerc", "Herr Ludwig van Beethoven",
+             "Mr SMITH", "Prof. J.R.R. Tolkien", "Mr D’Angelo"]
+    got = rewritten(spark, [f"then {c} spoke and left." for c in cases])
+    for i, c in enumerate(cases):
+        new, n = got[i]
+        title = c.split()[0]
+        assert n == 1 and new.startswith(f"then {title} ") and new.endswith(" spoke and left.")
+        inner = new[len(f"then {title} "):-len(" spoke and left.")]
+        assert len(inner.split()) == len(c.split()) - 1 and all(a != b or a == "van" for a, b in zip(inner.split(), c.split()[1:])), (c, new)
+        assert not any(x in new for x in re.findall(r"[^\W\d_]{4,}", c) if x not in title), (c, new)
+    text = "Smith was early. Mr John Smith's car and Mrs. Smith met; later Smith left, John too, SMITH said. Smithson and smith stay."
+    new, n = rewritten(spark, [text])[0]
+    m = re.fullmatch(r"(\w+) was early\. Mr (\w+) (\w+)'s car and Mrs\. (\w+) met; later (\w+) left, (\w+) too, (\w+) said\. Smithson and smith stay\.", new)
+    a, john, b, c, d, john2, loud = m.groups()
+    assert a == b == c == d != "Smith" and john == john2 != "John" and loud == a.upper() and n == 6
+    assert rewritten(spark, ["Smith alone, John too, 5."])[0] == ("Smith alone, John too, 5.", 0)
