@@ -7,11 +7,12 @@ ties by the Pfair successor bit, then the group deadline, then the name.  The we
 every block meets its window, and after any number t of slots each source has had more than t*w - 1 and
 less than t*w + 1 blocks.
 
-Weights are fractions a/Q.  The schedule then repeats every Q slots, so the driver makes the pattern
-of one period (Q entries, a parameter) and every block's slot follows from its number by a join with that
-table: nothing of the data passes through one task.  Rows are numbered inside their source by a
-range partitioning on (source, hash) with per-partition counts, so a source with a third of the
-rows spreads over many tasks.
+The weights are the exact target fractions, whole numbers a over their sum, for the whole length of the
+schedule: none is rounded to slots of a period.  The driver serves the blocks one after the other, a number of
+steps that is the rows divided by ``block_rows``, keeps one entry per source and writes the slots in runs of
+``CHUNK`` blocks; every row's slot follows by a join on its source and block.  No row passes through the driver
+or one task.  Rows are numbered inside their source by a range partitioning on (source, hash) with per-partition
+counts, so a source with a third of the rows spreads over many tasks.
 
 Every row is scheduled.  ``on_target`` marks the slots before any source has run out, in which
 the weights hold; afterwards the slots of exhausted sources fall idle and the others keep
@@ -25,15 +26,21 @@ ignored in full; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
+from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelle.llm.tables import saved
+from parcelle.llm.tables import BROADCAST_BYTES, saved
 
 PERIOD = 1000
 BLOCK_ROWS = 64
+#: Blocks whose slots the driver holds at a time.
+CHUNK = 1 << 18
 
 
 def shares(targets: dict, period: int = PERIOD) -> dict:
@@ -53,9 +60,18 @@ def shares(targets: dict, period: int = PERIOD) -> dict:
     return got
 
 
-def pattern(slots: dict) -> list[tuple]:
-    """(source, j, release, deadline, slot) of the blocks of one period, by earliest deadline first."""
-    period = sum(slots.values())
+def whole(targets: dict) -> dict:
+    """Positive weights as whole numbers in exactly the same proportions."""
+    exact = {s: Fraction(w) for s, w in targets.items()}
+    over = math.lcm(*(w.denominator for w in exact.values()))
+    out = {s: int(w * over) for s, w in exact.items()}
+    least = math.gcd(*out.values())
+    return {s: a // least for s, a in out.items()}
+
+
+def schedule(weights: dict, blocks: dict) -> Iterator[tuple]:
+    """(source, j, release, deadline, slot) of ``blocks`` blocks of each source, by earliest deadline first; ``weights``: whole numbers."""
+    period = sum(weights.values())
 
     def window(a: int, j: int) -> tuple[int, int]:
         return (j - 1) * period // a, -(-j * period // a)
@@ -66,19 +82,26 @@ def pattern(slots: dict) -> list[tuple]:
             return 0
         return -(-(-(-window(a, j)[1] * (period - a) // period)) * period // (period - a))
 
-    ready, waiting, out = [], [(0, str(s), s, 1) for s in slots], []
+    ready, waiting, t = [], [(0, str(s), s, 1) for s in weights if blocks[s]], 0
     heapq.heapify(waiting)
-    for t in range(period):
+    while waiting or ready:
+        if not ready:
+            t = max(t, waiting[0][0])  # slots in which all sources left must wait stay idle
         while waiting and waiting[0][0] <= t:
             _, name, s, j = heapq.heappop(waiting)
-            r, d = window(slots[s], j)
-            overlaps = j * period % slots[s] != 0
-            heapq.heappush(ready, (d, not overlaps, -group_deadline(slots[s], j), name, s, j, r))
+            r, d = window(weights[s], j)
+            overlaps = j * period % weights[s] != 0
+            heapq.heappush(ready, (d, not overlaps, -group_deadline(weights[s], j), name, s, j, r))
         d, _, _, name, s, j, r = heapq.heappop(ready)
-        out.append((s, j, r, d, t))
-        if j < slots[s]:
-            heapq.heappush(waiting, (window(slots[s], j + 1)[0], name, s, j + 1))
-    return out
+        yield s, j, r, d, t
+        if j < blocks[s]:
+            heapq.heappush(waiting, (window(weights[s], j + 1)[0], name, s, j + 1))
+        t += 1
+
+
+def pattern(slots: dict) -> list[tuple]:
+    """The schedule of one period: as many blocks of each source as it has slots."""
+    return list(schedule(slots, slots))
 
 
 def numbered(docs: DataFrame, source: str, id_col: str, seed: int) -> tuple[DataFrame, dict]:
@@ -100,11 +123,11 @@ def numbered(docs: DataFrame, source: str, id_col: str, seed: int) -> tuple[Data
 
 def natural_targets(sizes: dict, power: float = 0.5) -> dict:
     """Weights by size to a power: below 1 small sources gain against large ones."""
-    return {s: Fraction(n ** power).limit_denominator(10**9) for s, n in sizes.items()}
+    return {s: Fraction(n ** power) for s, n in sizes.items()}
 
 
 def mix(docs: DataFrame, targets: dict | None = None, source: str = "source", id_col: str = "doc_id", block_rows: int = BLOCK_ROWS,
-        period: int = PERIOD, power: float = 0.5, seed: int = 1) -> DataFrame:
+        power: float = 0.5, seed: int = 1) -> DataFrame:
     """The columns of ``docs`` and mix_source, mix_block, mix_release, mix_deadline, mix_slot, mix_place, on_target.
 
     ``mix_slot`` then ``mix_place`` (place in the block) order the mix.  ``targets``: weight by source
@@ -119,20 +142,22 @@ def mix(docs: DataFrame, targets: dict | None = None, source: str = "source", id
         if missing := sorted(set(sizes) - set(given)):
             raise ValueError(f"no target weight for {missing}")
         named = {s: given[s] for s in sizes}
-    slots = shares(named, period) if named else {}
-    q = sum(slots.values())
-    plan = pattern(slots) if slots else []
-    table = spark.createDataFrame([(s, j - 1, r, d, t, slots[s]) for s, j, r, d, t in plan], "_source string, _j long, _r long, _d long, _t long, _a long")
-    # The first idle slot: where the first source lacks a full block.
-    place = {(s, j): t for s, j, _, _, t in plan}
-    ends = [(n // block_rows // slots[s]) * q + place[s, n // block_rows % slots[s] + 1] for s, n in sizes.items()]
-    horizon = min(ends, default=0)
-    a = spark.createDataFrame(list(slots.items()), "_source string, _a long")
-    block = F.floor(F.col("_n") / F.lit(block_rows)).cast("long")
-    out = (rows.join(F.broadcast(a), "_source").withColumn("_b", block)  # one row per source; below, ``period`` rows
-           .withColumn("_j", F.pmod(F.col("_b"), F.col("_a"))).drop("_a").join(F.broadcast(table), ["_source", "_j"]))
-    turn = F.floor(F.col("_b") / F.col("_a")).cast("long") * F.lit(q)
+    weights = whole(named) if named else {}
+    # One block more than the full ones: a short last block, or the idle slot where the source lacks a block.
+    blocks = {s: sizes[s] // block_rows + 1 for s in weights}
+    horizon, tables = None, []
+    plan = schedule(weights, blocks)
+    while not tables or chunk:
+        chunk = list(islice(plan, CHUNK))
+        if chunk or not tables:
+            tables.append(saved(spark.createDataFrame([(s, j - 1, r, d, t) for s, j, r, d, t in chunk], "_source string, _b long, _r long, _d long, _t long"), "slots"))
+        if horizon is None:  # the first idle slot: where the first source lacks a full block
+            horizon = next((t for s, j, _, _, t in chunk if j == blocks[s]), None)
+    table = reduce(DataFrame.unionByName, tables)
+    if sum(blocks.values()) * 48 < BROADCAST_BYTES:
+        table = F.broadcast(table)
+    out = rows.withColumn("_b", F.floor(F.col("_n") / F.lit(block_rows)).cast("long")).join(table, ["_source", "_b"])
     name = F.when(F.col("_source") == "null", F.lit(None)).otherwise(F.substring("_source", 2, 2**31 - 1))
-    return out.select(*cols, name.alias("mix_source"), F.col("_b").alias("mix_block"), (turn + F.col("_r")).alias("mix_release"),
-                      (turn + F.col("_d")).alias("mix_deadline"), (turn + F.col("_t")).alias("mix_slot"),
-                      F.pmod(F.col("_n"), F.lit(block_rows)).cast("long").alias("mix_place"), (turn + F.col("_t") < F.lit(horizon)).alias("on_target"))
+    return out.select(*cols, name.alias("mix_source"), F.col("_b").alias("mix_block"), F.col("_r").alias("mix_release"),
+                      F.col("_d").alias("mix_deadline"), F.col("_t").alias("mix_slot"),
+                      F.pmod(F.col("_n"), F.lit(block_rows)).cast("long").alias("mix_place"), (F.col("_t") < F.lit(horizon or 0)).alias("on_target"))

@@ -59,3 +59,21 @@ def test_hostile_rows(spark):
     assert pfair.mix(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         pfair.mix(df, {"x": 1})
+
+
+def test_deviation_from_the_exact_targets_over_a_long_schedule(spark):
+    sizes = {"hot": 6000, **{f"s{i}": 630 for i in range(19)}}
+    out = pfair.mix(docs_of(spark, sizes), block_rows=1).select("mix_source", "mix_slot", "on_target").toPandas()
+    assert len(out) == sum(sizes.values())
+    on = out[out.on_target].sort_values("mix_slot")
+    assert len(on) > 10_000
+    total = sum(n ** 0.5 for n in sizes.values())
+    for s, n in sizes.items():
+        had = (on.mix_source == s).to_numpy().cumsum()
+        assert abs(had - (on.mix_slot.to_numpy() + 1) * n ** 0.5 / total).max() < 1
+
+
+def test_a_small_weight_is_not_raised(spark):
+    out = pfair.mix(docs_of(spark, {"a": 9000, "b": 4}), {"a": 9999, "b": 1}, block_rows=1).toPandas()
+    assert ((out.mix_release <= out.mix_slot) & (out.mix_slot < out.mix_deadline)).all()
+    assert (out[out.on_target].mix_source == "b").sum() <= 1 and len(out) == 9004
