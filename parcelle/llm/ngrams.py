@@ -1,8 +1,8 @@
 """Codes of words, hashes of runs of words, and groups of equal runs.
 
 ``word_codes`` depends on the word's bytes alone, so codes of different tasks agree; two words
-may share one by chance.  ``exact_codes`` and ``equal_runs`` check every match by content, so
-what they call equal is equal.
+may share one by chance.  ``distinct_codes``, ``exact_codes`` and ``equal_runs`` check every
+match by content, so what they call equal is equal.
 """
 
 from __future__ import annotations
@@ -61,26 +61,33 @@ def _same_words(w: Words, chunks: _Chunks, a: np.ndarray, b: np.ndarray) -> bool
     return True
 
 
-def exact_codes(w: Words) -> np.ndarray:
-    """Codes that are equal for equal words and for no others.
-
-    Each word is compared with one representative of its code; should two words share a code,
-    all are numbered by a dictionary, and such codes hold within this call only."""
-    codes = word_codes(w)
+def distinct_codes(w: Words, codes: np.ndarray, which: np.ndarray) -> bool:
+    """Whether different words among those of the places ``which`` have different codes:
+    each is compared with one representative of its code."""
     chunks = _Chunks(w)
-    size = 1 << max(4, (2 * len(codes)).bit_length())
-    rep, todo = np.empty(size, np.int64), np.arange(len(codes))
+    size = 1 << max(4, (2 * len(which)).bit_length())
+    rep, todo = np.empty(size, np.int64), which
     while len(todo):
         slot = (codes[todo] & np.uint64(size - 1)).astype(np.int64)
         rep[slot] = todo
         first = rep[slot]
         met = codes[first] == codes[todo]
         if not _same_words(w, chunks, todo[met], first[met]):
-            seen: dict[bytes, int] = {}
-            numbers = [seen.setdefault(w.data[s:e].tobytes(), len(seen)) for s, e in zip(w.starts, w.ends)]
-            return mix64(np.array(numbers, np.uint64))
+            return False
         todo = todo[~met]
-    return codes
+    return True
+
+
+def numbered(w: Words) -> np.ndarray:
+    """Codes from a dictionary of the words: exact by themselves, and good within this call only."""
+    seen: dict[bytes, int] = {}
+    return mix64(np.array([seen.setdefault(w.data[s:e].tobytes(), len(seen)) for s, e in zip(w.starts, w.ends)], np.uint64))
+
+
+def exact_codes(w: Words) -> np.ndarray:
+    """Codes that are equal for equal words and for no others: checked ones, or numbers should two words share a code."""
+    codes = word_codes(w)
+    return codes if distinct_codes(w, codes, np.arange(len(codes))) else numbered(w)
 
 
 def run_hash(codes: np.ndarray, k: int) -> np.ndarray:

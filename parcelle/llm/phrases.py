@@ -42,7 +42,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Bits of the proposed set, by length: 16 a phrase, within these bounds.
 LEAST_BITS, MOST_BITS = 20, 27
 #: Raw text that is counted together before anything is sent on.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 _WORD = byte_class(lambda b: b not in (0x20, 0x09) and b not in BREAKS)
 _BREAK = byte_class(lambda b: b in BREAKS)
@@ -62,7 +62,7 @@ def _runs(batch: pa.RecordBatch):
         w = t.words(_WORD)
         if not len(w.doc):
             continue
-        piece = np.cumsum(_BREAK[w.data])[w.starts]
+        piece = np.cumsum(_BREAK[w.data], dtype=np.int32)[w.starts]
         new = np.ones(len(w.doc), bool)
         new[1:] = (w.doc[1:] != w.doc[:-1]) | (piece[1:] != piece[:-1])
         first = np.flatnonzero(new)
@@ -95,6 +95,13 @@ class Proposed:
     def joined(self, other: Proposed) -> Proposed:
         return Proposed({k: self.bits[k] | other.bits[k] for k in self.bits})
 
+    def newly(self, k: int, hashes: dict[int, np.ndarray], at: np.ndarray, added: Proposed) -> np.ndarray:
+        """The places ``at`` of phrases that this set opens and did not without the bits ``added`` to it last."""
+        if k == 1:
+            return at[:0]
+        at = at[added.has(k - 1, hashes[k - 1][at]) | added.has(k - 1, hashes[k - 1][at + 1])]
+        return at[self.opens(k, hashes, at)]
+
 
 def bitmap(spark, found: DataFrame, sizes: dict[int, int]) -> Proposed:
     """The bitmap of (k, h); ``sizes``: the logarithm of its bits by length.  One row per 64 bits set reaches the driver."""
@@ -110,23 +117,26 @@ def bitmap(spark, found: DataFrame, sizes: dict[int, int]) -> Proposed:
     return Proposed(bits)
 
 
-def _counts(docs: DataFrame, max_words: int, new: Proposed | None, old: Proposed | None) -> DataFrame:
-    """(k, h, a): occurrences by hash of the phrases that ``new`` opens and ``old`` does not (None: opens all, and none)."""
-    shared = docs.sparkSession.sparkContext.broadcast((new, old))
+def _counts(docs: DataFrame, max_words: int, opened: Proposed | None, added: Proposed | None = None) -> DataFrame:
+    """(k, h, a): occurrences by hash of the phrases that ``opened`` opens (None: of all).
+
+    ``added``: only of those that its bits, the ones set last, have opened."""
+    shared = docs.sparkSession.sparkContext.broadcast((opened, added))
 
     def run(batches):
-        opened, known = shared.value
+        opened, added = shared.value
         for b in batches:
             for _, w, seed, end in _runs(b):
                 words = mix64(word_codes(w) ^ seed)
-                hashes = {k: run_hash(words, k) for k in range(1, max_words + 1)}
-                for k, h in hashes.items():
+                hashes = {}
+                for k in range(1, max_words + 1):
+                    hashes[k] = run_hash(words, k)
                     at = _places(end, k)
-                    if opened is not None:
+                    if added is not None:
+                        at = opened.newly(k, hashes, at, added)
+                    elif opened is not None:
                         at = at[opened.opens(k, hashes, at)]
-                    if known is not None:
-                        at = at[~known.opens(k, hashes, at)]
-                    keys, n = np.unique(h[at], return_counts=True)
+                    keys, n = np.unique(hashes[k][at], return_counts=True)
                     if len(keys):
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), k, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)],
                                                          names=["k", "h", "a"])
@@ -190,17 +200,18 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     columns = [lang.alias("_lang"), F.xxhash64(lang).alias("_seed"), F.col(text_col).alias("_text")]
     rows = docs.select(*columns)
     sample = docs.filter(F.pmod(F.xxhash64(*row_key(id_col, text_col)), F.lit(1_000_000)) < int(share * 1_000_000)).select(*columns)
-    proposed = saved(_counts(sample, max_words, None, None).filter(F.col("a") >= lowered(min_count, share, risk)).select("k", "h"), "proposed")
+    proposed = saved(_counts(sample, max_words, None).filter(F.col("a") >= lowered(min_count, share, risk)).select("k", "h"), "proposed")
     counted = {r["k"]: r["count"] for r in proposed.groupBy("k").count().collect()}  # one row per length
     sizes = {k: min(MOST_BITS, max(LEAST_BITS, (16 * counted.get(k, 0)).bit_length())) for k in range(1, max_words + 1)}
-    opened, before, passes = bitmap(spark, proposed, sizes), None, []
+    opened, added, passes = bitmap(spark, proposed, sizes), None, []
     while True:
-        found = saved(_counts(rows, max_words, opened, before).filter(F.col("a") >= min_count).select("k", "h"), "frequent")
+        found = saved(_counts(rows, max_words, opened, added).filter(F.col("a") >= min_count).select("k", "h"), "frequent")
         passes.append(found)
         failed = saved(_fresh(found.filter(F.col("k") < max_words), opened), "border-failures")  # the longest open nothing
         if failed.isEmpty():
             break
-        before, opened = opened, opened.joined(bitmap(spark, failed, sizes))
+        added = bitmap(spark, failed, sizes)
+        opened = opened.joined(added)
     everything = passes[0]
     for found in passes[1:]:
         everything = everything.unionByName(found)

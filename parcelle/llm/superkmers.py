@@ -4,13 +4,13 @@ A window is ``window`` consecutive words of one text.  Its minimiser is the smal
 runs of a few words; consecutive windows that share it form a super-k-mer and travel as one packed
 string (their words, joined by one space) to the bucket of the minimiser.  Equal windows have equal
 minimisers, so they meet in one bucket, where sorting counts them; neighbours are compared word by
-word, so hashes decide nothing (see ``ngrams``).  Words covered by a window found twice or more are
-removed; windows are judged on the input.
+word, so hashes decide nothing there (see ``ngrams``).  Words covered by a window found twice or
+more are removed; windows are judged on the input.
 
 Skew: the bytes of every minimiser are counted first.  One beyond ``HOT_BYTES`` (a passage in a
-third of all rows) is split: its super-k-mers are brought together by content with a partial
-aggregate, and each different one is cut anew by a longer minimiser, at last by the whole window.
-The verdicts travel back to the occurrences by a join that AQE splits.  A group is thus bounded by
+third of all rows) is split: its super-k-mers are brought together by content (a 128-bit digest) with
+a partial aggregate, and each different one is cut anew by a longer minimiser, at last into single
+windows.  The verdicts travel back to the occurrences by a join that AQE splits.  A group is thus bounded by
 ``BUCKET_BYTES`` or by one text; nothing is capped or dropped.
 
 Defined results: null and empty texts have no words; texts shorter than a window lose nothing; a
@@ -25,18 +25,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.llm.ngrams import equal_runs, exact_codes, run_hash, sliding_min, word_codes
+from parcelle.llm.ngrams import distinct_codes, equal_runs, numbered, run_hash, sliding_min, word_codes
 from parcelle.llm.tables import row_key, saved, shuffle_width
 from parcelle.llm.words import NOT_SPACE, Texts, Words, mix64, slices
-from parcelle.operators.sizing import maybe_broadcast
+from parcelle.operators.sizing import fits_broadcast, maybe_broadcast
 
 WINDOW = 35
 #: Words of the minimiser, level by level; the last level takes the whole window.
 MINIMISERS = (4, 16)
 HOT_BYTES = 1 << 20
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 #: Bytes of super-k-mers in one shuffle partition.
 PARTITION_BYTES = 32 << 20
+_SPAN = pa.schema([("_a", pa.int64()), ("_b", pa.int64()), ("_lo", pa.int32()), ("_hi", pa.int32())])
 _PIECE = "_a long, _b long, _n int, _at int, _min long, _text binary"
 
 
@@ -48,6 +49,9 @@ def super_kmers(w: Words, codes: np.ndarray, window: int, m: int) -> tuple[np.nd
     least = sliding_min(mix64(run_hash(codes, m) + np.uint64(m)), window - m + 1)
     inside = w.doc[:len(least)] == w.doc[window - 1:]
     new = inside.copy()
+    if m == window:  # the last level: every window by itself
+        first = np.flatnonzero(new)
+        return first, first + window, least[first].view(np.int64)
     new[1:] &= ~inside[:-1] | (least[1:] != least[:-1]) | (w.doc[1:len(least)] != w.doc[:len(least) - 1])
     first = np.flatnonzero(new)
     count = np.add.reduceat(inside.astype(np.int64), first) if len(first) else none  # windows up to the next run
@@ -69,20 +73,26 @@ def _rows(batch: pa.RecordBatch):
         yield t, t.words(NOT_SPACE, lower=False)
 
 
-def cut(texts: DataFrame, window: int, m: int) -> DataFrame:
-    """The super-k-mers of (_a, _b: the text's key, _n: its count, _text) with the word they start at."""
+def cut(texts: DataFrame, window: int, m: int, only: np.ndarray | None = None) -> DataFrame:
+    """The super-k-mers of (_a, _b: the text's key, _n: its count, _text) with the word they start at; ``only``: of these minimisers."""
+    wanted = texts.sparkSession.sparkContext.broadcast(only)
+
     def run(batches):
         for b in batches:
+            keys = b.select(["_a", "_b", "_n"])
             for t, w in _rows(b):
                 first, end, least = super_kmers(w, word_codes(w), window, m)
+                if wanted.value is not None:
+                    mine = np.isin(least, wanted.value)
+                    first, end, least = first[mine], end[mine], least[mine]
                 if not len(first):
                     continue
                 text, off = joined(t, w)
                 raw = text.tobytes()
                 parts = [raw[i:j - 1] for i, j in zip(off[first].tolist(), off[end].tolist())]
-                own = b.slice(t.first, t.n).take(pa.array(w.doc[first]))
+                own = keys.slice(t.first, t.n).take(pa.array(w.doc[first]))
                 yield pa.RecordBatch.from_arrays(
-                    [*own.columns[:3], pa.array((first - w.at[w.doc[first]]).astype(np.int32)), pa.array(least), pa.array(parts, pa.binary())],
+                    [*own.columns, pa.array((first - w.at[w.doc[first]]).astype(np.int32)), pa.array(least), pa.array(parts, pa.binary())],
                     names=["_a", "_b", "_n", "_at", "_min", "_text"])
 
     return texts.mapInArrow(run, _PIECE)
@@ -109,20 +119,29 @@ def hot_minimisers(texts: DataFrame, window: int, m: int) -> DataFrame:
 def repeated_spans(table: pa.Table, window: int) -> pa.Table:
     """The word spans (_a, _b, _lo, _hi) of a bucket's windows that occur twice or more in it."""
     table = table.combine_chunks()
-    found = {"_a": [], "_b": [], "_lo": [], "_hi": []}
     for t in slices(table.column("_text"), 1 << 62):
         w = t.words(NOT_SPACE, lower=False)
-        codes = exact_codes(w)
+        codes = word_codes(w)
         n = len(codes) - window + 1
         if n <= 0:
             break
         at = np.flatnonzero(w.doc[:n] == w.doc[window - 1:])
-        order, new = equal_runs(codes, at, window)
-        weight = table.column("_n").to_numpy()[w.doc[at[order]]]
-        group = np.cumsum(new) - 1
-        twice = np.zeros(n, bool)
-        twice[at[order]] = (np.bincount(group, weight) >= 2)[group]
-        hits = np.flatnonzero(twice)
+        weight = table.column("_n").to_numpy()
+
+        def twice():
+            order, new = equal_runs(codes, at, window)
+            group = np.cumsum(new) - 1
+            found = np.zeros(n, bool)
+            found[at[order]] = (np.bincount(group, weight[w.doc[at[order]]]) >= 2)[group]
+            return np.flatnonzero(found)
+
+        hits = twice()
+        step = np.zeros(len(codes) + 1, np.int32)
+        step[hits] += 1
+        step[hits + window] -= 1
+        if not distinct_codes(w, codes, np.flatnonzero(np.cumsum(step[:-1]))):
+            codes = numbered(w)
+            hits = twice()
         if not len(hits):
             break
         row = w.doc[hits]
@@ -132,25 +151,33 @@ def repeated_spans(table: pa.Table, window: int) -> pa.Table:
         b = np.append(a[1:], len(hits)) - 1
         lo = hits[a] - w.at[row[a]] + table.column("_at").to_numpy()[row[a]]
         keys = table.select(["_a", "_b"]).take(pa.array(row[a]))
-        found = {"_a": keys.column(0), "_b": keys.column(1), "_lo": lo.astype(np.int32), "_hi": (lo + hits[b] - hits[a] + window).astype(np.int32)}
-    return pa.table({k: pa.chunked_array(v) if isinstance(v, pa.ChunkedArray) else pa.array(v, pa.int64() if k in ("_a", "_b") else pa.int32())
-                     for k, v in found.items()}).cast(pa.schema([("_a", pa.int64()), ("_b", pa.int64()), ("_lo", pa.int32()), ("_hi", pa.int32())]))
+        return pa.table([keys.column(0), keys.column(1), pa.array(lo, pa.int32()), pa.array(lo + hits[b] - hits[a] + window, pa.int32())], _SPAN)
+    return _SPAN.empty_table()
+
+
+def _by_content(pieces: DataFrame, window: int) -> DataFrame:
+    """``pieces`` with a 128-bit digest of their text (_c, _d)."""
+    return pieces.withColumns({"_c": F.xxhash64("_text"), "_d": F.xxhash64(F.lit(window), "_text")})
 
 
 def _count(texts: DataFrame, window: int, levels: tuple[int, ...]) -> DataFrame:
     """Spans (_a, _b, _lo, _hi) of the repeated windows of ``texts``, once each."""
     m, deeper = min(levels[0], window), levels[1:]
+    if not deeper:  # single windows of the hottest minimisers: only digests travel, counted by a partial aggregate
+        places = saved(_by_content(cut(texts, window, window), window).drop("_text", "_min"), "hot-windows")
+        again = places.groupBy("_c", "_d").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= 2).select("_c", "_d")
+        return saved(places.join(again, ["_c", "_d"]).select("_a", "_b", F.col("_at").alias("_lo"), (F.col("_at") + window).alias("_hi")), "spans")
+    spark = texts.sparkSession
     sizes = saved(hot_minimisers(texts, window, m), "minimisers")
-    total, = sizes.agg(F.sum("bytes")).first()
+    total, n_hot = sizes.agg(F.sum("bytes"), F.count("_min")).first()
     pieces = cut(texts, window, m)
     if total is None:
         return pieces.select("_a", "_b", F.col("_at").alias("_lo"), F.col("_at").alias("_hi"))
     hot = sizes.filter(F.col("_min").isNotNull()).select("_min")
-    n_hot = hot.count() if deeper else 0
     cold = pieces.join(maybe_broadcast(hot, n_hot), "_min", "left_anti") if n_hot else pieces
     buckets = max(1, -(-total // BUCKET_BYTES))
-    width = shuffle_width(texts.sparkSession, total, PARTITION_BYTES)
-    cold = cold.select(F.pmod("_min", F.lit(buckets)).alias("_bucket"), "_a", "_b", "_n", "_at", "_text").repartition(width, "_bucket")
+    cold = (cold.select(F.pmod("_min", F.lit(buckets)).alias("_bucket"), "_a", "_b", "_n", "_at", "_text")
+            .repartition(shuffle_width(spark, total, PARTITION_BYTES), "_bucket"))
 
     def count(table: pa.Table) -> pa.Table:
         return repeated_spans(table, window)
@@ -158,8 +185,11 @@ def _count(texts: DataFrame, window: int, levels: tuple[int, ...]) -> DataFrame:
     spans = cold.groupBy("_bucket").applyInArrow(count, "_a long, _b long, _lo int, _hi int")
     if not n_hot:
         return saved(spans.distinct(), "spans")
-    content = [F.xxhash64("_text").alias("_c"), F.xxhash64(F.lit(window), "_text").alias("_d")]
-    places = saved(pieces.join(maybe_broadcast(hot, n_hot), "_min", "left_semi").select("_a", "_b", "_n", "_at", *content, "_text"), "hot-pieces")
+    if fits_broadcast(hot, n_hot):
+        warm = cut(texts, window, m, np.sort(hot.toArrow().column(0).to_numpy()))
+    else:
+        warm = pieces.join(hot, "_min", "left_semi")
+    places = saved(_by_content(warm, window).drop("_min"), "hot-pieces")
     different = saved(places.groupBy(F.col("_c").alias("_a"), F.col("_d").alias("_b"))
                       .agg(F.least(F.sum("_n"), F.lit(2)).cast("int").alias("_n"), F.first("_text").alias("_text")), "hot-texts")
     inner = _count(different, window, deeper).select(F.col("_a").alias("_c"), F.col("_b").alias("_d"), "_lo", "_hi")

@@ -84,7 +84,7 @@ def test_all_frequent_phrases_found_through_border_failures(spark, monkeypatch):
     rows = make_rows(4)
     opened = []
     plain = phrases._counts
-    monkeypatch.setattr(phrases, "_counts", lambda d, m, new, old: opened.append((new, old)) or plain(d, m, new, old))
+    monkeypatch.setattr(phrases, "_counts", lambda d, m, *sets: opened.append(sets) or plain(d, m, *sets))
     got = {(x.lang, x.k, x.phrase): x.a for x in phrases.frequent_phrases(frame(spark, rows), share=0.0).collect()}
     counts, n = brute_counts(rows)
     want = {(lang, len(p), " ".join(p)): a for lang, f in counts.items() for p, a in f.items() if a >= 10}
