@@ -1,8 +1,8 @@
 """Codes of words, hashes of runs of words, and groups of equal runs.
 
 ``word_codes`` depends on the word's bytes alone, so codes of different tasks agree; two words
-may share one by chance.  ``distinct_codes``, ``exact_codes`` and ``equal_runs`` check every
-match by content, so what they call equal is equal.
+may share one by chance.  ``distinct_codes`` tells whether any do, and ``numbered`` gives codes
+that never do; ``equal_runs`` compares runs code by code.
 """
 
 from __future__ import annotations
@@ -84,12 +84,6 @@ def numbered(w: Words) -> np.ndarray:
     return mix64(np.array([seen.setdefault(w.data[s:e].tobytes(), len(seen)) for s, e in zip(w.starts, w.ends)], np.uint64))
 
 
-def exact_codes(w: Words) -> np.ndarray:
-    """Codes that are equal for equal words and for no others: checked ones, or numbers should two words share a code."""
-    codes = word_codes(w)
-    return codes if distinct_codes(w, codes, np.arange(len(codes))) else numbered(w)
-
-
 def run_hash(codes: np.ndarray, k: int) -> np.ndarray:
     """Hash of every ``k`` consecutive codes (n - k + 1 entries), from runs of doubled length."""
     n = len(codes)

@@ -110,15 +110,15 @@ def numbered(docs: DataFrame, source: str, id_col: str, seed: int) -> tuple[Data
     rows = docs.select(src.alias("_source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                        F.xxhash64(F.lit(seed), F.col(id_col), F.col(source)).alias("_k"), F.monotonically_increasing_id().alias("_tie"))
     width = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = rows.repartitionByRange(width, "_source", "_k", "_tie").sortWithinPartitions("_source", "_k", "_tie").withColumn("_pid", F.spark_partition_id())
-    # Numbered inside each partition, then written: counts and numbers refer to the same partitions.
-    w = Window.partitionBy("_pid", "_source").orderBy("_k", "_tie")
-    part = saved(ordered.withColumn("_i", F.row_number().over(w) - 1).drop("_k", "_tie"), "ordered")
-    counts = saved(part.groupBy("_source", "_pid").agg(F.count(F.lit(1)).alias("c")), "counts")  # fewer than partitions + sources rows, as the order is by source
+    ordered = rows.repartitionByRange(width, "_source", "_k", "_tie").sortWithinPartitions("_source", "_k", "_tie")
+    # Ids rise by one inside a partition: less the smallest of (partition, source) they number its rows without another exchange.
+    part = saved(ordered.withColumn("_id", F.monotonically_increasing_id()).drop("_k", "_tie").withColumn("_pid", F.shiftright("_id", 33)), "ordered")
+    # Fewer than partitions + sources rows, as the order is by source.
+    counts = saved(part.groupBy("_source", "_pid").agg(F.count(F.lit(1)).alias("c"), F.min("_id").alias("_first")), "counts")
     sizes = {r["_source"]: r["n"] for r in counts.groupBy("_source").agg(F.sum("c").alias("n")).collect()}
     before = F.sum("c").over(Window.partitionBy("_source").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("_source", "_pid", F.coalesce(before, F.lit(0)).alias("_off"))
-    return part.join(F.broadcast(offsets), ["_source", "_pid"]).select("_row", "_source", (F.col("_off") + F.col("_i")).alias("_n")), sizes
+    offsets = counts.select("_source", "_pid", (F.coalesce(before, F.lit(0)) - F.col("_first")).alias("_off"))
+    return part.join(F.broadcast(offsets), ["_source", "_pid"]).select("_row", "_source", (F.col("_off") + F.col("_id")).alias("_n")), sizes
 
 
 def natural_targets(sizes: dict, power: float = 0.5) -> dict:

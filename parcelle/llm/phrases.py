@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelle.llm.ngrams import equal_runs, exact_codes, run_hash, word_codes
+from parcelle.llm.ngrams import distinct_codes, equal_runs, numbered, run_hash, word_codes
 from parcelle.llm.tables import row_key, saved
-from parcelle.llm.words import Words, byte_class, mix64, slices
+from parcelle.llm.words import byte_class, mix64, slices
 
 MIN_COUNT, MAX_WORDS, PER_LANG = 10, 3, 2000
 #: A candidate goes if a longer one that contains it has at least this percentage of its occurrences.
@@ -39,10 +39,12 @@ COVERED_PERCENT = 50
 #: Share of the documents in the sample, by hash of the row, and the risk that a phrase at the threshold is not proposed.
 SAMPLE, RISK = 0.1, 0.01
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-#: Bits of the proposed set, by length: 16 a phrase, within these bounds.
+#: The logarithm of the bits of a set, by length, stays within these bounds.
 LEAST_BITS, MOST_BITS = 20, 27
 #: Raw text that is counted together before anything is sent on.
 SLICE_BYTES = 2 << 20
+#: Counted texts that a task holds before it adds equal ones up and sends them on.
+MERGED_ROWS = 400_000
 
 _WORD = byte_class(lambda b: b not in (0x20, 0x09) and b not in BREAKS)
 _BREAK = byte_class(lambda b: b in BREAKS)
@@ -163,35 +165,61 @@ def _fresh(found: DataFrame, known: Proposed) -> DataFrame:
 def _texts(docs: DataFrame, found: Proposed, max_words: int) -> DataFrame:
     """(lang, k, phrase, a) of the phrases whose hash is in ``found``, counted by their words; k = 0: all words of the language."""
     shared = docs.sparkSession.sparkContext.broadcast(found)
+    schema = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("phrase", pa.string()), ("a", pa.int64())])
+
+    def count(t, w, seed, end, langs):
+        """The counts of one slice; its phrases are grouped by codes that are told apart by their words."""
+        lang = langs.indices.to_numpy()[w.doc]
+        codes = word_codes(w)
+        pure = mix64(codes ^ seed)
+        places = {}
+        for k in range(1, max_words + 1):
+            at = _places(end, k)
+            places[k] = at[shared.value.has(k, run_hash(pure, k)[at])]
+        if not distinct_codes(w, codes, np.unique(np.concatenate([at + j for k, at in places.items() for j in range(k)]))):
+            codes = numbered(w)
+        off = np.concatenate([[0], np.cumsum(w.ends - w.starts + 1)])
+        text, letters = np.full(off[-1], 0x20, np.uint8), np.ones(off[-1], bool)
+        letters[off[1:] - 1] = False
+        text[letters] = w.data[_WORD[w.data]]
+        raw = text.tobytes()
+        for i, n in zip(*np.unique(lang, return_counts=True)):
+            name = langs.dictionary[int(i)].as_py()
+            yield pa.table([pa.array([name]), pa.array([0], pa.int32()), pa.array([""]), pa.array([n], pa.int64())], schema)
+            for k, at in places.items():
+                mine = at[lang[at] == i]
+                order, new = equal_runs(codes, mine, k)
+                heads = np.flatnonzero(new)
+                first = mine[order[heads]]
+                phrases = pa.array([raw[x:y - 1] for x, y in zip(off[first].tolist(), off[first + k].tolist())], pa.binary()).cast(pa.string())
+                yield pa.table([pa.array([name] * len(first), pa.string()), pa.array(np.full(len(first), k, np.int32)), phrases,
+                                pa.array(np.diff(np.append(heads, len(mine))))], schema)
+
+    def merged(parts):
+        return pa.concat_tables(parts).group_by(["lang", "k", "phrase"]).aggregate([("a", "sum")]).rename_columns(schema.names).to_batches(100_000)
 
     def run(batches):
+        parts, rows = [], 0
         for b in batches:
             for t, w, seed, end in _runs(b):
-                langs = b.column(0).slice(t.first, t.n).dictionary_encode()
-                lang = langs.indices.to_numpy()[w.doc]
-                codes = exact_codes(w)
-                pure = mix64(word_codes(w) ^ seed)
-                rows = [(lang_id, 0, "", n) for lang_id, n in zip(*np.unique(lang, return_counts=True))]
-                for k in range(1, max_words + 1):
-                    at = _places(end, k)
-                    at = at[shared.value.has(k, run_hash(pure, k)[at])] if len(at) else at
-                    if not len(at):
-                        continue
-                    for lang_id in np.unique(lang[at]):
-                        mine = at[lang[at] == lang_id]
-                        order, new = equal_runs(codes, mine, k)
-                        heads = np.flatnonzero(new)
-                        sizes = np.diff(np.append(heads, len(mine)))
-                        rows += [(lang_id, k, " ".join(w.text(j) for j in range(i, i + k)), n)
-                                 for i, n in zip(mine[order[heads]].tolist(), sizes.tolist())]
-                ids, ks, phrases, ns = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [langs.dictionary.take(pa.array(ids)).cast(pa.string()), pa.array(ks, pa.int32()), pa.array(phrases, pa.string()), pa.array(ns, pa.int64())],
-                    names=["lang", "k", "phrase", "a"])
+                for part in count(t, w, seed, end, b.column(0).slice(t.first, t.n).dictionary_encode()):
+                    parts.append(part)
+                    rows += part.num_rows
+                if rows > MERGED_ROWS:
+                    yield from merged(parts)
+                    parts, rows = [], 0
+        if parts:
+            yield from merged(parts)
 
     return docs.mapInArrow(run, "lang string, k int, phrase string, a long").groupBy("lang", "k", "phrase").agg(F.sum("a").alias("a"))
 
 
+def _sizes(found: DataFrame, max_words: int, each: int) -> dict[int, int]:
+    """The logarithm of the bits for the phrases of each length: ``each`` a phrase, within the bounds."""
+    counted = {r["k"]: r["count"] for r in found.groupBy("k").count().collect()}  # one row per length
+    return {k: min(MOST_BITS, max(LEAST_BITS, (each * counted.get(k, 0)).bit_length())) for k in range(1, max_words + 1)}
+
+
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, share: float = SAMPLE, risk: float = RISK,
                      lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(lang, k, phrase, a) of every phrase of 1 to ``max_words`` words with a >= ``min_count`` occurrences; k = 0: all words of the language."""
@@ -201,8 +229,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     rows = docs.select(*columns)
     sample = docs.filter(F.pmod(F.xxhash64(*row_key(id_col, text_col)), F.lit(1_000_000)) < int(share * 1_000_000)).select(*columns)
     proposed = saved(_counts(sample, max_words, None).filter(F.col("a") >= lowered(min_count, share, risk)).select("k", "h"), "proposed")
-    counted = {r["k"]: r["count"] for r in proposed.groupBy("k").count().collect()}  # one row per length
-    sizes = {k: min(MOST_BITS, max(LEAST_BITS, (16 * counted.get(k, 0)).bit_length())) for k in range(1, max_words + 1)}
+    sizes = _sizes(proposed, max_words, 16)
     opened, added, passes = bitmap(spark, proposed, sizes), None, []
     while True:
         found = saved(_counts(rows, max_words, opened, added).filter(F.col("a") >= min_count).select("k", "h"), "frequent")
@@ -215,9 +242,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
     everything = passes[0]
     for found in passes[1:]:
         everything = everything.unionByName(found)
-    counted = {r["k"]: r["count"] for r in everything.groupBy("k").count().collect()}
-    sizes = {k: min(MOST_BITS, max(LEAST_BITS, (16 * counted.get(k, 0)).bit_length())) for k in range(1, max_words + 1)}
-    texts = _texts(rows, bitmap(spark, everything, sizes), max_words)
+    texts = _texts(rows, bitmap(spark, everything, _sizes(everything, max_words, 64)), max_words)
     return saved(texts.filter((F.col("a") >= min_count) | (F.col("k") == 0)), "phrases")
 
 

@@ -52,20 +52,21 @@ _SECRET = r"(?i:token|secret|passwd|password|api_key|api-key|apikey)"
 #: A name of a secret and what stands between it and the value.
 _BEFORE = _SECRET + r"""["']?[ \t]{0,4}[=:][ \t]{0,4}"""
 PARTICLES = "von van der den dem de del della di da du la le bin ibn al el zu zum zur ter ten dos das do af av".split()
-#: A word of a name; the s of a genitive is none of it.
-_WORD = r"(?:[dl]['’])?(?:\p{Lu}\.)*\p{Lu}\p{M}*(?:['’]\p{Lu})?[\p{L}\p{M}]+(?:-\p{Lu}[\p{L}\p{M}]*|['’](?![sS](?!\p{L}))\p{L}[\p{L}\p{M}]*)*+"
-_INITIALS = r"(?:\p{Lu}\.(?:-?\p{Lu}\.)* )*"
-_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*"
+#: A word of a name; the s of a genitive is none of it.  Groups of any length are possessive here and below: the
+#: JVM runs these in a loop, others by recursion, which a hostile text takes beyond the stack.
+_WORD = r"(?:[dl]['’])?(?:\p{Lu}\.)*+\p{Lu}\p{M}*(?:['’]\p{Lu})?[\p{L}\p{M}]+(?:-\p{Lu}[\p{L}\p{M}]*|['’](?![sS](?!\p{L}))\p{L}[\p{L}\p{M}]*)*+"
+_INITIALS = r"(?:\p{Lu}\.(?:-?\p{Lu}\.)*+ )*+"
+_PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*+"
 _NAME = rf"{_INITIALS}{_PARTICLES}{_WORD}(?: {_INITIALS}{_PARTICLES}{_WORD})*+"
 _PHONE = r"\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}"
-_MAIL = r"[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})+"
+_MAIL = r"[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 #: The patterns of the entity types.
 PATTERNS = [
     rf"""(?<=[=:][ \t]{{0,4}}["'])(?:(?<={_BEFORE}")(?=[^"\r\n]*[\p{{L}}\p{{N}}])(?:[^"\r\n]+(?=")|[^\s"]+)|(?<={_BEFORE}')(?=[^'\r\n]*[\p{{L}}\p{{N}}])(?:[^'\r\n]+(?=')|[^\s']+))""",
     rf"""(?<=[=:][ \t]{{0,4}})(?<={_BEFORE})(?=[^\s"']*[\p{{L}}\p{{N}}])[^\s"']*[^\s"',;.)\]}}>]""",
     rf"""(?<=[=:\s"'])(?=[A-Za-z0-9+/_\-]{{16}})(?<={_SECRET}\s{{0,2}}[=:]\s{{0,2}}["']?)(?=[A-Za-z+/_\-]*\d)[A-Za-z0-9+/_\-]{{16,}}""",
-    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})+",
+    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})++",
     r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     r"(?<![\w+])\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}(?!\w)",
     r"(?<![\w(])\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}(?!\w)",

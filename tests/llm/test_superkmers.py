@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from parcelle.llm import ngrams, superkmers
@@ -87,7 +88,9 @@ def test_groups_are_exact_even_with_bad_hashes(monkeypatch):
     texts = [" ".join(r.choices(["a", "b", "ab", "ba", "abcdefgh", "abcdefghi", "y" * 400, "y" * 399 + "z"], k=60)) for _ in range(8)]
     monkeypatch.setattr(ngrams, "word_codes", lambda w: (w.ends - w.starts).astype(np.uint64) % np.uint64(2))
     w = words_of(texts)
-    codes = ngrams.exact_codes(w)
+    assert not ngrams.distinct_codes(w, ngrams.word_codes(w), np.arange(len(w.doc)))
+    codes = ngrams.numbered(w)
+    assert ngrams.distinct_codes(w, codes, np.arange(len(w.doc)))
     said = [w.text(i) for i in range(len(codes))]
     assert len(set(zip(codes.tolist(), said))) == len(set(said)) == len(set(codes.tolist()))
     monkeypatch.setattr(ngrams, "run_hash", lambda c, k: np.zeros(len(c) - k + 1, np.uint64))
@@ -98,6 +101,15 @@ def test_groups_are_exact_even_with_bad_hashes(monkeypatch):
     assert len(set(zip(group.tolist(), runs))) == len(set(runs)) == group[-1]
 
 
+def test_words_with_one_code_do_not_count_as_equal(spark, monkeypatch):
+    texts = ["a b c d e", "b a c d e", "a b c d f", "x y c d e"]
+    table = pa.table({"_a": pa.array(range(4), pa.int64()), "_b": pa.array(range(4), pa.int64()), "_n": pa.array([1] * 4, pa.int32()),
+                      "_at": pa.array([7, 0, 0, 0], pa.int32()), "_text": pa.array([t.encode() for t in texts])})
+    monkeypatch.setattr(superkmers, "word_codes", lambda w: np.zeros(len(w.doc), np.uint64))
+    got = superkmers.repeated_spans(table, 3).to_pylist()
+    assert sorted((g["_a"], g["_lo"], g["_hi"]) for g in got) == [(0, 7, 12), (1, 2, 5), (2, 0, 4), (3, 2, 5)]
+
+
 def test_equal_windows_share_their_minimiser():
     passage = [f"p{i}" for i in range(50)]
     w = words_of([" ".join(["x", "y"] + passage + ["z"]), " ".join(passage)])

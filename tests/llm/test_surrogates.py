@@ -117,3 +117,11 @@ def test_names_to_their_end_and_bare_mentions(spark):
     a, john, b, c, d, john2, loud = m.groups()
     assert a == b == c == d != "Smith" and john == john2 != "John" and loud == a.upper() and n == 6
     assert rewritten(spark, ["Smith alone, John too, 5."])[0] == ("Smith alone, John too, 5.", 0)
+
+
+def test_long_entities_do_not_overflow_the_stack(spark):
+    n = 20_000
+    long = ["x a@b" + ".b" * n + ".com y", "Dr. " + "A." * n + " Smith went", "Mr " + "von " * n + "Hagen"]
+    df = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    found = [r.v for r in df.select(F.explode(surrogates.entities(F.col("text"))).alias("v")).collect()]
+    assert sorted(len(v) for v in found) == sorted([len(long[0]) - 4, len(long[1]) - 5, len(long[2])])
