@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.functions.columns import hash_uniform
+from parcelle.models.treeshap import parts_of, tree_shapley
 from parcelle.operators.encode import BlockEncoder
 from parcelle.schemas import CATEGORICAL_PHYSICAL, NUMERIC_CONTEXTUAL, NUMERIC_PHYSICAL
 
@@ -177,7 +178,7 @@ def oof_base_predictions(df: DataFrame, phys_factory, ctx_factory, n_folds: int
 
 
 # ---------------------------------------------------------------------------
-# Shapley values: closed form for linear parts, permutation sampling for others
+# Shapley values: closed form for linear parts, exact for trees, permutation sampling for others
 # ---------------------------------------------------------------------------
 def additive_parts(model, n_phys: int, d: int):
     """prediction = constant + w·x_all + Σ aᵢ·partᵢ: the linear models' summed
@@ -209,10 +210,11 @@ def linear_shapley(w, rows: DataFrame, means, id_cols) -> DataFrame:
 
 
 def shapley_values(model, sample: DataFrame, background: list, n_phys: int,
-                   n_permutations: int = 8, seed: int = 42, id_col: str = "_sid") -> DataFrame:
+                   n_permutations: int = 8, seed: int = 42, id_col: str = "_sid", means=None) -> DataFrame:
     """(row id, feature index, φ) against the ``background`` rows.
 
-    Linear parts have a closed form.  The rest is permutation sampling
+    Linear parts have a closed form, against ``means`` (of any number of rows; None: of the
+    background).  Tree parts have exact values (``treeshap``).  The rest is permutation sampling
     (Štrumbelj & Kononenko, 2014): each ``sample`` row (bounded by the caller:
     a top-k sample) meets the permutations and the background (a bounded list)
     as literal arrays.  Sampled rows sit in one partition after a top-k, so the
@@ -220,9 +222,17 @@ def shapley_values(model, sample: DataFrame, background: list, n_phys: int,
     lag window runs on that same partitioning."""
     d = len(background[0])
     w, others = additive_parts(model, n_phys, d)
-    linear = linear_shapley(w, sample, np.mean(np.asarray(background, dtype=float), axis=0), [id_col])
+    known = np.asarray(background, dtype=float)
+    linear = linear_shapley(w, sample, known.mean(axis=0) if means is None else means, [id_col])
+    spans, rest = {"x_all": slice(0, d), "x_phys": slice(0, n_phys), "x_ctx": slice(n_phys, d)}, []
+    for a, part, col in others:
+        if (trees := parts_of(part) if col else None) is None:
+            rest.append((a, part, col))
+        else:
+            linear = linear.unionByName(tree_shapley([(a * v, t) for v, t in trees], sample, known[:, spans[col]], [id_col], col, spans[col].start))
+    others = rest
     if not others:
-        return linear
+        return linear.groupBy(id_col, "feature").agg(F.sum("phi").alias("phi"))
     rng = np.random.default_rng(seed)
     perms = [rng.permutation(d).tolist() for _ in range(n_permutations)]
     # One entry per (permutation, step j): the first j features of the permutation come from x,

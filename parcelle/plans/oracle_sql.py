@@ -508,3 +508,71 @@ LINEAR_SHAPLEY = MODEL_ROWS + """, s AS (
 SELECT id_mutation, valeur_fonciere, 0 AS feature, round(0.3 * sa * (a - ma), 3) AS phi FROM m, s
 UNION ALL
 SELECT id_mutation, valeur_fonciere, 1 AS feature, round(0.7 * sb * (b - mb), 3) AS phi FROM m, s"""
+
+
+def boosted_tree_sql(p: dict) -> str:
+    """One tree of depth 2 on x = least(rooms, 6), by its definition: every threshold of every node is scored."""
+    lam, alpha, gamma, child, rate = (float(p[k]) for k in ("lambda", "alpha", "gamma", "min_child_weight", "learning_rate"))
+
+    def score(g, h):
+        return f"power(greatest(abs({g}) - {alpha}, 0), 2) / ({h} + {lam})"
+
+    def split(rows: str, name: str) -> str:
+        """The best threshold of each node of ``rows`` (columns node, x, g), if any is good enough."""
+        return f"""{name}_v AS (SELECT node, x, sum(g) AS g, count(*) AS h FROM {rows} GROUP BY node, x),
+{name}_c AS (SELECT node, x, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY node) AS gt, sum(h) OVER (PARTITION BY node) AS ht
+  FROM {name}_v WINDOW w AS (PARTITION BY node ORDER BY x)),
+{name} AS (SELECT node, x AS cut FROM (SELECT *, {score('gl', 'hl')} + {score('(gt - gl)', '(ht - hl)')} - {score('gt', 'ht')} AS gain FROM {name}_c
+    WHERE hl >= {child} AND ht - hl >= {child})
+  WHERE gain > {gamma} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, x) = 1)"""
+
+    return MODEL_ROWS + f""", r0 AS (SELECT id_mutation, valeur_fonciere, y, least(a, 6e0) AS x, (SELECT avg(y) FROM m) - y AS g, 1 AS node FROM m),
+{split('r0', 's1')},
+r1 AS (SELECT r0.* EXCLUDE (node), CASE WHEN cut IS NULL THEN r0.node WHEN x <= cut THEN 2 ELSE 3 END AS node FROM r0 LEFT JOIN s1 ON s1.node = r0.node),
+{split('r1', 's2')},
+r2 AS (SELECT r1.* EXCLUDE (node), CASE WHEN cut IS NULL THEN r1.node WHEN x <= cut THEN 2 * r1.node ELSE 2 * r1.node + 1 END AS node
+  FROM r1 LEFT JOIN s2 ON s2.node = r1.node),
+leaf AS (SELECT node, -{rate} * sign(sum(g)) * greatest(abs(sum(g)) - {alpha}, 0) / (count(*) + {lam}) AS v FROM r2 GROUP BY node)
+SELECT id_mutation, valeur_fonciere, round((SELECT avg(y) FROM m) + v, 4) AS prediction FROM r2 JOIN leaf ON leaf.node = r2.node"""
+
+
+# Sums (s) and counts (n) of the few-rooms (0) and many-rooms (1) sales of each year; a split needs positive gain.
+BATCH_BOOST_SHRUNK = MODEL_ROWS.replace("WITH", "WITH RECURSIVE", 1) + """, z AS (
+  SELECT a >= 3 AS many, dense_rank() OVER (ORDER BY year) AS k, y FROM m
+), b AS (SELECT k, coalesce(sum(y) FILTER (NOT many), 0) AS s0, count(*) FILTER (NOT many) AS n0,
+                coalesce(sum(y) FILTER (many), 0) AS s1, count(*) FILTER (many) AS n1 FROM z GROUP BY k),
+f AS (
+  SELECT 0 AS k, avg(y) AS f0, avg(y) AS f1 FROM m
+  UNION ALL
+  SELECT k, f0 + CASE WHEN two THEN g0 / (n0 + 25) ELSE (g0 + g1) / (n0 + n1 + 25) END,
+         f1 + CASE WHEN two THEN g1 / (n1 + 25) ELSE (g0 + g1) / (n0 + n1 + 25) END
+  FROM (SELECT *, n0 > 0 AND n1 > 0 AND power(g0, 2) / (n0 + 25) + power(g1, 2) / (n1 + 25) - power(g0 + g1, 2) / (n0 + n1 + 25) > 1e-6 AS two
+        FROM (SELECT b.k, f0, f1, n0, n1, s0 - n0 * f0 AS g0, s1 - n1 * f1 AS g1 FROM f JOIN b ON b.k = f.k + 1))
+)
+SELECT id_mutation, valeur_fonciere, round(CASE WHEN a >= 3 THEN f1 ELSE f0 END, 4) AS prediction FROM m JOIN f ON f.k = (SELECT max(k) FROM z)"""
+
+# A boosted stump on a 0/1 column after n rounds at rate r: mean + (1 - (1 - r)^n) (group mean - mean), all of the other folds.
+GRID_SEARCH_POINTS = MODEL_ROWS + """, z AS (SELECT y, a >= 3 AS p, b > 0 AS c, year % 3 AS fold FROM m),
+k AS (SELECT DISTINCT fold FROM z),
+o AS (SELECT k.fold, avg(y) AS m FROM z JOIN k ON z.fold <> k.fold GROUP BY k.fold),
+gp AS (SELECT k.fold, p, avg(y) AS g FROM z JOIN k ON z.fold <> k.fold GROUP BY k.fold, p),
+gc AS (SELECT k.fold, c, avg(y) AS g FROM z JOIN k ON z.fold <> k.fold GROUP BY k.fold, c),
+x AS (SELECT z.fold, y, o.m, gp.g AS gp, gc.g AS gc FROM z JOIN o ON o.fold = z.fold JOIN gp ON gp.fold = z.fold AND gp.p = z.p
+      JOIN gc ON gc.fold = z.fold AND gc.c = z.c),
+grid AS (SELECT w, n, r, q FROM (VALUES (0.3e0), (0.7e0)) t1(w), (VALUES (1), (2)) t2(n), (VALUES (0.3e0), (0.6e0)) t3(r), (VALUES (0.5e0), (0.9e0)) t4(q)),
+e AS (SELECT w, n, r, q, fold, avg(power(y - w * (m + (1 - power(1 - r, n)) * (gp - m)) - (1 - w) * (m + q * (gc - m)), 2)) AS mse
+      FROM x, grid GROUP BY ALL),
+s AS (SELECT w, n, r, q, avg(mse) AS mse FROM e GROUP BY ALL)
+SELECT w AS physical_weight, CAST(n AS DOUBLE) AS physical_n_estimators, r AS physical_learning_rate, q AS contextual_learning_rate,
+  round(mse, 2) AS mse, CAST(row_number() OVER (ORDER BY mse) AS INTEGER) AS rank FROM s"""
+
+# Two players: half the step from the mean answer, half the step to the full answer.
+TREE_SHAPLEY_GROUPS = MODEL_ROWS + """, z AS (SELECT id_mutation, valeur_fonciere, y, a >= 3 AS p, b > 0 AS c FROM m),
+f AS (SELECT p, c, avg(y) AS f, count(*) AS n FROM z GROUP BY p, c),
+e AS (SELECT sum(f * n) / sum(n) AS e FROM f),
+px AS (SELECT x.p, sum(x.f * s.n) / sum(s.n) AS v FROM f x JOIN (SELECT c, sum(n) AS n FROM f GROUP BY c) s ON s.c = x.c GROUP BY x.p),
+cx AS (SELECT x.c, sum(x.f * s.n) / sum(s.n) AS v FROM f x JOIN (SELECT p, sum(n) AS n FROM f GROUP BY p) s ON s.p = x.p GROUP BY x.c),
+v AS (SELECT z.id_mutation, z.valeur_fonciere, f.f, px.v AS vp, cx.v AS vc, e FROM z JOIN f ON f.p = z.p AND f.c = z.c JOIN px ON px.p = z.p JOIN cx ON cx.c = z.c, e)
+SELECT id_mutation, valeur_fonciere, 0 AS feature, round((vp - e + f - vc) / 2, 3) AS phi FROM v
+UNION ALL
+SELECT id_mutation, valeur_fonciere, 1 AS feature, round((vc - e + f - vp) / 2, 3) AS phi FROM v"""

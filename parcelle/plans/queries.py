@@ -426,14 +426,13 @@ def q_stacked_calibration(spark, sf_dir):
 
 
 def q_shap_group_impact(spark, sf_dir):
-    """Shapley shares of the physical and contextual blocks (250-row sample)."""
+    """Shapley shares of the physical and contextual blocks (250-row sample, its own background)."""
     model, _ = _stacked(spark, sf_dir)
     enc, data = _encoded(spark, sf_dir)
     test = data.filter(F.col("split") == "test")
     n_phys, _ = enc.widths()
     sample = sp.sample_k(test, ["id_mutation"], 250, seed="shap").withColumn("_sid", F.col("id_mutation"))
-    bg = [list(r["x_all"]) for r in sp.sample_k(test, ["id_mutation"], 16, seed="bg").collect()]
-    phi = cm.stacked_shapley(model, sample, bg, n_phys, n_permutations=4)
+    phi = tr.block_shapley(model, test, sample, n_phys)
     per = phi.withColumn("group", F.when(F.col("feature") < n_phys, "physical").otherwise("contextual"))
     from parcelle.operators.evaluate import group_share
     return group_share(per.withColumnRenamed("_sid", "row"), feature="feature", phi="phi",
@@ -877,3 +876,59 @@ ORACLES.update({
     "elastic_net_line": O.ELASTIC_NET_LINE,
     "linear_shapley": O.LINEAR_SHAPLEY,
 })
+
+
+# ---------------------------------------------------------------------------
+# Regularised boosting, batches, grid search, exact tree Shapley values (M-2, M-4, M-9, M-11)
+# ---------------------------------------------------------------------------
+from parcelle.models import histtrees, search, treeshap  # noqa: E402
+
+FEW_ROOMS = f"least({ROOMS}, 6e0)"
+#: Regularisation of the one-tree query: every term changes its splits or leaves.
+TREE_PARAMS = {"n_estimators": 1, "learning_rate": 0.5, "max_depth": 2, "lambda": 40, "alpha": 5000, "gamma": 2e6, "min_child_weight": 30}
+
+
+def q_boosted_tree_splits(spark, sf_dir):
+    """One regularised tree of depth 2 on the rooms: splits and leaves by gain, lambda, alpha, gamma and child weight (M-2)."""
+    rows = _vectors(spark, sf_dir, FEW_ROOMS, HAS_LAND)
+    model = histtrees.HistBoost(TREE_PARAMS, "x_phys").fit(rows)
+    return model.transform(rows).select("id_mutation", "valeur_fonciere", *rnd("prediction", d=4))
+
+
+def q_batch_boost_shrunk(spark, sf_dir):
+    """One split per yearly batch, leaves shrunk by lambda: each year moves both groups' answers on (M-4)."""
+    rows = _vectors(spark, sf_dir, MANY_ROOMS, HAS_LAND)
+    model = histtrees.fit_batches(rows, histtrees.Boosting(1, 1.0, 1, reg_lambda=25.0), "year", "x_phys")
+    return model.transform(rows).select("id_mutation", "valeur_fonciere", *rnd("prediction", d=4))
+
+
+def q_grid_search_points(spark, sf_dir):
+    """All points of a grid of both blocks and the weight: cross-validated error and rank, folds by year (M-9)."""
+    rows = _vectors(spark, sf_dir, MANY_ROOMS, HAS_LAND)
+    fixed = {"max_depth": 1, "lambda": 0}
+    out = search.grid_search(rows, {"physical": {"n_estimators": [1, 2], "learning_rate": [0.3, 0.6]}, "contextual": {"n_estimators": [1], "learning_rate": [0.5, 0.9]}},
+                             [0.3, 0.7], {"physical": fixed, "contextual": fixed}, fold=F.col("year") % 3, refit=False)
+    return out.scores.select("physical_weight", "physical_n_estimators", "physical_learning_rate", "contextual_learning_rate", *rnd("mse", d=2), "rank")
+
+
+def q_tree_shapley_groups(spark, sf_dir):
+    """Exact Shapley values of a fitted depth-2 tree on two 0/1 columns, against all sales (M-11)."""
+    rows = _vectors(spark, sf_dir, MANY_ROOMS, HAS_LAND)
+    model = histtrees.HistBoost({"n_estimators": 1, "learning_rate": 1.0, "max_depth": 2, "lambda": 0}, "x_all").fit(rows)
+    background, counts = treeshap.distinct_vectors(rows, "x_all")
+    phi = treeshap.tree_shapley(treeshap.parts_of(model), rows, background, ["id_mutation", "valeur_fonciere"], "x_all", counts=counts)
+    return phi.select("id_mutation", "valeur_fonciere", "feature", *rnd("phi", d=3))
+
+
+QUERIES.update({
+    "boosted_tree_splits": q_boosted_tree_splits,
+    "batch_boost_shrunk": q_batch_boost_shrunk,
+    "grid_search_points": q_grid_search_points,
+    "tree_shapley_groups": q_tree_shapley_groups,
+})
+ORACLES.update({
+    "boosted_tree_splits": O.boosted_tree_sql(TREE_PARAMS),
+    "batch_boost_shrunk": O.BATCH_BOOST_SHRUNK,
+    "grid_search_points": O.GRID_SEARCH_POINTS,
+    "tree_shapley_groups": O.TREE_SHAPLEY_GROUPS,
+})
