@@ -116,13 +116,13 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (w - width)], x[w - width:]) if w > width else x
 
 
-def equal_runs(codes: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The runs ``codes[p:p + k]`` of the places ``at``, sorted so that equal ones are neighbours.
+def equal_runs(codes: np.ndarray, at: np.ndarray, k: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The runs ``codes[p:p + k]`` of the places ``at``, sorted so that equal ones are neighbours; ``hashes``: ``run_hash(codes, k)`` if at hand.
 
     Returns (order, new): ``at[order]`` is sorted and ``new`` marks the first of each group.
     Runs are sorted by hash and neighbours of one hash compared code by code; where they differ,
     the runs of that hash are sorted by the codes themselves."""
-    h = run_hash(codes, k)[at]
+    h = (run_hash(codes, k) if hashes is None else hashes)[at]
     order = np.argsort(h, kind="stable")
     new = np.ones(len(at), bool)
     if len(at) < 2:

@@ -44,7 +44,7 @@ LEAST_BITS, MOST_BITS = 20, 27
 #: Raw text that is counted together before anything is sent on.
 SLICE_BYTES = 2 << 20
 #: Counted texts that a task holds before it adds equal ones up and sends them on.
-MERGED_ROWS = 400_000
+MERGED_ROWS = 600_000
 
 _WORD = byte_class(lambda b: b not in (0x20, 0x09) and b not in BREAKS)
 _BREAK = byte_class(lambda b: b in BREAKS)
@@ -172,12 +172,15 @@ def _texts(docs: DataFrame, found: Proposed, max_words: int) -> DataFrame:
         lang = langs.indices.to_numpy()[w.doc]
         codes = word_codes(w)
         pure = mix64(codes ^ seed)
-        places = {}
+        places, used = {}, np.zeros(len(codes), bool)
         for k in range(1, max_words + 1):
             at = _places(end, k)
-            places[k] = at[shared.value.has(k, run_hash(pure, k)[at])]
-        if not distinct_codes(w, codes, np.unique(np.concatenate([at + j for k, at in places.items() for j in range(k)]))):
+            places[k] = at = at[shared.value.has(k, run_hash(pure, k)[at])]
+            for j in range(k):
+                used[at + j] = True
+        if not distinct_codes(w, codes, np.flatnonzero(used)):
             codes = numbered(w)
+        hashes = {k: run_hash(codes, k) for k in places}
         off = np.concatenate([[0], np.cumsum(w.ends - w.starts + 1)])
         text, letters = np.full(off[-1], 0x20, np.uint8), np.ones(off[-1], bool)
         letters[off[1:] - 1] = False
@@ -188,7 +191,7 @@ def _texts(docs: DataFrame, found: Proposed, max_words: int) -> DataFrame:
             yield pa.table([pa.array([name]), pa.array([0], pa.int32()), pa.array([""]), pa.array([n], pa.int64())], schema)
             for k, at in places.items():
                 mine = at[lang[at] == i]
-                order, new = equal_runs(codes, mine, k)
+                order, new = equal_runs(codes, mine, k, hashes[k])
                 heads = np.flatnonzero(new)
                 first = mine[order[heads]]
                 phrases = pa.array([raw[x:y - 1] for x, y in zip(off[first].tolist(), off[first + k].tolist())], pa.binary()).cast(pa.string())
