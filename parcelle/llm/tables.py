@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parcelle.operators.sizing import maybe_broadcast
 from parcelle.session import checkpoint_dir, scratch_path
 
 #: Of one written or broadcast side whose size is counted first.
@@ -54,6 +55,8 @@ def unpacked(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose key is not in ``gone`` (_id, _h), with their own columns."""
+    """The rows of ``docs`` whose key is not in ``gone`` (_id, _h), with their own columns.
+
+    The keys are broadcast while their counted size allows it, so that the texts are not shuffled."""
     gone = saved(gone.select("_id", "_h").distinct(), "gone")
-    return unpacked(packed(docs, id_col, text_col).join(gone, ["_id", "_h"], "left_anti"), docs.columns)
+    return unpacked(packed(docs, id_col, text_col).join(maybe_broadcast(gone), ["_id", "_h"], "left_anti"), docs.columns)
