@@ -23,6 +23,7 @@ looked at.  Products have up to 38 digits: exact up to 10**16 words, an arithmet
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,9 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 LEAST_BITS, MOST_BITS = 20, 27
 #: Raw text that is counted together before anything is sent on.
 SLICE_BYTES = 2 << 20
+PART_ROWS = 2000
 #: Counted texts that a task holds before it adds equal ones up and sends them on.
-MERGED_ROWS = 600_000
+MERGED_ROWS = 400_000
 
 _WORD = byte_class(lambda b: b not in (0x20, 0x09) and b not in BREAKS)
 _BREAK = byte_class(lambda b: b in BREAKS)
@@ -57,10 +59,17 @@ def lowered(min_count: int, share: float, risk: float) -> int:
     return max(2, math.floor(expected - math.sqrt(2 * expected * math.log(1 / risk))))
 
 
+def _parts(texts: pa.Array):
+    """Slices of a column, taken from some rows at a time: a whole batch of texts is not copied."""
+    for a in range(0, len(texts), PART_ROWS):
+        for t in slices(texts.slice(a, PART_ROWS), SLICE_BYTES):
+            yield replace(t, first=t.first + a)
+
+
 def _runs(batch: pa.RecordBatch):
     """Slices of a batch (_lang, _seed, _text): words, the language seed of each word, and its last place in its piece."""
     seeds = batch.column(1).to_numpy()
-    for t in slices(batch.column(2), SLICE_BYTES):
+    for t in _parts(batch.column(2)):
         w = t.words(_WORD)
         if not len(w.doc):
             continue

@@ -95,6 +95,7 @@ def test_all_frequent_phrases_found_through_border_failures(spark, monkeypatch):
 def test_shared_hashes_and_bits_change_nothing(spark, monkeypatch):
     rows = make_rows(6)
     monkeypatch.setattr(phrases, "LEAST_BITS", 6)
+    monkeypatch.setattr(phrases, "PART_ROWS", 7)
     monkeypatch.setattr(phrases, "MOST_BITS", 7)
     assert collected(phrases.collocations(frame(spark, rows))) == brute(rows)
 
