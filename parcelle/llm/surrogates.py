@@ -2,8 +2,16 @@
 
 Entities: e-mail and IPv4 addresses, phone, card, social-security and IBAN numbers, secrets
 after their name (in any letter case, up to the closing quote or white space), and persons behind a title, to the
-end of their name (initials, inner capitals, hyphens, apostrophes, particles, any number of words), and the
-bare words of such a name anywhere in the same text.  Each distinct value gets a keyed surrogate of its
+end of their name (initials, inner capitals, hyphens, apostrophes, particles), and the bare words of such a name
+anywhere in the same text.
+
+Where a name ends: one table counts, over the whole corpus, how often each word behind a title is written with a capital,
+in lower case and behind a German determiner, and how many names it opens.  The first word is always part of the name, a
+word behind a given name, initials or a particle too.  A stop word ends it, and so does an ordinary word: one
+that stands behind a determiner in a quarter of its capitalised uses, or in lower case as often as with a capital (this one
+not in a run of two words, as in Mr Rajesh Baker).  A run with a stop word or of more than ``SURE_WORDS`` words
+is a title-case sentence or a list: there only words that open a name elsewhere go on.  Bare mentions are replaced for
+words of a name that are neither stop words nor ordinary.  Each distinct value gets a keyed surrogate of its
 own type: letters stay letters of their script and case, digits digits, punctuation and spacing
 stay; an e-mail keeps its top-level domain, a card its first digit and a valid check digit, an
 IBAN its country and valid check digits, an address octets below 255; a given name becomes one of the
@@ -27,6 +35,7 @@ from __future__ import annotations
 
 import random
 
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,7 +66,8 @@ PARTICLES = "von van der den dem de del della di da du la le bin ibn al el zu zu
 _WORD = r"(?:[dl]['’])?(?:\p{Lu}\.)*+\p{Lu}\p{M}*(?:['’]\p{Lu})?[\p{L}\p{M}]+(?:-\p{Lu}[\p{L}\p{M}]*|['’](?![sS](?!\p{L}))\p{L}[\p{L}\p{M}]*)*+"
 _INITIALS = r"(?:\p{Lu}\.(?:-?\p{Lu}\.)*+ )*+"
 _PARTICLES = rf"(?:(?:{'|'.join(PARTICLES)}) )*+"
-_NAME = rf"{_INITIALS}{_PARTICLES}{_WORD}(?: {_INITIALS}{_PARTICLES}{_WORD})*+"
+_ONE = rf"{_INITIALS}{_PARTICLES}(?!(?:{_TITLE})\.? ){_WORD}"  # the next title opens another name
+_NAME = rf"{_ONE}(?: {_ONE})*+"
 _PHONE = r"\+\d{1,3}(?:[ .\-]?\(?\d{2,4}\)?){2,4}"
 _MAIL = r"[A-Za-z0-9._%+\-]{1,64}+@[A-Za-z0-9\-]{1,63}(?:\.[A-Za-z0-9\-]{1,63})++"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -83,6 +93,13 @@ HINT = rf"""[0-9@]|{_SECRET}["']?[ \t]{{0,4}}[=:]|(?<![A-Za-z])(?:{_TITLE})\.? "
 BARE = rf"(?<![\p{{L}}\p{{M}}]){_WORD}(?![\p{{L}}\p{{M}}])"
 FILLED = ["phone", "card", "ssn", "iban"]
 TRIES = 64
+#: Words of a run beyond which each must be confirmed as a name.
+SURE_WORDS = 4
+#: Words behind which German has a common noun.
+DETERMINERS = "der die das den dem des ein eine einen einem einer eines am im zum zur beim vom ins".split()
+#: What stands between the words of a text; quotes, hyphens and a genitive s at a word's end are none of it.
+_GAP = r"(?:[^\p{L}\p{M}'’\-]|['’][sS](?![\p{L}\p{M}])|['’\-](?![\p{L}\p{M}])|(?<![\p{L}\p{M}])['’\-])+"
+_CAPITAL = r"^(?:[dl]['’])?\p{Lu}"
 
 
 def entities(text: Column) -> Column:
@@ -96,22 +113,72 @@ def kind_of(v: Column) -> Column:
             .when(v.rlike(r"^(?:(?:\d{4}[ \-]){3}\d{4}|\d{13,19})$"), "card").when(v.rlike(r"^[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?$"), "iban").otherwise("secret"))
 
 
-def parts_of(values: DataFrame) -> DataFrame:
-    """value, kind, n (place of the part), part kind, canonical part, the part as written."""
+def stop_words() -> list[str]:
+    """Spark's own lists, less the particles of names."""
+    lists = [StopWordsRemover.loadDefaultStopWords(x) for x in ("english", "german", "french", "spanish", "russian")]
+    return sorted({w for x in lists for w in x} - set(PARTICLES))
+
+
+def _usual(w: Column) -> Column:
+    """A word in capitals is the same name as in its usual case."""
+    return F.when((w == F.upper(w)) & ~w.rlike(r"[^\p{L}\p{M}]"), F.initcap(F.lower(w))).otherwise(w)
+
+
+def name_words(values: DataFrame) -> DataFrame:
+    """A row per word of the name values: _v, n (place), word, prev, key, first (1 + place of the first real word), many (real
+    words), guarded, gender, small (initials or particle), stop.  The value itself, which may be long, is not repeated."""
+    stops = stop_words()
+    small = lambda w: w.rlike(r"^(?:\p{Lu}\.-?)+$") | w.isin(PARTICLES)
     v = F.col("value")
-    kind = kind_of(v)
-    words = F.split(F.regexp_replace(v, rf"^(?:{_TITLE})\.? ", ""), " ")
     gender = F.when(v.rlike(rf"^(?:{TITLES['m']})\.? "), "given_m").when(v.rlike(rf"^(?:{TITLES['f']})\.? "), "given_f").otherwise("given_n")
-    men, women = (GIVEN["latin"][g].split() + GIVEN["cyrillic"][g].split() for g in "mf")
-    # A word in capitals is the same name as in its usual case.
-    usual = lambda w: F.when((w == F.upper(w)) & ~w.rlike(r"[^\p{L}\p{M}]"), F.initcap(F.lower(w))).otherwise(w)
-    part = lambda k, c, w: F.struct(k.alias("part"), c.alias("canon"), w.alias("word"))
-    names = F.transform(words, lambda w, i: part(
-        F.when(w.rlike(r"^(?:\p{Lu}\.-?)+$"), "initials").when(w.isin(PARTICLES), "particle").when(i == F.size(words) - 1, "surname")
-        .when(usual(w).isin(men), "given_m").when(usual(w).isin(women), "given_f").otherwise(gender), usual(w), w))
+    runs = saved(values.filter("kind = 'name'").select("_v", gender.alias("gender"), F.split(F.regexp_replace(v, rf"^(?:{_TITLE})\.? ", ""), " ").alias("words"))
+                 .withColumn("real", F.filter("words", lambda w: ~small(w)))
+                 .select("_v", "gender", "words", F.size("real").alias("many"), F.array_position("words", F.get("real", F.lit(0))).alias("first"),
+                         F.exists(F.slice("real", 2, 2**31 - 1), lambda w: F.lower(w).isin(stops)).alias("_s"))
+                 .withColumn("guarded", F.col("_s") | (F.col("many") > SURE_WORDS)).drop("_s"), "runs")
+    each = F.transform("words", lambda w, i: F.struct(w.alias("word"), F.when(i > 0, F.get("words", i - 1)).alias("prev")))
+    return (runs.select("_v", "gender", "many", "first", "guarded", F.posexplode(each).alias("n", "_w")).select("_v", "gender", "many", "first", "guarded", "n", "_w.word", "_w.prev")
+            .withColumn("key", F.lower("word")).withColumn("small", small(F.col("word"))).withColumn("stop", F.col("key").isin(stops)))
+
+
+def word_counts(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, n_cap, n_low, n_det: uses of the words ``keys`` in all of ``texts`` (column _t): with a capital, without, and with one behind a determiner."""
+    each = lambda: F.transform("_w", lambda w, i: F.struct(F.lower(w).alias("key"), w.rlike(_CAPITAL).alias("cap"),
+                                                           F.when(i > 0, F.lower(F.get("_w", i - 1)).isin(DETERMINERS)).otherwise(False).alias("det")))
+    words = texts.select(F.split("_t", _GAP, -1).alias("_w")).select(F.explode(each()).alias("_x")).select("_x.*")
+    # Added up in the tasks first: a word's uses never meet in one place, the vocabulary is shuffled once.
+    counts = words.groupBy("key").agg(F.count_if("cap").alias("n_cap"), F.count_if(~F.col("cap")).alias("n_low"), F.count_if(F.col("cap") & F.col("det")).alias("n_det"))
+    return counts.join(keys, "key", "left_semi")
+
+
+def parts_of(values: DataFrame, texts: DataFrame) -> DataFrame:
+    """_v, kind, value (null for a name), n (place of the part), part kind, canonical part, the part as written, bare (a mention alone counts)."""
+    kinds = values.filter("kind <> 'name'")
+    v, kind = F.col("value"), F.col("kind")
     plain = F.when(kind == "email", F.lower(v)).when(kind.isin(FILLED), F.upper(F.regexp_replace(v, "[^0-9A-Za-z]", ""))).otherwise(v)
-    return (values.select("value", kind.alias("kind"), F.posexplode(F.when(kind == "name", names).otherwise(F.array(part(kind, plain, v)))).alias("n", "_p"))
-            .select("value", "kind", "n", "_p.part", "_p.canon", "_p.word"))
+    others = kinds.select("_v", "kind", "value", F.lit(0).alias("n"), kind.alias("part"), plain.alias("canon"), v.alias("word"), F.lit(False).alias("bare"))
+    if values.filter("kind = 'name'").isEmpty():
+        return others
+    words = saved(name_words(values), "words")
+    keys = saved(words.filter("NOT small").groupBy("key").agg(F.count_if(F.col("n") + 1 == F.col("first")).alias("n_first")), "keys")
+    known = keys.join(word_counts(texts, keys), "key", "left").fillna(0, ["n_cap", "n_low", "n_det"])
+    words = words.join(saved(known, "known"), "key", "left")
+    noun = (F.col("n_det") > 0) & (4 * F.col("n_det") >= F.col("n_cap"))
+    lower = (F.col("n_low") > 0) & (F.col("n_low") >= F.col("n_cap"))
+    men, women = (GIVEN["latin"][g].split() + GIVEN["cyrillic"][g].split() for g in "mf")
+    given = lambda w: _usual(w).isin(men + women)
+    before = F.col("prev").rlike(r"^(?:\p{Lu}\.-?)+$") | F.col("prev").isin(PARTICLES) | given(F.col("prev"))
+    goes_on = (F.when(F.col("small") | (F.col("n") + 1 <= F.col("first")), True).when(F.col("stop"), False).when(before, True).when(noun | (lower & (F.col("many") != 2)), False)
+               .when(F.col("guarded"), F.col("n_first") > 0).otherwise(True))
+    words = saved(words.withColumn("on", goes_on).withColumn("bare", ~F.col("stop") & ~noun & ~lower), "words")
+    ends = words.groupBy("_v").agg(F.min(F.when(~F.col("on"), F.col("n"))).alias("end"), F.max(F.when(~F.col("small"), F.col("n"))).alias("last"))
+    last = F.coalesce(F.col("end") - 1, F.col("last"))
+    word = F.col("word")
+    part = (F.when(F.col("n") > last, "plain").when(word.rlike(r"^(?:\p{Lu}\.-?)+$"), "initials").when(word.isin(PARTICLES), "particle").when(F.col("n") == last, "surname")
+            .when(_usual(word).isin(men), "given_m").when(_usual(word).isin(women), "given_f").otherwise(F.col("gender")))
+    named = words.join(ends, "_v").select("_v", F.lit("name").alias("kind"), F.lit(None).cast("string").alias("value"), "n", part.alias("part"),
+                                          _usual(word).alias("canon"), "word", F.coalesce("bare", F.lit(False)).alias("bare"))
+    return others.unionByName(named)
 
 
 def _draw(secret: str, *more: Column) -> Column:
@@ -224,20 +291,23 @@ def formatted() -> Column:
 
 def surrogate_table(docs: DataFrame, text_col: str = "text", secret: str = "parcelle") -> DataFrame:
     """value, kind, replacement for every distinct entity of ``docs``."""
-    return replacements(docs.select(F.explode_outer(F.array_distinct(entities(F.col(text_col)))).alias("value")), secret)
+    texts = docs.select(F.col(text_col).alias("_t"))
+    return replacements(texts.select(F.explode_outer(F.array_distinct(entities(F.col("_t")))).alias("value")), texts, secret)
 
 
-def replacements(found: DataFrame, secret: str) -> DataFrame:
-    """value, kind, replacement and bare (the single words of a name, with their surrogates) for every distinct entity in the column value."""
-    parts = saved(parts_of(found.filter("value is not null").select("value").distinct()), "parts")
-    kept = parts.part.isin("initials", "particle")
-    title = F.regexp_extract("value", rf"^(?:{_TITLE})\.? ", 0)
+def replacements(found: DataFrame, texts: DataFrame, secret: str) -> DataFrame:
+    """value, kind, replacement and bare (the single words of a name, with their surrogates) for every distinct entity in the column value;
+    ``texts`` (column _t): the whole corpus, whose words decide where names end."""
+    values = saved(found.filter("value is not null").select("value").distinct().select("value", kind_of(F.col("value")).alias("kind"), F.sha2("value", 256).alias("_v")), "values")
+    parts = saved(parts_of(values, texts), "parts")
+    kept = parts.part.isin("initials", "particle", "plain")
     rows = parts.filter(~kept).join(resolve(parts.filter(~kept), secret), ["part", "canon"]).withColumn("r", formatted())
     rows = rows.drop("surrogate").unionByName(parts.filter(kept).withColumn("r", F.when(F.col("part") == "initials", other_letters(secret, F.col("word"))).otherwise(F.col("word"))))
     sorted_parts = F.array_sort(F.collect_list(F.struct("n", "r")))  # the parts of one value
-    single = F.collect_list(F.when((F.col("kind") == "name") & ~F.col("part").isin("initials", "particle"), F.struct("part", F.col("canon").alias("word"), F.col("r").alias("new"))))
+    single = F.collect_list(F.when(F.col("bare") & ~F.col("part").isin("initials", "particle", "plain"), F.struct("part", F.col("canon").alias("word"), F.col("r").alias("new"))))
     whole = F.concat_ws(" ", F.transform(sorted_parts, lambda x: x["r"]))
-    return (rows.groupBy("value", "kind").agg(whole.alias("r"), single.alias("bare"))
+    title = F.regexp_extract("value", rf"^(?:{_TITLE})\.? ", 0)
+    return (rows.groupBy("_v").agg(whole.alias("r"), single.alias("bare")).join(values, "_v")
             .select("value", "kind", F.concat(F.when(F.col("kind") == "name", title).otherwise(""), F.col("r")).alias("replacement"), "bare"))
 
 
@@ -247,7 +317,7 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text = F.col("_row").getField(text_col)
     # The entities are searched once and written; explode_outer, as explode would have the search repeated in a filter below it.
     found = saved(rows.select("_id", "_h", F.explode_outer(F.array_distinct(entities(text))).alias("value")).filter("value is not null"), "found")
-    table = saved(replacements(found, secret).select("value", "replacement", "bare"), "surrogates")
+    table = saved(replacements(found, docs.select(F.col(text_col).alias("_t")), secret).select("value", "replacement", "bare"), "surrogates")
     pairs = found.distinct().join(table, "value")
     maps = pairs.groupBy("_id", "_h").agg(F.map_from_entries(F.collect_list(F.struct("value", "replacement"))).alias("_m"))  # the entities of one text
     # One surrogate a word: as a surname, if it is one in this text.
