@@ -6,11 +6,12 @@ features (length, symbols, bars, case, repeats, end mark, word shape) scores the
 text's lines together and Viterbi decoding finds the best sequence.  A document is kept if it passes the base
 rules and content lines hold at least ``share`` of its word characters.
 
-The field is trained here by gradient ascent on its conditional log-likelihood (forward-backward)
-with the lines of labelled documents: all lines of a document of quality 1 are content, of quality 0 boilerplate.
-It learns from at most ``fit_docs`` labelled documents of each class, those with the smallest hash of their id,
-and at most ``fit_lines`` first lines of each (documented bounds of the training sample); scoring reads every line
-of every document.
+The field is trained here by gradient ascent on its conditional log-likelihood (forward-backward).  Its sequences
+have labels that change inside a text: a run of content lines (documents of quality 1) stands between a head and
+a foot of boilerplate lines (documents of quality 0), beside runs of one kind alone.  It learns from at most
+``fit_docs`` labelled documents of each class, those with the smallest hash of their id, and of these from at most
+``fit_runs`` runs of ``RUN_LINES`` lines a class, picked by hash from all places of the texts (documented bounds of
+the training sample); scoring reads every line of every document.
 
 Defined results: null and empty texts have no words and fail the base rules; null ids and repeated
 rows are judged like others; without labels of both classes every line is content; an
@@ -21,12 +22,13 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelle.llm.words import Texts, mix64, shingle_hashes, slices
 
-FIT_DOCS, FIT_LINES = 1500, 256
+FIT_DOCS, FIT_RUNS, RUN_LINES = 1500, 3000, 64
+EDGE_LINES = 4  # a head or foot of a training sequence has at most as many
 SHARE = 0.5
 N_FEATURES = 18
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -170,7 +172,24 @@ def train(x: np.ndarray, y: np.ndarray, at: np.ndarray, rounds: int = 120, rate:
     return w, trans
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_docs: int = FIT_DOCS, fit_lines: int = FIT_LINES):
+def stitched(content: list[np.ndarray], boilerplate: list[np.ndarray]):
+    """Line codes, labels (0 content) and offsets of the training sequences: of four content runs one stands alone, one
+    has a head, one a foot, one both, 1 to ``EDGE_LINES`` lines each; then every boilerplate run alone."""
+    parts, labels, lens = [], [], []
+    for i, run in enumerate(content):
+        head, foot = boilerplate[i % len(boilerplate)], boilerplate[-1 - i % len(boilerplate)]
+        n = 1 + i // 4 % EDGE_LINES
+        pieces = [(head[:n], 1)] * (i & 1) + [(run, 0)] + [(foot[-n:], 1)] * (i >> 1 & 1)
+        parts += [p for p, _ in pieces]
+        labels += [np.full(len(p), y) for p, y in pieces]
+        lens.append(sum(len(p) for p, _ in pieces))
+    parts += boilerplate
+    labels += [np.ones(len(p), np.int64) for p in boilerplate]
+    lens += [len(p) for p in boilerplate]
+    return np.concatenate(parts), np.concatenate(labels), np.concatenate([[0], np.cumsum(lens)])
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_docs: int = FIT_DOCS, fit_runs: int = FIT_RUNS):
     """Weights of the field, all zero without labels of both classes."""
     from parcelle.llm.importance import labelled
     sample = labelled(labels, fit_docs).toPandas()  # at most 2 * fit_docs rows
@@ -179,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_docs
         return none
     good = dict(zip(sample["doc_id"].tolist(), sample["good"].tolist()))
 
-    def features(batches):
+    def runs(batches):
         for b in batches:
             keep = [i for i, d in enumerate(b.column(0).to_pylist()) if d in good]
             b = b.take(pa.array(keep, pa.int64()))
@@ -187,19 +206,38 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, fit_docs
                 doc, _, x = measure(t)["lines"]
                 code = (x.astype(np.int64) << np.arange(N_FEATURES)).sum(1)
                 cut = np.searchsorted(doc, np.arange(t.n + 1))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, t.n), pa.array([code[i:min(j, i + fit_lines)].tolist() for i, j in zip(cut, cut[1:])], pa.list_(pa.int64()))],
-                                                 names=["doc_id", "code"])
+                at = [(t.first + k, r, i, min(i + RUN_LINES, cut[k + 1])) for k in range(t.n) for r, i in enumerate(range(cut[k], cut[k + 1], RUN_LINES))]
+                ids = [b.column(0)[k].as_py() for k, *_ in at]
+                yield pa.RecordBatch.from_arrays([pa.array([good[d] for d in ids], pa.int64()), pa.array(ids, pa.int64()), pa.array([r for _, r, _, _ in at], pa.int64()),
+                                                  pa.array([code[i:j].tolist() for *_, i, j in at], pa.list_(pa.int64()))], names=["good", "doc_id", "run", "code"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_t")).filter(F.col("doc_id").isin(list(good)) if len(good) <= 50 else F.lit(True)).mapInArrow(
-        features, "doc_id long, code array<long>").dropDuplicates(["doc_id"]).orderBy("doc_id").collect()  # at most 2 * fit_docs rows of fit_lines numbers
-    rows = [r for r in rows if r["code"]]
-    if len({good[r["doc_id"]] for r in rows}) < 2:
+    few = F.col("doc_id").isin(list(good)) if len(good) <= 50 else F.lit(True)
+    order = Window.partitionBy("good").orderBy(F.xxhash64("doc_id", "run"), "doc_id", "run", "code")
+    rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_t")).filter(few)
+            .mapInArrow(runs, "good long, doc_id long, run long, code array<long>").distinct()
+            .withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= fit_runs)
+            .select("good", "_n", "code").collect())  # at most 2 * fit_runs rows of RUN_LINES numbers
+    content, boilerplate = ([np.array(r["code"], np.int64) for r in sorted(rows, key=lambda r: r["_n"]) if r["good"] == g] for g in (1, 0))
+    if not content or not boilerplate:
         return none
-    code = np.concatenate([np.array(r["code"], np.int64) for r in rows])
-    lens = [len(r["code"]) for r in rows]
-    x = (code[:, None] >> np.arange(N_FEATURES) & 1).astype(np.float64)
-    y = np.repeat([1 - good[r["doc_id"]] for r in rows], lens)  # label 0 is content
-    return train(x, y, np.concatenate([[0], np.cumsum(lens)]))
+    code, y, at = stitched(content, boilerplate)
+    return train((code[:, None] >> np.arange(N_FEATURES) & 1).astype(np.float64), y, at)
+
+
+def label_lines(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, line (among the lines with a word, from 0), boilerplate, for every such line of every text."""
+    w, trans = fit(docs, labels, id_col, text_col)
+
+    def run(batches):
+        for b in batches:
+            for t in slices(b.column(1)):
+                doc, _, x = measure(t)["lines"]
+                at = np.searchsorted(doc, np.arange(t.n + 1))
+                label = viterbi(x @ w, at, trans)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(t.first + doc)), pa.array(np.arange(len(doc)) - at[doc]), pa.array(label == 1)],
+                                                 names=["doc_id", "line", "boilerplate"])
+
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("_t")).mapInArrow(run, "doc_id long, line long, boilerplate boolean")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:

@@ -87,3 +87,50 @@ def test_features_are_binary_and_per_line():
     t = next(slices(pa.array(["A b c.\n\n| x | y |\n", "", "Z"])))
     doc, chars, x = linecrf.measure(t)["lines"]
     assert doc.tolist() == [0, 0, 2] and x.shape == (3, linecrf.N_FEATURES) and set(np.unique(x)) <= {0.0, 1.0} and chars.tolist() == [4, 5, 1]
+
+
+def _page(r, kind, n):
+    if kind == "content":
+        return [" ".join(r.choice(["river", "stone", "walking", "garden", "window", "people"]) + str() for _ in range(r.randrange(9, 20))) + "." for _ in range(n)]
+    return [" | ".join(r.choice(["HOME", "NEWS", "LOGIN", "SHOP"]) for _ in range(r.randrange(2, 5))) for _ in range(n)]
+
+
+def test_head_and_foot_around_content_are_found(spark):
+    r = random.Random(5)
+    good = [(i, "\n".join(_page(r, "content", r.randrange(3, 12)))) for i in range(40)]
+    bad = [(100 + i, "\n".join(_page(r, "boilerplate", r.randrange(3, 12)))) for i in range(40)]
+    shapes = [(200 + i, r.randrange(0, 4), r.randrange(2, 300), r.randrange(0, 4)) for i in range(30)]
+    mixed = [(d, "\n\n".join(_page(r, "boilerplate", a) + _page(r, "content", n) + _page(r, "boilerplate", b))) for d, a, n, b in shapes]
+    docs = spark.createDataFrame(good + bad + mixed + [(None, None), (999, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad], "doc_id long, quality int")
+    got = {}
+    for row in linecrf.label_lines(docs, labels).collect():
+        got.setdefault(row.doc_id, {})[row.line] = row.boilerplate
+    hit = wrong = missed = 0
+    for d, a, n, b in shapes:
+        want = [True] * a + [False] * n + [True] * b
+        have = [got[d][i] for i in range(len(want))]
+        hit += sum(x and y for x, y in zip(want, have))
+        wrong += sum(y and not x for x, y in zip(want, have))
+        missed += sum(x and not y for x, y in zip(want, have))
+    assert 2 * hit / (2 * hit + wrong + missed) > 0.95 and 999 not in got
+    kept = {row.doc_id: (row.kept, row.content_share) for row in linecrf.judge(docs, labels).collect()}
+    assert all(kept[d][1] > 0.5 for d, a, n, b in shapes if n > 2 * (a + b))
+
+
+def test_training_sequences_change_their_label_inside():
+    code, y, at = linecrf.stitched([np.arange(n) for n in (3, 5, 2, 4, 6)], [np.arange(100, 100 + n) for n in (2, 9)])
+    assert len(code) == len(y) == at[-1] and at[0] == 0 and len(at) == 5 + 2 + 1
+    assert (y == (code >= 100)).all()
+    changes = [int((np.diff(y[a:b]) != 0).sum()) for a, b in zip(at, at[1:])]
+    assert changes == [0, 1, 1, 2, 0, 0, 0]
+
+
+def test_fit_uses_runs_from_all_places_and_repeats_exactly(spark):
+    r = random.Random(6)
+    text = lambda kind: "\n".join(_page(r, kind, 400))
+    docs = spark.createDataFrame([(i, text("content" if i < 3 else "boilerplate")) for i in range(6)] + [(0, text("content"))], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 3)) for i in range(6)], "doc_id long, quality int")
+    a = linecrf.fit(docs, labels, "doc_id", "text", fit_runs=5)
+    b = linecrf.fit(docs.repartition(5), labels, "doc_id", "text", fit_runs=5)
+    assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1]) and a[0].any()
