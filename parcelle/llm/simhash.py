@@ -30,6 +30,8 @@ from parcelle.llm.tables import packed, row_key, saved, shuffle_width, unpacked
 
 BITS = 64
 SEED = 42
+#: Fingerprints of a component from which on it is joined by broadcast.
+HOT_ROOT = 100_000
 
 
 def majority_bits(hashes: np.ndarray) -> int:
@@ -190,14 +192,15 @@ def links(fps: DataFrame, radius: int, block_rows: int = 2048, rows_per_task: in
     cells = F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)).alias("value"))
                       for i, (s, w) in enumerate(bands(radius))])
     rows = fps.select("fp", F.explode(cells).alias("_c")).select("fp", "_c.band", "_c.value")
-    big = (rows.groupBy("band", "value").count().filter(F.col("count") > block_rows)
-           .select("band", "value", F.ceil(F.col("count") / block_rows).cast("int").alias("k")))
-    rows = rows.join(big, ["band", "value"], "left").withColumn("k", F.coalesce("k", F.lit(1)))
+    big = saved(rows.groupBy("band", "value").count().filter(F.col("count") > block_rows)
+                .select("band", "value", "count", F.ceil(F.col("count") / block_rows).cast("int").alias("k")), "big")
+    more = big.agg(F.coalesce(F.sum(F.col("count") * (F.col("k") - 1)), F.lit(0))).first()[0]  # copies for the block pairs
+    rows = rows.join(big.drop("count"), ["band", "value"], "left").withColumn("k", F.coalesce("k", F.lit(1)))
     mine = F.pmod(F.xxhash64("fp", F.lit("block")), F.col("k")).cast("int")
     rows = (rows.withColumn("_b", mine).select("fp", "band", "value", "_b", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("_o"))
             .select("fp", "band", "value", F.least("_b", "_o").alias("i"), F.greatest("_b", "_o").alias("j"),
                     F.when(F.col("_b") == F.col("_o"), 0).when(F.col("_b") < F.col("_o"), 1).otherwise(2).alias("side")))
-    parts = shuffle_width(spark, n * (radius + 1), rows_per_task, 64)
+    parts = shuffle_width(spark, n * (radius + 1) + more, rows_per_task, 64)
     rows = rows.withColumn("_g", F.pmod(F.xxhash64("band", "value", "i", "j"), F.lit(parts)).cast("int"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -218,8 +221,11 @@ def cluster(prints: DataFrame, radius: int) -> DataFrame:
     comp = connected_components(links(per.select("fp"), radius), "a", "b")
     rooted = per.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = saved(rooted, "rooted")
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = saved(rooted.join(ids, "root").select("fp", "root", "component_id"), "byfp")
+    ids = saved(rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("_m")), "ids")
+    # A component beyond ``HOT_ROOT`` fingerprints meets its id by broadcast (at most rows / HOT_ROOT ids), not in one task.
+    hot = F.broadcast(ids.filter(F.col("_m") > HOT_ROOT).drop("_m"))
+    joined = rooted.join(hot, "root").unionByName(rooted.join(hot, "root", "left_anti").join(ids.filter(F.col("_m") <= HOT_ROOT).drop("_m"), "root"))
+    by_fp = saved(joined.select("fp", "root", "component_id"), "byfp")
     return prints.join(by_fp, "fp")
 
 

@@ -86,3 +86,25 @@ def test_dedup_keeps_one_of_each_group_and_the_columns(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.simhash_components(df).count() == 0 and simhash.simhash_dedup(df).count() == 0
+
+
+def test_one_band_with_a_third_of_the_fingerprints_is_cut_into_small_groups(spark, monkeypatch):
+    """A hot band value: all links are found, and the groups stay near the size asked for."""
+    import numpy as np
+    r = np.random.default_rng(4)
+    n = 3000
+    fp = r.integers(0, 2**63, n, dtype=np.int64)
+    fp[: n // 3] = (fp[: n // 3] >> 12) << 12  # one value of the first band
+    fp[1] = fp[0] ^ (1 << 40)
+    df = spark.createDataFrame([(int(x),) for x in np.unique(fp)], "fp long")
+    sizes, frame = [], type(df)
+    real = frame.groupBy
+
+    def spy(self, *cols):
+        if cols == ("_g",):
+            sizes.extend(x["count"] for x in real(self, "_g").count().collect())
+        return real(self, *cols)
+    monkeypatch.setattr(frame, "groupBy", spy)
+    edges = simhash.links(df, 4, block_rows=50, rows_per_task=500).collect()
+    assert {frozenset((int(fp[0]), int(fp[1])))} <= {frozenset((e.a, e.b)) for e in edges}
+    assert max(sizes) < 5 * 500 and sum(sizes) > n * 5
