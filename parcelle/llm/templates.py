@@ -18,7 +18,7 @@ the benchmark's windows are broadcast if their counted size allows, else the joi
 shuffle join that adaptive execution splits; the diagonals are grouped by document, so no group grows.
 
 Defined results: null and empty texts have no windows; items and documents shorter than the
-window meet as one window of their own length; a typed window with fewer than half literals is not
+window meet as one window of their own length, an item of fewer than ``LEAST_WORDS`` words only a text of just as many; a typed window with fewer than half literals is not
 used, only its words as they are; null ids and repeated rows are kept apart by place of the row; repeated items are
 reported under each item id; empty tables give an empty result.
 """
@@ -37,6 +37,8 @@ from parcelle.llm.words import LETTERS, Texts, mix64, multipliers, slices, hash_
 
 WINDOW, RUN = 8, 6
 FILTER_BITS = 24
+#: An item of fewer words is a common phrase: only a text that is nothing else holds it.
+LEAST_WORDS = 4
 #: Words taken as units after a number.
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg ton tons ounce ounces pound pounds ml l liter liters litre litres "
          "second seconds minute minutes hour hours day days week weeks month months year years percent dollars dollar euro euros cent cents "
@@ -129,7 +131,7 @@ def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -
                 lens = np.diff(w.at)
                 sizes = sorted({window, *(lens[(lens > 0) & (lens < window)].tolist() if lengths is None else lengths)})
                 for k in sizes:
-                    g, at, plain = windows(kind, h, words, w, k, lengths is None and k < window)
+                    g, at, plain = windows(kind, h, words, w, k, lengths is None and k < window or k < LEAST_WORDS)
                     if bits is not None:
                         x = (g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                         ok = (bits[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool)

@@ -9,7 +9,7 @@ The models interpolate all orders up to ``order``: P_k(c | h) = (n(hc) + a P_{k-
 the uniform distribution, so an unseen history falls back by itself to a shorter one.  Characters
 are folded to 40 symbols, so there are at most 40**(order + 1) windows (2.56 million for order 3): the
 counts of all orders are sums over the window table, made in one pass with map-side combining, and the
-table of log ratios has a proven size bound, so it is broadcast to the windows of all urls.  A
+table of log ratios has a size bound; it is written once and broadcast to the windows of all urls while its counted size allows.  A
 url's windows are explained and averaged inside one task's partial aggregate; the shuffle carries one row per url.
 
 Defined results: a null url or one without ``://`` has empty host and path and is judged as
@@ -22,6 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parcelle.llm.tables import saved
+from parcelle.operators.sizing import maybe_broadcast
+
 #: Fixed values: (verdict, host, path).
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 ORDER, STRENGTH = 3, 4.0
@@ -78,11 +81,15 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     # Repeated urls are counted before they are cut into windows.
     grams = (urls.groupBy("_rest").agg(one("allow").alias("good"), one("block").alias("bad"))
              .select("good", "bad", F.explode(windows(F.col("_rest"), order)).alias("gram")).groupBy("gram").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")))
-    ratio = log_ratios(grams, order, strength)
+    none = urls.select("page_id", "host", "path", "rule", F.coalesce("_said", F.lit("allow")).alias("verdict"), F.lit(0.0).alias("score"))
+    seen = urls.agg(F.max(F.col("_said") == "allow").alias("good"), F.max(F.col("_said") == "block").alias("bad")).first()
+    if not (seen["good"] and seen["bad"]):
+        return none
+    ratio = saved(log_ratios(grams, order, strength), "ratio")
     keyed = urls.withColumn("_uid", F.monotonically_increasing_id())
-    # At most 40 ** (order + 1) grams; see the docstring.
-    scored = (keyed.withColumn("gram", F.explode_outer(windows(F.col("_rest"), order))).join(F.broadcast(ratio), "gram", "left")
-              .groupBy("_uid", "page_id", "host", "path", "rule", "_said", "_fold").agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score")))
+    # At most 40 ** (order + 1) grams; see the docstring.  Broadcast behind a check of their counted size.
+    scored = saved(keyed.withColumn("gram", F.explode_outer(windows(F.col("_rest"), order))).join(maybe_broadcast(ratio), "gram", "left")
+                   .groupBy("_uid", "page_id", "host", "path", "rule", "_said", "_fold").agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score")), "scored")
     cut = threshold(scored.filter((F.col("_fold") == 0) & F.col("_said").isNotNull()))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("_said", F.when(F.col("score") >= cut, "allow").otherwise("block")).alias("verdict"), "score")
 

@@ -101,3 +101,10 @@ def test_names_of_other_scripts_are_slots(spark):
     greek = "χθες ο Νίκος έδωσε πέντε μήλα στην αδελφή του και μετά η Ελένη τα έφαγε όλα στο σπίτι το βράδυ"
     docs += [(4, swap(greek, {"Νίκος": "Πέτρος", "Ελένη": "Μαρία"})), (5, swap("wczoraj " + greek, {"Νίκος": "Łukasz", "Ελένη": "Šárka"}))]
     assert run(spark, docs, [(1, item), (2, greek)]) == [(1, 1), (3, 1), (4, 2), (5, 2)]
+
+
+def test_tiny_items_need_a_text_of_their_own(spark):
+    docs = spark.createDataFrame([(1, "the yes man spoke here now and then"), (2, "Yes"), (3, "here now"), (4, "so we are here now too"), (5, "which city is largest of all")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "yes"), (8, "here now"), (9, "Which city is largest")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()}
+    assert got == {(2, 7), (3, 8), (5, 9)}

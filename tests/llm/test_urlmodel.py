@@ -66,3 +66,10 @@ def test_no_python_in_the_plan(spark):
     from conftest import SF_SMALL
     plan = urlmodel.judge(spark.read.parquet(f"{SF_SMALL}/pages.parquet"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "html" not in plan.split("== Physical Plan ==")[1]
+
+
+def test_one_labelled_class_allows_the_rest(spark):
+    from parcelle.llm import urlmodel
+    rows = [(i, f"http://a{i}.org/x") for i in range(60)] + [(100 + i, f"http://b{i}.net/y") for i in range(5)] + [(None, None)]
+    out = urlmodel.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert len(out) == 66 and all(r.verdict == "allow" and r.score == 0 for r in out)
