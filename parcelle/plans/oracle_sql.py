@@ -14,7 +14,7 @@ from parcelle.schemas import (
     GRID_MEASURES, HEALTH_VALUES, LOT_COLUMNS, PARK_LEISURE_VALUES,
     SHOPPING_AMENITY_VALUES, TRANSPORT_VALUES, JOB_CLEANER, JOB_PRICE_BAND,
     EXCLUSIVE_SCHOOLS, EXCLUSIVE_HEALTHCARE, EXCLUSIVE_RESTAURANTS,
-    EXCLUSIVE_SHOPS, EXCLUSIVE_ENTERTAINMENT, EXCLUSIVE_CULTURAL, REGIONS,
+    EXCLUSIVE_SHOPS, EXCLUSIVE_ENTERTAINMENT, EXCLUSIVE_CULTURAL, EXCLUSIVE_OUTPUT_COLUMNS, REGIONS,
 )
 from parcelle.sources.fixtures import duckdb_with
 from parcelle.sources.links import ANCHOR_PATTERN
@@ -576,3 +576,16 @@ v AS (SELECT z.id_mutation, z.valeur_fonciere, f.f, px.v AS vp, cx.v AS vc, e FR
 SELECT id_mutation, valeur_fonciere, 0 AS feature, round((vp - e + f - vc) / 2, 3) AS phi FROM v
 UNION ALL
 SELECT id_mutation, valeur_fonciere, 1 AS feature, round((vc - e + f - vp) / 2, 3) AS phi FROM v"""
+
+
+def poi_json_counts_sql() -> str:
+    """Tags written as JSON and read back by path; a cell of empty responses (100 degrees north of a page 0) has zeros."""
+    counts = ", ".join(f"count(*) FILTER (WHERE cat = '{c}') AS {c}" for c in EXCLUSIVE_OUTPUT_COLUMNS)
+    return duckdb_with("poi") + f""",
+e AS (SELECT CAST(floor(lon) AS BIGINT) AS cell_lon, CAST(floor(lat) AS BIGINT) AS cell_lat, poi_id // 50 AS page,
+             json_object('tags', json_object('amenity', amenity, 'leisure', leisure, 'tourism', tourism)) AS j FROM poi),
+t AS (SELECT cell_lon, cell_lat, j ->> '$.tags.amenity' AS amenity, j ->> '$.tags.leisure' AS leisure, j ->> '$.tags.tourism' AS tourism FROM e),
+c AS (SELECT cell_lon, cell_lat, {EXCLUSIVE_CASE} AS cat FROM t
+      UNION ALL SELECT DISTINCT cell_lon, cell_lat + 100, NULL FROM e WHERE page = 0)
+SELECT cell_lon, cell_lat, {counts} FROM c GROUP BY cell_lon, cell_lat
+"""

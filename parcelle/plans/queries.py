@@ -932,3 +932,43 @@ ORACLES.update({
     "grid_search_points": O.GRID_SEARCH_POINTS,
     "tree_shapley_groups": O.TREE_SHAPLEY_GROUPS,
 })
+
+
+# ---------------------------------------------------------------------------
+# Nested POI responses (J-6, map lookup, flattening)
+# ---------------------------------------------------------------------------
+from parcelle.sources import poi_json  # noqa: E402
+
+RESPONSE_KEYS = "cell_lon bigint, cell_lat bigint, page bigint"
+
+
+def _poi_responses(spark, sf_dir):
+    """The POI view as JSON responses by degree cell, at most 50 consecutive ids each; every seventh point is an
+    area (its place in ``center``), and each page 0 stands beside a response without elements."""
+    path = scratch_path(spark, "poi-json")
+    area = F.col("poi_id") % 7 == 0
+    tags = F.map_filter(F.create_map(*[x for t in poi_json.POINT_TAGS for x in (F.lit(t), F.col(t))]), lambda k, v: v.isNotNull())
+    element = F.struct(F.when(area, "way").otherwise("node").alias("type"), F.col("poi_id").alias("id"), F.when(~area, F.col("lat")).alias("lat"), F.when(~area, F.col("lon")).alias("lon"),
+                       F.when(area, F.struct("lat", "lon")).alias("center"), F.when(F.size(tags) > 0, tags).alias("tags"))
+    full = (fx.poi(spark, sf_dir).groupBy(F.floor("lon").alias("cell_lon"), F.floor("lat").alias("cell_lat"), F.floor(F.col("poi_id") / 50).alias("page"))
+            .agg(F.collect_list(element).alias("elements")))
+    empty = full.filter("page = 0").select("cell_lon", (F.col("cell_lat") + 100).alias("cell_lat"), "page")
+    full.unionByName(empty, allowMissingColumns=True).write.json(path)
+    return poi_json.read_responses(spark, path, RESPONSE_KEYS)
+
+
+def q_poi_json_counts(spark, sf_dir):
+    """First-match category counts of the elements of JSON responses, per degree cell."""
+    return poi_json.exclusive_counts(poi_json.elements_of(_poi_responses(spark, sf_dir)), ["cell_lon", "cell_lat"])
+
+
+def q_poi_json_points(spark, sf_dir):
+    """JSON responses flattened to the point table of the radius joins."""
+    return poi_json.poi_points(poi_json.elements_of(_poi_responses(spark, sf_dir)))
+
+
+QUERIES.update({"poi_json_counts": q_poi_json_counts, "poi_json_points": q_poi_json_points})
+ORACLES.update({
+    "poi_json_counts": O.poi_json_counts_sql(),
+    "poi_json_points": O.duckdb_with("poi") + "SELECT poi_id, lon, lat, amenity, shop, leisure, public_transport, tourism, name FROM poi",
+})
