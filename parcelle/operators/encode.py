@@ -7,8 +7,8 @@ data never do.  Statistics are computed by distributed aggregates:
 * modes — the table is unpivoted to (column, value) once, counted with a
   partial aggregate (hot values collapse map-side), and the best value per
   column picked by ``max_by``;
-* exact quartiles — :func:`exact_quantiles`, a range-partitioned rank search
-  over *distinct* (column, value) pairs, so no task ever holds a whole column.
+* exact quartiles — :func:`wide_quantiles`, sketches that bracket each rank and
+  one counting aggregate, so no task ever holds a whole column or group.
 """
 
 from __future__ import annotations
@@ -51,123 +51,144 @@ def string_mode(df: DataFrame, col: str) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """(feature, p, value) — linear-interpolated quantiles, exactly as NumPy's
-    default rule, for every column at once: the table is unpivoted to
-    (column, value) and handed to :func:`exact_quantiles_long`."""
-    return exact_quantiles_long(_long_form(df, cols), probs)
+    default rule, for every column at once (:func:`wide_quantiles` without keys)."""
+    return wide_quantiles(df, [], cols, probs)
 
 
 def exact_quantiles_long(long_df: DataFrame, probs=(0.25, 0.5, 0.75),
                          accuracy: int = 10_000) -> DataFrame:
-    """:func:`exact_quantiles` over a long (feature, value) table — any
-    string ``feature`` works as the group (e.g. a region|year key).
-
-    No full sort: a ``percentile_approx`` sketch (map-side partial
-    aggregates, rank error ≤ n/accuracy) brackets each target rank with a
-    value band, one aggregate pass counts the rows below each band and keeps
-    only the band's distinct values, and the exact ranks are read from that
-    small table.  A target whose band misses its ranks (the sketch bound
-    should prevent it) is recomputed by the full rank search.  ``accuracy``
-    trades sketch memory (about 1/accuracy·log n entries per group and task)
-    against band width (about 4n/accuracy rows per target)."""
-    spark = long_df.sparkSession
-    vals = long_df.select("feature", F.col("value").cast("double").alias("value")).dropna()
-    probs = [float(p) for p in probs]
+    """:func:`wide_quantiles` of a long (feature, value) table: (feature, p, value)."""
+    q = wide_quantiles(long_df.select(F.col("feature").alias("_f"), "value"), ["_f"], ["value"], probs, accuracy)
+    return q.select(F.col("_f").alias("feature"), "p", "value")
+
+
+def _same(left: DataFrame, right: DataFrame, keys, how: str = "inner", more=()) -> DataFrame:
+    """Join on ``keys`` null-safely and on ``more`` plainly; the keys of ``left`` are kept."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in (*keys, *more)],
+                     *[c for c in right.columns if c not in keys and c not in more])
+    cond = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys] + [F.col(k) == F.col(f"_r_{k}") for k in more]
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in (*keys, *more)])
+
+
+def wide_quantiles(df: DataFrame, keys, cols, probs=(0.25, 0.5, 0.75), accuracy: int = 10_000) -> DataFrame:
+    """(keys…, feature, p, value): exact linear quantiles of every column of
+    ``cols`` within every group of ``keys`` (null keys are a group).
+
+    No full sort and no unpivot of the rows: one aggregate keeps, as columns
+    of one row per group, a ``percentile_approx`` sketch of each column
+    (map-side partials, rank error ≤ n/accuracy), which brackets each target
+    rank with a value band.  Joined to the rows, the bands let one more
+    aggregate count the rows below each band; only values inside a band (about
+    4n/accuracy a target) become rows of their own, and the exact ranks are
+    read from that small table.  Groups stay in DataFrames throughout: the
+    driver sees their number, nothing of them.  A target whose band misses its
+    ranks (the sketch bound should prevent it) is recomputed by the full rank
+    search.  Nulls and NaN are left out; a column without values has no row."""
+    keys, cols, probs = list(keys), list(cols), [float(p) for p in probs]
+    if not keys:
+        return wide_quantiles(df.withColumn("_one", F.lit(1)), ["_one"], cols, probs, accuracy).drop("_one")
     eps = 2.0 / accuracy
     qs = sorted({min(1.0, max(0.0, x)) for p in probs for x in (p - eps, p + eps)})
-    sk = vals.groupBy("feature").agg(F.count(F.lit(1)).alias("n"),
-                                     F.percentile_approx("value", qs, accuracy).alias("a")).collect()
-    targets = []
-    for r in sk:
-        at = dict(zip(qs, r["a"]))
-        n = r["n"]
-        for p in probs:
-            pos = p * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            targets.append((r["feature"], p, lo, hi, pos - lo,
-                            at[min(1.0, max(0.0, p - eps))], at[min(1.0, max(0.0, p + eps))]))
-    if not targets:
-        return spark.createDataFrame([], "feature string, p double, value double")
-    schema = "feature string, p double, lo long, hi long, frac double, a double, b double"
-    tg = spark.createDataFrame(targets, schema)
-    # one row for everything below the band, one above, one per band value
-    j = vals.join(maybe_broadcast(tg, rows=len(targets)), "feature")
-    side = (F.when(F.col("value") < F.col("a"), F.lit(-1))
-            .when(F.col("value") > F.col("b"), F.lit(1)).otherwise(F.lit(0)))
-    counted = (j.groupBy("feature", "p", side.alias("_side"),
-                         F.when(side == 0, F.col("value")).alias("_v"))
-               .agg(F.count(F.lit(1)).alias("n")).checkpoint())
-    below = counted.filter(F.col("_side") == -1).select("feature", "p", F.col("n").alias("_below"))
-    w = (Window.partitionBy("feature", "p").orderBy("_v")
+    at = {q: i for i, q in enumerate(qs)}
+    names = [f"_v{i}" for i in range(len(cols))]
+    vals = [F.col(c).cast("double") for c in cols]
+    rows = df.select(*keys, *[F.when(~F.isnan(v), v).alias(n) for v, n in zip(vals, names)])
+    sketch = rows.groupBy(*keys).agg(*[x for n in names for x in (
+        F.count(n).alias(f"_n{n}"), F.percentile_approx(n, qs, accuracy).alias(f"_q{n}"))]).checkpoint()
+    n_groups = sketch.count()
+    targets = [(i, j, p) for i in range(len(cols)) for j, p in enumerate(probs)]
+    edges = [F.col(f"_q{names[i]}")[at[min(1.0, max(0.0, p + d))]].alias(f"{e}{i}_{j}")
+             for i, j, p in targets for e, d in (("_a", -eps), ("_b", eps))]
+    bands = sketch.select(*keys, *edges)
+    if n_groups == 1:  # a single row: constants
+        banded = rows.withColumns({k: F.lit(v).cast("double") for k, v in bands.drop(*keys).first().asDict().items()})
+    else:
+        banded = _same(rows, maybe_broadcast(bands, rows=n_groups), keys)
+    # a row of its own for every value inside a band, and the row itself (-1) for the counts below the bands
+    inside = [F.when(F.array_contains(F.array(*[F.coalesce((F.col(n) >= F.col(f"_a{i}_{j}")) & (F.col(n) <= F.col(f"_b{i}_{j}")), F.lit(False))
+                                                for j in range(len(probs))]), True),
+                     F.struct(F.lit(i).alias("i"), F.col(n).alias("v"))) for i, n in enumerate(names)]
+    itself = F.struct(F.lit(-1).alias("i"), F.lit(None).cast("double").alias("v"))
+    spread = banded.withColumn("_p", F.explode(F.filter(F.array(itself, *inside), lambda x: x.isNotNull())))
+    counted = spread.groupBy(*keys, F.col("_p.i").alias("_i"), F.col("_p.v").alias("_v")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(F.when((F.col("_p.i") == -1) & (F.col(names[i]) < F.col(f"_a{i}_{j}")), 1).otherwise(0)).alias(f"_c{i}_{j}")
+          for i, j, _ in targets]).checkpoint()
+    totals = _same(sketch.select(*keys, *[f"_n{n}" for n in names], *edges), counted.filter("_i = -1").drop("_i", "_v", "n"), keys)
+    pos = [F.lit(p) * (F.col(f"_n{names[i]}") - 1) for i, _, p in targets]
+    wanted = F.explode(F.array(*[F.struct(
+        F.lit(i).alias("_i"), F.lit(cols[i]).alias("feature"), F.lit(p).alias("p"), F.col(f"_n{names[i]}").alias("_n"),
+        F.floor(x).alias("lo"), F.ceil(x).alias("hi"), (x - F.floor(x)).alias("frac"), F.col(f"_a{i}_{j}").alias("a"),
+        F.col(f"_b{i}_{j}").alias("b"), F.col(f"_c{i}_{j}").alias("below")) for (i, j, p), x in zip(targets, pos)]))
+    goal = totals.select(*keys, wanted.alias("_t")).select(*keys, "_t.*").filter("_n > 0").drop("_n")
+    near = _same(counted.filter("_i >= 0").select(*keys, "_i", "_v", "n"),
+                 maybe_broadcast(goal, rows=n_groups * len(targets)), keys, more=["_i"])
+    w = (Window.partitionBy(*keys, "_i", "p").orderBy("_v")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    band = (counted.filter(F.col("_side") == 0)
-            .join(below, ["feature", "p"], "left")
-            .withColumn("_end", F.coalesce("_below", F.lit(0)) + F.sum("n").over(w))
-            .withColumn("_start", F.col("_end") - F.col("n"))
-            .join(maybe_broadcast(tg.select("feature", "p", "lo", "hi", "frac"), rows=len(targets)),
-                  ["feature", "p"]))
-    has_lo = (F.col("lo") >= F.col("_start")) & (F.col("lo") < F.col("_end"))
-    has_hi = (F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end"))
-    picked = (band.groupBy("feature", "p", "frac")
-              .agg(F.max(F.when(has_lo, F.col("_v"))).alias("v_lo"),
-                   F.max(F.when(has_hi, F.col("_v"))).alias("v_hi"))
-              .select("feature", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
-                      .alias("value")))
-    # one row per (feature, p): a bounded statistics table, read once
-    rows = [(r["feature"], r["p"], r["value"]) for r in picked.collect() if r["value"] is not None]
-    found = {(f, p) for f, p, _ in rows}
-    missed = sorted({t[0] for t in targets if (t[0], t[1]) not in found})
-    out_schema = "feature string, p double, value double"
-    kept = spark.createDataFrame([r for r in rows if r[0] not in missed], out_schema)
-    if not missed:
-        return kept
-    rest = (vals.filter(F.col("feature").isin(missed)).groupBy("feature", "value")
-            .agg(F.count(F.lit(1)).alias("n")))
-    return kept.unionByName(exact_quantiles_counts(rest, probs))
+    ranked = (near.filter("_v between a and b").withColumn("_end", F.col("below") + F.sum("n").over(w))
+              .withColumn("_start", F.col("_end") - F.col("n")))
+    picked = _picked(ranked, [*keys, "_i", "feature", "p", "frac"]).checkpoint()
+    want = n_groups * len(targets)
+    found = picked.filter(F.col("value").isNotNull())
+    if found.count() == want:
+        return found.select(*keys, "feature", "p", "value")
+    reached = _same(goal.select(*keys, "_i", "p"), found.select(*keys, F.col("_i").alias("_fi"), F.col("p").alias("_fp"))
+                    .withColumnRenamed("_fi", "_i").withColumnRenamed("_fp", "p"), keys, "left_anti", more=["_i", "p"])
+    missed = reached.select(*keys, "_i").distinct().checkpoint()
+    n_missed = missed.count()
+    if n_missed == 0:  # columns without a value
+        return found.select(*keys, "feature", "p", "value")
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_i"), F.lit(c).alias("feature"), F.col(n).alias("value"))
+                                for i, (c, n) in enumerate(zip(cols, names))]))
+    rest = rows.select(*keys, pairs.alias("_p")).select(*keys, "_p.*").filter(F.col("value").isNotNull())
+    rest = _same(rest, maybe_broadcast(missed, rows=n_missed), keys, "left_semi", more=["_i"])
+    searched = rank_search(rest.groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias("n")), [*keys, "feature"], probs)
+    whole = _same(found, missed, keys, "left_anti", more=["_i"])
+    return whole.select(*keys, "feature", "p", "value").unionByName(searched)
+
+
+def _picked(ranked: DataFrame, by) -> DataFrame:
+    """(by…, value) from rows that hold the ranks [_start, _end) of the value ``_v``; ``lo``, ``hi``, ``frac`` name the ranks wanted."""
+    def holds(rank: str):
+        return (F.col(rank) >= F.col("_start")) & (F.col(rank) < F.col("_end"))
+    got = ranked.groupBy(*by).agg(F.max(F.when(holds("lo"), F.col("_v"))).alias("_lo"), F.max(F.when(holds("hi"), F.col("_v"))).alias("_hi"))
+    return got.withColumn("value", F.col("_lo") + F.col("frac") * (F.col("_hi") - F.col("_lo"))).drop("_lo", "_hi")
 
 
 def exact_quantiles_counts(dist: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """Exact quantiles from a pre-counted (feature, value, n) table with one
-    row per distinct non-null (feature, value) — the full rank search:
+    row per distinct non-null (feature, value): (feature, p, value)."""
+    return rank_search(dist, ["feature"], probs)
+
+
+def rank_search(dist: DataFrame, keys, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(keys…, p, value) from (keys…, value, n), one row per distinct pair:
 
     1. range-partition + sort the distinct pairs (a hot value is one row, so
        this cannot skew) and take running counts inside each partition;
-    2. per-(partition, feature) totals → prefix offsets on the driver (one
-       small row per partition and feature);
+    2. per-(partition, keys) totals, summed up over the partitions — at most
+       one row per group and partition that holds a part of it;
     3. keep only the rows holding the ranks floor(p·(n−1)) and ceil(p·(n−1)),
        interpolate."""
-    spark = dist.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (dist.repartitionByRange(n_parts, "feature", "value")
+    keys = list(keys)
+    n_parts = int(dist.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (dist.repartitionByRange(n_parts, *keys, "value")
               .withColumn("_pid", F.spark_partition_id()))
-    w = (Window.partitionBy("_pid", "feature").orderBy("value")
+    w = (Window.partitionBy("_pid", *keys).orderBy("value")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = ranged.withColumn("_cum", F.sum("n").over(w)).checkpoint()
-    totals = local.groupBy("_pid", "feature").agg(F.sum("n").alias("t")).collect()
-    offsets, run = [], {}
-    for r in sorted(totals, key=lambda r: r["_pid"]):
-        offsets.append((r["_pid"], r["feature"], run.get(r["feature"], 0)))
-        run[r["feature"]] = run.get(r["feature"], 0) + r["t"]
-    targets = []
-    for c, n in run.items():
-        for p in probs:
-            pos = p * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            targets.append((c, float(p), lo, hi, pos - lo))
-    off = spark.createDataFrame(offsets, "_pid int, feature string, _off long")
-    tg = spark.createDataFrame(targets, "feature string, p double, lo long, hi long, frac double")
-    ranked = (local.join(F.broadcast(off), ["_pid", "feature"])
+    totals = local.groupBy(*keys, "_pid").agg(F.sum("n").alias("t"))
+    group = Window.partitionBy(*keys)
+    before = F.sum("t").over(group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    placed = totals.select(*keys, "_pid", F.coalesce(before, F.lit(0)).alias("_off"), F.sum("t").over(group).alias("_n")).checkpoint()
+    ranked = (_same(local, maybe_broadcast(placed), keys, more=["_pid"])
               .withColumn("_end", F.col("_off") + F.col("_cum"))      # exclusive end rank
-              .withColumn("_start", F.col("_end") - F.col("n")))
-    hit = ranked.join(F.broadcast(tg), "feature").filter(
-        ((F.col("lo") >= F.col("_start")) & (F.col("lo") < F.col("_end")))
-        | ((F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end"))))
-    picked = hit.groupBy("feature", "p", "frac").agg(
-        F.max(F.when((F.col("lo") >= F.col("_start")) & (F.col("lo") < F.col("_end")),
-                     F.col("value"))).alias("v_lo"),
-        F.max(F.when((F.col("hi") >= F.col("_start")) & (F.col("hi") < F.col("_end")),
-                     F.col("value"))).alias("v_hi"))
-    return picked.select("feature", "p", (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo")))
-                         .alias("value"))
+              .withColumn("_start", F.col("_end") - F.col("n"))
+              .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+              .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
+              .withColumns({"lo": F.floor("_pos"), "hi": F.ceil("_pos"), "frac": F.col("_pos") - F.floor("_pos"), "_v": F.col("value")}))
+    hit = ranked.filter("(lo >= _start and lo < _end) or (hi >= _start and hi < _end)")
+    return _picked(hit.drop("value"), [*keys, "p", "frac"]).drop("frac")
 
 
 # ---------------------------------------------------------------------------
@@ -336,12 +357,6 @@ class BlockEncoder:
 
 
 def grouped_quantiles(df: DataFrame, keys, value: str, probs=(0.5,)) -> DataFrame:
-    """(keys…, p, value): exact linear quantiles of ``value`` per group by the
-    distributed rank search — a hot group is spread over many tasks instead of
-    one task's buffer (which ``percentile`` would build)."""
-    keys = list(keys)
-    schema = df.select(*keys).schema
-    key = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    q = exact_quantiles_long(df.select(key.alias("feature"), F.col(value).alias("value")), probs)
-    parsed = F.from_json(F.col("feature"), schema)
-    return q.select(*[parsed[k].alias(k) for k in keys], "p", "value")
+    """(keys…, p, value): exact linear quantiles of ``value`` per group, a hot
+    group spread over many tasks (``percentile`` would build one task's buffer of it)."""
+    return wide_quantiles(df, keys, [value], probs).drop("feature")

@@ -589,3 +589,33 @@ c AS (SELECT cell_lon, cell_lat, {EXCLUSIVE_CASE} AS cat FROM t
       UNION ALL SELECT DISTINCT cell_lon, cell_lat + 100, NULL FROM e WHERE page = 0)
 SELECT cell_lon, cell_lat, {counts} FROM c GROUP BY cell_lon, cell_lat
 """
+
+
+ANOMALY_THRESHOLD = REGION_FEATURES + """,
+s AS (SELECT region, year, type_local, id_mutation, valeur_fonciere, -abs(prix_m2 - 9000) AS score FROM rf),
+t AS (SELECT region, year, type_local, quantile_cont(score, 0.1) AS threshold FROM s GROUP BY ALL)
+SELECT s.region, s.year, s.type_local, id_mutation, valeur_fonciere, round(threshold, 6) AS threshold
+FROM s JOIN t ON s.region = t.region AND s.year IS NOT DISTINCT FROM t.year AND s.type_local IS NOT DISTINCT FROM t.type_local
+WHERE score >= threshold"""
+
+# Least squares on two columns by region, nulls filled with the training rows' most frequent value (ties: the smallest).
+REGION_TRAIN = REGION_FEATURES + f""",
+lab AS (SELECT region, CASE WHEN {SPLIT_U} < 0.8 THEN 'train' ELSE 'test' END AS split, prix_m2 AS y,
+               CAST(surface_terrain AS DOUBLE) AS a, CAST(year AS DOUBLE) AS b FROM rf),
+ma AS (SELECT region, arg_min(a, (-n, a)) AS ma FROM (SELECT region, a, count(*) AS n FROM lab WHERE split = 'train' AND a IS NOT NULL GROUP BY ALL) GROUP BY region),
+mb AS (SELECT region, arg_min(b, (-n, b)) AS mb FROM (SELECT region, b, count(*) AS n FROM lab WHERE split = 'train' AND b IS NOT NULL GROUP BY ALL) GROUP BY region),
+z AS (SELECT lab.region, split, y, coalesce(a, ma, 0) AS a, coalesce(b, mb, 0) AS b FROM lab LEFT JOIN ma USING (region) LEFT JOIN mb USING (region)),
+m AS (SELECT region, avg(a) AS a0, avg(b) AS b0, avg(y) AS y0, var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb
+      FROM z WHERE split = 'train' GROUP BY region),
+w AS (SELECT region, a0, b0, y0, CASE WHEN bb = 0 THEN ay / nullif(aa, 0) ELSE coalesce((ay * bb - yb * ab) / nullif(aa * bb - ab * ab, 0), 0) END AS wa,
+             CASE WHEN aa = 0 THEN yb / nullif(bb, 0) ELSE coalesce((yb * aa - ay * ab) / nullif(aa * bb - ab * ab, 0), 0) END AS wb FROM m),
+p AS (SELECT z.region, split, y, y0 + wa * (a - a0) + wb * (b - b0) AS f, abs(wa * (a - a0)) AS pa, abs(wb * (b - b0)) AS pb FROM z JOIN w ON z.region = w.region)"""
+
+REGION_TRAIN_METRICS = REGION_TRAIN + """
+SELECT region, split, count(*) AS n, round(avg((y - f) * (y - f)), 2) AS mse, round(1 - sum((y - f) * (y - f)) / (count(y) * var_pop(y)), 6) AS r2
+FROM p GROUP BY region, split"""
+
+REGION_TRAIN_IMPACT = REGION_TRAIN + """,
+i AS (SELECT region, avg(pa) AS pa, avg(pb) AS pb FROM p WHERE split = 'test' GROUP BY region)
+SELECT region, 'physical' AS "group", round(pa, 4) AS impact, round(100 * pa / (pa + pb), 4) AS share_pct FROM i
+UNION ALL SELECT region, 'contextual' AS "group", round(pb, 4) AS impact, round(100 * pb / (pa + pb), 4) AS share_pct FROM i"""

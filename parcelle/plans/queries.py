@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from parcelle.operators.cleaning import clean, total_surface
 from parcelle.operators.features import create_features, rollup_mutations
 from parcelle.plans import oracle_sql as O
-from parcelle.schemas import JOB_CLEANER, JOB_PRICE_BAND, LOT_COLUMNS
+from parcelle.schemas import JOB_CLEANER, JOB_CONTAMINATION, JOB_PRICE_BAND, LOT_COLUMNS
 from parcelle.sources import fixtures as fx
 
 FEATURE_DOUBLES = O.FEATURE_DOUBLES
@@ -972,3 +972,38 @@ ORACLES.update({
     "poi_json_counts": O.poi_json_counts_sql(),
     "poi_json_points": O.duckdb_with("poi") + "SELECT poi_id, lon, lat, amenity, shop, leisure, public_transport, tourism, name FROM poi",
 })
+
+
+# ---------------------------------------------------------------------------
+# Thresholds by group (A-12) and one model per region (U-3, M-8, V-3, V-4, S-14)
+# ---------------------------------------------------------------------------
+from parcelle.operators.anomaly import threshold_filter  # noqa: E402
+
+
+def q_anomaly_threshold(spark, sf_dir):
+    """Sales kept by the contamination quantile of their (region, year, type): the forest's cut on a score that SQL can state."""
+    s = (_region_features(spark, sf_dir).select("region", "year", "type_local", *KEY, "valeur_fonciere", (-F.abs(F.col("prix_m2") - 9000)).alias("score_samples"))
+         .checkpoint())
+    return threshold_filter(s, ["region", "year", "type_local"], JOB_CONTAMINATION).drop("score_samples").withColumn("threshold", F.round("threshold", 6))
+
+
+def _region_train(spark, sf_dir):
+    """Least squares of the price per m² on land and year, by region, saved and scored from the saved table."""
+    f = _region_features(spark, sf_dir).select("region", "id_mutation", "prix_m2", "surface_terrain", "year")
+    plain = dict(tr.PHYSICAL_PARAMS, alpha=0.0)
+    return tr.train_regions_job(f, scratch_path(spark, "regions"), categorical=(), numeric=["surface_terrain", "year"], physical_params=plain)
+
+
+def q_region_train_metrics(spark, sf_dir):
+    """MSE and R² of each region's own model on its train and test rows."""
+    m = _region_train(spark, sf_dir)[2]
+    return m.select("region", "split", "n", F.round("mse", 2).alias("mse"), F.round("r2", 6).alias("r2"))
+
+
+def q_region_train_impact(spark, sf_dir):
+    """Physical and contextual share in each region's own model, over its test rows."""
+    return _region_train(spark, sf_dir)[3].select("region", "group", *rnd("impact", "share_pct", d=4))
+
+
+QUERIES.update({"anomaly_threshold": q_anomaly_threshold, "region_train_metrics": q_region_train_metrics, "region_train_impact": q_region_train_impact})
+ORACLES.update({"anomaly_threshold": O.ANOMALY_THRESHOLD, "region_train_metrics": O.REGION_TRAIN_METRICS, "region_train_impact": O.REGION_TRAIN_IMPACT})
