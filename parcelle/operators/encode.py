@@ -97,7 +97,7 @@ def wide_quantiles(df: DataFrame, keys, cols, probs=(0.25, 0.5, 0.75), accuracy:
         F.count(n).alias(f"_n{n}"), F.percentile_approx(n, qs, accuracy).alias(f"_q{n}"))]).checkpoint()
     n_groups = sketch.count()
     targets = [(i, j, p) for i in range(len(cols)) for j, p in enumerate(probs)]
-    edges = [F.col(f"_q{names[i]}")[at[min(1.0, max(0.0, p + d))]].alias(f"{e}{i}_{j}")
+    edges = [F.expr(f"_q{names[i]}[{at[min(1.0, max(0.0, p + d))]}] as {e}{i}_{j}")
              for i, j, p in targets for e, d in (("_a", -eps), ("_b", eps))]
     bands = sketch.select(*keys, *edges)
     if n_groups == 1:  # a single row: constants
@@ -105,22 +105,18 @@ def wide_quantiles(df: DataFrame, keys, cols, probs=(0.25, 0.5, 0.75), accuracy:
     else:
         banded = _same(rows, maybe_broadcast(bands, rows=n_groups), keys)
     # a row of its own for every value inside a band, and the row itself (-1) for the counts below the bands
-    inside = [F.when(F.array_contains(F.array(*[F.coalesce((F.col(n) >= F.col(f"_a{i}_{j}")) & (F.col(n) <= F.col(f"_b{i}_{j}")), F.lit(False))
-                                                for j in range(len(probs))]), True),
-                     F.struct(F.lit(i).alias("i"), F.col(n).alias("v"))) for i, n in enumerate(names)]
-    itself = F.struct(F.lit(-1).alias("i"), F.lit(None).cast("double").alias("v"))
-    spread = banded.withColumn("_p", F.explode(F.filter(F.array(itself, *inside), lambda x: x.isNotNull())))
+    in_band = [" or ".join(f"({n} >= _a{i}_{j} and {n} <= _b{i}_{j})" for j in range(len(probs))) for i, n in enumerate(names)]
+    inside = ", ".join(f"case when {t} then struct({i} as i, {n} as v) end" for i, (n, t) in enumerate(zip(names, in_band)))
+    spread = banded.withColumn("_p", F.expr(f"explode(filter(array(struct(-1 as i, cast(null as double) as v), {inside}), x -> x is not null))"))
     counted = spread.groupBy(*keys, F.col("_p.i").alias("_i"), F.col("_p.v").alias("_v")).agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.sum(F.when((F.col("_p.i") == -1) & (F.col(names[i]) < F.col(f"_a{i}_{j}")), 1).otherwise(0)).alias(f"_c{i}_{j}")
-          for i, j, _ in targets]).checkpoint()
+        *[F.expr(f"sum(case when _p.i = -1 and {names[i]} < _a{i}_{j} then 1 else 0 end) as _c{i}_{j}") for i, j, _ in targets]).checkpoint()
     totals = _same(sketch.select(*keys, *[f"_n{n}" for n in names], *edges), counted.filter("_i = -1").drop("_i", "_v", "n"), keys)
-    pos = [F.lit(p) * (F.col(f"_n{names[i]}") - 1) for i, _, p in targets]
-    wanted = F.explode(F.array(*[F.struct(
-        F.lit(i).alias("_i"), F.lit(cols[i]).alias("feature"), F.lit(p).alias("p"), F.col(f"_n{names[i]}").alias("_n"),
-        F.floor(x).alias("lo"), F.ceil(x).alias("hi"), (x - F.floor(x)).alias("frac"), F.col(f"_a{i}_{j}").alias("a"),
-        F.col(f"_b{i}_{j}").alias("b"), F.col(f"_c{i}_{j}").alias("below")) for (i, j, p), x in zip(targets, pos)]))
-    goal = totals.select(*keys, wanted.alias("_t")).select(*keys, "_t.*").filter("_n > 0").drop("_n")
+    wanted = ", ".join(f"struct({i} as _i, {p!r}D as p, _n{names[i]} as _n, {p!r}D * (_n{names[i]} - 1) as _pos, _a{i}_{j} as a, _b{i}_{j} as b, _c{i}_{j} as below)"
+                       for i, j, p in targets)
+    feature = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("_i") + 1).alias("feature")
+    goal = totals.select(*keys, F.expr(f"explode(array({wanted})) as _t")).select(*keys, "_t.*").filter("_n > 0").select(
+        *keys, "_i", feature, "p", "a", "b", "below", F.expr("floor(_pos) as lo"), F.expr("ceil(_pos) as hi"), F.expr("_pos - floor(_pos) as frac"))
     near = _same(counted.filter("_i >= 0").select(*keys, "_i", "_v", "n"),
                  maybe_broadcast(goal, rows=n_groups * len(targets)), keys, more=["_i"])
     w = (Window.partitionBy(*keys, "_i", "p").orderBy("_v")

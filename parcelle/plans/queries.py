@@ -198,12 +198,13 @@ def q_column_modes(spark, sf_dir):
 
 
 def q_quartiles(spark, sf_dir):
-    q = enc.exact_quantiles(_features(spark, sf_dir), NUMERIC_PHYSICAL)
+    # written once: the quantiles read the rows twice, and the roll-up is the dear part
+    q = enc.exact_quantiles(_features(spark, sf_dir).select(*NUMERIC_PHYSICAL).checkpoint(), NUMERIC_PHYSICAL)
     return q.select("feature", "p", F.round("value", 6).alias("value"))
 
 
 def q_robust_scaled(spark, sf_dir):
-    s = _split_features(spark, sf_dir)
+    s = _split_features(spark, sf_dir).select("split", "id_mutation", "valeur_fonciere", *NUMERIC_PHYSICAL).checkpoint()
     model = enc.RobustScaler(NUMERIC_PHYSICAL).fit(s.filter(F.col("split") == "train"))
     te = model.transform(s.filter(F.col("split") == "test"))
     return te.select("id_mutation", "valeur_fonciere", *rnd(*NUMERIC_PHYSICAL))
