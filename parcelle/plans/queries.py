@@ -470,7 +470,7 @@ QUERIES.update({
 # ---------------------------------------------------------------------------
 # Resume (anti-join) and incremental landing (Structured Streaming)
 # ---------------------------------------------------------------------------
-from parcelle.operators.resume import resume  # noqa: E402
+from parcelle.operators.resume import enrich_in_chunks, resume  # noqa: E402
 from parcelle.session import scratch_path  # noqa: E402
 from parcelle.streaming.landing import ingest_available, raw_csv_schema, read_landed  # noqa: E402
 
@@ -488,6 +488,16 @@ def q_radius_resume(spark, sf_dir):
                   lambda rest: radius_poi_counts(rest, poi, FIXTURE_RADIUS))
 
 
+def q_radius_chunked(spark, sf_dir):
+    """Grid enrichment saved chunk by chunk: the western cells first, then the whole grid, of which only the new keys are
+    dealt out and computed."""
+    poi, keys, path = fx.poi(spark, sf_dir), ["lat", "lon", "densite"], scratch_path(spark, "radius-chunks")
+    grid = fx.grid(spark, sf_dir).select("grid_id", *keys)
+    for part in (grid.filter(F.col("lon") < 2.5), grid):
+        out = enrich_in_chunks(part, keys, lambda rest: radius_poi_counts(rest, poi, FIXTURE_RADIUS), path, chunks=4)
+    return out
+
+
 def q_landing_ingest(spark, sf_dir):
     """Land the sale lines as gzip CSV files per year and department, ingest
     them with a file stream (availableNow), run it again (nothing new), and
@@ -509,10 +519,12 @@ from parcelle.schemas import PREPROCESSED_FLOAT_COLUMNS, TRANSACTION_COLUMNS  #
 
 QUERIES.update({
     "radius_resume": q_radius_resume,
+    "radius_chunked": q_radius_chunked,
     "landing_ingest": q_landing_ingest,
 })
 ORACLES.update({
     "radius_resume": O.radius_counts_sql(),
+    "radius_chunked": O.radius_counts_sql(),
 })
 
 
