@@ -1020,3 +1020,30 @@ def q_region_train_impact(spark, sf_dir):
 
 QUERIES.update({"anomaly_threshold": q_anomaly_threshold, "region_train_metrics": q_region_train_metrics, "region_train_impact": q_region_train_impact})
 ORACLES.update({"anomaly_threshold": O.ANOMALY_THRESHOLD, "region_train_metrics": O.REGION_TRAIN_METRICS, "region_train_impact": O.REGION_TRAIN_IMPACT})
+
+
+# ---------------------------------------------------------------------------
+# Landing of wide files in any column order (S-15, S-4)
+# ---------------------------------------------------------------------------
+from parcelle.streaming.wide_landing import ingest_files, read_files_landed  # noqa: E402
+
+WIDE_PATHS = dict(year_pattern=r"/y=([0-9]{4})/", dep_pattern=r"/departement=([^/]+)/")
+
+
+def q_landing_wide(spark, sf_dir):
+    """Sale lines landed as CSV files of 21 columns, in two column orders; a second run has nothing to add."""
+    lines = fx.dvf(spark, sf_dir).withColumn("y", F.year("date_mutation"))
+    used = [F.col(n).cast("string") for n, _ in TRANSACTION_COLUMNS]
+    more = [F.lit(f"{i},\"x\"").alias(f"autre{i}") for i in range(6)]
+    land, table, seen = scratch_path(spark, "wide"), scratch_path(spark, "wide-landed"), scratch_path(spark, "wide-seen")
+    for half, cols in enumerate(([*used, *more], [*more[:3], *used[::-1], *more[3:]])):
+        (lines.filter(F.pmod("y", F.lit(2)) == half).select(*cols, "y", "departement").write.option("header", True).option("compression", "gzip")
+         .option("escape", '"').partitionBy("y", "departement").csv(f"{land}/{half}"))
+    first = ingest_files(spark, land, table, seen, **WIDE_PATHS)
+    if again := ingest_files(spark, land, table, seen, **WIDE_PATHS):
+        raise RuntimeError(f"{again} rows landed twice, {first} once")
+    return read_files_landed(spark, table).select(*[n for n, _ in TRANSACTION_COLUMNS], "year", "departement")
+
+
+QUERIES["landing_wide"] = q_landing_wide
+ORACLES["landing_wide"] = O.TRANSACTIONS_SCAN.format(cols=_scan_cols())
