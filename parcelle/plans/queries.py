@@ -1047,3 +1047,21 @@ def q_landing_wide(spark, sf_dir):
 
 QUERIES["landing_wide"] = q_landing_wide
 ORACLES["landing_wide"] = O.TRANSACTIONS_SCAN.format(cols=_scan_cols())
+
+
+# ---------------------------------------------------------------------------
+# Rows after each stage, counted in one run (A-17)
+# ---------------------------------------------------------------------------
+from parcelle.operators.evaluate import stage_report  # noqa: E402
+from parcelle.operators.features import price_band, price_per_m2  # noqa: E402
+
+
+def q_stage_report(spark, sf_dir):
+    """Lines, cleaned lines, sales and priced sales, observed while one job runs through."""
+    return stage_report(fx.dvf(spark, sf_dir), [
+        ("lines", None), ("cleaned", lambda d: clean(d, **JOB_CLEANER)), ("mutations", rollup_mutations),
+        ("priced", lambda r: price_band(price_per_m2(r), *JOB_PRICE_BAND))])
+
+
+QUERIES["stage_report"] = q_stage_report
+ORACLES["stage_report"] = O.STAGE_COUNTS

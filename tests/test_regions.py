@@ -160,3 +160,16 @@ def test_nothing_to_learn_from(spark):
     _, df = regions_of(spark, 10)
     with pytest.raises(ValueError):
         regional.RegionalElasticNet(["t"], ["a", "b"], "y").fit(df.filter("id < 0"))
+
+
+def test_stages_are_counted_in_one_run_with_a_sink(spark, tmp_path):
+    from parcelle.operators.evaluate import stage_report
+    plans = []
+
+    def sink(out):
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        out.write.parquet(str(tmp_path / "out"))
+
+    report = stage_report(spark.range(1000), [("all", None), ("even", lambda d: d.filter("id % 2 = 0")), ("none", lambda d: d.filter("id < 0"))], sink)
+    assert [tuple(r) for r in report.collect()] == [("all", 1000), ("even", 500), ("none", 0)]
+    assert len(plans) == 1 and plans[0].count("Range (") == 1 and spark.read.parquet(str(tmp_path / "out")).count() == 0
