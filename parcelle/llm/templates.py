@@ -37,6 +37,8 @@ from parcelle.llm.words import LETTERS, Texts, mix64, multipliers, slices, hash_
 
 WINDOW, RUN = 8, 6
 FILTER_BITS = 24
+#: Hits that are sent on together: their slots are lists of strings, which a slice full of a common passage has many of.
+HIT_ROWS = 4096
 #: An item of fewer words is a common phrase: only a text that is nothing else holds it.
 LEAST_WORDS = 4
 #: Words taken as units after a number.
@@ -126,6 +128,7 @@ def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -
         bits = keep.value if keep is not None else None
         row = TaskContext.get().partitionId() << 40
         for b in batches:
+            keys = b.select(list(range(n_keys)))  # without the texts
             for t in slices(b.column(n_keys)):
                 w, kind, h, words = canonical(t)
                 lens = np.diff(w.at)
@@ -136,14 +139,15 @@ def _hits(df: DataFrame, n_keys: int, window: int, keep, lengths, schema: str) -
                         x = (g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                         ok = (bits[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool)
                         g, at, plain = g[ok], at[ok], plain[ok]
-                    if len(g):
-                        d = w.doc[at]
-                        part = b.slice(t.first, t.n).take(pa.array(d))
-                        typed = np.bincount(d[~plain], minlength=t.n)[d] if bits is None else np.zeros(len(d), np.int64)
+                    d = w.doc[at]
+                    typed = np.bincount(d[~plain], minlength=t.n) if bits is None else np.zeros(t.n, np.int64)
+                    for c in range(0, len(g), HIT_ROWS):
+                        g_c, at_c, d_c, plain_c = (v[c:c + HIT_ROWS] for v in (g, at, d, plain))
+                        part = keys.take(pa.array(t.first + d_c))
                         yield pa.RecordBatch.from_arrays(
-                            [*part.columns[:n_keys], pa.array(row + t.first + d), pa.array(g.view(np.int64)), pa.array(at - w.at[d]),
-                             pa.array((lens[d] - k + 1).astype(np.int64)), pa.array(typed.astype(np.int64)), pa.array([_slots(w, kind, a, k) for a in at.tolist()], pa.list_(pa.string())),
-                             pa.array(plain)], names=names)
+                            [*part.columns, pa.array(row + t.first + d_c), pa.array(g_c.view(np.int64)), pa.array(at_c - w.at[d_c]),
+                             pa.array((lens[d_c] - k + 1).astype(np.int64)), pa.array(typed[d_c].astype(np.int64)),
+                             pa.array([_slots(w, kind, a, k) for a in at_c.tolist()], pa.list_(pa.string())), pa.array(plain_c)], names=names)
             row += b.num_rows
 
     return df.mapInArrow(run, schema)

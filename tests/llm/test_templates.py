@@ -108,3 +108,25 @@ def test_tiny_items_need_a_text_of_their_own(spark):
     items = spark.createDataFrame([(7, "yes"), (8, "here now"), (9, "Which city is largest")], "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in templates.contaminated(docs, items).collect()}
     assert got == {(2, 7), (3, 8), (5, 9)}
+
+
+def test_hits_are_sent_on_some_rows_at_a_time(monkeypatch):
+    """A slice full of one passage: its slots, lists of strings, are never all held at once, and no window is lost."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    class Rows:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    schema = "item_id long, item_row long, h long, item_at long, item_windows long, item_typed long, item_slots array<string>, item_plain boolean"
+    n = 5000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(["we told Anna that all of it came to 7 km"] * n)], names=["item_id", "text"])
+    out = list(templates._hits(Rows(), 1, 8, None, None, schema)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 4096
+    rows = pa.Table.from_batches(out).to_pylist()
+    one = [{k: v for k, v in r.items() if k not in ("item_id", "item_row")} for r in rows if r["item_id"] == 0]
+    assert len(rows) == n * len(one) and {r["item_at"] for r in one} == {0, 1, 2, 3}
+    assert sorted({r["item_row"] for r in rows}) == list(range(n)) and all(r["item_id"] == r["item_row"] for r in rows)
