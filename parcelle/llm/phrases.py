@@ -43,10 +43,10 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: The logarithm of the bits of a set, by length, stays within these bounds.
 LEAST_BITS, MOST_BITS = 20, 27
 #: Raw text that is counted together before anything is sent on.
-SLICE_BYTES = 2 << 20
-PART_ROWS = 2000
-#: Counted texts that a task holds before it adds equal ones up and sends them on.
-MERGED_ROWS = 400_000
+SLICE_BYTES = 1 << 20
+PART_ROWS = 1000
+#: Counted texts that a task holds before it adds equal ones up and sends them on, and rows of a batch it sends.
+MERGED_ROWS, SENT_ROWS = 120_000, 20_000
 
 _WORD = byte_class(lambda b: b not in (0x20, 0x09) and b not in BREAKS)
 _BREAK = byte_class(lambda b: b in BREAKS)
@@ -208,7 +208,7 @@ def _texts(docs: DataFrame, found: Proposed, max_words: int) -> DataFrame:
                                 pa.array(np.diff(np.append(heads, len(mine))))], schema)
 
     def merged(parts):
-        return pa.concat_tables(parts).group_by(["lang", "k", "phrase"]).aggregate([("a", "sum")]).rename_columns(schema.names).to_batches(100_000)
+        return pa.concat_tables(parts).group_by(["lang", "k", "phrase"]).aggregate([("a", "sum")]).rename_columns(schema.names).to_batches(SENT_ROWS)
 
     def run(batches):
         parts, rows = [], 0

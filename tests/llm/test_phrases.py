@@ -114,3 +114,28 @@ def test_empty_table(spark):
 def test_lowered_threshold():
     assert phrases.lowered(10, 0.1, 0.01) == 2
     assert 60 < phrases.lowered(1000, 0.1, 0.01) < 100
+
+
+def test_counted_texts_are_sent_on_in_small_batches():
+    """A task takes texts a megabyte at a time and never sends or holds a large table of counted phrases."""
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+
+    from parcelle.llm import phrases
+
+    class Docs:
+        sparkSession = SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda v: SimpleNamespace(value=v)))  # noqa: N815
+
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return SimpleNamespace(groupBy=lambda *c: SimpleNamespace(agg=lambda *a: run))
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(100)) for i in range(2600)]
+    assert max(len(t.data) for t in phrases._parts(pa.array(texts))) <= 1 << 20
+    every = phrases.Proposed({k: np.full(1 << 17, 255, np.uint8) for k in (1, 2, 3)})
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(texts)), pa.array([7] * len(texts), pa.int64()), pa.array(texts)], names=["_lang", "_seed", "_text"])
+    out = list(phrases._texts(Docs(), every, 3)(iter([batch])))
+    assert max(b.num_rows for b in out) <= 20_000
+    counted = pa.Table.from_batches(out).group_by("k").aggregate([("a", "sum")]).to_pydict()
+    assert dict(zip(counted["k"], counted["a_sum"])) == {0: 260_000, 1: 260_000, 2: 2600 * 99, 3: 2600 * 98}
