@@ -116,7 +116,7 @@ def test_lowered_threshold():
     assert 60 < phrases.lowered(1000, 0.1, 0.01) < 100
 
 
-def test_counted_texts_are_sent_on_in_small_batches():
+def test_counted_texts_are_sent_on_in_small_batches(spark):
     """A task takes texts a megabyte at a time and never sends or holds a large table of counted phrases."""
     from types import SimpleNamespace
 
