@@ -182,3 +182,20 @@ def test_radius_join_back_reuses_aggregate_partitioning(spark):
     join = plan[plan.index("SortMergeJoin"):]
     first_two = [ln.strip() for ln in join.splitlines()[1:4]]
     assert not any(ln.startswith(("+- Exchange", ":- Exchange")) for ln in first_two), plan
+
+
+def test_exploded_cells_are_not_broadcast_on_sparks_estimate(spark):
+    from parcelle.operators.spatial import radius_exclusive_counts, radius_poi_counts_per_row
+    tags = ("amenity", "shop", "leisure", "public_transport", "tourism", "name")
+    grid = spark.createDataFrame([(i, 2.0 + i / 100, 48.0, 900.0) for i in range(50)], "grid_id long, lon double, lat double, densite double")
+    poi = spark.createDataFrame([(2.0 + i / 90, 48.0, "school", None, None, None, None, "x") for i in range(50)],
+                                "lon double, lat double, " + ", ".join(f"{t} string" for t in tags))
+    for query in (radius_exclusive_counts, radius_poi_counts_per_row):
+        small = sorted(query(grid, poi, 2000.0).collect())
+        spark.conf.set("parcelle.broadcastLimitBytes", "1")
+        try:
+            out = query(grid, poi, 2000.0)
+            assert "SortMergeJoin [kx" in out._jdf.queryExecution().sparkPlan().toString()
+            assert sorted(out.collect()) == small and sum(map(sum, [r[4:] for r in small]))
+        finally:
+            spark.conf.unset("parcelle.broadcastLimitBytes")
