@@ -15,11 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark import SparkContext, TaskContext
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor, LinearRegression
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelle.models.histtrees import Boosting, HistModel
+from parcelle.models.leastsquares import fit_least_squares
 from parcelle.session import scratch_path
 
 
@@ -98,16 +100,13 @@ class BoostedTrees:
     label_col: str = "label"
     prediction_col: str = "prediction"
     seed: int = 42
-    # Node-id caching pays off for deep trees on large inputs; on small ones
-    # it only adds a pass per level.
-    cache_node_ids: bool = False
 
-    def fit(self, df: DataFrame):
+    def fit(self, df: DataFrame) -> HistModel:
+        """Least-squares boosting by ``GBTRegressor``'s definition (``leastsquares``), without its job per level."""
         p, self.unsupported = gbt_params(self.params, self.drop_unsupported)
-        gbt = GBTRegressor(featuresCol=self.features_col, labelCol=self.label_col,
-                           predictionCol=self.prediction_col, lossType="squared", seed=self.seed,
-                           cacheNodeIds=self.cache_node_ids, checkpointInterval=10, **p)
-        return gbt.fit(df)
+        spec = Boosting(p.get("maxIter", 20), p.get("stepSize", 0.1), p.get("maxDepth", 5), subsample=p.get("subsamplingRate", 1.0),
+                        min_child_weight=p.get("minInstancesPerNode", 1), seed=self.seed)
+        return fit_least_squares(df, spec, self.features_col, self.label_col, self.prediction_col)
 
 
 # ---------------------------------------------------------------------------
