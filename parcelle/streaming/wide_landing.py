@@ -54,7 +54,8 @@ def ingest_files(spark: SparkSession, landing_dir: str, table_path: str, checkpo
         rows = _by_header(s, good).withColumns({
             "year": F.regexp_extract("file_path", year_pattern, 1).cast("int"),
             "departement": department_code(F.regexp_extract("file_path", dep_pattern, 1))})
-        rows.select(*LANDED.names).write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy("year", "departement").parquet(folder)
+        # Dealt out anew: a scan task packs files by compressed size, and the write sorts all rows of its task.
+        rows.select(*LANDED.names).hint("rebalance", "year", "departement").write.mode("overwrite").option("maxRecordsPerFile", 5_000_000).partitionBy("year", "departement").parquet(folder)
         counts = s.read.schema(LANDED).parquet(folder).groupBy("file_path").agg(F.count(F.lit(1)).alias("rows"))
         # Both name files of one trigger; their paths differ in the slashes behind the scheme.
         plain = [F.regexp_replace(c, "^file:/+", "/") for c in ("path", "file_path")]
