@@ -161,11 +161,11 @@ def missing_transaction_files(spark: SparkSession, base: str, years, departement
 def write_transactions_parquet(df: DataFrame, path: str) -> None:
     """One-off rewrite to parquet partitioned by (year, departement).
 
-    A gz source file is one task holding one (year, departement), so the
-    write needs no shuffle: every task writes into its own directory, and a
-    department holding a third of the rows is spread over all its files'
-    tasks.  ``maxRecordsPerFile`` bounds the output file size."""
-    (df.write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
+    A scan task packs gz files by their compressed size, and a partitioned
+    write sorts all rows of its task, so the rows are first dealt out anew: the
+    rebalance hint lets AQE split a hot department over several tasks of the
+    advisory size and merge small ones.  ``maxRecordsPerFile`` bounds the output file size."""
+    (df.hint("rebalance", "year", "departement").write.mode("overwrite").option("maxRecordsPerFile", 5_000_000)
      .partitionBy("year", "departement").parquet(path))
 
 
