@@ -197,8 +197,8 @@ def test_parquet_rewrite_sorts_tasks_of_the_advisory_size(spark, tmp_path):
     from parcelle.sources.transactions import read_transactions_parquet, write_transactions_parquet
     from parcelle.schemas import TRANSACTION_SCHEMA
     rows = spark.range(0, 40000, 1, 1).select(
-        *[(F.col("id").cast("string") if f.name == "id_mutation" else F.lit(None).cast(f.dataType)).alias(f.name) for f in TRANSACTION_SCHEMA.fields],
-        (F.lit(2000) + F.col("id") % 4).cast("int").alias("year"), F.lit("2A").alias("departement"))
+        *[(F.sha2(F.col("id").cast("string"), 256) if f.name == "id_mutation" else F.lit(None).cast(f.dataType)).alias(f.name) for f in TRANSACTION_SCHEMA.fields],
+        (F.lit(2000) + F.col("id") % 40).cast("int").alias("year"), F.lit("2A").alias("departement"))
     was = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "65536")
     try:
@@ -208,4 +208,4 @@ def test_parquet_rewrite_sorts_tasks_of_the_advisory_size(spark, tmp_path):
     t = read_transactions_parquet(spark, str(tmp_path / "t"))
     tasks = {f.rsplit("part-", 1)[1].split("-")[0] for f in t.inputFiles()}
     assert len(tasks) > 1 and t.agg(F.count("id_mutation"), F.countDistinct("id_mutation")).first() == (40000, 40000)
-    assert {r.year for r in t.select("year").distinct().collect()} == {2000, 2001, 2002, 2003}
+    assert t.select("year").distinct().count() == 40
