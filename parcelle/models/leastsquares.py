@@ -105,7 +105,7 @@ class _Rows:
         at = slot[self.rows]
         there = at >= 0
         cell = at[there] * width + self.cells[there]
-        g = np.bincount(cell, self.target[self.rows[there]], count * width).reshape(count, width)
+        g = np.bincount(cell, self.target[self.rows[there]], count * width).astype(float).reshape(count, width)  # integers if there is no row
         h = np.bincount(cell, minlength=count * width).astype(float).reshape(count, width)
         total_g, total_h = np.bincount(k, target, count), np.bincount(k, minlength=count)
         for j, usual in self.usual.items():
