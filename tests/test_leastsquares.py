@@ -68,3 +68,9 @@ def test_saved_and_bad_input(spark, tmp_path):
         BoostedTrees(PARAMS).fit(df.filter("id < 0"))
     with pytest.raises(ValueError):
         BoostedTrees(PARAMS).fit(df.withColumn("label", F.when(F.col("id") > 5, F.col("label"))))
+
+
+def test_sums_of_dense_features_keep_their_fractions():
+    rows = leastsquares._Rows(np.array([[0], [1], [0], [1]], np.uint8), np.array([0.25, 0.5, 0.5, 0.125]), np.zeros(4, np.uint64), np.array([0, 2]))
+    got = rows.sums(0, leastsquares.Boosting(1), (np.array([-1]), np.array([0]), np.array([0])), np.array([0]), 1)
+    assert got.tolist() == [[[0.75, 0.625]], [[2.0, 2.0]]]
