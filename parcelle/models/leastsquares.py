@@ -4,9 +4,9 @@ The first tree is fitted to the label and counts in full, each later one to twic
 ``learning_rate``; a leaf is a mean, features are cut into at most ``max_bins`` bins, no split leaves fewer than
 ``min_child_weight`` rows on a side.
 
-Each task holds the bins of up to ``ALONE_ROWS`` rows.  The sums of a table that fits in one task are complete there, so
-that task grows all trees in one job.  On larger tables every level is a job of one stage over the held rows: the driver adds
-up the tasks' sums (a tree of tasks does beyond ``DRIVER_BYTES``) and picks the splits; running predictions are kept
+The sums of a table of up to ``ALONE_ROWS`` rows and ``ALONE_BYTES`` are complete in the one task that holds its bins, so that task grows
+all trees in one job: a pass per level over held rows costs several times what its sums do.  On larger tables (``TASK_ROWS`` a task)
+every level is a job of one stage over the held rows: the driver adds up the tasks' sums (a tree of tasks does beyond ``DRIVER_BYTES``) and picks the splits; running predictions are kept
 after every tree, and every ``RESTART_TREES`` trees made anew from the held rows, so that lineage stays short.
 
 Of a node's two children the smaller is summed, the other is the difference; of a feature that mostly has one bin
@@ -19,15 +19,19 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, TaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelle.models.histtrees import ALONE_ROWS, Boosting, HistModel, _mixed
+from parcelle.models.histtrees import Boosting, HistModel, _mixed
 from parcelle.models.treeshap import Tree
 
 MAX_BINS = 32
+#: Bits of the code that the bins of several features share; rows that are dealt out together; rows counted at a time.
+CODE_BITS, BLOCK_ROWS, CHUNK_ROWS = 10, 4096, 1 << 15
+#: A table of at most so many rows and bytes (a byte a feature, some 64 a row besides) is held by one task; otherwise rows of a task.
+ALONE_ROWS, ALONE_BYTES, TASK_ROWS = 1 << 21, 384 << 20, 1 << 18
 DRIVER_BYTES, RESTART_TREES = 64 << 20, 25
 
 
@@ -54,81 +58,148 @@ def thresholds(x: DataFrame, d: int, max_bins: int) -> list[np.ndarray]:
     return [cuts[j] for j in range(d)]
 
 
+BLOCK = "place int, i int, bins binary, y binary, key binary"
+
+
+def _blocks(rows: list) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows), kinds)], names=["place", "i", "bins", "y", "key"])
+
+
 def _matrix(column, d: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
 
 
 class _Rows:
-    """The binned rows of one task with their running predictions, and their sums by (node, bin)."""
+    """The binned rows of one task with their running predictions, and their sums by (node, bin).
+
+    The bins of several features share a code of ``CODE_BITS`` bits, and one count by code serves them all.  Of a feature that
+    mostly has one bin only the other rows are held."""
 
     def __init__(self, bins: np.ndarray, y: np.ndarray, key: np.ndarray, starts: np.ndarray):
+        bins = bins.T
         self.y, self.key, self.f = y, key, np.zeros(len(y))
-        self.tree, self.node, self.use, self.target = None, None, None, None
-        self.n, self.starts, self.dense, rows, cells = len(bins), starts, [], [], []
-        self.columns = np.ascontiguousarray(bins.T)
-        self.usual = {}  # feature: its usual bin
+        self.tree, self.at, self.use, self.target = None, None, None, None
+        self.n, self.starts, dense, rows, cells = len(y), starts, [], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+        self.usual, held = {}, 0  # feature: its usual bin, the places of its others
         for j, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
-            counts = np.bincount(self.columns[j], minlength=b - a)
+            counts = np.bincount(bins[j], minlength=b - a)
             if counts.max() <= 0.75 * self.n or not self.n:
-                self.dense.append(j)
+                dense.append(j)
                 continue
-            self.usual[j] = int(counts.argmax())
-            other = np.flatnonzero(self.columns[j] != self.usual[j])
-            rows.append(other)
-            cells.append(a + self.columns[j][other].astype(np.int64))
-        self.rows = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        self.cells = np.concatenate(cells) if cells else np.zeros(0, np.int64)
+            usual = int(counts.argmax())
+            other = np.flatnonzero(bins[j] != usual)
+            self.usual[j] = (usual, held, held + len(other))
+            held += len(other)
+            rows.append(other.astype(np.int32))
+            cells.append((a + bins[j][other]).astype(np.int32))
+        self.rows, self.cells = np.concatenate(rows), np.concatenate(cells)
+        self.usual_cells = np.array([starts[j] + usual for j, (usual, _, _) in self.usual.items()], np.int64)
+        self.codes, self.packs, self.place = [], [], {}
+        for pack, bits in _packs({j: max(1, int(starts[j + 1] - starts[j] - 1).bit_length()) for j in dense}):
+            total, code = sum(bits), np.zeros(self.n, np.int64)
+            for j, b in zip(pack, bits):
+                code = (code << b) | bins[j]
+            shifts = total - np.cumsum(bits)
+            self.place |= {j: (len(self.codes), int(s), (1 << b) - 1) for j, s, b in zip(pack, shifts, bits)}
+            self.codes.append(code.astype(np.uint16 if total <= 16 else np.int64))
+            self.packs.append((pack, bits, total))
 
     def __getstate__(self):
-        return self.__dict__ | dict(tree=None, node=None, use=None, target=None)
-
-    def walk(self, nodes) -> np.ndarray:
-        """The node of every row; goes on from where the last call for this tree ended."""
+        return self.__dict__ | dict(tree=None, at=None, use=None, target=None)
+
+    def column(self, j: int, rows: np.ndarray) -> np.ndarray:
+        """The bins of feature ``j`` in ``rows``."""
+        if j in self.place:
+            at, shift, mask = self.place[j]
+            return (self.codes[at].take(rows) >> shift) & mask
+        usual, a, b = self.usual[j]
+        whole = np.full(self.n, usual, np.int32)
+        whole[self.rows[a:b]] = self.cells[a:b] - self.starts[j]
+        return whole.take(rows)
+
+    def walk(self, t: int, nodes) -> dict:
+        """The rows of every leaf of tree ``t``; goes on from where the last call for this tree ended."""
+        if self.tree != t:
+            self.tree, self.at, self.target = t, {0: np.arange(self.n)}, None
         feature, cut, left = nodes
-        while len(move := np.flatnonzero(feature[self.node] >= 0)):
-            at = self.node[move]
-            self.node[move] = left[at] + (self.columns[feature[at], move] > cut[at])
-        return self.node
+        todo = list(self.at)
+        while todo:
+            node = todo.pop()
+            if feature[node] < 0:
+                continue
+            rows, below = self.at.pop(node), int(left[node])
+            right = self.column(int(feature[node]), rows) > cut[node]
+            self.at[below], self.at[below + 1] = rows.take(np.flatnonzero(~right)), rows.take(np.flatnonzero(right))
+            todo += [below, below + 1]
+        return self.at
 
     def sums(self, t: int, p: Boosting, nodes, slots: np.ndarray, count: int) -> np.ndarray:
         """Sums of the targets of tree ``t`` and row counts (2 x ``count`` x bins), by the slot (or -1) of the row's node."""
-        if self.tree != t:
-            self.tree, self.node, self.target = t, np.zeros(self.n, np.int64), 2 * (self.y - self.f) if t else self.y
-            self.use = np.ones(self.n, bool)
+        leaves = sorted(((int(slots[node]), rows) for node, rows in self.walk(t, nodes).items() if slots[node] >= 0), key=lambda v: v[0])
+        if self.target is None:
+            self.target = 2 * (self.y - self.f) if t else self.y
+            self.use = None
             if p.subsample < 1:
                 with np.errstate(over="ignore"):
                     self.use = _mixed(self.key ^ _mixed(np.array([p.seed * 1_000_003 + t], np.uint64))) < np.uint64(int(p.subsample * 2**64))
-        slot = np.where(self.use, slots[self.walk(nodes)], -1)
-        width = int(self.starts[-1])
-        sel = np.flatnonzero(slot >= 0)
-        k, target = slot[sel], self.target[sel]
-        at = slot[self.rows]
-        there = at >= 0
-        cell = at[there] * width + self.cells[there]
-        g = np.bincount(cell, self.target[self.rows[there]], count * width).astype(float).reshape(count, width)  # integers if there is no row
-        h = np.bincount(cell, minlength=count * width).astype(float).reshape(count, width)
-        total_g, total_h = np.bincount(k, target, count), np.bincount(k, minlength=count)
-        for j, usual in self.usual.items():
-            a, b = self.starts[j], self.starts[j + 1]
-            g[:, a + usual] = total_g - g[:, a:b].sum(1)
-            h[:, a + usual] = total_h - h[:, a:b].sum(1)
-        for j in self.dense:
-            a, b = self.starts[j], self.starts[j + 1]
-            cell = k * (b - a) + self.columns[j][sel]
-            g[:, a:b] = np.bincount(cell, target, count * (b - a)).reshape(count, b - a)
-            h[:, a:b] = np.bincount(cell, minlength=count * (b - a)).reshape(count, b - a)
+        sel = np.concatenate([rows for _, rows in leaves]) if leaves else np.zeros(0, np.int64)
+        k = np.repeat([s for s, _ in leaves], [len(rows) for _, rows in leaves]).astype(np.int64)
+        if self.use is not None:
+            used = np.flatnonzero(self.use.take(sel))
+            sel, k = sel.take(used), k.take(used)
+        target, width = self.target.take(sel), int(self.starts[-1])
+        g, h = np.zeros((count, width)), np.zeros((count, width))
+        if self.usual:
+            slot = np.full(self.n, -1, np.int32)
+            slot[sel] = k
+            at = slot.take(self.rows)
+            there = np.flatnonzero(at >= 0)
+            cell = at.take(there).astype(np.int64) * width + self.cells.take(there)
+            g += np.bincount(cell, self.target.take(self.rows.take(there)), count * width).reshape(count, width)
+            h += np.bincount(cell, minlength=count * width).reshape(count, width)
+            for into, total in ((g, np.bincount(k, target, count)), (h, np.bincount(k, minlength=count))):
+                others = np.add.reduceat(into, self.starts[:-1], 1)  # by feature; its usual bin is empty so far
+                into[:, self.usual_cells] = total[:, None] - others[:, list(self.usual)]
+        shared = [np.zeros((2, count, 1 << total)) for _, _, total in self.packs]
+        for a in range(0, len(sel), CHUNK_ROWS):  # in the order of the slots, so that a chunk meets few of them
+            rows, some, low = sel[a:a + CHUNK_ROWS], target[a:a + CHUNK_ROWS], k[a]
+            slot = k[a:a + CHUNK_ROWS] - low
+            n = int(slot[-1]) + 1
+            for codes, (_, _, total), into in zip(self.codes, self.packs, shared):
+                cell = (slot << total) + codes.take(rows)
+                into[0, low:low + n] += np.bincount(cell, some, n << total).reshape(n, -1)
+                into[1, low:low + n] += np.bincount(cell, minlength=n << total).reshape(n, -1)
+        for both, (pack, bits, _) in zip(shared, self.packs):
+            both = both.reshape(2, count, *(1 << b for b in bits))
+            for i, j in enumerate(pack):
+                a, b = self.starts[j], self.starts[j + 1]
+                g[:, a:b], h[:, a:b] = both.sum(tuple(x for x in range(2, 2 + len(pack)) if x != i + 2))[:, :, :b - a]
         return np.stack([g, h])
 
     def advanced(self, trees) -> _Rows:
         """These rows after ``trees`` (number, nodes, leaf values)."""
+        self.f = self.f.copy()
         for t, nodes, values in trees:
-            if self.tree != t:
-                self.node = np.zeros(self.n, np.int64)
-            self.f = self.f + values[self.walk(nodes)]
+            for node, rows in self.walk(t, nodes).items():
+                self.f[rows] += values[node]
             self.tree = None
         return self
 
 
+def _packs(bits: dict[int, int]):
+    """(features, their bits) of codes of ``CODE_BITS`` bits; a feature of more has one of its own."""
+    packs = []
+    for j in sorted(bits, key=lambda j: (-bits[j], j)):
+        for pack in packs:
+            if sum(bits[i] for i in pack) + bits[j] <= CODE_BITS:
+                pack.append(j)
+                break
+        else:
+            packs.append([j])
+    return [(pack, [bits[j] for j in pack]) for pack in packs]
+
+
 class _Splits:
     """The best split of every node from its sums; of equal ones the first feature, then the first bin."""
 
@@ -223,32 +294,41 @@ def fit_least_squares(df: DataFrame, p, features_col: str, label_col: str, predi
         raise ValueError(f"{n} rows, {labels} of them with a label, {d} to {d_max} features")
     cuts = thresholds(rows, d, max_bins)
     starts = np.concatenate([[0], np.cumsum([len(c) + 1 for c in cuts])])
-    alone = n <= ALONE_ROWS
+    dtype = np.uint8 if max_bins <= 256 else np.uint16
 
-    def binned(batches):
-        bins, y, key = [np.zeros((0, d), np.uint8)], [np.zeros(0)], [np.zeros(0, np.uint64)]
+    def cut(batches):
+        place, i = TaskContext.get().partitionId(), 0
         for b in batches:
-            x = _matrix(b.column(0), d)
-            bins.append(np.column_stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)]).astype(np.uint8 if max_bins <= 256 else np.uint16))
-            y.append(b.column(1).to_numpy(zero_copy_only=False))
-            key.append(b.column(2).to_numpy().view(np.uint64))
-        return _Rows(np.concatenate(bins), np.concatenate(y), np.concatenate(key), starts)
-
-    def run(batches):
-        held = binned(batches)
+            x, y, key = _matrix(b.column(0), d), b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_numpy()
+            bins = np.stack([np.searchsorted(c, x[:, j], "left").astype(dtype) for j, c in enumerate(cuts)])
+            for a in range(0, len(y), BLOCK_ROWS):
+                yield _blocks([(place, i, *(m[..., a:a + BLOCK_ROWS].tobytes() for m in (bins, y, key)))])
+                i += 1
+
+    def held(blocks):
+        """The rows of all blocks, in the order of the table's partitions."""
+        parts = sorted((r for b in blocks for r in b.to_pylist()), key=lambda r: (r["place"], r["i"]))
+        bins = [np.zeros((d, 0), dtype), *(np.frombuffer(r["bins"], dtype).reshape(d, -1) for r in parts)]
+        y, key = (np.concatenate([np.zeros(0, kind), *(np.frombuffer(r[c], kind) for r in parts)]) for c, kind in (("y", float), ("key", np.uint64)))
+        return _Rows(np.concatenate(bins, 1).T, y, key, starts)
+
+    def run(blocks):
+        rows = held(blocks)
         for t in range(p.n_estimators):
-            tree, walk = grow_tree(t, p, cuts, starts, lambda *a: held.sums(t, p, *a))
-            held.advanced([walk])
+            tree, walk = grow_tree(t, p, cuts, starts, lambda *a: rows.sums(t, p, *a))
+            rows.advanced([walk])
             yield pa.RecordBatch.from_arrays([pa.array([t]), pa.array([pickle.dumps(tree)], pa.binary())], names=["t", "tree"])
 
-    def hold(batches):
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(binned(batches))], pa.binary())], names=["rows"])
+    def hold(blocks):
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(held(blocks))], pa.binary())], names=["rows"])
 
-    if alone:
-        grown = rows.coalesce(1).mapInArrow(run, "t long, tree binary").collect()  # one row per tree
+    # Cut where the rows lie: what is dealt out is a byte a feature.
+    blocks = rows.mapInArrow(cut, BLOCK)
+    if n <= min(ALONE_ROWS, ALONE_BYTES // (d + 64)):
+        grown = blocks.repartition(1).mapInArrow(run, "t long, tree binary").collect()  # one row per tree
         trees = [pickle.loads(r["tree"]) for r in sorted(grown)]
     else:
-        tasks = max(-(-n // ALONE_ROWS), df.sparkSession.sparkContext.defaultParallelism)
-        held = rows.repartition(tasks).mapInArrow(hold, "rows binary").rdd.map(lambda r: pickle.loads(r["rows"]))
-        trees = _grow_over(held, tasks, p, cuts, starts)
+        tasks = max(-(-n // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism)
+        parts = blocks.repartition(tasks).mapInArrow(hold, "rows binary").rdd.map(lambda r: pickle.loads(r["rows"]))
+        trees = _grow_over(parts, tasks, p, cuts, starts)
     return HistModel(0.0, trees, features_col, prediction_col)

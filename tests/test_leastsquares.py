@@ -74,3 +74,45 @@ def test_sums_of_dense_features_keep_their_fractions():
     rows = leastsquares._Rows(np.array([[0], [1], [0], [1]], np.uint8), np.array([0.25, 0.5, 0.5, 0.125]), np.zeros(4, np.uint64), np.array([0, 2]))
     got = rows.sums(0, leastsquares.Boosting(1), (np.array([-1]), np.array([0]), np.array([0])), np.array([0]), 1)
     assert got.tolist() == [[[0.75, 0.625]], [[2.0, 2.0]]]
+
+
+def test_shared_codes_give_the_sums_of_each_feature():
+    r = np.random.default_rng(3)
+    n, sizes = 5000, [32, 7, 2, 1, 20, 2, 32, 3, 2]
+    bins = np.stack([np.where(r.random(n) < (0.9 if j in (2, 5, 7) else 0), 0, r.integers(0, s, n)) for j, s in enumerate(sizes)], 1).astype(np.uint8)
+    starts, y = np.concatenate([[0], np.cumsum(sizes)]), r.integers(-9, 9, n).astype(float)
+    rows = leastsquares._Rows(bins, y, np.zeros(n, np.uint64), starts)
+    nodes = (np.array([0, 5, -1, -1, -1]), np.array([15, 0, 0, 0, 0]), np.array([1, 3, 0, 0, 0]))  # the left child is split by a feature of one usual bin
+    node = np.where(bins[:, 0] > 15, 2, np.where(bins[:, 5] > 0, 4, 3))
+    got = rows.sums(0, leastsquares.Boosting(1), nodes, np.array([-1, -1, 1, -1, 0]), 2)
+    want = np.zeros((2, 2, starts[-1]))
+    for slot, leaf in enumerate((4, 2)):
+        for j in range(len(sizes)):
+            np.add.at(want[0, slot], starts[j] + bins[node == leaf, j].astype(int), y[node == leaf])
+            np.add.at(want[1, slot], starts[j] + bins[node == leaf, j].astype(int), 1)
+    assert np.array_equal(got, want)
+    rows.advanced([(0, nodes, np.arange(5.0))])
+    assert np.array_equal(rows.f, node)
+
+
+def test_held_rows_carry_no_byte_per_indicator():
+    import pickle
+    r = np.random.default_rng(4)
+    kind = r.integers(0, 200, 20_000)
+    bins = np.concatenate([r.integers(0, 32, (20_000, 6)), kind[:, None] == np.arange(200)], 1).astype(np.uint8)
+    starts = np.concatenate([[0], np.cumsum([32] * 6 + [2] * 200)])
+    assert len(pickle.dumps(leastsquares._Rows(bins, np.zeros(20_000), np.zeros(20_000, np.uint64), starts))) < 60 * 20_000
+
+
+def test_some_hundred_thousand_rows_take_no_job_per_level(spark):
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.range(300_000).select(F.pmod("id", F.lit(31)).alias("a"), F.pmod("id", F.lit(7)).alias("b"), (F.pmod("id", F.lit(31)) * 2.0 + F.pmod("id", F.lit(7))).alias("label"))
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df).cache()
+    df.count()
+    spark.sparkContext.setJobGroup("large", "large")
+    try:
+        BoostedTrees(PARAMS).fit(df)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("large")) < 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        df.unpersist()
