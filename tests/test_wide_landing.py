@@ -46,3 +46,26 @@ def test_nothing_landed(spark, tmp_path):
     (tmp_path / "land").mkdir()
     assert ingest_files(spark, str(tmp_path / "land"), str(tmp_path / "t"), str(tmp_path / "seen")) == 0
     assert read_files_landed(spark, str(tmp_path / "t")).count() == 0 and manifest(spark, str(tmp_path / "t")).count() == 0
+
+
+def test_wide_rows_are_dealt_out_before_they_become_text(spark, tmp_path, monkeypatch):
+    import datetime
+
+    from parcelle.plans import queries
+    d = str(tmp_path / "tables")
+    day = datetime.datetime
+    tables = {
+        "customer": ([(1, 7), (2, 13)], "c_custkey long, c_nationkey int"),
+        "part": ([(1, "house", 5), (2, "flat", 3)], "p_partkey long, p_type string, p_size int"),
+        "orders": ([(1, 1, day(2019, 5, 4), 1e5), (2, 2, day(2020, 2, 1), 2e5)], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double"),
+        "lineitem": ([(1, 1, 4, 1, 8.0), (1, 2, 3, 2, 9.0), (2, 1, 8, 1, 7.0)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{d}/{name}.parquet")
+    dealt, kind = [], type(spark.range(1))
+    hint = kind.hint
+    monkeypatch.setattr(kind, "hint", lambda self, name, *a: (dealt.append((name, dict(self.dtypes))), hint(self, name, *a))[1])
+    got = queries.q_landing_wide(spark, d).collect()
+    assert sorted((r.id_mutation, str(r.date_mutation), r.valeur_fonciere, r.year, r.departement) for r in got) == [
+        ("1", "2019-05-04", 1e5, 2019, "07"), ("1", "2019-05-04", 1e5, 2019, "07"), ("2", "2020-02-01", 2e5, 2020, "13")]
+    dealt = [types for name, types in dealt if name == "rebalance"]
+    assert len(dealt) >= 2 and all(not any(c.startswith("autre") for c in types) and types["date_mutation"] == "date" for types in dealt)
